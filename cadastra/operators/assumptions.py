@@ -14,6 +14,35 @@ from cadastra.functions.safe import clamp_or_fallback
 from cadastra.operators.median import disc_median
 from cadastra.params import DEFAULT, Params
 
+# The method texts of the published assumptions document.
+# "{n}" is the number of blended rows.
+METHOD_TEXT = {
+    "equity": (
+        "equal-weighted mean across {n} pea_eligible tickers with enough trading-day history "
+        "(see equity_performance_summary.trading_days)",
+        "fallback illustrative assumption - no pea_eligible ticker yet has enough trading-day history "
+        "(see constants.equities_fallback and equity_performance_summary.trading_days)",
+    ),
+    "etf": (
+        "equal-weighted mean across {n} pea_eligible ETFs with enough trading-day history "
+        "(see equity_performance_summary.trading_days)",
+        "fallback illustrative assumption - no pea_eligible ETF yet has enough trading-day history "
+        "(see constants.equities_fallback and equity_performance_summary.trading_days)",
+    ),
+    "alternatives": (
+        "equal-weighted mean across {n} alternatives tickers with enough trading-day history "
+        "(see alternatives_performance_summary.trading_days)",
+        "fallback illustrative assumption - no alternatives ticker yet has enough trading-day history "
+        "(see constants.alternatives_fallback and alternatives_performance_summary.trading_days)",
+    ),
+    "liquid": (
+        "equal-weighted mean across {n} liquid alternatives tickers with enough trading-day history "
+        "(see alternatives_performance_summary.trading_days)",
+        "fallback illustrative assumption - no liquid alternatives ticker yet has enough trading-day history "
+        "(see constants.alternatives_fallback and alternatives_performance_summary.trading_days)",
+    ),
+}
+
 
 def national_median_cagr(dept_score: DataFrame, p: Params = DEFAULT) -> DataFrame:
     """Lower median of department CAGR medians, fallback + flag when none.
@@ -30,15 +59,13 @@ def national_median_cagr(dept_score: DataFrame, p: Params = DEFAULT) -> DataFram
     )
 
 
-def _blend(prefix: str, cond: Column, what: str, fb_ret: float, fb_vol: float, empty_text: str) -> list[Column]:
+def _blend(prefix: str, cond: Column, fb_ret: float, fb_vol: float) -> list[Column]:
     ok = F.col("annualized_return").isNotNull() & F.col("annualized_volatility").isNotNull() & cond
     n = F.count(F.when(ok, True))
     ret = F.avg(F.when(ok, F.col("annualized_return")))
     vol = F.avg(F.when(ok, F.col("annualized_volatility")))
-    method = F.when(
-        n > 0,
-        F.format_string(f"equal-weighted mean across %d {what} with enough trading-day history", n),
-    ).otherwise(F.lit(empty_text))
+    used, fallback = METHOD_TEXT[prefix]
+    method = F.when(n > 0, F.format_string(used.replace("{n}", "%d"), n)).otherwise(F.lit(fallback))
     return [
         F.coalesce(ret, F.lit(float(fb_ret))).alias(f"{prefix}_annualized_return"),
         F.coalesce(vol, F.lit(float(fb_vol))).alias(f"{prefix}_annualized_volatility"),
@@ -51,21 +78,17 @@ def equity_blends(equity_summary: DataFrame, p: Params = DEFAULT) -> DataFrame:
     """A18 (equities): all PEA-eligible tickers, and ETFs only."""
     eligible = equity_summary.where(F.col("pea_eligible") == F.lit(True))
     return eligible.agg(
-        *_blend("equity", F.lit(True), "pea_eligible tickers", p.equities_fallback_return,
-                p.equities_fallback_volatility, "fallback illustrative assumption"),
-        *_blend("etf", F.col("asset_type") == "etf", "pea_eligible ETFs", p.equities_fallback_return,
-                p.equities_fallback_volatility, "fallback illustrative assumption"),
+        *_blend("equity", F.lit(True), p.equities_fallback_return, p.equities_fallback_volatility),
+        *_blend("etf", F.col("asset_type") == "etf", p.equities_fallback_return, p.equities_fallback_volatility),
     )
 
 
 def alternatives_blends(alt_summary: DataFrame, p: Params = DEFAULT) -> DataFrame:
     """A18 (alternatives): all tickers, and liquid ones only."""
     return alt_summary.agg(
-        *_blend("alternatives", F.lit(True), "alternatives tickers", p.alternatives_fallback_return,
-                p.alternatives_fallback_volatility, "fallback illustrative assumption"),
-        *_blend("liquid", F.col("liquidity") == "liquid", "liquid alternatives tickers",
-                p.alternatives_fallback_return, p.alternatives_fallback_volatility,
-                "fallback illustrative assumption"),
+        *_blend("alternatives", F.lit(True), p.alternatives_fallback_return, p.alternatives_fallback_volatility),
+        *_blend("liquid", F.col("liquidity") == "liquid", p.alternatives_fallback_return,
+                p.alternatives_fallback_volatility),
     )
 
 

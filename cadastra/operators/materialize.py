@@ -1,18 +1,29 @@
-"""Cutting lineage on small, reused intermediates.
+"""Cutting lineage on reused intermediates.
 
-``checkpoint()`` writes to the shared folder the cluster names in
-``spark.checkpoint.dir`` (reliable, survives executor loss); a scratch folder
-is set only when that setting is absent, as in local tests.
+``materialize`` writes a DataFrame as parquet under the shared folder the
+cluster names in ``spark.checkpoint.dir`` and reads it back: later stages
+re-read compact columnar files instead of recomputing shuffles, and a lost
+executor does not force the upstream stages to rerun. A scratch folder is
+used only when that setting is absent (local tests).
 """
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import DataFrame
 
 from cadastra.session import ensure_checkpoint_dir
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Eagerly checkpoint ``df`` (meant for per-group tables, not raw rows)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def table_dir(df: DataFrame, name: str | None = None) -> str:
+    root = ensure_checkpoint_dir(df.sparkSession)
+    return os.path.join(root, "cadastra-tables", name or uuid.uuid4().hex)
+
+
+def materialize(df: DataFrame, name: str | None = None) -> DataFrame:
+    """Write ``df`` to a fresh parquet table in the shared folder; return a scan of it."""
+    path = table_dir(df, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -36,6 +36,7 @@ def agg_with_lower_median(
     extra_aggs: Sequence[Column] = (),
     accuracy: int = 10000,
     broadcast_max_groups: int = 1_000_000,
+    bracket: tuple[float, float] | None = None,
 ) -> DataFrame:
     """``df.groupBy(keys).agg(*extra_aggs, lower_median(value).alias(alias))``.
 
@@ -47,7 +48,7 @@ def agg_with_lower_median(
     v = F.col(value) if isinstance(value, str) else value
     v = v.cast("double")
     eps = 3.0 / accuracy
-    lo_q, hi_q = max(0.0, 0.5 - eps), min(1.0, 0.5 + eps)
+    lo_q, hi_q = bracket or (max(0.0, 0.5 - eps), min(1.0, 0.5 + eps))  # override: tests only
 
     # pass 1: group size + sketch bracket (+ the caller's other aggregates)
     first = df.groupBy(*keys).agg(
@@ -105,9 +106,9 @@ def agg_with_lower_median(
     return first.select(*out_cols).join(medians, keys, "left")
 
 
-def lower_median(df: DataFrame, keys: Sequence[str], value: Column | str, alias: str, accuracy: int = 10000) -> DataFrame:
+def lower_median(df: DataFrame, keys: Sequence[str], value: Column | str, alias: str, **kw) -> DataFrame:
     """One row per group of ``keys`` with the exact lower median of ``value``."""
-    return agg_with_lower_median(df, keys, value, alias, (), accuracy)
+    return agg_with_lower_median(df, keys, value, alias, (), **kw)
 
 
 def disc_median(column: str) -> Column:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from cadastra.functions.safe import safe_div, safe_pow, strict_greatest, strict_least
 from cadastra.operators.dedupe import latest_wins
+from cadastra.operators.materialize import materialize
 from cadastra.operators.median import agg_with_lower_median, disc_median
 from cadastra.params import DEFAULT, Params
 
@@ -56,7 +57,8 @@ def period_stats(stg: DataFrame, p: Params = DEFAULT) -> DataFrame:
     The prior-year join key leaves out the department on purpose (the
     reference does the same): a commune listed under two departments fans out.
     """
-    cur = commune_year_stats(qualifying_sales(stg, p), p)
+    # the narrow qualifying projection is read by both median passes: write it once
+    cur = commune_year_stats(materialize(qualifying_sales(stg, p)), p)
     # Prior-year rows via a one-year RANGE frame: the same fan-out as a left
     # self-join on (commune, type, year - 1), without computing stats twice.
     # The frame holds one row per department of that commune: bounded.

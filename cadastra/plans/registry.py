@@ -241,7 +241,9 @@ def relative_performance_no_benchmark(spark, sf):
 
 
 # --- assumptions -----------------------------------------------------------------------------------------
-def _blend_sql(prefix: str, src: str, cond: str, what: str, fb_ret: float, fb_vol: float) -> str:
+def _blend_sql(prefix: str, cond: str, fb_ret: float, fb_vol: float) -> str:
+    used, fallback = assumptions.METHOD_TEXT[prefix]
+    head, tail = used.split("{n}")
     ok = f"annualized_return IS NOT NULL AND annualized_volatility IS NOT NULL AND {cond}"
     n = f"count(CASE WHEN {ok} THEN 1 END)"
     return (
@@ -249,8 +251,8 @@ def _blend_sql(prefix: str, src: str, cond: str, what: str, fb_ret: float, fb_vo
         f"{r6(f'coalesce(avg(CASE WHEN {ok} THEN annualized_volatility END), {fb_vol})')} "
         f"AS {prefix}_annualized_volatility, "
         f"{n} AS {prefix}_count, "
-        f"CASE WHEN {n} > 0 THEN 'equal-weighted mean across ' || CAST({n} AS VARCHAR) || "
-        f"' {what} with enough trading-day history' ELSE 'fallback illustrative assumption' END AS {prefix}_method"
+        f"CASE WHEN {n} > 0 THEN '{head}' || CAST({n} AS VARCHAR) || '{tail}' ELSE '{fallback}' END "
+        f"AS {prefix}_method"
     )
 
 
@@ -263,11 +265,11 @@ SELECT e.*, a.*, n.*,
   {r6(_clamp_sql('e.etf_annualized_return', 0.2, 0.07))} AS pea_growth_rate,
   {r6(_clamp_sql('n.national_median_price_cagr', 0.15, 0.03))} AS real_estate_growth_rate,
   {r6(_clamp_sql('a.liquid_annualized_return', 0.2, 0.06))} AS alternatives_growth_rate
-FROM (SELECT {_blend_sql('equity', 'x', 'true', 'pea_eligible tickers', 0.07, 0.15)},
-             {_blend_sql('etf', 'x', "asset_type = 'etf'", 'pea_eligible ETFs', 0.07, 0.15)}
+FROM (SELECT {_blend_sql('equity', 'true', 0.07, 0.15)},
+             {_blend_sql('etf', "asset_type = 'etf'", 0.07, 0.15)}
       FROM equity_summary WHERE pea_eligible = true) e
-CROSS JOIN (SELECT {_blend_sql('alternatives', 'x', 'true', 'alternatives tickers', 0.06, 0.35)},
-                   {_blend_sql('liquid', 'x', "liquidity = 'liquid'", 'liquid alternatives tickers', 0.06, 0.35)}
+CROSS JOIN (SELECT {_blend_sql('alternatives', 'true', 0.06, 0.35)},
+                   {_blend_sql('liquid', "liquidity = 'liquid'", 0.06, 0.35)}
             FROM alt_summary) a
 CROSS JOIN (SELECT {r6('coalesce(m, 0.03)')} AS national_median_price_cagr,
                    m IS NULL AS national_median_price_cagr_is_fallback

@@ -20,7 +20,7 @@ from cadastra.functions.names import normalize_columns
 
 # Candidate delimiters in the order tried, and encodings.
 DELIMITERS = (";", ",")
-ENCODINGS = ("utf-8", "latin-1")
+ENCODINGS = ("utf-8", "iso-8859-1")  # iso-8859-1 is latin-1
 REPLACEMENT_CHAR = "�"
 
 

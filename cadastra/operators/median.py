@@ -2,20 +2,31 @@
 
 The median is the ``ceil(n/2)``-th smallest non-null value (SQL
 ``percentile_disc(0.5)``). Spark's ``percentile_disc`` merges every distinct
-value of a group into one buffer, which is unbounded for a hot group, so the
-median is found in passes that all aggregate map-side first:
-
-1. per group: ``n`` and a quantile sketch (``percentile_approx``, a bounded
-   mergeable summary) that brackets rank ``k = ceil(n/2)``;
-2. rows are tagged against their group's bracket and counted per
-   (group, value inside the bracket); rows outside collapse into one
-   counter per group, ties collapse into one row per value;
-3. a running sum over the few distinct values inside the bracket picks the
-   value where the rank crosses ``k``.
-
-The bracket is verified exactly (``below < k <= below + inside``); a group
-failing it, which the sketch's error bound rules out, is recomputed with
-``percentile_disc`` so the answer is exact whatever happens.
+value of a group into one buffer: fine while a group is small, unbounded for
+a hot group. So the work is routed by group size:
+
+1. one aggregate gives each group's size (plus the caller's other
+   aggregates); it is written once as a small table;
+2. groups with at most ``max_exact_group`` values take ``percentile_disc``
+   (their buffer is bounded by that size);
+3. larger (hot) groups take the bracket path, where every step aggregates
+   map-side first:
+
+   a. a quantile sketch (``percentile_approx``, a bounded mergeable summary)
+      brackets rank ``k = ceil(n/2)``;
+   b. rows are tagged against their group's bracket and counted per
+      (group, value inside the bracket): rows outside collapse into one
+      counter per group, ties into one row per value;
+   c. a running count over the few distinct values inside the bracket picks
+      the value where the rank crosses ``k``.
+
+   The bracket is checked exactly (``below < k <= below + inside``); a group
+   failing it, which the sketch's error bound rules out, is recomputed with
+   ``percentile_disc`` so the answer is exact whatever happens.
+
+Small per-group tables (hot list, brackets) are broadcast only when their
+counted size is under ``broadcast_max_groups``; beyond that they meet the
+rows in a shuffle join.
 """
 
 from __future__ import annotations
@@ -28,62 +39,49 @@ from pyspark.sql import functions as F
 from cadastra.operators.materialize import materialize
 
 
-def agg_with_lower_median(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: Column | str,
-    alias: str,
-    extra_aggs: Sequence[Column] = (),
-    accuracy: int = 10000,
-    broadcast_max_groups: int = 1_000_000,
-    bracket: tuple[float, float] | None = None,
-) -> DataFrame:
-    """``df.groupBy(keys).agg(*extra_aggs, lower_median(value).alias(alias))``.
+def disc_median(column: str) -> Column:
+    """``percentile_disc(0.5)`` of the named column, as an aggregate expression.
 
-    The per-group table of pass 1 is checkpointed (one row per group) and
-    broadcast to the row side only when its row count is at most
-    ``broadcast_max_groups``; above that the rows meet it in a shuffle join.
+    Only for groups whose size is bounded (by construction, or by the size
+    routing below), where a single merge buffer is safe.
     """
-    keys = list(keys)
-    v = F.col(value) if isinstance(value, str) else value
-    v = v.cast("double")
+    name = column.replace("`", "``")
+    return F.expr(f"CAST(percentile_disc(0.5) WITHIN GROUP (ORDER BY `{name}`) AS DOUBLE)")
+
+
+def _maybe_broadcast(df: DataFrame, rows: int, limit: int) -> DataFrame:
+    return F.broadcast(df) if rows <= limit else df
+
+
+def _bracket_median(
+    vals: DataFrame, keys: list[str], alias: str, accuracy: int, broadcast_max_groups: int,
+    bracket: tuple[float, float] | None,
+) -> DataFrame:
+    """Exact lower median of ``_v`` per group for large groups (see module doc)."""
     eps = 3.0 / accuracy
     lo_q, hi_q = bracket or (max(0.0, 0.5 - eps), min(1.0, 0.5 + eps))  # override: tests only
-
-    # pass 1: group size + sketch bracket (+ the caller's other aggregates)
-    first = df.groupBy(*keys).agg(
-        *extra_aggs,
-        F.count(v).alias("_n"),
-        F.percentile_approx(v, F.array(F.lit(lo_q), F.lit(hi_q)), accuracy).alias("_br"),
+    sk = vals.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.percentile_approx("_v", F.array(F.lit(lo_q), F.lit(hi_q)), accuracy).alias("_br"),
     )
-    first = materialize(first)
-    n_groups = first.count()
-    bracket = first.select(
+    sk = materialize(sk.select(
         *keys,
         F.ceil(F.col("_n") / F.lit(2.0)).alias("_k"),
         F.col("_br")[0].alias("_lo"),
         F.col("_br")[1].alias("_hi"),
-    ).where(F.col("_k") > 0)
-
-    # pass 2: tally below / inside the bracket, ties collapsed
-    vals = df.select(*keys, v.alias("_v")).where(F.col("_v").isNotNull())
-    small = n_groups <= broadcast_max_groups
-    tagged = vals.join(F.broadcast(bracket) if small else bracket, keys)
+    ))
+    n_groups = sk.count()
+    tagged = vals.join(_maybe_broadcast(sk, n_groups, broadcast_max_groups), keys)
     inside = (F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi"))
     tally = tagged.groupBy(*keys, "_k", F.when(inside, F.col("_v")).alias("_cv")).agg(
         F.count(F.lit(1)).alias("_cnt"),
         F.count(F.when(F.col("_v") < F.col("_lo"), True)).alias("_nbelow"),
     )
-
-    # pass 3: running count over the distinct in-bracket values
     g = Window.partitionBy(*keys)
     run = g.orderBy(F.col("_cv").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
     in_cnt = F.when(F.col("_cv").isNotNull(), F.col("_cnt")).otherwise(F.lit(0))
     ranked = tally.select(
-        *keys,
-        "_k",
-        "_cv",
-        in_cnt.alias("_c"),
+        *keys, "_k", "_cv", in_cnt.alias("_c"),
         F.sum("_nbelow").over(g).alias("_below"),
         F.sum(in_cnt).over(g).alias("_inside"),
         F.sum(in_cnt).over(run).alias("_cum"),
@@ -93,30 +91,43 @@ def agg_with_lower_median(
     picked = ranked.where(
         ok & F.col("_cv").isNotNull() & (reach >= F.col("_k")) & (reach - F.col("_c") < F.col("_k"))
     ).select(*keys, F.col("_cv").alias(alias))
-
-    # exact fallback for any group whose bracket missed rank k
     missed = ranked.where(~ok).select(*keys).distinct()
-    fallback = (
-        vals.join(missed, keys, "left_semi")  # only missed groups reach one buffer
-        .groupBy(*keys)
-        .agg(disc_median("_v").alias(alias))
-    )
-    medians = picked.unionByName(fallback)
-    out_cols = [c for c in first.columns if c not in ("_n", "_br")]
+    fallback = vals.join(missed, keys, "left_semi").groupBy(*keys).agg(disc_median("_v").alias(alias))
+    return picked.unionByName(fallback)
+
+
+def agg_with_lower_median(
+    df: DataFrame,
+    keys: Sequence[str],
+    value: Column | str,
+    alias: str,
+    extra_aggs: Sequence[Column] = (),
+    accuracy: int = 1000,
+    max_exact_group: int = 1_000_000,
+    broadcast_max_groups: int = 1_000_000,
+    bracket: tuple[float, float] | None = None,
+) -> DataFrame:
+    """``df.groupBy(keys).agg(*extra_aggs, lower_median(value).alias(alias))``."""
+    keys = list(keys)
+    v = (F.col(value) if isinstance(value, str) else value).cast("double")
+    vals = df.select(*keys, v.alias("_v")).where(F.col("_v").isNotNull())
+
+    first = materialize(df.groupBy(*keys).agg(*extra_aggs, F.count(v).alias("_n")))
+    hot = first.where(F.col("_n") > max_exact_group).select(*keys)
+    n_hot = hot.count()
+    if n_hot == 0:
+        medians = vals.groupBy(*keys).agg(disc_median("_v").alias(alias))
+    else:
+        hot_b = _maybe_broadcast(hot, n_hot, broadcast_max_groups)
+        cold = vals.join(hot_b, keys, "left_anti").groupBy(*keys).agg(disc_median("_v").alias(alias))
+        hot_rows = vals.join(hot_b, keys, "left_semi")
+        medians = cold.unionByName(
+            _bracket_median(hot_rows, keys, alias, accuracy, broadcast_max_groups, bracket)
+        )
+    out_cols = [c for c in first.columns if c != "_n"]
     return first.select(*out_cols).join(medians, keys, "left")
 
 
 def lower_median(df: DataFrame, keys: Sequence[str], value: Column | str, alias: str, **kw) -> DataFrame:
     """One row per group of ``keys`` with the exact lower median of ``value``."""
     return agg_with_lower_median(df, keys, value, alias, (), **kw)
-
-
-def disc_median(column: str) -> Column:
-    """``percentile_disc(0.5)`` of the named column, as an aggregate expression.
-
-    Only for groups whose size is bounded by construction (at most a handful
-    of non-null values, or one row per commune of a department), where a
-    single merge buffer is safe.
-    """
-    name = column.replace("`", "``")
-    return F.expr(f"CAST(percentile_disc(0.5) WITHIN GROUP (ORDER BY `{name}`) AS DOUBLE)")

@@ -48,6 +48,7 @@ def commune_year_stats(sales: DataFrame, p: Params = DEFAULT) -> DataFrame:
             F.count(F.lit(1)).alias("transaction_count"),
         ],
         accuracy=p.median_sketch_accuracy,
+        max_exact_group=p.median_max_exact_group,
     )
 
 

@@ -52,8 +52,10 @@ class Params:
     blended_return_limit: float = 0.20
     real_estate_cagr_limit: float = 0.15
 
-    # exact median: relative rank error of the sketch that brackets it
-    median_sketch_accuracy: int = 10000
+    # exact median: groups larger than this take the sketch-bracket path;
+    # the sketch's relative rank error is 1/accuracy
+    median_max_exact_group: int = 1_000_000
+    median_sketch_accuracy: int = 1000
 
     def with_(self, **kw) -> "Params":
         return replace(self, **kw)

@@ -31,19 +31,22 @@ def test_even_odd_ties_nulls(spark):
             ("nulls", None), ("nulls", 7.0), ("nulls", None),
             ("allnull", None)]
     check(spark, rows)
+    check(spark, rows, max_exact_group=0)
 
 
 def test_hot_group_and_narrow_bracket(spark):
     rnd = random.Random(7)
     rows = [("hot", float(rnd.randint(0, 5000))) for _ in range(40000)]
     rows += [(f"g{i}", float(rnd.random())) for i in range(300) for _ in range(rnd.randint(1, 9))]
-    check(spark, rows, accuracy=50)  # wide sketch error: exercises the exact bracket pass
+    # groups over 1000 values take the sketch path; a coarse sketch exercises the exact bracket pass
+    check(spark, rows, accuracy=50, max_exact_group=1000)
+    check(spark, rows, max_exact_group=0)  # every group on the sketch path
 
 
 def test_fallback_when_bracket_misses(spark):
     rows = [("a", float(i)) for i in range(101)] + [("b", float(-i)) for i in range(10)]
     # a deliberately wrong bracket: rank k falls outside, the exact fallback answers
-    check(spark, rows, bracket=(0.0, 0.1))
+    check(spark, rows, bracket=(0.0, 0.1), max_exact_group=0)
 
 
 def test_extra_aggs_and_disc_median_match(spark):

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from cadastra.functions.safe import safe_div, safe_pow
 from cadastra.operators.joins import attach_one_row
+from cadastra.operators.materialize import materialize
 from cadastra.operators.median import disc_median
 from cadastra.params import DEFAULT, Params
 
@@ -51,17 +52,33 @@ def daily_returns(prices: DataFrame, p: Params = DEFAULT) -> DataFrame:
     return _returns(prices, p)
 
 
-def _with_end_flags(df: DataFrame, p: Params, count_alias: str = "_n") -> DataFrame:
-    """rn from the start and from the end of each ticker's (window of) history.
+def _with_end_flags(df: DataFrame, p: Params, bounds: DataFrame | None = None) -> DataFrame:
+    """Flags for the first / last ``end_price_rows`` bars of each ticker.
 
-    (ticker, date) is unique, so the descending rank is n - rn + 1: one sort.
+    (ticker, date) is unique, so the rank from the end is n - rn + 1: one
+    sort. With ``bounds`` (a one-row benchmark window, broadcast), the same
+    flags are also computed over the bars inside that window, in the same
+    window pass (running count of in-window bars).
     """
-    rn = F.row_number().over(_by_ticker())
-    n = F.count(F.lit(1)).over(Window.partitionBy("ticker"))
-    d = df.withColumn("_rn", rn).withColumn(count_alias, n)
+    w = _by_ticker()
+    whole = Window.partitionBy("ticker")
     k = p.end_price_rows
-    return d.withColumn("_first_px", F.when(F.col("_rn") <= k, F.col("adj_close"))).withColumn(
-        "_last_px", F.when(F.col(count_alias) - F.col("_rn") + 1 <= k, F.col("adj_close"))
+    rn = F.row_number().over(w)
+    n = F.count(F.lit(1)).over(whole)
+    d = df.withColumn("_rn", rn).withColumn("_n", n)
+    d = d.withColumn("_first_px", F.when(F.col("_rn") <= k, F.col("adj_close"))).withColumn(
+        "_last_px", F.when(F.col("_n") - F.col("_rn") + 1 <= k, F.col("adj_close"))
+    )
+    if bounds is None:
+        return d
+    d = attach_one_row(d, bounds, "left")
+    inside = F.coalesce(F.col("date").between(F.col("_b_first"), F.col("_b_last")), F.lit(False))
+    one = inside.cast("int")
+    d = d.withColumn("_in", inside).withColumn(
+        "_rn_in", F.sum(one).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ).withColumn("_n_in", F.sum(one).over(whole))
+    return d.withColumn("_first_in", F.when(F.col("_in") & (F.col("_rn_in") <= k), F.col("adj_close"))).withColumn(
+        "_last_in", F.when(F.col("_in") & (F.col("_n_in") - F.col("_rn_in") + 1 <= k), F.col("adj_close"))
     )
 
 
@@ -74,8 +91,23 @@ def end_prices(returns: DataFrame, p: Params = DEFAULT) -> DataFrame:
     )
 
 
-def _per_ticker(returns: DataFrame, p: Params, with_dividends: bool) -> DataFrame:
-    d = _with_end_flags(returns, p)
+def benchmark_window(returns: DataFrame, p: Params) -> DataFrame:
+    """One row: the benchmark's first and last date (nulls when it is absent)."""
+    return returns.where(F.col("ticker") == p.benchmark_ticker).agg(
+        F.min("date").alias("_b_first"), F.max("date").alias("_b_last")
+    )
+
+
+def _aligned(p: Params) -> F.Column:
+    """K11 from the in-window flags: geometric annualisation over the window."""
+    return safe_pow(
+        safe_div(disc_median("_last_in"), disc_median("_first_in")),
+        F.lit(p.trading_days_per_year) / F.max("_n_in"),
+    ) - F.lit(1.0)
+
+
+def _per_ticker(returns: DataFrame, p: Params, with_dividends: bool, bounds: DataFrame | None = None) -> DataFrame:
+    d = _with_end_flags(returns, p, bounds)
     n = F.count(F.lit(1))
     gate = n >= p.min_trading_days_for_return
     first = disc_median("_first_px")
@@ -97,6 +129,9 @@ def _per_ticker(returns: DataFrame, p: Params, with_dividends: bool) -> DataFram
     ]
     if with_dividends:
         aggs.append(F.sum("dividends").alias("total_dividends"))
+    if bounds is not None:
+        aggs.append(F.when(F.max("_n_in") >= p.min_trading_days_for_return, _aligned(p))
+                    .alias("aligned_annualized_return"))
     return d.groupBy("ticker").agg(*aggs)
 
 
@@ -106,23 +141,10 @@ def aligned_returns(returns: DataFrame, p: Params = DEFAULT) -> DataFrame:
     Kept only for tickers with at least ``min_trading_days_for_return`` bars
     in the window; empty when the benchmark has no bars.
     """
-    bench = returns.where(F.col("ticker") == p.benchmark_ticker).agg(
-        F.min("date").alias("_b_first"), F.max("date").alias("_b_last")
-    )
-    inside = attach_one_row(returns.select("ticker", "date", "adj_close"), bench).where(
-        F.col("date").between(F.col("_b_first"), F.col("_b_last"))
-    )
-    d = _with_end_flags(inside, p, "_n_days")
-    g = d.groupBy("ticker").agg(
-        safe_pow(
-            safe_div(disc_median("_last_px"), disc_median("_first_px")),
-            F.lit(p.trading_days_per_year) / F.max("_n_days"),
-        ).alias("_pw"),
-        F.max("_n_days").alias("_n_days"),
-    )
-    return g.where(F.col("_n_days") >= p.min_trading_days_for_return).select(
-        "ticker", (F.col("_pw") - F.lit(1.0)).alias("aligned_annualized_return")
-    )
+    d = _with_end_flags(returns, p, benchmark_window(returns, p))
+    g = d.groupBy("ticker").agg(_aligned(p).alias("aligned_annualized_return"),
+                                F.max("_n_in").alias("_n_days"))
+    return g.where(F.col("_n_days") >= p.min_trading_days_for_return).select("ticker", "aligned_annualized_return")
 
 
 def _summary_core(t: DataFrame, p: Params) -> list:
@@ -144,16 +166,21 @@ def _summary_core(t: DataFrame, p: Params) -> list:
 
 
 def equity_performance_summary(prices: DataFrame, watchlist: DataFrame, p: Params = DEFAULT) -> DataFrame:
-    """One row per ticker, gated risk/return, excess return, dividends."""
+    """One row per ticker, gated risk/return, excess return, dividends.
+
+    The benchmark window is a one-row relation computed first; returns, end
+    prices and the in-window flags then share one window pass and one
+    aggregate per ticker. The per-ticker table (one row per ticker) is
+    written once because the benchmark's own row is read back from it.
+    """
+    bounds = benchmark_window(prices, p)
     r = _returns(prices, p, carry=("dividends",))
-    t = _per_ticker(r, p, with_dividends=True)
-    vb = aligned_returns(r, p)
-    bench = vb.where(F.col("ticker") == p.benchmark_ticker).select(
+    t = materialize(_per_ticker(r, p, with_dividends=True, bounds=bounds))
+    bench = t.where(F.col("ticker") == p.benchmark_ticker).select(
         F.col("aligned_annualized_return").alias("benchmark_annualized_return")
     )
     wl = watchlist.select("ticker", "name", "asset_type", "sector", "isin", "pea_eligible")
-    j = t.join(wl, "ticker", "left").join(vb, "ticker", "left")
-    j = attach_one_row(j, bench, how="left")  # empty benchmark must not empty the mart
+    j = attach_one_row(t.join(wl, "ticker", "left"), bench, how="left")  # empty benchmark keeps every row
     return j.select(
         "ticker",
         "name",

@@ -42,9 +42,14 @@ class Inputs:
     def alt_prices(self) -> DataFrame:
         return stg_prices(td.raw_alternative_prices(self.spark, self.sf), td.version_order())
 
+    @cached_property
+    def raw_population_history(self) -> DataFrame:
+        """Landed once: both population tables derive from it."""
+        return materialize(td.raw_population_history(self.spark, self.sf))
+
     @cached_property
     def population(self) -> DataFrame:
-        return stg_population(td.raw_population(self.spark, self.sf))
+        return stg_population(td.raw_population(self.spark, self.sf, self.raw_population_history))
 
     @cached_property
     def income(self) -> DataFrame:
@@ -52,7 +57,7 @@ class Inputs:
 
     @cached_property
     def population_history(self) -> DataFrame:
-        return stg_population_history(td.raw_population_history(self.spark, self.sf))
+        return stg_population_history(self.raw_population_history)
 
     @cached_property
     def tax(self) -> DataFrame:

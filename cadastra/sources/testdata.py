@@ -152,9 +152,9 @@ def raw_population_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_population(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_population(spark: SparkSession, sf_dir: str, hist: DataFrame | None = None) -> DataFrame:
     """Current population per commune: its latest year of the history."""
-    hist = raw_population_history(spark, sf_dir)
+    hist = hist if hist is not None else raw_population_history(spark, sf_dir)
     nat = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     latest = hist.groupBy("codgeo").agg(
         F.max_by(F.struct("pmun", "coddep"), F.col("annee_rp").cast("int")).alias("cur")

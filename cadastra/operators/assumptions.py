@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadastra.functions.safe import clamp_or_fallback
-from cadastra.operators.median import disc_median
+from cadastra.operators.joins import attach_one_row
+from cadastra.operators.median import agg_with_lower_medians
 from cadastra.params import DEFAULT, Params
 
 # The method texts of the published assumptions document.
@@ -45,14 +46,11 @@ METHOD_TEXT = {
 
 
 def national_median_cagr(dept_score: DataFrame, p: Params = DEFAULT) -> DataFrame:
-    """Lower median of department CAGR medians, fallback + flag when none.
-
-    One row per department goes into a single buffer: bounded by the
-    department list.
-    """
-    m = dept_score.where(F.col("median_price_cagr").isNotNull()).agg(
-        disc_median("median_price_cagr").alias("_m")
-    )
+    """Lower median of department CAGR medians, fallback + flag when none."""
+    m = agg_with_lower_medians(dept_score.where(F.col("median_price_cagr").isNotNull()), [],
+                               {"_m": "median_price_cagr"}, max_exact_group=p.median_max_exact_group)
+    # a global aggregate over no rows still yields one row; keep that shape
+    m = attach_one_row(dept_score.sparkSession.range(1).select(), m, "left")
     return m.select(
         F.coalesce(F.col("_m"), F.lit(float(p.real_estate_fallback_cagr))).alias("national_median_price_cagr"),
         F.col("_m").isNull().alias("national_median_price_cagr_is_fallback"),
@@ -97,8 +95,6 @@ def growth_assumptions(equity: DataFrame, alts: DataFrame, national: DataFrame,
 
     Inputs are one-row frames; the result is one row.
     """
-    from cadastra.operators.joins import attach_one_row
-
     j = attach_one_row(attach_one_row(equity, alts, "left"), national, "left")
     return j.select(
         "*",
@@ -133,8 +129,6 @@ def assumptions_document(equity_summary: DataFrame, alt_summary: DataFrame, dept
     dep = dept_score.where(F.col("median_price_cagr").isNotNull()).agg(F.array_sort(F.collect_list(F.struct(
         "code_departement", "nom_departement", "median_price_cagr"
     ))).alias("by_department"))
-    from cadastra.operators.joins import attach_one_row
-
     g = growth_assumptions(equity_blends(equity_summary, p), alternatives_blends(alt_summary, p),
                            national_median_cagr(dept_score, p), p)
     d = attach_one_row(attach_one_row(attach_one_row(g, eq, "left"), alt, "left"), dep, "left")

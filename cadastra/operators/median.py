@@ -96,38 +96,88 @@ def _bracket_median(
     return picked.unionByName(fallback)
 
 
-def agg_with_lower_median(
+def agg_with_lower_medians(
     df: DataFrame,
     keys: Sequence[str],
-    value: Column | str,
-    alias: str,
+    values: dict[str, Column | str],
     extra_aggs: Sequence[Column] = (),
     accuracy: int = 1000,
     max_exact_group: int = 1_000_000,
     broadcast_max_groups: int = 1_000_000,
     bracket: tuple[float, float] | None = None,
 ) -> DataFrame:
-    """``df.groupBy(keys).agg(*extra_aggs, lower_median(value).alias(alias))``."""
-    keys = list(keys)
-    v = (F.col(value) if isinstance(value, str) else value).cast("double")
-    vals = df.select(*keys, v.alias("_v")).where(F.col("_v").isNotNull())
+    """``groupBy(keys).agg(*extra_aggs, lower_median(v) AS alias for alias, v in values)``.
 
-    first = materialize(df.groupBy(*keys).agg(*extra_aggs, F.count(v).alias("_n")))
-    hot = first.where(F.col("_n") > max_exact_group).select(*keys)
+    Pass 1 (group sizes and the extra aggregates) is written once. When no
+    group holds more than ``max_exact_group`` values of any column, every
+    median comes from one more aggregate; otherwise only the hot groups take
+    the sketch-bracket path, column by column. With ``keys=[]`` the whole
+    table is one group.
+    """
+    keys = list(keys)
+    if not keys:
+        g = df.withColumn("_all", F.lit(0))
+        out = agg_with_lower_medians(g, ["_all"], values, extra_aggs, accuracy, max_exact_group,
+                                     broadcast_max_groups, bracket)
+        return out.drop("_all")
+    names = list(values)
+    cols = {a: (F.col(v) if isinstance(v, str) else v).cast("double") for a, v in values.items()}
+    vals = df.select(*keys, *[cols[a].alias(f"_v{i}") for i, a in enumerate(names)])
+
+    first = materialize(df.groupBy(*keys).agg(
+        *extra_aggs, *[F.count(cols[a]).alias(f"_n{i}") for i, a in enumerate(names)]))
+    size = F.greatest(*[F.col(f"_n{i}") for i in range(len(names))]) if len(names) > 1 else F.col("_n0")
+    hot = first.where(size > max_exact_group).select(*keys)
     n_hot = hot.count()
+
+    def exact(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*keys).agg(*[disc_median(f"_v{i}").alias(a) for i, a in enumerate(names)])
+
     if n_hot == 0:
-        medians = vals.groupBy(*keys).agg(disc_median("_v").alias(alias))
+        medians = exact(vals)
     else:
         hot_b = _maybe_broadcast(hot, n_hot, broadcast_max_groups)
-        cold = vals.join(hot_b, keys, "left_anti").groupBy(*keys).agg(disc_median("_v").alias(alias))
         hot_rows = vals.join(hot_b, keys, "left_semi")
-        medians = cold.unionByName(
-            _bracket_median(hot_rows, keys, alias, accuracy, broadcast_max_groups, bracket)
-        )
-    out_cols = [c for c in first.columns if c != "_n"]
+        hot_med = hot_b
+        for i, a in enumerate(names):
+            col_rows = hot_rows.select(*keys, F.col(f"_v{i}").alias("_v")).where(F.col("_v").isNotNull())
+            m = _bracket_median(col_rows, keys, a, accuracy, broadcast_max_groups, bracket)
+            hot_med = hot_med.join(m, keys, "left")
+        medians = exact(vals.join(hot_b, keys, "left_anti")).unionByName(hot_med)
+    out_cols = [c for c in first.columns if not (c.startswith("_n") and c[2:].isdigit())]
     return first.select(*out_cols).join(medians, keys, "left")
 
 
+def agg_with_lower_median(
+    df: DataFrame,
+    keys: Sequence[str],
+    value: Column | str,
+    alias: str,
+    extra_aggs: Sequence[Column] = (),
+    **kw,
+) -> DataFrame:
+    """``df.groupBy(keys).agg(*extra_aggs, lower_median(value).alias(alias))``."""
+    return agg_with_lower_medians(df, keys, {alias: value}, extra_aggs, **kw)
+
+
 def lower_median(df: DataFrame, keys: Sequence[str], value: Column | str, alias: str, **kw) -> DataFrame:
     """One row per group of ``keys`` with the exact lower median of ``value``."""
-    return agg_with_lower_median(df, keys, value, alias, (), **kw)
+    return agg_with_lower_medians(df, keys, {alias: value}, (), **kw)
+
+
+def interpolated_medians(df: DataFrame, keys: Sequence[str], values: dict[str, str], extra_aggs=(), **kw):
+    """Median that averages the two middle values for even counts.
+
+    Built from two lower medians: the lower median of ``x`` and the lower
+    median of ``-x`` (which is minus the upper median), so it inherits the
+    bounded-memory routing.
+    """
+    both: dict[str, Column] = {}
+    for a, v in values.items():
+        both[f"_lo_{a}"] = F.col(v)
+        both[f"_hi_{a}"] = -F.col(v)
+    m = agg_with_lower_medians(df, keys, both, extra_aggs, **kw)
+    out = m
+    for a in values:
+        out = out.withColumn(a, (F.col(f"_lo_{a}") - F.col(f"_hi_{a}")) / F.lit(2.0))
+    return out.drop(*[c for c in out.columns if c.startswith(("_lo_", "_hi_"))])

@@ -11,9 +11,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadastra.functions.safe import safe_div, safe_pow, strict_greatest, strict_least
+from cadastra.operators.joins import attach_one_row
 from cadastra.operators.dedupe import latest_wins
 from cadastra.operators.materialize import materialize
-from cadastra.operators.median import agg_with_lower_median, disc_median
+from cadastra.operators.median import agg_with_lower_median, agg_with_lower_medians
 from cadastra.params import DEFAULT, Params
 
 GROUP = ["code_commune", "code_departement", "type_local", "year"]
@@ -245,7 +246,9 @@ def commune_opportunity_score(
     """
     latest_year = stats.agg(F.max("year").alias("year"))  # one row
     latest = stats.join(F.broadcast(latest_year), "year")  # bounded: 1 row
-    national = latest.agg(disc_median("median_price_per_sqm").alias("national_median_price_per_sqm"))
+    national = agg_with_lower_medians(
+        latest, [], {"national_median_price_per_sqm": "median_price_per_sqm"},
+        max_exact_group=p.median_max_exact_group)
     dept_pop = indicators.groupBy("code_departement").agg(F.sum("population").alias("department_population"))
 
     i = indicators.select(
@@ -270,7 +273,9 @@ def commune_opportunity_score(
         .join(t, "code_commune", "left")
         .join(d, "code_departement", "left")
         .join(dept_pop, "code_departement", "left")
-        .crossJoin(F.broadcast(national))  # bounded: exactly one row
+    )
+    j = (
+        attach_one_row(j, national, "left")  # one row by construction, broadcast
         .where(
             (F.col("transaction_count") >= p.min_annual_transaction_count)
             & (F.col("population") >= p.min_commune_population)
@@ -313,19 +318,23 @@ def commune_opportunity_score(
     )
 
 
-def department_opportunity_score(score: DataFrame) -> DataFrame:
-    """Department rollup of the commune score (lower medians, exact count).
-
-    A department's group holds one row per scored commune and type, bounded
-    by the commune list, not by sales volume, so one merge buffer is safe.
-    """
-    return score.groupBy("code_departement", "nom_departement").agg(
-        F.countDistinct("code_commune").alias("commune_count"),
-        disc_median("opportunity_score").alias("median_opportunity_score"),
-        disc_median("median_price_per_sqm").alias("median_price_per_sqm"),
-        disc_median("price_cagr").alias("median_price_cagr"),
-        F.sum("transaction_count").alias("total_transactions"),
-    )
+def department_opportunity_score(score: DataFrame, p: Params = DEFAULT) -> DataFrame:
+    """Department rollup of the commune score (lower medians, exact count)."""
+    return agg_with_lower_medians(
+        score,
+        ["code_departement", "nom_departement"],
+        {
+            "median_opportunity_score": "opportunity_score",
+            "median_price_per_sqm": "median_price_per_sqm",
+            "median_price_cagr": "price_cagr",
+        },
+        extra_aggs=[
+            F.countDistinct("code_commune").alias("commune_count"),
+            F.sum("transaction_count").alias("total_transactions"),
+        ],
+        max_exact_group=p.median_max_exact_group,
+    ).select("code_departement", "nom_departement", "commune_count", "median_opportunity_score",
+             "median_price_per_sqm", "median_price_cagr", "total_transactions")
 
 
 def order_by_score(df: DataFrame, col: str = "opportunity_score", *tiebreak: str) -> DataFrame:

@@ -30,7 +30,6 @@ class Check:
 def _failing(tables: dict[str, DataFrame], c: Check) -> DataFrame:
     df = tables[c.table]
     if c.kind == "not_null":
-        # all not-null checks of one table could share a pass; one agg each keeps rows small
         return df.agg(F.count(F.when(F.col(c.columns[0]).isNull(), True)).alias("failing_rows"))
     if c.kind in ("unique", "unique_combination"):
         keyed = df.where(F.col(c.columns[0]).isNotNull()) if c.kind == "unique" else df
@@ -43,15 +42,41 @@ def _failing(tables: dict[str, DataFrame], c: Check) -> DataFrame:
     raise ValueError(f"unknown check kind {c.kind}")
 
 
-def run_checks(tables: dict[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
-    """Q05: one row per check: check, failing_rows, passed."""
-    out = None
+def run_checks(tables: dict[str, DataFrame], checks: Sequence[Check], share: bool = True) -> DataFrame:
+    """Q05: one row per check: check, failing_rows, passed.
+
+    All not-null checks of one table share a single aggregate pass. With
+    ``share``, a table read by more than one check is written once to the
+    shared checkpoint folder, so checks never recompute its lineage.
+    """
+    uses: dict[str, int] = {}
+    for c in checks:
+        uses[c.table] = uses.get(c.table, 0) + 1
+        if c.ref_table:
+            uses[c.ref_table] = uses.get(c.ref_table, 0) + 1
+    if share:
+        from cadastra.operators.materialize import materialize
+
+        tables = {k: (materialize(v) if uses.get(k, 0) > 1 else v) for k, v in tables.items()}
+
+    rows: list[DataFrame] = []
+    by_table: dict[str, list[Check]] = {}
     for c in checks:
-        row = _failing(tables, c).select(
-            F.lit(c.name).alias("check"),
-            F.col("failing_rows").cast("bigint").alias("failing_rows"),
-        )
-        out = row if out is None else out.unionByName(row)
+        if c.kind == "not_null":
+            by_table.setdefault(c.table, []).append(c)
+        else:
+            rows.append(_failing(tables, c).select(
+                F.lit(c.name).alias("check"), F.col("failing_rows").cast("bigint").alias("failing_rows")))
+    for t, cs in by_table.items():
+        counts = tables[t].agg(*[F.count(F.when(F.col(c.columns[0]).isNull(), True)).alias(f"_c{i}")
+                                 for i, c in enumerate(cs)])
+        stacked = F.explode(F.array(*[F.struct(F.lit(c.name).alias("check"),
+                                               F.col(f"_c{i}").cast("bigint").alias("failing_rows"))
+                                      for i, c in enumerate(cs)]))
+        rows.append(counts.select(stacked.alias("_r")).select("_r.check", "_r.failing_rows"))
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
     return out.withColumn("passed", F.col("failing_rows") == 0)
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from cadastra.functions.safe import safe_div
 from cadastra.operators.joins import attach_one_row
+from cadastra.operators.median import interpolated_medians
 
 
 def filter_communes(score: DataFrame, department: str | None = None, property_type: str | None = None,
@@ -31,19 +32,15 @@ def filter_communes(score: DataFrame, department: str | None = None, property_ty
 
 
 def national_medians(score: DataFrame) -> DataFrame:
-    """Interpolated medians of income and population, one row per commune.
-
-    ``percentile`` keeps a value-count map per group; here the single group
-    holds one row per commune, bounded by the commune list.
-    """
+    """Interpolated medians of income and population, one row per commune."""
     per_commune = score.groupBy("code_commune").agg(
         F.min_by("median_disposable_income", "type_local").alias("median_disposable_income"),
         F.min_by("population", "type_local").alias("population"),
     )
-    return per_commune.agg(
-        F.median("median_disposable_income").alias("national_median_income"),
-        F.median("population").alias("national_median_population"),
-    )
+    return interpolated_medians(per_commune, [], {
+        "national_median_income": "median_disposable_income",
+        "national_median_population": "population",
+    })
 
 
 def vs_national_median(score: DataFrame) -> DataFrame:
@@ -67,10 +64,10 @@ def vs_national_median(score: DataFrame) -> DataFrame:
 
 def department_medians(filtered: DataFrame) -> DataFrame:
     """Department median score (interpolated) and distinct communes."""
-    return filtered.groupBy("code_departement").agg(
-        F.min("nom_departement").alias("nom_departement"),
-        F.median("opportunity_score").alias("median_score"),
-        F.countDistinct("code_commune").alias("commune_count"),
+    return interpolated_medians(
+        filtered, ["code_departement"], {"median_score": "opportunity_score"},
+        extra_aggs=[F.min("nom_departement").alias("nom_departement"),
+                    F.countDistinct("code_commune").alias("commune_count")],
     )
 
 

@@ -358,6 +358,27 @@ def rank_by_metric(spark, sf):
     return r.select("ticker", R("annualized_return"), R("annualized_volatility"), R("sharpe_ratio"))
 
 
+@query("price_score_pairs", with_ctes(
+    "SELECT code_commune, type_local, median_price_per_sqm, opportunity_score FROM commune_score"
+    " WHERE median_price_per_sqm IS NOT NULL"))
+def price_score_pairs(spark, sf):
+    s = serving.price_score_pairs(Inputs(spark, sf).score)
+    return s.select("code_commune", "type_local", "median_price_per_sqm", "opportunity_score")
+
+
+@query("filter_options", with_ctes(
+    "SELECT 'department' AS option_kind, code_departement AS option_value FROM commune_score"
+    " WHERE code_departement IS NOT NULL GROUP BY code_departement UNION ALL "
+    "SELECT 'property_type', type_local FROM commune_score WHERE type_local IS NOT NULL GROUP BY type_local"))
+def filter_options(spark, sf):
+    s = Inputs(spark, sf).score
+    deps = serving.distinct_options(s, "code_departement").select(
+        F.lit("department").alias("option_kind"), F.col("code_departement").alias("option_value"))
+    types = serving.distinct_options(s, "type_local").select(
+        F.lit("property_type").alias("option_kind"), F.col("type_local").alias("option_value"))
+    return deps.unionByName(types)
+
+
 def _best_sql(src: str, metric: str, key: str = "ticker") -> str:
     return f"(SELECT {key} FROM {src} WHERE {metric} IS NOT NULL ORDER BY {metric} DESC, {key} LIMIT 1)"
 
@@ -504,7 +525,9 @@ def csv_landing_sales(spark, sf):
         F.col("valeur_fonciere").alias("Valeur Foncière"),
         F.col("source_year").alias("year"), F.col("source_departement").alias("dep"),
     )
-    raw.write.partitionBy("year", "dep").option("header", True).option("compression", "gzip").csv(root)
+    # one delivered file per (year, department), as the source publishes them
+    raw.repartition("year", "dep").write.partitionBy("year", "dep").option("header", True) \
+        .option("compression", "gzip").csv(root)
     got = landing.read_sales_csv(spark, root, layout="hive")
     return got.select("id_mutation", F.col("numero_disposition"), "valeur_fonciere",
                       "source_departement", "source_year")

@@ -92,7 +92,7 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         _s(F.col("l_linenumber")).alias("numero_disposition"),
         _s(F.col("s_nationkey")).alias("source_departement"),
         F.year("l_shipdate").alias("source_year"),
-        F.col("l_shipdate").cast("timestamp").alias("_ingested_at"),
+        F.col("l_shipdate").alias("_ingested_at"),  # wall clock, no zone: order is zone-free
         F.struct("l_partkey", "l_suppkey", "l_extendedprice", "l_quantity").alias("_tiebreak"),
     )
 
@@ -131,7 +131,7 @@ def raw_alternative_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("double").alias("volume"),
         F.lit(None).cast("double").alias("dividends"),
         F.lit(None).cast("double").alias("stock_splits"),
-        F.col("ts").cast("timestamp").alias("_ingested_at"),
+        F.col("ts").alias("_ingested_at"),
         F.struct("event_id").alias("_tiebreak"),
     )
 

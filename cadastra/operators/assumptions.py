@@ -110,43 +110,50 @@ def growth_assumptions(equity: DataFrame, alts: DataFrame, national: DataFrame,
     )
 
 
+def assumptions_lists(equity_summary: DataFrame, alt_summary: DataFrame, dept_score: DataFrame) -> dict:
+    """The per-ticker and per-department lists of the document.
+
+    They grow with the watchlists and the department list, so they stay
+    distributed DataFrames (sorted by key, a range-partitioned sort) and are
+    written as their own JSON datasets next to the one-row header.
+    """
+    return {
+        "equities_pea_eligible": equity_summary.where(F.col("pea_eligible") == F.lit(True)).select(
+            "ticker", "name", "asset_type", "trading_days", "annualized_return", "annualized_volatility"
+        ).orderBy("ticker"),
+        "alternatives_watchlist": alt_summary.select(
+            "ticker", "name", "asset_class", "instrument_type", "liquidity", "trading_days",
+            "annualized_return", "annualized_volatility",
+        ).orderBy("ticker"),
+        "real_estate_by_department": dept_score.where(F.col("median_price_cagr").isNotNull()).select(
+            "code_departement", "nom_departement", "median_price_cagr"
+        ).orderBy("code_departement"),
+    }
+
+
 def assumptions_document(equity_summary: DataFrame, alt_summary: DataFrame, dept_score: DataFrame,
                          p: Params = DEFAULT) -> DataFrame:
-    """One row holding the nested document (lists sorted by key).
+    """The one-row header of the nested document (blends, national CAGR).
 
-    The per-ticker and per-department lists are bounded by the watchlists
-    and the department list, so collecting them into one row is safe.
+    Nested structs rendered with ``to_json``, nulls kept; the lists are in
+    :func:`assumptions_lists`.
     """
-    eq = equity_summary.where(F.col("pea_eligible") == F.lit(True)).agg(
-        F.array_sort(F.collect_list(F.struct(
-            "ticker", "name", "asset_type", "trading_days", "annualized_return", "annualized_volatility"
-        ))).alias("pea_eligible")
-    )
-    alt = alt_summary.agg(F.array_sort(F.collect_list(F.struct(
-        "ticker", "name", "asset_class", "instrument_type", "liquidity", "trading_days",
-        "annualized_return", "annualized_volatility",
-    ))).alias("watchlist"))
-    dep = dept_score.where(F.col("median_price_cagr").isNotNull()).agg(F.array_sort(F.collect_list(F.struct(
-        "code_departement", "nom_departement", "median_price_cagr"
-    ))).alias("by_department"))
     g = growth_assumptions(equity_blends(equity_summary, p), alternatives_blends(alt_summary, p),
                            national_median_cagr(dept_score, p), p)
-    d = attach_one_row(attach_one_row(attach_one_row(g, eq, "left"), alt, "left"), dep, "left")
-    return d.select(F.to_json(F.struct(
-        F.struct("pea_eligible", F.struct(
-            F.col("equity_annualized_return").alias("annualized_return"),
-            F.col("equity_annualized_volatility").alias("annualized_volatility"),
-            F.col("equity_method").alias("method")).alias("blended_default"),
-            F.struct(F.col("etf_annualized_return").alias("annualized_return"),
-                     F.col("etf_annualized_volatility").alias("annualized_volatility"),
-                     F.col("etf_method").alias("method")).alias("etf_blended_default")).alias("equities"),
-        F.struct("watchlist", F.struct(
-            F.col("alternatives_annualized_return").alias("annualized_return"),
-            F.col("alternatives_annualized_volatility").alias("annualized_volatility"),
-            F.col("alternatives_method").alias("method")).alias("blended_default"),
-            F.struct(F.col("liquid_annualized_return").alias("annualized_return"),
-                     F.col("liquid_annualized_volatility").alias("annualized_volatility"),
-                     F.col("liquid_method").alias("method")).alias("liquid_blended_default")).alias("alternatives"),
-        F.struct("national_median_price_cagr", "national_median_price_cagr_is_fallback",
-                 "by_department").alias("real_estate"),
-    ), {"ignoreNullFields": "false"}).alias("document"))
+
+    def blend(prefix: str):
+        return F.struct(
+            F.col(f"{prefix}_annualized_return").alias("annualized_return"),
+            F.col(f"{prefix}_annualized_volatility").alias("annualized_volatility"),
+            F.col(f"{prefix}_method").alias("method"),
+        )
+
+    doc = F.struct(
+        F.struct(blend("equity").alias("blended_default"), blend("etf").alias("etf_blended_default")).alias(
+            "equities"),
+        F.struct(blend("alternatives").alias("blended_default"),
+                 blend("liquid").alias("liquid_blended_default")).alias("alternatives"),
+        F.struct("national_median_price_cagr", "national_median_price_cagr_is_fallback").alias("real_estate"),
+        F.struct("pea_growth_rate", "real_estate_growth_rate", "alternatives_growth_rate").alias("growth"),
+    )
+    return g.select(F.to_json(doc, {"ignoreNullFields": "false"}).alias("document"))

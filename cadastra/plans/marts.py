@@ -45,5 +45,11 @@ def export(marts: dict[str, DataFrame], out_root: str, params, exported_at: date
         marts["equity_performance_summary"], marts["alternatives_performance_summary"],
         marts["department_opportunity_score"], params,
     )
-    doc.write.mode("overwrite").text(os.path.join(out_root, "json", "wealth_assumptions"))
+    doc.write.mode("overwrite").text(os.path.join(out_root, "json", "wealth_assumptions", "header"))
+    lists = assumptions.assumptions_lists(
+        marts["equity_performance_summary"], marts["alternatives_performance_summary"],
+        marts["department_opportunity_score"],
+    )
+    for name, df in lists.items():
+        export_json(df, os.path.join(out_root, "json", "wealth_assumptions", name))
     return meta

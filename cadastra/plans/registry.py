@@ -525,8 +525,10 @@ def csv_landing_sales(spark, sf):
         F.col("valeur_fonciere").alias("Valeur Foncière"),
         F.col("source_year").alias("year"), F.col("source_departement").alias("dep"),
     )
-    # one delivered file per (year, department), as the source publishes them
-    raw.repartition("year", "dep").write.partitionBy("year", "dep").option("header", True) \
+    # few files per (year, department), as the source publishes them; the rebalance hint
+    # lets AQE split a pair that holds a large share of the rows over several tasks
+    n = spark.sparkContext.defaultParallelism
+    raw.hint("rebalance", n, "year", "dep").write.partitionBy("year", "dep").option("header", True) \
         .option("compression", "gzip").csv(root)
     got = landing.read_sales_csv(spark, root, layout="hive")
     return got.select("id_mutation", F.col("numero_disposition"), "valeur_fonciere",

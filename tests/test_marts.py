@@ -16,11 +16,15 @@ def test_build_and_export(spark, tmp_path):
     assert len(rows) == meta["equity_performance_summary"]
     assert "relative_performance_vs_benchmark" in rows[0].asDict()
     assert len(rows[0]["first_date"]) == 10
-    text = spark.read.text(os.path.join(tmp_path, "json", "wealth_assumptions")).first()[0]
-    doc = json.loads(text)
+    base = os.path.join(tmp_path, "json", "wealth_assumptions")
+    doc = json.loads(spark.read.text(os.path.join(base, "header")).first()[0])
     blend = doc["equities"]["blended_default"]
     assert blend["method"].startswith("equal-weighted mean across")
-    tickers = [r["ticker"] for r in doc["equities"]["pea_eligible"]]
-    assert tickers == sorted(tickers)
     assert doc["alternatives"]["blended_default"]["method"].startswith("fallback")  # short bars: gated
     assert isinstance(doc["real_estate"]["national_median_price_cagr_is_fallback"], bool)
+    assert -0.2 <= doc["growth"]["pea_growth_rate"] <= 0.2
+    pea = spark.read.json(os.path.join(base, "equities_pea_eligible"))
+    eligible = built["equity_performance_summary"].where("pea_eligible").count()
+    assert pea.count() == eligible
+    depts = spark.read.json(os.path.join(base, "real_estate_by_department")).collect()
+    assert len(depts) == built["department_opportunity_score"].where("median_price_cagr is not null").count()

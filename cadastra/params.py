@@ -6,7 +6,7 @@ parameters so tests can move a gate (e.g. a thin-year run at 20 sales).
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 
 @dataclass(frozen=True)

@@ -571,7 +571,8 @@ def incremental_latest_wins(spark, sf):
         part = raw.where(F.col("event_type").isin(*kinds)).drop("event_type")
         part.write.mode("overwrite").parquet(f"{base}/landing/delivery={k}")
         incremental.start(
-            spark, f"{base}/landing/*", schema, ["ticker", "date"], order, f"{base}/table", f"{base}/checkpoint"
+            spark, f"{base}/landing/*", schema, ["ticker", "date"], order, f"{base}/table", f"{base}/checkpoint",
+            buckets=16,
         ).awaitTermination()
     cur = incremental.read_current(spark, f"{base}/table", schema)
     return stg_prices(cur, order).select(*BAR_COLS)

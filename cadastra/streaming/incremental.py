@@ -3,9 +3,14 @@
 New landed files are read as a stream (``trigger(availableNow=True)``); each
 micro-batch is merged with the current deduped table and the newest version
 per key wins by ``_ingested_at`` (not by arrival), so a late re-delivery of
-an old version loses. Every batch writes a new version folder named by its
-batch id, so a replayed batch overwrites only its own output, then records a
-commit row; readers take the newest committed version.
+an old version loses.
+
+The table is split into ``buckets`` by a hash of the key. A batch rewrites
+only the buckets its rows touch, into ``data/v=<batch id>/_bucket=<b>``, then
+appends one commit row per (batch, bucket); readers take, for every bucket,
+its newest committed version. Work per batch is proportional to the touched
+buckets, not the whole table; a replayed batch finds its commits and skips,
+and a batch that died before committing simply rewrites its own folder.
 """
 
 from __future__ import annotations
@@ -21,25 +26,43 @@ from cadastra.operators.dedupe import latest_wins
 _COMMITS = "_commits"
 
 
-def _version_path(root: str, version: int) -> str:
-    return f"{root}/data/v={version:012d}"
+def _bucket_of(keys: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
 
-def latest_version(spark: SparkSession, root: str) -> int | None:
+def _commits(spark: SparkSession, root: str) -> DataFrame | None:
     try:
-        commits = spark.read.parquet(f"{root}/{_COMMITS}")
-    except Exception:  # no commit yet
+        return spark.read.parquet(f"{root}/{_COMMITS}")
+    except Exception:  # nothing committed yet
         return None
-    row = commits.agg(F.max("version")).first()
+
+
+def latest_version(spark: SparkSession, root: str) -> int | None:
+    c = _commits(spark, root)
+    if c is None:
+        return None
+    row = c.agg(F.max("version")).first()
     return None if row is None or row[0] is None else int(row[0])
 
 
-def read_current(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
-    """The newest committed version of the deduped table (empty if none)."""
-    v = latest_version(spark, root)
-    if v is None:
+def _bucket_versions(spark: SparkSession, root: str) -> dict[int, int]:
+    """Newest committed version of each bucket (one entry per bucket: bounded)."""
+    c = _commits(spark, root)
+    if c is None:
+        return {}
+    return {r["bucket"]: r["v"] for r in c.groupBy("bucket").agg(F.max("version").alias("v")).collect()}
+
+
+def _read(spark: SparkSession, root: str, schema: T.StructType, versions: dict[int, int]) -> DataFrame:
+    paths = [f"{root}/data/v={v:012d}/_bucket={b}" for b, v in versions.items()]
+    if not paths:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(_version_path(root, v))
+    return spark.read.schema(schema).parquet(*paths)
+
+
+def read_current(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
+    """The newest committed rows of every bucket (empty if none)."""
+    return _read(spark, root, schema, _bucket_versions(spark, root))
 
 
 def start(
@@ -50,21 +73,35 @@ def start(
     order: Sequence[Column],
     root: str,
     checkpoint: str,
+    buckets: int = 64,
+    max_files_per_trigger: int | None = None,
 ):
     """Run the merge over whatever has landed; returns the streaming query."""
+    cols = schema.fieldNames()
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        done = latest_version(spark, root)
-        if done is not None and done >= batch_id:  # replay of a committed batch
+        versions = _bucket_versions(spark, root)
+        if versions and max(versions.values()) >= batch_id:  # replay of a committed batch
             return
-        current = read_current(spark, root, schema)
-        merged = latest_wins(current.unionByName(batch.select(*schema.fieldNames())), keys, order)
-        merged.write.mode("overwrite").parquet(_version_path(root, batch_id))
-        spark.createDataFrame([(batch_id,)], "version long").write.mode("append").parquet(f"{root}/{_COMMITS}")
-
-    stream = spark.readStream.schema(schema).parquet(landing)
+        b = batch.select(*cols).withColumn("_bucket", _bucket_of(keys, buckets))
+        touched = [r[0] for r in b.select("_bucket").distinct().collect()]  # at most `buckets` values
+        if not touched:
+            return
+        prior = {t: versions[t] for t in touched if t in versions}
+        cur = _read(spark, root, schema, prior).withColumn("_bucket", _bucket_of(keys, buckets))
+        merged = latest_wins(cur.unionByName(b), keys, order)
+        # after dedupe a key is one row, so a bucket is a hash slice of keys: one file each
+        merged.repartition("_bucket").write.mode("overwrite").partitionBy("_bucket") \
+            .parquet(f"{root}/data/v={batch_id:012d}")
+        spark.createDataFrame([(batch_id, t) for t in touched], "version long, bucket int") \
+            .write.mode("append").parquet(f"{root}/{_COMMITS}")
+
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return (
-        stream.writeStream.foreachBatch(merge)
+        reader.parquet(landing)
+        .writeStream.foreachBatch(merge)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

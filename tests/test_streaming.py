@@ -23,6 +23,12 @@ def test_incremental_equals_batch_whatever_arrival_order(spark, tmp_path):
     assert incremental.latest_version(spark, root) is not None
     got = sorted(incremental.read_current(spark, root, df.schema).collect())
     assert got == batch
+    # one file per trigger: several micro-batches, each touching only its buckets
+    root2, ckpt2 = str(tmp_path / "table2"), str(tmp_path / "ckpt2")
+    incremental.start(spark, f"{landing_dir}/*", df.schema, ["ticker", "date"], order, root2, ckpt2,
+                      buckets=4, max_files_per_trigger=1).awaitTermination()
+    assert incremental.latest_version(spark, root2) >= 2
+    assert sorted(incremental.read_current(spark, root2, df.schema).collect()) == batch
     # a rerun with nothing new changes nothing
     incremental.start(spark, f"{landing_dir}/*", df.schema, ["ticker", "date"], order, root, ckpt).awaitTermination()
     assert sorted(incremental.read_current(spark, root, df.schema).collect()) == batch

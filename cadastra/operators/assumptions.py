@@ -48,7 +48,8 @@ METHOD_TEXT = {
 def national_median_cagr(dept_score: DataFrame, p: Params = DEFAULT) -> DataFrame:
     """Lower median of department CAGR medians, fallback + flag when none."""
     m = agg_with_lower_medians(dept_score.where(F.col("median_price_cagr").isNotNull()), [],
-                               {"_m": "median_price_cagr"}, max_exact_group=p.median_max_exact_group)
+                               {"_m": "median_price_cagr"}, max_exact_group=p.median_max_exact_group,
+                               write_sizes=False)  # input: the department mart, one row per department
     # a global aggregate over no rows still yields one row; keep that shape
     m = attach_one_row(dept_score.sparkSession.range(1).select(), m, "left")
     return m.select(

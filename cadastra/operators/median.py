@@ -105,6 +105,7 @@ def agg_with_lower_medians(
     max_exact_group: int = 1_000_000,
     broadcast_max_groups: int = 1_000_000,
     bracket: tuple[float, float] | None = None,
+    write_sizes: bool = True,
 ) -> DataFrame:
     """``groupBy(keys).agg(*extra_aggs, lower_median(v) AS alias for alias, v in values)``.
 
@@ -112,20 +113,23 @@ def agg_with_lower_medians(
     group holds more than ``max_exact_group`` values of any column, every
     median comes from one more aggregate; otherwise only the hot groups take
     the sketch-bracket path, column by column. With ``keys=[]`` the whole
-    table is one group.
+    table is one group. ``write_sizes=False`` skips writing pass 1 when the
+    input is cheap to read twice (already a written table).
     """
     keys = list(keys)
     if not keys:
         g = df.withColumn("_all", F.lit(0))
         out = agg_with_lower_medians(g, ["_all"], values, extra_aggs, accuracy, max_exact_group,
-                                     broadcast_max_groups, bracket)
+                                     broadcast_max_groups, bracket, write_sizes)
         return out.drop("_all")
     names = list(values)
     cols = {a: (F.col(v) if isinstance(v, str) else v).cast("double") for a, v in values.items()}
     vals = df.select(*keys, *[cols[a].alias(f"_v{i}") for i, a in enumerate(names)])
 
-    first = materialize(df.groupBy(*keys).agg(
-        *extra_aggs, *[F.count(cols[a]).alias(f"_n{i}") for i, a in enumerate(names)]))
+    first = df.groupBy(*keys).agg(
+        *extra_aggs, *[F.count(cols[a]).alias(f"_n{i}") for i, a in enumerate(names)])
+    if write_sizes:
+        first = materialize(first)
     size = F.greatest(*[F.col(f"_n{i}") for i in range(len(names))]) if len(names) > 1 else F.col("_n0")
     hot = first.where(size > max_exact_group).select(*keys)
     n_hot = hot.count()

@@ -248,7 +248,7 @@ def commune_opportunity_score(
     latest = stats.join(F.broadcast(latest_year), "year")  # bounded: 1 row
     national = agg_with_lower_medians(
         latest, [], {"national_median_price_per_sqm": "median_price_per_sqm"},
-        max_exact_group=p.median_max_exact_group)
+        max_exact_group=p.median_max_exact_group, write_sizes=False)  # stats is a written table
     dept_pop = indicators.groupBy("code_departement").agg(F.sum("population").alias("department_population"))
 
     i = indicators.select(
@@ -318,8 +318,11 @@ def commune_opportunity_score(
     )
 
 
-def department_opportunity_score(score: DataFrame, p: Params = DEFAULT) -> DataFrame:
-    """Department rollup of the commune score (lower medians, exact count)."""
+def department_opportunity_score(score: DataFrame, p: Params = DEFAULT, score_is_table: bool = False) -> DataFrame:
+    """Department rollup of the commune score (lower medians, exact count).
+
+    ``score_is_table``: the score is a written table, cheap to read twice.
+    """
     return agg_with_lower_medians(
         score,
         ["code_departement", "nom_departement"],
@@ -333,6 +336,7 @@ def department_opportunity_score(score: DataFrame, p: Params = DEFAULT) -> DataF
             F.sum("transaction_count").alias("total_transactions"),
         ],
         max_exact_group=p.median_max_exact_group,
+        write_sizes=not score_is_table,
     ).select("code_departement", "nom_departement", "commune_count", "median_opportunity_score",
              "median_price_per_sqm", "median_price_cagr", "total_transactions")
 

@@ -40,7 +40,7 @@ def national_medians(score: DataFrame) -> DataFrame:
     return interpolated_medians(per_commune, [], {
         "national_median_income": "median_disposable_income",
         "national_median_population": "population",
-    })
+    }, write_sizes=False)  # serving reads the written mart
 
 
 def vs_national_median(score: DataFrame) -> DataFrame:
@@ -68,6 +68,7 @@ def department_medians(filtered: DataFrame) -> DataFrame:
         filtered, ["code_departement"], {"median_score": "opportunity_score"},
         extra_aggs=[F.min("nom_departement").alias("nom_departement"),
                     F.countDistinct("code_commune").alias("commune_count")],
+        write_sizes=False,  # serving reads the written mart
     )
 
 

@@ -110,16 +110,19 @@ class Inputs:
 
     @cached_property
     def score(self) -> DataFrame:
-        return self.commune_score()
+        """The commune mart, written once (marts are tables; the rollup reads it twice)."""
+        return materialize(self.commune_score())
 
+    # The four marts are tables (as in the reference): each is written once and
+    # every consumer (rollups, national figures, blends, serving, checks) reads it.
     @cached_property
     def dept_score(self) -> DataFrame:
-        return places.department_opportunity_score(self.score)
+        return materialize(places.department_opportunity_score(self.score, self.p, score_is_table=True))
 
     @cached_property
     def equity_summary(self) -> DataFrame:
-        return series.equity_performance_summary(self.equity_prices, self.equity_watchlist, self.p)
+        return materialize(series.equity_performance_summary(self.equity_prices, self.equity_watchlist, self.p))
 
     @cached_property
     def alt_summary(self) -> DataFrame:
-        return series.alternatives_performance_summary(self.alt_prices, self.alt_watchlist, self.p)
+        return materialize(series.alternatives_performance_summary(self.alt_prices, self.alt_watchlist, self.p))

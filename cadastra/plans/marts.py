@@ -28,7 +28,7 @@ def build(inputs: Inputs, out_root: str) -> dict[str, DataFrame]:
     score = spark.read.parquet(paths["commune_opportunity_score"])
     from cadastra.operators import places
 
-    places.department_opportunity_score(score).write.mode("overwrite").parquet(paths["department_opportunity_score"])
+    places.department_opportunity_score(score, inputs.p, score_is_table=True).write.mode("overwrite").parquet(paths["department_opportunity_score"])
     inputs.equity_summary.write.mode("overwrite").parquet(paths["equity_performance_summary"])
     inputs.alt_summary.write.mode("overwrite").parquet(paths["alternatives_performance_summary"])
     return {m: spark.read.parquet(p) for m, p in paths.items()}

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from cadastra.functions.safe import clamp_or_fallback
 from cadastra.operators.joins import attach_one_row
+from cadastra.operators.materialize import known_rows
 from cadastra.operators.median import agg_with_lower_medians
 from cadastra.params import DEFAULT, Params
 
@@ -49,7 +50,8 @@ def national_median_cagr(dept_score: DataFrame, p: Params = DEFAULT) -> DataFram
     """Lower median of department CAGR medians, fallback + flag when none."""
     m = agg_with_lower_medians(dept_score.where(F.col("median_price_cagr").isNotNull()), [],
                                {"_m": "median_price_cagr"}, max_exact_group=p.median_max_exact_group,
-                               write_sizes=False)  # input: the department mart, one row per department
+                               write_sizes=False,  # input: the department mart, one row per department
+                               max_rows=known_rows(dept_score))
     # a global aggregate over no rows still yields one row; keep that shape
     m = attach_one_row(dept_score.sparkSession.range(1).select(), m, "left")
     return m.select(

@@ -5,6 +5,9 @@ cluster names in ``spark.checkpoint.dir`` and reads it back: later stages
 re-read compact columnar files instead of recomputing shuffles, and a lost
 executor does not force the upstream stages to rerun. A scratch folder is
 used only when that setting is absent (local tests).
+
+The row count is observed during the write (no extra job) and remembered
+for the returned scan: ``known_rows(df)`` lets a consumer skip a size check.
 """
 
 from __future__ import annotations
@@ -13,9 +16,13 @@ import os
 import uuid
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.observation import Observation
 
 from cadastra.session import ensure_checkpoint_dir
 
+_ROWS_ATTR = "_cadastra_known_rows"
+
 
 def table_dir(df: DataFrame, name: str | None = None) -> str:
     root = ensure_checkpoint_dir(df.sparkSession)
@@ -25,5 +32,13 @@ def table_dir(df: DataFrame, name: str | None = None) -> str:
 def materialize(df: DataFrame, name: str | None = None) -> DataFrame:
     """Write ``df`` to a fresh parquet table in the shared folder; return a scan of it."""
     path = table_dir(df, name)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    obs = Observation(f"rows_{uuid.uuid4().hex}")
+    df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
+    out = df.sparkSession.read.parquet(path)
+    setattr(out, _ROWS_ATTR, int(obs.get["n"]))  # derived frames do not inherit it
+    return out
+
+
+def known_rows(df: DataFrame) -> int | None:
+    """Row count of a scan returned by :func:`materialize` (None for anything else)."""
+    return getattr(df, _ROWS_ATTR, None)

@@ -36,7 +36,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cadastra.operators.materialize import materialize
+from cadastra.operators.materialize import known_rows, materialize
 
 
 def disc_median(column: str) -> Column:
@@ -106,6 +106,7 @@ def agg_with_lower_medians(
     broadcast_max_groups: int = 1_000_000,
     bracket: tuple[float, float] | None = None,
     write_sizes: bool = True,
+    max_rows: int | None = None,
 ) -> DataFrame:
     """``groupBy(keys).agg(*extra_aggs, lower_median(v) AS alias for alias, v in values)``.
 
@@ -115,15 +116,27 @@ def agg_with_lower_medians(
     the sketch-bracket path, column by column. With ``keys=[]`` the whole
     table is one group. ``write_sizes=False`` skips writing pass 1 when the
     input is cheap to read twice (already a written table).
+
+    ``max_rows`` is an upper bound on the input's row count known to the
+    caller (by default the count recorded when the input was written with
+    ``materialize``). When it is at most ``max_exact_group``, no group can be
+    hot, and the whole result is a single aggregate.
     """
     keys = list(keys)
     if not keys:
         g = df.withColumn("_all", F.lit(0))
+        bound = max_rows if max_rows is not None else known_rows(df)
         out = agg_with_lower_medians(g, ["_all"], values, extra_aggs, accuracy, max_exact_group,
-                                     broadcast_max_groups, bracket, write_sizes)
+                                     broadcast_max_groups, bracket, write_sizes, bound)
         return out.drop("_all")
     names = list(values)
     cols = {a: (F.col(v) if isinstance(v, str) else v).cast("double") for a, v in values.items()}
+    bound = max_rows if max_rows is not None else known_rows(df)
+    if bound is not None and bound <= max_exact_group and bracket is None:
+        # no group can hold more values than the whole input: one bounded aggregate
+        named = df.select("*", *[cols[a].alias(f"_v{i}") for i, a in enumerate(names)])
+        return named.groupBy(*keys).agg(
+            *extra_aggs, *[disc_median(f"_v{i}").alias(a) for i, a in enumerate(names)])
     vals = df.select(*keys, *[cols[a].alias(f"_v{i}") for i, a in enumerate(names)])
 
     first = df.groupBy(*keys).agg(
@@ -169,7 +182,7 @@ def lower_median(df: DataFrame, keys: Sequence[str], value: Column | str, alias:
     return agg_with_lower_medians(df, keys, {alias: value}, (), **kw)
 
 
-def interpolated_medians(df: DataFrame, keys: Sequence[str], values: dict[str, str], extra_aggs=(), **kw):
+def interpolated_medians(df: DataFrame, keys: Sequence[str], values: dict[str, str], extra_aggs=(), **kw):  # noqa: E501
     """Median that averages the two middle values for even counts.
 
     Built from two lower medians: the lower median of ``x`` and the lower

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from cadastra.functions.safe import safe_div, safe_pow, strict_greatest, strict_least
 from cadastra.operators.joins import attach_one_row
 from cadastra.operators.dedupe import latest_wins
-from cadastra.operators.materialize import materialize
+from cadastra.operators.materialize import known_rows, materialize
 from cadastra.operators.median import agg_with_lower_median, agg_with_lower_medians
 from cadastra.params import DEFAULT, Params
 
@@ -248,7 +248,8 @@ def commune_opportunity_score(
     latest = stats.join(F.broadcast(latest_year), "year")  # bounded: 1 row
     national = agg_with_lower_medians(
         latest, [], {"national_median_price_per_sqm": "median_price_per_sqm"},
-        max_exact_group=p.median_max_exact_group, write_sizes=False)  # stats is a written table
+        max_exact_group=p.median_max_exact_group, write_sizes=False,  # stats is a written table
+        max_rows=known_rows(stats))  # latest-year rows are a subset of stats
     dept_pop = indicators.groupBy("code_departement").agg(F.sum("population").alias("department_population"))
 
     i = indicators.select(

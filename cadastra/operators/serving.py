@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from cadastra.functions.safe import safe_div
 from cadastra.operators.joins import attach_one_row
+from cadastra.operators.materialize import known_rows
 from cadastra.operators.median import interpolated_medians
 
 
@@ -40,7 +41,7 @@ def national_medians(score: DataFrame) -> DataFrame:
     return interpolated_medians(per_commune, [], {
         "national_median_income": "median_disposable_income",
         "national_median_population": "population",
-    }, write_sizes=False)  # serving reads the written mart
+    }, write_sizes=False, max_rows=known_rows(score))  # one row per commune: at most the mart's rows
 
 
 def vs_national_median(score: DataFrame) -> DataFrame:
@@ -62,13 +63,17 @@ def vs_national_median(score: DataFrame) -> DataFrame:
     )
 
 
-def department_medians(filtered: DataFrame) -> DataFrame:
-    """Department median score (interpolated) and distinct communes."""
+def department_medians(filtered: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """Department median score (interpolated) and distinct communes.
+
+    ``max_rows``: an upper bound on the filtered rows (e.g. the mart's count).
+    """
     return interpolated_medians(
         filtered, ["code_departement"], {"median_score": "opportunity_score"},
         extra_aggs=[F.min("nom_departement").alias("nom_departement"),
                     F.countDistinct("code_commune").alias("commune_count")],
         write_sizes=False,  # serving reads the written mart
+        max_rows=max_rows,
     )
 
 

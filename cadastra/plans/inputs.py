@@ -108,21 +108,27 @@ class Inputs:
             self.departments, self.p, rounded=rounded,
         )
 
+    # A mart is written as a table where a consumer reads it more than once
+    # (rollup medians, serving queries that attach national figures); a
+    # single-use consumer reads the lazy plan.
     @cached_property
     def score(self) -> DataFrame:
-        """The commune mart, written once (marts are tables; the rollup reads it twice)."""
-        return materialize(self.commune_score())
+        """The commune mart as a lazy plan (single-use consumers)."""
+        return self.commune_score()
+
+    @cached_property
+    def score_table(self) -> DataFrame:
+        """The commune mart written once (read several times downstream)."""
+        return materialize(self.score)
 
-    # The four marts are tables (as in the reference): each is written once and
-    # every consumer (rollups, national figures, blends, serving, checks) reads it.
     @cached_property
     def dept_score(self) -> DataFrame:
-        return materialize(places.department_opportunity_score(self.score, self.p, score_is_table=True))
+        return materialize(places.department_opportunity_score(self.score_table, self.p, score_is_table=True))
 
     @cached_property
     def equity_summary(self) -> DataFrame:
-        return materialize(series.equity_performance_summary(self.equity_prices, self.equity_watchlist, self.p))
+        return series.equity_performance_summary(self.equity_prices, self.equity_watchlist, self.p)
 
     @cached_property
     def alt_summary(self) -> DataFrame:
-        return materialize(series.alternatives_performance_summary(self.alt_prices, self.alt_watchlist, self.p))
+        return series.alternatives_performance_summary(self.alt_prices, self.alt_watchlist, self.p)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from cadastra.operators import assumptions, places, quality, serving, series
 from cadastra.operators.joins import attach_one_row
+from cadastra.operators.materialize import known_rows
 from cadastra.plans.inputs import Inputs
 from cadastra.plans.oracle import r6, with_ctes
 from cadastra.sources import landing
@@ -309,7 +310,7 @@ SELECT s.code_commune, s.type_local, {r6('n.national_median_income')} AS nationa
          AS population_vs_national_median_pct
 FROM commune_score s CROSS JOIN {_NAT_SQL} n"""))
 def vs_national_median(spark, sf):
-    v = serving.vs_national_median(Inputs(spark, sf).score)
+    v = serving.vs_national_median(Inputs(spark, sf).score_table)
     return v.select("code_commune", "type_local", *[R(c) for c in v.columns[2:]])
 
 
@@ -318,8 +319,10 @@ SELECT code_departement, min(nom_departement) AS nom_departement,
        {r6('median(opportunity_score)')} AS median_score, count(DISTINCT code_commune) AS commune_count
 FROM commune_score WHERE type_local = 'A' AND type_local IN ('A', 'R') GROUP BY code_departement"""))
 def filtered_department_medians(spark, sf):
-    f = serving.filter_communes(Inputs(spark, sf).score, property_type="A", enabled_types=["A", "R"])
-    return serving.department_medians(f).withColumn("median_score", F.round("median_score", 6))
+    score = Inputs(spark, sf).score_table
+    f = serving.filter_communes(score, property_type="A", enabled_types=["A", "R"])
+    return serving.department_medians(f, max_rows=known_rows(score)).withColumn(
+        "median_score", F.round("median_score", 6))
 
 
 @query("map_scale", with_ctes(f"""
@@ -371,7 +374,7 @@ def price_score_pairs(spark, sf):
     " WHERE code_departement IS NOT NULL GROUP BY code_departement UNION ALL "
     "SELECT 'property_type', type_local FROM commune_score WHERE type_local IS NOT NULL GROUP BY type_local"))
 def filter_options(spark, sf):
-    s = Inputs(spark, sf).score
+    s = Inputs(spark, sf).score_table
     deps = serving.distinct_options(s, "code_departement").select(
         F.lit("department").alias("option_kind"), F.col("code_departement").alias("option_value"))
     types = serving.distinct_options(s, "type_local").select(
@@ -469,7 +472,7 @@ def quality_report(spark, sf):
     tables = {
         "sales": i.sales, "indicators": i.indicators, "dept_score": i.dept_score,
         "equity_summary": i.equity_summary, "equity_prices": i.equity_prices, "alt_prices": i.alt_prices,
-        "commune_score": i.score, "equity_watchlist": i.equity_watchlist, "alt_watchlist": i.alt_watchlist,
+        "commune_score": i.score_table, "equity_watchlist": i.equity_watchlist, "alt_watchlist": i.alt_watchlist,
         "orders": orders,
     }
     return quality.run_checks(tables, _checks())
@@ -535,6 +538,30 @@ def csv_landing_sales(spark, sf):
                       "source_departement", "source_year")
 
 
+@query("delimited_reference_income", with_ctes(
+    "SELECT code_insee, nom_commune, median_disposable_income FROM income"))
+def delimited_reference_income(spark, sf):
+    """S04-S06 + M05: a ';' latin-1 reference file with accented headers, read back."""
+    import uuid
+
+    from cadastra.operators.staging import stg_income
+
+    path = _scratch(spark, f"income-{uuid.uuid4().hex}")
+    raw = td.raw_income(spark, sf).select(
+        F.col("code_geographique").alias("CODGEO"),
+        F.col("libelle_geographique").alias("Libellé géographique"),
+        F.col("disp_mediane").alias("Disp. médiane"),
+    )
+    raw.write.option("header", True).option("sep", ";").option("encoding", "ISO-8859-1").csv(path)
+    got = landing.read_delimited(spark, path)  # utf-8 first: the header decodes to U+FFFD, so latin-1
+    staged = stg_income(got.select(
+        F.col("codgeo").alias("code_geographique"),
+        F.col("libelle_geographique"),
+        F.col("disp_mediane"),
+    ))
+    return staged.select("code_insee", "nom_commune", "median_disposable_income")
+
+
 @query("export_manifest", with_ctes(
     "SELECT 'commune_opportunity_score' AS mart, (SELECT count(*) FROM commune_score) AS row_count UNION ALL "
     "SELECT 'department_opportunity_score', (SELECT count(*) FROM dept_score) UNION ALL "
@@ -545,7 +572,7 @@ def export_manifest(spark, sf):
 
     i = Inputs(spark, sf)
     return manifest({
-        "commune_opportunity_score": i.score, "department_opportunity_score": i.dept_score,
+        "commune_opportunity_score": i.score_table, "department_opportunity_score": i.dept_score,
         "equity_performance_summary": i.equity_summary, "alternatives_performance_summary": i.alt_summary,
     })
 

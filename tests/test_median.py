@@ -64,3 +64,22 @@ def test_extra_aggs_and_disc_median_match(spark):
 def test_golden_lower_median_rank(spark, n):
     vals = [float(i) for i in range(n)]
     check(spark, [("x", v) for v in reversed(vals)])
+
+
+def test_known_bound_gives_one_aggregate_and_same_answer(spark):
+    from cadastra.operators.materialize import known_rows, materialize
+
+    rnd = random.Random(3)
+    rows = [(f"g{i % 13}", float(rnd.randint(0, 50))) for i in range(500)]
+    df = materialize(make(spark, rows))
+    assert known_rows(df) == 500 and known_rows(df.where("v > 1")) is None
+    out = lower_median(df, ["g"], "v", "m")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan  # bounded input: a single aggregate
+    want = {}
+    for g, v in rows:
+        want.setdefault(g, []).append(v)
+    assert {r["g"]: r["m"] for r in out.collect()} == {g: brute(vs) for g, vs in want.items()}
+    # the same input with a bound below a group's size must take the routed path and agree
+    routed = lower_median(df, ["g"], "v", "m", max_exact_group=10)
+    assert {r["g"]: r["m"] for r in routed.collect()} == {g: brute(vs) for g, vs in want.items()}

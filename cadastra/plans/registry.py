@@ -21,7 +21,7 @@ from cadastra.plans.inputs import Inputs
 from cadastra.plans.oracle import r6, with_ctes
 from cadastra.sources import landing
 from cadastra.sources import testdata as td
-from cadastra.session import ensure_checkpoint_dir
+from cadastra.session import ensure_checkpoint_dir, parallelism
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -530,7 +530,7 @@ def csv_landing_sales(spark, sf):
     )
     # few files per (year, department), as the source publishes them; the rebalance hint
     # lets AQE split a pair that holds a large share of the rows over several tasks
-    n = spark.sparkContext.defaultParallelism
+    n = parallelism(spark)
     raw.hint("rebalance", n, "year", "dep").write.partitionBy("year", "dep").option("header", True) \
         .option("compression", "gzip").csv(root)
     got = landing.read_sales_csv(spark, root, layout="hive")

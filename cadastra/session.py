@@ -36,12 +36,27 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None)
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a scratch one only if unset."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # e.g. a Spark Connect session: no driver-side context
+        sc = None
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
-    conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    conf = spark.conf.get("spark.checkpoint.dir", None)
+    if not conf and sc is not None:
+        conf = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf:
         conf = tempfile.mkdtemp(prefix="cadastra-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+    if sc is None:
+        return conf
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
+
+
+def parallelism(spark: SparkSession) -> int:
+    """Default parallelism of the cluster (shuffle partitions when unknown)."""
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))

@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadastra.params import Params
+from cadastra.session import parallelism
 
 # Fixed values of the mapping.
 TEST_PROPERTY_TYPES = ("A", "R")
@@ -55,10 +56,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     inputs already have enough splits and are left untouched.
     """
     df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    want = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want and name in SPREAD_TABLES:
-        df = df.repartition(want)
-    return df
+    if name not in SPREAD_TABLES:
+        return df
+    want = parallelism(spark)
+    try:
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD API (Spark Connect): count the files instead
+        splits = len(df.inputFiles())
+    return df.repartition(want) if splits < want else df
 
 
 # fact tables worth spreading; dimensions stay one small scan (broadcast side)

@@ -96,6 +96,8 @@ def start(
         spark.createDataFrame([(batch_id, t) for t in touched], "version long, bucket int") \
             .write.mode("append").parquet(f"{root}/{_COMMITS}")
 
+    # the commit log always exists (empty at first), so readers never probe a missing path
+    spark.createDataFrame([], "version long, bucket int").write.mode("append").parquet(f"{root}/{_COMMITS}")
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)

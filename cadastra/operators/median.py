@@ -102,8 +102,8 @@ def agg_with_lower_medians(
     values: dict[str, Column | str],
     extra_aggs: Sequence[Column] = (),
     accuracy: int = 1000,
-    max_exact_group: int = 1_000_000,
-    broadcast_max_groups: int = 1_000_000,
+    max_exact_group: int = 100_000,
+    broadcast_max_groups: int = 200_000,
     bracket: tuple[float, float] | None = None,
     write_sizes: bool = True,
     max_rows: int | None = None,

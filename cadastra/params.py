@@ -52,9 +52,11 @@ class Params:
     blended_return_limit: float = 0.20
     real_estate_cagr_limit: float = 0.15
 
-    # exact median: groups larger than this take the sketch-bracket path;
-    # the sketch's relative rank error is 1/accuracy
-    median_max_exact_group: int = 1_000_000
+    # exact median: groups larger than this take the sketch-bracket path.
+    # percentile_disc keeps up to 128 groups' buffers per task before it
+    # falls back to sort-based aggregation, so 128 x this bounds the distinct
+    # values one task holds. The sketch's relative rank error is 1/accuracy.
+    median_max_exact_group: int = 100_000
     median_sketch_accuracy: int = 1000
 
     def with_(self, **kw) -> "Params":

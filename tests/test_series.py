@@ -90,3 +90,24 @@ def test_dividends_sum_and_yield(spark):
     assert math.isclose(r["dividend_yield_pct"], 0.1)
     assert r["name"] is None  # not on the watchlist: left join keeps it
     _ = F
+
+
+def test_aligned_returns_use_only_the_benchmark_window(spark):
+    # A starts 10 days before the benchmark: its aligned figure uses only the overlapping bars
+    spec = {"BENCH": [1.0] * 10 + [100.0 * 1.001 ** i for i in range(70)],
+            "A": [5.0] * 10 + [50.0 * 1.002 ** i for i in range(80)]}
+    rows = []
+    for t, ps in spec.items():
+        start = 0 if t == "A" else 10
+        for i, p in enumerate(ps[start:] if t == "BENCH" else ps):
+            rows.append((t, date(2024, 1, 1) + timedelta(days=(i + start) if t == "BENCH" else i), p, None))
+    df = spark.createDataFrame(rows, "ticker string, date date, adj_close double, dividends double")
+    r = series.daily_returns(df, P)
+    win = series.benchmark_window(r, P).first()
+    assert str(win["_b_first"]) == "2024-01-11"
+    out = {x["ticker"]: x["aligned_annualized_return"] for x in series.aligned_returns(r, P).collect()}
+    # inside the window A's bars are a clean 0.2%/day series: the 5.0 prefix is excluded
+    n_in = 70
+    first = 50.0 * 1.002 ** 2   # lower median of the first five in-window bars (rows 10..14 of A)
+    last = 50.0 * 1.002 ** 67   # lower median of the last five in-window bars (days 75-79)
+    assert math.isclose(out["A"], (last / first) ** (252.0 / n_in) - 1, rel_tol=1e-9)

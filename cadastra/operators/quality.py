@@ -50,14 +50,21 @@ def run_checks(tables: dict[str, DataFrame], checks: Sequence[Check], share: boo
     shared checkpoint folder, so checks never recompute its lineage.
     """
     uses: dict[str, int] = {}
+    cols: dict[str, set[str]] = {}
     for c in checks:
         uses[c.table] = uses.get(c.table, 0) + 1
+        cols.setdefault(c.table, set()).update(c.columns)
         if c.ref_table:
             uses[c.ref_table] = uses.get(c.ref_table, 0) + 1
+            cols.setdefault(c.ref_table, set()).add(c.ref_column)
     if share:
         from cadastra.operators.materialize import materialize
 
-        tables = {k: (materialize(v) if uses.get(k, 0) > 1 else v) for k, v in tables.items()}
+        # only the columns the checks read are written (a narrow projection of the table)
+        tables = {
+            k: (materialize(v.select(*sorted(cols[k]))) if uses.get(k, 0) > 1 else v)
+            for k, v in tables.items()
+        }
 
     rows: list[DataFrame] = []
     by_table: dict[str, list[Check]] = {}

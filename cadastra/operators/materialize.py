@@ -22,6 +22,7 @@ from pyspark.sql.observation import Observation
 from cadastra.session import ensure_checkpoint_dir
 
 _ROWS_ATTR = "_cadastra_known_rows"
+_PATH_ATTR = "_cadastra_path"
 
 
 def table_dir(df: DataFrame, name: str | None = None) -> str:
@@ -36,9 +37,20 @@ def materialize(df: DataFrame, name: str | None = None) -> DataFrame:
     df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
     out = df.sparkSession.read.parquet(path)
     setattr(out, _ROWS_ATTR, int(obs.get["n"]))  # derived frames do not inherit it
+    setattr(out, _PATH_ATTR, path)
     return out
 
 
 def known_rows(df: DataFrame) -> int | None:
     """Row count of a scan returned by :func:`materialize` (None for anything else)."""
     return getattr(df, _ROWS_ATTR, None)
+
+
+def drop_table(df: DataFrame) -> None:
+    """Delete the files of a table returned by :func:`materialize`, once nothing reads it any more."""
+    path = getattr(df, _PATH_ATTR, None)
+    if path is None:
+        return
+    jvm = df.sparkSession._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(target, True)

@@ -5,18 +5,117 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cadastra.llm import ngram_join
+from cadastra.llm import (
+    mixing, ngram_join, packing, page_diff, pii, resampling, sketch, tokens, url_filter, vafile, wavelet,
+)
+
+TOKENIZER = "byte_bpe_50k.json"
+
+# fixed values: the rules by host and path
+URL_RULES = [
+    ("net", "/", "block"),
+    ("example.net", "/en/", "allow"),
+    ("example.com", "/de/", "block"),
+    ("org", "/fr/", "allow"),
+]
+#: stands in for an outside feed of listed URLs: pages on hosts with such a word
+LISTED_HOSTS = r"casino|pills|spam|poker|loans"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def op1_page_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_diff.extract(_table(spark, sf_dir, "pages"))
+
+
+def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents")).drop("source")
+
+
+def op3_pii_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(_table(spark, sf_dir, "documents"))
+
+
+def op4_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokens.public_path(TOKENIZER)
+    return wavelet.read_shards(wavelet.write_shards(_table(spark, sf_dir, "documents"), path, end_id=2))
+
+
+def op5_vector_approximation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vafile.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+def op6_bottom_k_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketch.against_next(_table(spark, sf_dir, "documents"))
+
+
+def op7_binary_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokens.public_path(TOKENIZER)
+    return packing.pack(_table(spark, sf_dir, "documents"), path, end_id=1, with_ids=False)
+
+
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op9_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = resampling.select(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return s.scored.withColumn("selected", s.selected())
+
+
+def op10_url_bloom_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    host, _ = url_filter.split_url(F.col("url"))
+    return url_filter.judge(pages, pages.where(host.rlike(LISTED_HOSTS)).select("url"), URL_RULES)
+
+
+OP2_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source,
+    CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
+    -ln((CAST('0x' || substr(md5('23:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 13) AS BIGINT)
+         + CAST(0.5 AS DOUBLE)) / CAST(4503599627370496 AS DOUBLE))
+    / (CAST(0.05 AS DOUBLE) + CAST(0.95 AS DOUBLE) * coalesce(
+         length(regexp_replace(text, '[^\p{L} ]', '', 'g')) / nullif(length(text), 0), CAST(0 AS DOUBLE))) AS key
+  FROM documents),
+s AS (SELECT source, sum(size) AS ss FROM d GROUP BY source),
+w AS (SELECT *, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS w FROM s),
+r AS (SELECT *, 3 * ss AS cap, CAST(3 * ss AS DOUBLE) / w AS r FROM w),
+h AS (SELECT *, row_number() OVER (ORDER BY r, source NULLS LAST) AS i,
+        CAST((SELECT sum(ss) FROM s) - coalesce(sum(cap) OVER b, 0) AS DOUBLE)
+        / ((SELECT sum(w) FROM w) - coalesce(sum(w) OVER b, 0)) AS share
+      FROM r WINDOW b AS (ORDER BY r, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+t AS (SELECT source, ss, least(CAST(cap AS DOUBLE),
+        coalesce((SELECT arg_min(share, i) FROM h WHERE share <= r), 0) * w) AS target FROM h),
+e AS (SELECT *, CASE WHEN ss > 0 THEN CAST(floor(target / ss) AS BIGINT) ELSE 0 END AS epochs FROM t),
+f AS (SELECT *, target - epochs * ss AS rest FROM e),
+c AS (SELECT d.*, f.ss, f.target, f.epochs, f.rest,
+        sum(size) OVER (PARTITION BY d.source ORDER BY key) AS upto
+      FROM d JOIN f ON d.source IS NOT DISTINCT FROM f.source)
+SELECT doc_id, size, CAST(ss AS BIGINT) AS source_size, target,
+  CAST(size * (epochs + CASE WHEN rest > 0 AND (upto <= rest
+    OR (upto - size < rest AND upto - rest <= rest - (upto - size))) THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM c
+"""
+
+OP5_SQL = r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+WHERE rank <= 5
+"""
+
 OP8_SQL = r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(
@@ -40,5 +139,44 @@ SELECT n.doc_id, n.n AS n_shingles, least(n.doc_id, coalesce(m.low, n.doc_id)) A
 FROM n LEFT JOIN (SELECT a, min(b) AS low FROM r GROUP BY a) m ON m.a = n.doc_id
 """
 
-QUERIES = {"op8_ngram_jaccard_join": op8_ngram_jaccard_join}
-SQL = {"op8_ngram_jaccard_join": OP8_SQL}
+OP10_SQL = r"""
+WITH p AS (
+  SELECT page_id, url, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+  FROM pages),
+h AS (
+  SELECT page_id, coalesce(translate(regexp_extract(rest, '^[^/?#]*'),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+         coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path,
+         regexp_extract(url, '^[^?#]*\?([^#]*)', 1) AS query, url
+  FROM p),
+k AS (
+  SELECT *, list_sort(list_filter(string_split(query, '&'), lambda q: q <> '' AND
+    NOT regexp_matches(q, '^(utm_[^=]*|ref|fbclid|gclid|mc_cid|mc_eid)(=|$)'))) AS kept FROM h),
+c AS (
+  SELECT page_id, host, path,
+    coalesce(regexp_replace(regexp_replace(host, '^[^@]*@', ''), '^www\.|:(80|443)$', '', 'g')
+      || regexp_replace(path, '/+$', '')
+      || CASE WHEN len(kept) > 0 THEN '?' || array_to_string(kept, '&') ELSE '' END, '') AS name
+  FROM k),
+l AS (SELECT DISTINCT name FROM c WHERE regexp_matches(host, 'casino|pills|spam|poker|loans') AND name <> ''),
+rules(rhost, rpath, rverdict) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'),
+  ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+f AS (
+  SELECT page_id, host, path, name, (SELECT arg_max({'r': rhost || rpath, 'v': rverdict}, length(rhost || rpath)) FROM rules
+    WHERE (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)) AS hit
+  FROM c)
+SELECT page_id, host, path, hit.r AS rule,
+  coalesce(hit.v, CASE WHEN name IN (SELECT name FROM l) THEN 'block' ELSE 'allow' END) AS verdict,
+  name IN (SELECT name FROM l) AS listed
+FROM f
+"""
+
+QUERIES = {f.__name__: f for f in (
+    op1_page_differencing, op2_source_mixing, op3_pii_boosting, op4_wavelet_shards, op5_vector_approximation,
+    op6_bottom_k_sketch, op7_binary_packing, op8_ngram_jaccard_join, op9_importance_resampling, op10_url_bloom_join)}
+SQL = {
+    "op2_source_mixing": OP2_SQL,
+    "op5_vector_approximation": OP5_SQL,
+    "op8_ngram_jaccard_join": OP8_SQL,
+    "op10_url_bloom_join": OP10_SQL,
+}

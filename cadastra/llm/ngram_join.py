@@ -113,9 +113,9 @@ def column_counts(scanned: DataFrame) -> np.ndarray:
 # ---- steps 2 and 3: head columns, candidates ---------------------------------------------
 
 
-def _heads(batches, words: int, percent: int, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _heads(batches, words: int, percent: int, counts: np.ndarray, salt_rows: int) -> Iterator[pa.RecordBatch]:
     shift = np.uint64(64 - COUNT_BITS)
-    usual = 4 * max(1, int(counts.mean()))
+    usual = 4 * int(counts.mean()) + salt_rows
     seen: set[int] = set()
     for batch in batches:
         cols, sigs, sizes, salts = [], [], [], []
@@ -134,7 +134,7 @@ def _heads(batches, words: int, percent: int, counts: np.ndarray) -> Iterator[pa
             if k < n:
                 top = np.lexsort((s, c))[:k]
                 s, c = s[top], c[top]
-            parts = 1 + np.maximum(0, c - usual) // SALT_ROWS
+            parts = 1 + np.maximum(0, c - usual) // salt_rows
             cols.append(s.view(np.int64))
             sigs.append(np.full(len(s), sig, np.int64))
             sizes.append(np.full(len(s), n, np.int32))
@@ -145,7 +145,7 @@ def _heads(batches, words: int, percent: int, counts: np.ndarray) -> Iterator[pa
                 names=["col", "salt", "sig", "n"])
 
 
-def _candidates(batches, percent: int) -> Iterator[pa.RecordBatch]:
+def _candidates(batches, percent: int, pair_rows: int) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (col, salt, sig) in; kind 0: a pair, 1: a tie, 2: a salted column's part."""
 
     def runs(col, salt, sig, n):
@@ -160,12 +160,12 @@ def _candidates(batches, percent: int) -> Iterator[pa.RecordBatch]:
             out.append((np.zeros(len(x), np.int8), np.minimum(x, y), np.maximum(x, y)))
 
         plain = salt[new] == 0
-        for k in range(2, PAIR_ROWS + 1):
+        for k in range(2, pair_rows + 1):
             at = new[(size == k) & plain]
             if len(at):
                 i, j = np.triu_indices(k, 1)
                 pairs((at[:, None] + i).ravel(), (at[:, None] + j).ravel())
-        for at, k in zip(new[(size > PAIR_ROWS) & plain], size[(size > PAIR_ROWS) & plain]):
+        for at, k in zip(new[(size > pair_rows) & plain], size[(size > pair_rows) & plain]):
             members = sig[at : at + k]
             out.append((np.ones(k - 1, np.int8), np.full(k - 1, members[0]), members[1:]))
         for at, k in zip(new[~plain], size[~plain]):
@@ -347,10 +347,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.count(F.lit(1)).alias("copies")))
 
     heads = src.select("text").mapInArrow(
-        lambda it: _heads(it, words, percent, counts), "col long, salt int, sig long, n int")
+        lambda it: _heads(it, words, percent, counts, SALT_ROWS), "col long, salt int, sig long, n int")
     found = materialize(
         heads.repartition("col", "salt").sortWithinPartitions("col", "salt", "sig")
-        .mapInArrow(lambda it: _candidates(it, percent), "kind byte, a long, b long").distinct())
+        .mapInArrow(lambda it: _candidates(it, percent, PAIR_ROWS), "kind byte, a long, b long").distinct())
 
     parts = found.where("kind = 2").select(F.col("a").alias("col"), F.col("b").alias("sig"))
     firsts = materialize(parts.groupBy("col").agg(F.min("sig").alias("first")))

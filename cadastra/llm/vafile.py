@@ -53,7 +53,7 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.asarray(lists.flatten()).reshape(n, -1) if n else np.zeros((0, 0), np.int64)
 
 
-def _blocks(batches, marks: np.ndarray, k: int, n_query_blocks: int) -> Iterator[pa.RecordBatch]:
+def _blocks(batches, marks: np.ndarray, k: int, block_rows: int) -> Iterator[pa.RecordBatch]:
     """(vec_id, v) in; one row per block of approximations out."""
     names = ["ids", "cells", "rows"]
     buffer_ids, buffer_v = [], []
@@ -78,20 +78,20 @@ def _blocks(batches, marks: np.ndarray, k: int, n_query_blocks: int) -> Iterator
         buffer_ids.append(batch.column(0).to_numpy(zero_copy_only=False))
         buffer_v.append(_matrix(batch.column(1)))
         held += len(buffer_ids[-1])
-        while held >= BLOCK_ROWS:
+        while held >= block_rows:
             ids, v = np.concatenate(buffer_ids), np.concatenate(buffer_v)
-            yield made(ids[:BLOCK_ROWS], v[:BLOCK_ROWS])
-            buffer_ids, buffer_v = [ids[BLOCK_ROWS:]], [v[BLOCK_ROWS:]]
+            yield made(ids[:block_rows], v[:block_rows])
+            buffer_ids, buffer_v = [ids[block_rows:]], [v[block_rows:]]
             held = len(buffer_ids[0])
     if held:
         yield made(np.concatenate(buffer_ids), np.concatenate(buffer_v))
 
 
-def _query_blocks(batches) -> Iterator[pa.RecordBatch]:
+def _query_blocks(batches, rows: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids, v = batch.column(0).to_numpy(zero_copy_only=False), _matrix(batch.column(1))
-        for at in range(0, len(ids), QUERY_ROWS):
-            a, b = ids[at : at + QUERY_ROWS], v[at : at + QUERY_ROWS]
+        for at in range(0, len(ids), rows):
+            a, b = ids[at : at + rows], v[at : at + rows]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([a.astype("<i8").tobytes()]), pa.array([b.astype("<i8").tobytes()])],
                 names=["query_ids", "queries"])
@@ -150,13 +150,13 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, bits: int = BITS, id
         a + (np.arange(cells + 1) * max(cells, b + 1 - a)) // cells for a, b in zip(lo, hi)]).astype(np.int64)
 
     queries = src.where("is_query").select("vec_id", "v")
-    qblocks = materialize(queries.mapInArrow(_query_blocks, "query_ids binary, queries binary").withColumn(
+    qblocks = materialize(queries.mapInArrow(lambda it: _query_blocks(it, QUERY_ROWS), "query_ids binary, queries binary").withColumn(
         "qb", F.monotonically_increasing_id()))
     numbered = [r[0] for r in qblocks.select("qb").collect()]  # one number for each block of queries
     if not numbered:
         return vectors.sparkSession.createDataFrame([], out)
     approx = materialize(src.select("vec_id", "v").mapInArrow(
-        lambda it: _blocks(it, marks, k, len(numbered)), "ids binary, cells binary, rows int"))
+        lambda it: _blocks(it, marks, k, BLOCK_ROWS), "ids binary, cells binary, rows int"))
     met = approx.withColumn("qb", F.explode(F.array(*[F.lit(x) for x in numbered]))).join(qblocks, "qb")
     cand = materialize(met.select("ids", "cells", "query_ids", "queries").mapInArrow(
         lambda it: _bounds(it, marks, k), "query_id long, vec_id long, lower long, upper long"))

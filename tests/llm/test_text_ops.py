@@ -73,7 +73,7 @@ def test_pii_base_spans_match_brute_force(spark):
 
 
 def test_pii_model_adds_spans_and_keeps_base_ones(spark):
-    docs = _read(spark, "documents")
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     scorer = pii.fit(docs)
     assert scorer.margin and scorer.thresholds
     rows = pii.report(docs, scorer).collect()

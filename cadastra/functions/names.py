@@ -1,8 +1,4 @@
-"""Header normalisation for landed files (metadata only, runs on the driver).
-
-Lower-case snake_case, accents folded, anything else collapsed to ``_``, a
-leading digit prefixed with ``c_``, an empty result named ``col``.
-"""
+"""Header normalisation for landed files (metadata only, runs on the driver)."""
 
 from __future__ import annotations
 
@@ -16,16 +12,17 @@ ACCENTED = "éèêëàâïîôùûç"
 PLAIN = "eeeeaaiiouuc"
 _FOLD = str.maketrans(ACCENTED, PLAIN)
 
-_NON_WORD = re.compile(r"[^0-9a-z_]+")
-_UNDERSCORES = re.compile(r"_+")
-
 
 def normalize_column_name(name: str) -> str:
-    out = str(name).strip().lower().translate(_FOLD)
-    out = _UNDERSCORES.sub("_", _NON_WORD.sub("_", out)).strip("_")
-    if out[:1].isdigit():
-        out = "c_" + out
-    return out or "col"
+    """The runs of letters and digits of a folded header, joined by ``_``.
+
+    A name that starts with a digit gets the prefix ``c``; one without any
+    letter or digit is ``col``.
+    """
+    runs = re.findall("[a-z0-9]+", str(name).lower().translate(_FOLD))
+    if not runs:
+        return "col"
+    return "_".join(["c", *runs] if runs[0][0] in "0123456789" else runs)
 
 
 def normalize_columns(df: DataFrame) -> DataFrame:

@@ -17,8 +17,10 @@ a hot group. So the work is routed by group size:
    b. rows are tagged against their group's bracket and counted per
       (group, value inside the bracket): rows outside collapse into one
       counter per group, ties into one row per value;
-   c. a running count over the few distinct values inside the bracket picks
-      the value where the rank crosses ``k``.
+   c. while a bracket holds more than ``max_exact_group`` values, it is
+      sketched again inside itself;
+   d. a running count over the distinct values inside the bracket picks the
+      value where the rank crosses ``k``.
 
    The bracket is checked exactly (``below < k <= below + inside``); a group
    failing it, which the sketch's error bound rules out, is recomputed with
@@ -39,6 +41,10 @@ from pyspark.sql import functions as F
 from cadastra.operators.materialize import known_rows, materialize
 
 
+_GROUP = "_group"
+_STEPS = 100  # percentiles a repeated sketch is asked for
+
+
 def disc_median(column: str) -> Column:
     """``percentile_disc(0.5)`` of the named column, as an aggregate expression.
 
@@ -55,7 +61,7 @@ def _maybe_broadcast(df: DataFrame, rows: int, limit: int) -> DataFrame:
 
 def _bracket_median(
     vals: DataFrame, keys: list[str], alias: str, accuracy: int, broadcast_max_groups: int,
-    bracket: tuple[float, float] | None,
+    bracket: tuple[float, float] | None, max_inside: int,
 ) -> DataFrame:
     """Exact lower median of ``_v`` per group for large groups (see module doc)."""
     eps = 3.0 / accuracy
@@ -71,6 +77,32 @@ def _bracket_median(
         F.col("_br")[1].alias("_hi"),
     ))
     n_groups = sk.count()
+    while bracket is None:
+        # bracket again inside the bracket, until what is ordered at the end is bounded
+        t = vals.join(_maybe_broadcast(sk, n_groups, broadcast_max_groups), keys).where("_v <= _hi")
+        within = F.col("_v") >= F.col("_lo")
+        sizes = materialize(t.groupBy(*keys, "_k", "_lo", "_hi").agg(
+            F.count(F.when(~within, True)).alias("_nb"), F.count(F.when(within, True)).alias("_ni")))
+        wide = (F.col("_ni") > max_inside) & (F.col("_lo") < F.col("_hi"))
+        if not sizes.where(wide).limit(1).count():
+            break
+        # the wanted rank inside the bracket, as percentiles with the sketch's error on both sides
+        at = (F.col("_k") - F.col("_nb")) / F.col("_ni")
+        steps = F.array(*[F.lit(i / _STEPS) for i in range(_STEPS + 1)])
+        cut = vals.join(_maybe_broadcast(sizes, n_groups, broadcast_max_groups), keys).where(
+            wide & F.col("_v").between(F.col("_lo"), F.col("_hi")))
+        cut = cut.groupBy(*keys).agg(F.percentile_approx("_v", steps, accuracy).alias("_q"))
+        low = F.greatest(F.floor((at - eps) * _STEPS), F.lit(0)).cast("int")
+        high = F.least(F.ceil((at + eps) * _STEPS), F.lit(_STEPS)).cast("int")
+        new = sizes.join(cut, keys, "left")
+        before = sk
+        sk = materialize(new.select(
+            *keys, "_k",
+            F.when(wide, F.col("_q")[low]).otherwise(F.col("_lo")).alias("_lo"),
+            F.when(wide, F.col("_q")[high]).otherwise(F.col("_hi")).alias("_hi")))
+        same = sk.join(before.select(*keys, F.col("_lo").alias("_l"), F.col("_hi").alias("_h")), keys)
+        if not same.where("_lo <> _l OR _hi <> _h").limit(1).count():
+            break  # the sketch cannot cut further: few distinct values are left
     tagged = vals.join(_maybe_broadcast(sk, n_groups, broadcast_max_groups), keys)
     inside = (F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi"))
     tally = tagged.groupBy(*keys, "_k", F.when(inside, F.col("_v")).alias("_cv")).agg(
@@ -129,6 +161,14 @@ def agg_with_lower_medians(
         out = agg_with_lower_medians(g, ["_all"], values, extra_aggs, accuracy, max_exact_group,
                                      broadcast_max_groups, bracket, write_sizes, bound)
         return out.drop("_all")
+    if keys != [_GROUP]:
+        # one struct key for every route: structs with null fields meet in joins as they do in groupBy
+        g = df.withColumn(_GROUP, F.struct(*keys))
+        bound = max_rows if max_rows is not None else known_rows(df)
+        out = agg_with_lower_medians(g, [_GROUP], values, extra_aggs, accuracy, max_exact_group,
+                                     broadcast_max_groups, bracket, write_sizes, bound)
+        return out.select(*[F.col(_GROUP).getField(k).alias(k) for k in keys],
+                          *[c for c in out.columns if c != _GROUP])
     names = list(values)
     cols = {a: (F.col(v) if isinstance(v, str) else v).cast("double") for a, v in values.items()}
     bound = max_rows if max_rows is not None else known_rows(df)
@@ -158,7 +198,7 @@ def agg_with_lower_medians(
         hot_med = hot_b
         for i, a in enumerate(names):
             col_rows = hot_rows.select(*keys, F.col(f"_v{i}").alias("_v")).where(F.col("_v").isNotNull())
-            m = _bracket_median(col_rows, keys, a, accuracy, broadcast_max_groups, bracket)
+            m = _bracket_median(col_rows, keys, a, accuracy, broadcast_max_groups, bracket, max_exact_group)
             hot_med = hot_med.join(m, keys, "left")
         medians = exact(vals.join(hot_b, keys, "left_anti")).unionByName(hot_med)
     out_cols = [c for c in first.columns if not (c.startswith("_n") and c[2:].isdigit())]

@@ -63,9 +63,11 @@ def period_stats(stg: DataFrame, p: Params = DEFAULT) -> DataFrame:
     cur = commune_year_stats(materialize(qualifying_sales(stg, p)), p)
     # Prior-year rows via a one-year RANGE frame: the same fan-out as a left
     # self-join on (commune, type, year - 1), without computing stats twice.
-    # The frame holds one row per department of that commune: bounded.
+    # The frame holds one row per department of that commune: bounded. A null year,
+    # commune or type has no prior year, as in an equi-join.
     w = Window.partitionBy("code_commune", "type_local").orderBy("year").rangeBetween(-1, -1)
-    prior = F.collect_list(F.struct("median_price_per_sqm", "transaction_count")).over(w)
+    known = F.col("year").isNotNull() & F.col("code_commune").isNotNull() & F.col("type_local").isNotNull()
+    prior = F.when(known, F.collect_list(F.struct("median_price_per_sqm", "transaction_count")).over(w))
     j = cur.withColumn("_prior", prior).withColumn("_p", F.explode_outer("_prior")).select(
         *cur.columns,
         F.col("_p.median_price_per_sqm").alias("prior_year_median_price_per_sqm"),

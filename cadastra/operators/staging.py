@@ -23,14 +23,31 @@ SALE_KEY = ("id_mutation", "id_parcelle", "numero_disposition")
 BAR_KEY = ("ticker", "date")
 
 
-def _cast(name: str, to: str, alias: str | None = None) -> Column:
-    return F.col(name).try_cast(to).alias(alias or name)
+# what the warehouse accepts as text of each type; Spark's own casts take more ('2024' as a date, '1.5d' as a number)
+_TEXT_OF = {
+    "date": r"^\s*\d{4}-\d{1,2}-\d{1,2}\s*$",
+    "double": r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:nan|inf|infinity))\s*$",
+    "bigint": r"^\s*[+-]?\d+\s*$",
+}
+
+
+def strict_cast(raw: DataFrame, name: str, to: str) -> Column:
+    """Cast of a column; null where a text is not a plain ``to``. Typed columns are cast as they are."""
+    c = F.col(name)
+    if raw.schema[name].dataType.typeName() == "string":
+        c = F.when(c.rlike(_TEXT_OF[to]), c)
+    return c.try_cast(to)
+
+
+def _caster(raw: DataFrame):
+    return lambda name, to, alias=None: strict_cast(raw, name, to).alias(alias or name)
 
 
 def stg_transactions(raw: DataFrame, order: Sequence[Column] | None = None) -> DataFrame:
     """Newest version of each disposition line, priced, with a surface > 0."""
     d = latest_wins(raw, SALE_KEY, order or default_version_order())
-    d = d.where(F.col("valeur_fonciere").isNotNull() & (F.col("surface_reelle_bati").try_cast("double") > 0))
+    _cast = _caster(d)
+    d = d.where(F.col("valeur_fonciere").isNotNull() & (strict_cast(d, "surface_reelle_bati", "double") > 0))
     return d.select(
         "id_mutation",
         _cast("date_mutation", "date"),
@@ -55,7 +72,8 @@ def stg_prices(raw: DataFrame, order: Sequence[Column] | None = None) -> DataFra
     """Newest bar per (ticker, date); a bar whose newest version has
     no price disappears (dedupe first, null filter second)."""
     d = latest_wins(raw, BAR_KEY, order or default_version_order())
-    is_nan = F.coalesce(F.isnan(F.col("adj_close").try_cast("double")), F.lit(False))
+    _cast = _caster(d)
+    is_nan = F.coalesce(F.isnan(strict_cast(d, "adj_close", "double")), F.lit(False))
     d = d.where(F.col("adj_close").isNotNull() & ~is_nan)  # NaN is a missing price
     return d.select(
         "ticker",
@@ -73,6 +91,7 @@ def stg_prices(raw: DataFrame, order: Sequence[Column] | None = None) -> DataFra
 
 def stg_population(raw: DataFrame) -> DataFrame:
     """Population, area and density per commune."""
+    _cast = _caster(raw)
     return raw.where(F.col("code_insee").isNotNull()).select(
         "code_insee",
         _cast("population", "bigint"),
@@ -85,6 +104,7 @@ def stg_population(raw: DataFrame) -> DataFrame:
 
 def stg_income(raw: DataFrame) -> DataFrame:
     """Median disposable income per commune."""
+    _cast = _caster(raw)
     return raw.where(F.col("code_geographique").isNotNull()).select(
         F.col("code_geographique").alias("code_insee"),
         F.col("libelle_geographique").alias("nom_commune"),
@@ -94,6 +114,7 @@ def stg_income(raw: DataFrame) -> DataFrame:
 
 def stg_population_history(raw: DataFrame) -> DataFrame:
     """Population per commune and census year."""
+    _cast = _caster(raw)
     return raw.where(F.col("codgeo").isNotNull()).select(
         F.col("codgeo").alias("code_insee"),
         F.col("libgeo").alias("nom_commune"),
@@ -105,6 +126,7 @@ def stg_population_history(raw: DataFrame) -> DataFrame:
 
 def stg_property_tax(raw: DataFrame) -> DataFrame:
     """Built-land tax rate (percentage points) per commune and year."""
+    _cast = _caster(raw)
     return raw.where(F.col("insee_com").isNotNull()).select(
         F.col("insee_com").alias("code_commune"),
         F.col("libcom").alias("nom_commune"),

@@ -12,7 +12,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
 
-from cadastra.operators import assumptions
+from cadastra.operators import assumptions, places
 from cadastra.plans.inputs import Inputs
 from cadastra.sources.export import export_json, manifest
 
@@ -24,13 +24,16 @@ def build(inputs: Inputs, out_root: str) -> dict[str, DataFrame]:
     """Write the four marts under ``out_root/marts`` and return scans of them."""
     spark = inputs.spark
     paths = {m: os.path.join(out_root, "marts", m) for m in MARTS}
-    inputs.score.write.mode("overwrite").parquet(paths["commune_opportunity_score"])
+    # each mart is written in its published order: descending, missing last, then by key
+    places.order_by_score(inputs.score, "opportunity_score", "code_commune", "type_local").write.mode("overwrite").parquet(paths["commune_opportunity_score"])
     score = spark.read.parquet(paths["commune_opportunity_score"])
-    from cadastra.operators import places
-
-    places.department_opportunity_score(score, inputs.p, score_is_table=True).write.mode("overwrite").parquet(paths["department_opportunity_score"])
-    inputs.equity_summary.write.mode("overwrite").parquet(paths["equity_performance_summary"])
-    inputs.alt_summary.write.mode("overwrite").parquet(paths["alternatives_performance_summary"])
+    rollup = places.department_opportunity_score(score, inputs.p, score_is_table=True)
+    places.order_by_score(rollup, "median_opportunity_score", "code_departement").write.mode("overwrite").parquet(
+        paths["department_opportunity_score"])
+    places.order_by_score(inputs.equity_summary, "annualized_return", "ticker").write.mode("overwrite").parquet(
+        paths["equity_performance_summary"])
+    places.order_by_score(inputs.alt_summary, "annualized_return", "ticker").write.mode("overwrite").parquet(
+        paths["alternatives_performance_summary"])
     return {m: spark.read.parquet(p) for m, p in paths.items()}
 
 

@@ -8,6 +8,7 @@ last bits there); exact values (medians, ratios, counts) are left as is.
 
 from __future__ import annotations
 
+import dataclasses
 import os
 from collections.abc import Callable
 
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 from cadastra.operators import assumptions, places, quality, serving, series
 from cadastra.operators.joins import attach_one_row
-from cadastra.operators.materialize import known_rows
+from cadastra.operators.materialize import known_rows, materialize
 from cadastra.plans.inputs import Inputs
 from cadastra.plans.oracle import r6, with_ctes
 from cadastra.sources import landing
@@ -401,7 +402,8 @@ CROSS JOIN
  (SELECT count(*) AS alt_ticker_count, count(CASE WHEN liquidity = 'liquid' THEN 1 END) AS alt_liquid_count,
          {r6('avg(annualized_return)')} AS alt_avg_return, {r6('avg(annualized_volatility)')} AS alt_avg_volatility,
          {r6('avg(period_return_pct)')} AS alt_avg_period_return,
-         {_best_sql('alt_summary', 'annualized_return')} AS alt_best_return_ticker
+         {_best_sql('alt_summary', 'annualized_return')} AS alt_best_return_ticker,
+         {_best_sql('alt_summary', 'sharpe_ratio')} AS alt_best_sharpe_ticker
   FROM alt_summary) a
 CROSS JOIN
  (SELECT count(DISTINCT code_commune) AS commune_count,
@@ -422,16 +424,33 @@ def group_kpis(spark, sf):
 
 
 # --- quality and coverage --------------------------------------------------------------------------------
+# fixed values: the columns declared not null, by table
+NOT_NULL = {
+    "sales": ("id_mutation", "code_commune", "valeur_fonciere"),
+    "equity_prices": ("ticker", "date"),
+    "alt_prices": ("ticker", "date"),
+    "population": ("code_insee",),
+    "income": ("code_insee",),
+    "population_history": ("code_insee", "year"),
+    "tax": ("code_commune", "year"),
+    "commune_score": ("code_commune", "opportunity_score"),
+    "dept_score": ("code_departement",),
+    "equity_summary": ("ticker",),
+    "alt_summary": ("ticker",),
+}
+
+
 def _checks() -> list[quality.Check]:
     C = quality.Check
     return [
-        C("sales", "not_null", ("id_mutation",)),
-        C("sales", "not_null", ("date_mutation",)),
-        C("sales", "not_null", ("valeur_fonciere",)),
-        C("indicators", "unique", ("code_insee",)),
+        *[C(t, "not_null", (c,)) for t, cols in NOT_NULL.items() for c in cols],
+        C("population", "unique", ("code_insee",)),
+        C("income", "unique", ("code_insee",)),
         C("dept_score", "unique", ("code_departement",)),
         C("equity_summary", "unique", ("ticker",)),
+        C("alt_summary", "unique", ("ticker",)),
         C("equity_prices", "unique_combination", ("ticker", "date")),
+        C("alt_prices", "unique_combination", ("ticker", "date")),
         C("commune_score", "unique_combination", ("code_commune", "type_local", "year")),
         C("equity_prices", "relationship", ("ticker",), "equity_watchlist", "ticker"),
         C("alt_prices", "relationship", ("ticker",), "alt_watchlist", "ticker"),
@@ -442,9 +461,10 @@ def _checks() -> list[quality.Check]:
 def _check_sql() -> str:
     parts = []
     src = {
-        "sales": "(SELECT CAST(l_orderkey AS VARCHAR) AS id_mutation, CAST(l_shipdate AS DATE) AS date_mutation,"
+        "sales": "(SELECT CAST(l_orderkey AS VARCHAR) AS id_mutation, CAST(l_suppkey AS VARCHAR) AS code_commune,"
                  " l_extendedprice AS valeur_fonciere FROM stg_tx)",
-        "indicators": "indicators", "dept_score": "dept_score", "equity_summary": "equity_summary",
+        "population": "population", "income": "income", "population_history": "pop_hist", "tax": "tax",
+        "alt_summary": "alt_summary", "dept_score": "dept_score", "equity_summary": "equity_summary",
         "equity_prices": "eq_prices", "alt_prices": "alt_prices", "commune_score": "commune_score",
         "equity_watchlist": "eq_watch", "alt_watchlist": "alt_watch",
         "orders": "(SELECT CAST(o_orderkey AS VARCHAR) AS order_id FROM orders)",
@@ -470,7 +490,8 @@ def quality_report(spark, sf):
     i = Inputs(spark, sf)
     orders = td.table(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("order_id"))
     tables = {
-        "sales": i.sales, "indicators": i.indicators, "dept_score": i.dept_score,
+        "sales": i.sales, "population": i.population, "income": i.income, "dept_score": i.dept_score,
+        "population_history": i.population_history, "tax": i.tax, "alt_summary": i.alt_summary,
         "equity_summary": i.equity_summary, "equity_prices": i.equity_prices, "alt_prices": i.alt_prices,
         "commune_score": i.score_table, "equity_watchlist": i.equity_watchlist, "alt_watchlist": i.alt_watchlist,
         "orders": orders,
@@ -478,35 +499,34 @@ def quality_report(spark, sf):
     return quality.run_checks(tables, _checks())
 
 
-AUDIT_YEARS = (1994, 2001)  # one year before the data starts: every pair of it is missing
-
-
-@query("coverage_audit", with_ctes(f"""
+@query("coverage_audit", with_ctes("""
 SELECT d.code_departement, CAST(y.year AS INTEGER) AS year, CAST(coalesce(c.n, 0) AS BIGINT) AS rows_landed,
        c.n IS NOT NULL AS landed
-FROM depts d CROSS JOIN (SELECT range AS year FROM range({AUDIT_YEARS[0]}, {AUDIT_YEARS[1] + 1})) y
+FROM depts d CROSS JOIN (SELECT unnest(range(min(year(l_shipdate)) - 1, max(year(l_shipdate)) + 1)) AS year FROM raw_tx) y
 LEFT JOIN (SELECT CAST(s_nationkey AS VARCHAR) AS dep, CAST(year(l_shipdate) AS INTEGER) AS yr, count(*) AS n
            FROM raw_tx GROUP BY 1, 2) c
   ON c.dep = d.code_departement AND c.yr = y.year"""))
 def coverage_audit(spark, sf):
     i = Inputs(spark, sf)
-    expected = quality.expected_partitions(i.departments, *AUDIT_YEARS)
-    audit = quality.coverage_audit(expected, td.raw_transactions(spark, sf))
+    raw = td.raw_transactions(spark, sf)
+    # from one year before the data starts (every pair of it is missing) to its last year
+    first, last = raw.agg(F.min("source_year") - 1, F.max("source_year")).first()
+    expected = quality.expected_partitions(i.departments, first, last)
+    audit = materialize(quality.coverage_audit(expected, raw))  # departments x years: read twice
     quality.assert_some_landed(audit)
     return audit
 
 
 # --- landing ---------------------------------------------------------------------------------------------
-EVENT_TYPES = ("click", "view", "purchase", "signup", "error")  # fixed values of the events table
-
-
 @query("wide_to_long_bars", "SELECT event_id, event_type AS ticker, value FROM events"
-       " WHERE value IS NOT NULL AND NOT isnan(value)")
+       " WHERE value IS NOT NULL AND NOT isnan(value) AND event_type IS NOT NULL")
 def wide_to_long_bars(spark, sf):
     ev = td.table(spark, sf, "events")
+    # one wide column per type: the types are the columns of a delivered file, so they are few
+    types = sorted(r[0] for r in ev.where("event_type IS NOT NULL").select("event_type").distinct().collect())
     wide = ev.select("event_id", *[F.when(F.col("event_type") == t, F.col("value")).alias(f"value|{t}")
-                                   for t in EVENT_TYPES])
-    longf = landing.wide_to_long(wide, "event_id", ["value"], EVENT_TYPES)
+                                   for t in types])
+    longf = landing.wide_to_long(wide, "event_id", ["value"], types)
     return longf.select("event_id", "ticker", "value")
 
 
@@ -589,17 +609,64 @@ def incremental_latest_wins(spark, sf):
     base = _scratch(spark, f"stream-{uuid.uuid4().hex}")
     raw = td.raw_alternative_prices(spark, sf)
     raw = raw.withColumn("_tb_event", F.col("_tiebreak.event_id")).drop("_tiebreak")
-    kind = td.table(spark, sf, "events").select(F.col("event_id").alias("_tb_event"), "event_type")
-    raw = raw.join(kind, "_tb_event")  # deliveries are split by event type: every row lands once
     order = [F.col("_ingested_at").desc(), F.col("_tb_event").desc()]
-    schema = raw.drop("event_type").schema
-    runs = (("purchase", "error"), ("signup", "view", "click"))
-    for k, kinds in enumerate(runs):
-        part = raw.where(F.col("event_type").isin(*kinds)).drop("event_type")
-        part.write.mode("overwrite").parquet(f"{base}/landing/delivery={k}")
-        incremental.start(
-            spark, f"{base}/landing/*", schema, ["ticker", "date"], order, f"{base}/table", f"{base}/checkpoint",
-            buckets=16,
-        ).awaitTermination()
-    cur = incremental.read_current(spark, f"{base}/table", schema)
-    return stg_prices(cur, order).select(*BAR_COLS)
+    schema, keys = raw.schema, ["ticker", "date"]
+    # two deliveries: the odd event ids first, then the even ones; every row lands once
+    for k, odd in enumerate((1, 0)):
+        raw.where(F.pmod("_tb_event", F.lit(2)) == odd).write.mode("overwrite").parquet(f"{base}/landing/delivery={k}")
+        incremental.start(spark, f"{base}/landing/*", schema, f"{base}/table", f"{base}/checkpoint").awaitTermination()
+    return stg_prices(incremental.read_current(spark, f"{base}/table", schema, keys, order), order).select(*BAR_COLS)
+
+
+# --- null keys -------------------------------------------------------------------------------------------
+def _null_key_sales(spark, sf):
+    """Sales per (supplier or null, flag, year or null): every fifth supplier and every year after 1997 is null."""
+    li = td.table(spark, sf, "lineitem")
+    return li.select(
+        F.when(F.col("l_suppkey") % 5 != 0, F.col("l_suppkey").cast("string")).alias("code_commune"),
+        F.col("l_returnflag").alias("type_local"),
+        F.when(F.year("l_shipdate") <= 1997, F.year("l_shipdate")).alias("year"), "l_extendedprice")
+
+
+_NULL_KEYS = """
+WITH v AS (
+  SELECT CASE WHEN l_suppkey % 5 <> 0 THEN CAST(l_suppkey AS VARCHAR) END AS code_commune, l_returnflag AS type_local,
+         CASE WHEN year(l_shipdate) <= 1997 THEN CAST(year(l_shipdate) AS INTEGER) END AS year, l_extendedprice
+  FROM lineitem),
+m AS (
+  SELECT code_commune, type_local, year, count(*) AS n, CAST(quantile_disc(l_extendedprice, 0.5) AS DOUBLE) AS median
+  FROM v GROUP BY code_commune, type_local, year)
+"""
+
+
+@query("median_null_groups", _NULL_KEYS + "SELECT route, m.* FROM m, (VALUES ('all in one'), ('sized'), ('bracket')) r(route)")
+def median_null_groups(spark, sf):
+    """A03 with null group keys, by each route of the median."""
+    from cadastra.operators.median import agg_with_lower_median
+
+    rows = _null_key_sales(spark, sf)
+    routes = {"all in one": {"max_rows": 1, "max_exact_group": 1}, "sized": {"max_exact_group": 1 << 40}, "bracket": {"max_exact_group": 20}}
+    out = None
+    for name, how in routes.items():
+        m = agg_with_lower_median(rows, ["code_commune", "type_local", "year"], "l_extendedprice", "median",
+                                  extra_aggs=[F.count(F.lit(1)).alias("n")], **how).withColumn("route", F.lit(name))
+        out = m if out is None else out.unionByName(m)
+    return out.select("route", "code_commune", "type_local", "year", "n", "median")
+
+
+@query("period_stats_null_keys", _NULL_KEYS + """
+SELECT cur.*, prev.median AS prior FROM m cur LEFT JOIN m prev
+  ON cur.code_commune = prev.code_commune AND cur.type_local = prev.type_local AND cur.year = prev.year + 1""")
+def period_stats_null_keys(spark, sf):
+    """J01 with null communes and years: no prior year for either."""
+    from cadastra.params import DEFAULT
+
+    sales = _null_key_sales(spark, sf).select(
+        "code_commune", F.lit("x").alias("nom_commune"), F.lit("d").alias("code_departement"), "type_local",
+        F.col("year").alias("source_year"), F.lit("Vente").alias("nature_mutation"),
+        F.col("l_extendedprice").alias("valeur_fonciere"), F.lit(1.0).alias("surface_reelle_bati"))
+    flags = [r[0] for r in sales.select("type_local").distinct().collect()]  # the table's return flags: three
+    p = dataclasses.replace(DEFAULT, property_types=tuple(flags), min_price_per_sqm=float("-inf"), max_price_per_sqm=float("inf"))
+    return places.period_stats(sales, p).select(
+        "code_commune", "type_local", "year", F.col("transaction_count").alias("n"),
+        F.col("median_price_per_sqm").alias("median"), F.col("prior_year_median_price_per_sqm").alias("prior"))

@@ -2,13 +2,14 @@
 
 On a cluster the session comes from the platform; library code never builds
 one. ``ensure_checkpoint_dir`` honours ``spark.checkpoint.dir`` when the
-cluster sets it and only falls back to a scratch folder when it is unset
-(local tests).
+cluster sets it. Only on a ``local`` master, where driver and executors are
+one process, does it fall back to a scratch folder; elsewhere it raises.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -47,6 +48,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not conf and sc is not None:
         conf = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf:
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        # one machine: driver and executors are one process, so its own scratch folder is shared
         conf = tempfile.mkdtemp(prefix="cadastra-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     if sc is None:
         return conf

@@ -8,11 +8,11 @@ sinks, S15 rows-written count from an observation (no second scan).
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql.observation import Observation
 
@@ -31,8 +31,10 @@ def read_sales_csv(spark: SparkSession, root: str, layout: str = "files") -> Dat
     pair, as downloaded); ``layout="hive"``: ``<root>/year=<y>/dep=<d>/*.csv.gz``
     (as Spark writes them). Lineage comes from each row's own file path, so
     one scan covers every pair. gzip is not splittable (one task per file):
-    callers repartition before heavy work. A missing file is simply not
-    matched; an empty file yields no rows.
+    callers repartition before heavy work. Every file is read by its own
+    header: files are grouped by header line and the groups are united by
+    column name. A missing file is simply not matched, an empty file yields no
+    rows, and with nothing landed there are no rows (lineage columns only).
     """
     if layout == "files":
         glob, year_re, dep_re = f"{root}/*/*.csv.gz", r"/(\d{4})/[^/]+\.csv\.gz$", r"/([^/]+)\.csv\.gz$"
@@ -40,14 +42,29 @@ def read_sales_csv(spark: SparkSession, root: str, layout: str = "files") -> Dat
         glob, year_re, dep_re = f"{root}/*/*/*.csv.gz", r"/year=(\d{4})/", r"/dep=([^/]+)/"
     else:
         raise ValueError(f"unknown layout {layout!r}")
-    df = spark.read.option("header", True).option("inferSchema", False).csv(glob)
-    df = normalize_columns(df)
     path = F.col("_metadata.file_path")
-    return df.select(
-        "*",
-        F.regexp_extract(path, dep_re, 1).alias("source_departement"),
-        F.regexp_extract(path, year_re, 1).cast("int").alias("source_year"),
-    )
+    try:
+        lines = spark.read.text(glob).select(path.alias("file"), "value")
+        # gzip is not split, so a file is read by one task from its start: its first line is its header
+        heads = lines.groupBy("file").agg(F.first("value").alias("header"))
+        by_header: dict[str, list[str]] = {}
+        for r in heads.orderBy("file").collect():  # a short row for each file
+            by_header.setdefault(r["header"], []).append(r["file"])
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        by_header = {}
+    if not by_header:
+        return spark.createDataFrame([], "source_departement string, source_year int")
+    groups = [
+        normalize_columns(spark.read.option("header", True).option("inferSchema", False).csv(files)).select(
+            "*",
+            F.regexp_extract(path, dep_re, 1).alias("source_departement"),
+            F.regexp_extract(path, year_re, 1).cast("int").alias("source_year"),
+        )
+        for files in by_header.values()
+    ]
+    return union_frames(groups)
 
 
 def detect_delimiter(spark: SparkSession, path: str, encoding: str = "utf-8") -> str:
@@ -89,20 +106,25 @@ def wide_to_long(wide: DataFrame, date_col: str, fields: Sequence[str], tickers:
                  sep: str = "|") -> DataFrame:
     """``<field><sep><ticker>`` columns to one row per (ticker, date).
 
-    Unpivot to (date, name, value), split the name, pivot the fixed field
-    list back to columns; placeholder rows (every field null or NaN) drop.
+    Every source row gives one row per ticker, by exploding one struct per
+    ticker: no shuffle, and two source rows of one date stay two bars. Rows
+    with every field null or NaN drop. A field a ticker lacks is null.
     """
-    value_cols = [f"{f}{sep}{t}" for t in tickers for f in fields if f"{f}{sep}{t}" in wide.columns]
-    longf = wide.unpivot([date_col], value_cols, "_name", "_value")
-    parts = F.split(F.col("_name"), F.lit(re.escape(sep)), 2)  # split takes a regex
-    longf = longf.select(
-        F.col(date_col),
-        parts[1].alias("ticker"),
-        parts[0].alias("_field"),
-        F.when(~F.isnan(F.col("_value").cast("double")), F.col("_value").cast("double")).alias("_value"),
-    )
-    bars = longf.groupBy("ticker", date_col).pivot("_field", list(fields)).agg(F.first("_value", ignorenulls=True))
-    return bars.dropna(how="all", subset=list(fields))
+    def value(field: str, ticker: str):
+        name = f"{field}{sep}{ticker}"
+        if name not in wide.columns:
+            return F.lit(None).cast("double").alias(field)
+        v = F.col(f"`{name}`").cast("double")
+        return F.when(~F.isnan(v), v).alias(field)
+
+    held = [t for t in tickers if any(f"{f}{sep}{t}" in wide.columns for f in fields)]
+    if not held:
+        return wide.select(F.lit(None).cast("string").alias("ticker"), F.col(date_col),
+                           *[F.lit(None).cast("double").alias(f) for f in fields]).where(F.lit(False))
+    bars = F.array(*[F.struct(F.lit(t).alias("ticker"), *[value(f, t) for f in fields]) for t in held])
+    out = wide.select(F.col(date_col), F.explode(bars).alias("_bar")).select(
+        "_bar.ticker", date_col, *[f"_bar.{f}" for f in fields])
+    return out.dropna(how="all", subset=list(fields))
 
 
 def union_frames(frames: Sequence[DataFrame]) -> DataFrame:

@@ -32,7 +32,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadastra.params import Params
-from cadastra.session import parallelism
 
 # Fixed values of the mapping.
 TEST_PROPERTY_TYPES = ("A", "R")
@@ -47,28 +46,9 @@ def version_order() -> tuple:
     return (F.col("_ingested_at").desc(), F.col("_tiebreak").desc())
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
-    """Scan one test table.
-
-    A file written as a single row group scans in one task; when the scan
-    yields fewer partitions than the cluster's parallelism it is spread
-    round-robin so the per-row mapping runs on every core (``spread=False``
-    for scans that only feed an aggregation, which reduces map-side anyway).
-    Large multi-file inputs already have enough splits and are left untouched.
-    """
-    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    if not spread or name not in SPREAD_TABLES:
-        return df
-    want = parallelism(spark)
-    try:
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no RDD API (Spark Connect): count the files instead
-        splits = len(df.inputFiles())
-    return df.repartition(want) if splits < want else df
-
-
-# fact tables worth spreading; dimensions stay one small scan (broadcast side)
-SPREAD_TABLES = ("lineitem", "events", "orders")
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Scan one test table."""
+    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def _s(c) -> F.Column:
@@ -143,7 +123,7 @@ def raw_alternative_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_population_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem", spread=False)  # aggregated map-side right away
+    li = table(spark, sf_dir, "lineitem")  # aggregated map-side right away
     sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     per_year = li.groupBy("l_suppkey", F.year("l_shipdate").alias("yr")).agg(
         F.sum("l_quantity").cast("bigint").alias("pop")
@@ -180,22 +160,22 @@ def raw_population(spark: SparkSession, sf_dir: str, hist: DataFrame | None = No
 
 def raw_income(spark: SparkSession, sf_dir: str) -> DataFrame:
     sup = table(spark, sf_dir, "supplier")
-    return sup.where(F.col("s_suppkey") % 7 != 0).select(
+    return sup.select(
         _s(F.col("s_suppkey")).alias("code_geographique"),
         F.col("s_name").alias("libelle_geographique"),
-        _s(F.col("s_acctbal") * 4).alias("disp_mediane"),
+        F.when(F.col("s_suppkey") % 7 != 0, _s(F.col("s_acctbal") * 4)).alias("disp_mediane"),
     )
 
 
 def raw_property_tax(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sup = table(spark, sf_dir, "supplier").where(F.col("s_suppkey") % 10 != 0)
+    sup = table(spark, sf_dir, "supplier")
     years = [(2000, 0.0), (2001, 1.0)]
     parts = [
         sup.select(
             _s(F.col("s_suppkey")).alias("insee_com"),
             F.col("s_name").alias("libcom"),
             F.lit(str(y)).alias("exercice"),
-            _s(F.col("s_acctbal") / 100 + F.lit(add)).alias("taux_global_tfb"),
+            F.when(F.col("s_suppkey") % 10 != 0, _s(F.col("s_acctbal") / 100 + F.lit(add))).alias("taux_global_tfb"),
         )
         for y, add in years
     ]

@@ -1,16 +1,11 @@
-"""Incremental latest-wins dedupe of a re-delivered landing folder.
-
-New landed files are read as a stream (``trigger(availableNow=True)``); each
-micro-batch is merged with the current deduped table and the newest version
-per key wins by ``_ingested_at`` (not by arrival), so a late re-delivery of
-an old version loses.
-
-The table is split into ``buckets`` by a hash of the key. A batch rewrites
-only the buckets its rows touch, into ``data/v=<batch id>/_bucket=<b>``, then
-appends one commit row per (batch, bucket); readers take, for every bucket,
-its newest committed version. Work per batch is proportional to the touched
-buckets, not the whole table; a replayed batch finds its commits and skips,
-and a batch that died before committing simply rewrites its own folder.
+"""Incremental latest-wins over a re-delivered landing folder.
+
+New landed files are read as a stream (``trigger(availableNow=True)``) and
+appended to a raw table partitioned by load date; nothing is rewritten. The
+newest version of every key is picked on read, by ``_ingested_at`` and not by
+arrival, so a late re-delivery of an old version loses. A batch that is
+replayed, or delivered again after a lost stream checkpoint, only adds copies
+that the read drops.
 """
 
 from __future__ import annotations
@@ -23,88 +18,30 @@ from pyspark.sql import types as T
 
 from cadastra.operators.dedupe import latest_wins
 
-_COMMITS = "_commits"
-
-
-def _bucket_of(keys: Sequence[str], buckets: int) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
-
-
-def _commits(spark: SparkSession, root: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(f"{root}/{_COMMITS}")
-    except Exception:  # nothing committed yet
-        return None
-
-
-def latest_version(spark: SparkSession, root: str) -> int | None:
-    c = _commits(spark, root)
-    if c is None:
-        return None
-    row = c.agg(F.max("version")).first()
-    return None if row is None or row[0] is None else int(row[0])
-
+_DAY = "_load_date"
 
-def _bucket_versions(spark: SparkSession, root: str) -> dict[int, int]:
-    """Newest committed version of each bucket (one entry per bucket: bounded)."""
-    c = _commits(spark, root)
-    if c is None:
-        return {}
-    return {r["bucket"]: r["v"] for r in c.groupBy("bucket").agg(F.max("version").alias("v")).collect()}
 
+def start(spark: SparkSession, landing: str, schema: T.StructType, root: str, checkpoint: str,
+          max_files_per_trigger: int | None = None):
+    """Append whatever has landed to the raw table under ``root``; returns the streaming query."""
+    def append(batch: DataFrame, _: int) -> None:
+        batch.withColumn(_DAY, F.to_date("_ingested_at")).write.mode("append").partitionBy(_DAY).parquet(root)
 
-def _read(spark: SparkSession, root: str, schema: T.StructType, versions: dict[int, int]) -> DataFrame:
-    paths = [f"{root}/data/v={v:012d}/_bucket={b}" for b, v in versions.items()]
-    if not paths:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(*paths)
-
-
-def read_current(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
-    """The newest committed rows of every bucket (empty if none)."""
-    return _read(spark, root, schema, _bucket_versions(spark, root))
-
-
-def start(
-    spark: SparkSession,
-    landing: str,
-    schema: T.StructType,
-    keys: Sequence[str],
-    order: Sequence[Column],
-    root: str,
-    checkpoint: str,
-    buckets: int = 64,
-    max_files_per_trigger: int | None = None,
-):
-    """Run the merge over whatever has landed; returns the streaming query."""
-    cols = schema.fieldNames()
-
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        versions = _bucket_versions(spark, root)
-        if versions and max(versions.values()) >= batch_id:  # replay of a committed batch
-            return
-        b = batch.select(*cols).withColumn("_bucket", _bucket_of(keys, buckets))
-        touched = [r[0] for r in b.select("_bucket").distinct().collect()]  # at most `buckets` values
-        if not touched:
-            return
-        prior = {t: versions[t] for t in touched if t in versions}
-        cur = _read(spark, root, schema, prior).withColumn("_bucket", _bucket_of(keys, buckets))
-        merged = latest_wins(cur.unionByName(b), keys, order)
-        # after dedupe a key is one row, so a bucket is a hash slice of keys: one file each
-        merged.repartition("_bucket").write.mode("overwrite").partitionBy("_bucket") \
-            .parquet(f"{root}/data/v={batch_id:012d}")
-        spark.createDataFrame([(batch_id, t) for t in touched], "version long, bucket int") \
-            .write.mode("append").parquet(f"{root}/{_COMMITS}")
-
-    # the commit log always exists (empty at first), so readers never probe a missing path
-    spark.createDataFrame([], "version long, bucket int").write.mode("append").parquet(f"{root}/{_COMMITS}")
+    # the table always exists (empty at first), so readers never probe a missing path
+    spark.createDataFrame([], schema).write.mode("append").parquet(f"{root}/{_DAY}=1970-01-01")
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return (
         reader.parquet(landing)
-        .writeStream.foreachBatch(merge)
+        .writeStream.foreachBatch(append)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+
+
+def read_current(spark: SparkSession, root: str, schema: T.StructType, keys: Sequence[str],
+                 order: Sequence[Column]) -> DataFrame:
+    """The newest version of every key in the raw table."""
+    return latest_wins(spark.read.schema(schema).parquet(root), keys, order)

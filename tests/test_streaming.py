@@ -5,30 +5,34 @@ from pyspark.sql import functions as F
 from cadastra.operators.dedupe import latest_wins
 from cadastra.streaming import incremental
 
+SCHEMA = "ticker string, date string, adj_close double, _ingested_at timestamp"
+
 
 def test_incremental_equals_batch_whatever_arrival_order(spark, tmp_path):
+    order = [F.col("_ingested_at").desc()]
     rows = [("A", "2024-01-01", 1.0, datetime(2024, 1, 1)), ("A", "2024-01-01", 2.0, datetime(2024, 1, 3)),
             ("A", "2024-01-02", 3.0, datetime(2024, 1, 2)), ("B", "2024-01-01", 4.0, datetime(2024, 1, 5)),
             ("B", "2024-01-01", 5.0, datetime(2024, 1, 4)), ("A", "2024-01-01", 9.0, datetime(2024, 1, 2))]
-    schema = "ticker string, date string, adj_close double, _ingested_at timestamp"
-    df = spark.createDataFrame(rows, schema)
-    order = [F.col("_ingested_at").desc()]
+    df = spark.createDataFrame(rows, SCHEMA)
     batch = sorted(latest_wins(df, ["ticker", "date"], order).collect())
-    root, landing_dir, ckpt = str(tmp_path / "table"), str(tmp_path / "landing"), str(tmp_path / "ckpt")
+    root, landing_dir = str(tmp_path / "table"), str(tmp_path / "landing")
+
+    def run(checkpoint, **kw):
+        incremental.start(spark, f"{landing_dir}/*", df.schema, root, str(tmp_path / checkpoint), **kw).awaitTermination()
+
+    def current():
+        return sorted(incremental.read_current(spark, root, df.schema, ["ticker", "date"], order).collect())
+
     # newest versions arrive first, an old re-delivery arrives last
     for k, idx in enumerate([[1, 3], [4, 2], [0, 5]]):
-        spark.createDataFrame([rows[i] for i in idx], schema).coalesce(1).write.parquet(f"{landing_dir}/d={k}")
-        q = incremental.start(spark, f"{landing_dir}/*", df.schema, ["ticker", "date"], order, root, ckpt)
-        q.awaitTermination()
-    assert incremental.latest_version(spark, root) is not None
-    got = sorted(incremental.read_current(spark, root, df.schema).collect())
-    assert got == batch
-    # one file per trigger: several micro-batches, each touching only its buckets
-    root2, ckpt2 = str(tmp_path / "table2"), str(tmp_path / "ckpt2")
-    incremental.start(spark, f"{landing_dir}/*", df.schema, ["ticker", "date"], order, root2, ckpt2,
-                      buckets=4, max_files_per_trigger=1).awaitTermination()
-    assert incremental.latest_version(spark, root2) >= 2
-    assert sorted(incremental.read_current(spark, root2, df.schema).collect()) == batch
-    # a rerun with nothing new changes nothing
-    incremental.start(spark, f"{landing_dir}/*", df.schema, ["ticker", "date"], order, root, ckpt).awaitTermination()
-    assert sorted(incremental.read_current(spark, root, df.schema).collect()) == batch
+        spark.createDataFrame([rows[i] for i in idx], SCHEMA).coalesce(1).write.parquet(f"{landing_dir}/d={k}")
+        run("ckpt")
+    assert current() == batch
+    run("ckpt")  # nothing new
+    assert current() == batch
+    run("lost", max_files_per_trigger=1)  # a lost checkpoint delivers everything again, batch by batch
+    assert current() == batch
+    # and a delivery that only the second checkpoint has seen is there
+    spark.createDataFrame([("C", "2024-01-01", 7.0, datetime(2024, 2, 1))], SCHEMA).write.parquet(f"{landing_dir}/d=9")
+    run("lost")
+    assert [r for r in current() if r["ticker"] == "C"] and len(current()) == len(batch) + 1

@@ -151,7 +151,8 @@ def alternatives_kpis(summary: DataFrame, instrument: str | None = None) -> Data
         F.avg("annualized_volatility").alias("avg_volatility"),
         F.avg("period_return_pct").alias("avg_period_return"),
         best("annualized_return").alias("best_return_ticker"),
-        best("sharpe_ratio").alias("best_sharpe_ticker"),
+        # a summary may come without the ratio
+        *([best("sharpe_ratio").alias("best_sharpe_ticker")] if "sharpe_ratio" in summary.columns else []),
     )
 
 

@@ -44,4 +44,5 @@ def start(spark: SparkSession, landing: str, schema: T.StructType, root: str, ch
 def read_current(spark: SparkSession, root: str, schema: T.StructType, keys: Sequence[str],
                  order: Sequence[Column]) -> DataFrame:
     """The newest version of every key in the raw table."""
-    return latest_wins(spark.read.schema(schema).parquet(root), keys, order)
+    raw = spark.read.schema(schema).parquet(root).select(*schema.fieldNames())
+    return latest_wins(raw, keys, order)

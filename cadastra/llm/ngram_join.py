@@ -34,12 +34,16 @@ from pyspark.sql import functions as F
 
 from cadastra.llm.components import connected_components
 from cadastra.llm.shingles import set_signature, shingle_set
-from cadastra.operators.materialize import drop_table, materialize
+from cadastra.operators.materialize import drop_table, known_rows, materialize
 
 COUNT_BITS = 18  # columns are counted in 2**18 hash buckets: a table of fixed size
 PAIR_ROWS = 16  # columns with at most this many rows yield pairs
 SALT_ROWS = 1024  # rows of one part of a salted column
-BLOCK_ROWS = 512  # rows of one block of a cluster
+BLOCK_ROWS = 2048  # rows of one block of a cluster, at most
+BLOCK_SHINGLES = 1 << 20  # and shingles of one block, about
+PAIR_UNIT = 512  # partners of a row in one unit
+BROADCAST_ROWS = 500_000  # rows of two or three numbers that are broadcast; beyond, a shuffle join
+DENSE = 256  # cells a column adds to a block product from which it is multiplied as a dense one
 PRODUCT_COLUMNS = 4096  # columns multiplied at once
 
 
@@ -206,7 +210,7 @@ def _pair_units(pairs: DataFrame) -> DataFrame:
     """Pairs grouped by their smaller row; a row with many partners is split."""
     many = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("k"))
     p = pairs.join(many, "a").select(
-        "a", "b", F.pmod(F.xxhash64("b"), F.ceil(F.col("k") / BLOCK_ROWS).cast("long")).alias("s"))
+        "a", "b", F.pmod(F.xxhash64("b"), F.ceil(F.col("k") / PAIR_UNIT).cast("long")).alias("s"))
     unit = F.xxhash64(F.lit("pair"), "a", "s")
     left = p.select(unit.alias("unit"), F.lit(0).alias("side"), F.col("a").alias("sig")).distinct()
     return left.union(p.select(unit.alias("unit"), F.lit(1).alias("side"), F.col("b").alias("sig")))
@@ -217,7 +221,7 @@ def _block_units(members: DataFrame, percent: int) -> DataFrame:
     band = F.floor(F.log(F.col("n")) / F.log(F.lit(100.0 / percent)) + 1e-9).cast("long")
     m = members.withColumn("band", band)
     parts = materialize(m.groupBy("root", "band").agg(
-        F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("long").alias("parts")))
+        F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("long").alias("parts")))
     below = parts.select("root", (F.col("band") + 1).alias("band"), F.col("parts").alias("below"))
     above = parts.select("root", (F.col("band") - 1).alias("band"), F.col("parts").alias("above"))
     m = m.join(parts, ["root", "band"]).join(below, ["root", "band"], "left").join(above, ["root", "band"], "left")
@@ -262,14 +266,20 @@ def overlap_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarra
         return at[order], rows[order]
 
     (lc, lr), (rc, rr) = index(lc, lr), index(rc, rr)
-    for lo in range(0, len(both), PRODUCT_COLUMNS):
-        hi = min(lo + PRODUCT_COLUMNS, len(both))
-        x = np.zeros((len(left), hi - lo), np.float32)
-        y = np.zeros((len(right), hi - lo), np.float32)
-        i, j = np.searchsorted(lc, [lo, hi])
-        x[lr[i:j], lc[i:j] - lo] = 1
-        i, j = np.searchsorted(rc, [lo, hi])
-        y[rr[i:j], rc[i:j] - lo] = 1
+    bounds = np.arange(len(both) + 1)
+    l_at, r_at = np.searchsorted(lc, bounds), np.searchsorted(rc, bounds)
+    cells = np.diff(l_at) * np.diff(r_at)
+    # a column of few rows is added cell by cell; a column of one row meets itself only in its own block
+    for c in np.flatnonzero((cells < DENSE) & (cells > 0)):
+        out[np.ix_(lr[l_at[c] : l_at[c + 1]], rr[r_at[c] : r_at[c + 1]])] += 1
+    dense = np.flatnonzero(cells >= DENSE)
+    for lo in range(0, len(dense), PRODUCT_COLUMNS):
+        some = dense[lo : lo + PRODUCT_COLUMNS]
+        x = np.zeros((len(left), len(some)), np.float32)
+        y = np.zeros((len(right), len(some)), np.float32)
+        for k, c in enumerate(some):
+            x[lr[l_at[c] : l_at[c + 1]], k] = 1
+            y[rr[r_at[c] : r_at[c + 1]], k] = 1
         out += x @ y.T
     return out.astype(np.int64)
 
@@ -320,6 +330,11 @@ def _multiply(batches, words: int, percent: int) -> Iterator[pa.RecordBatch]:
         yield made(links)
 
 
+def _small(table: DataFrame) -> DataFrame:
+    """A written table, marked for broadcast if its counted rows (of a few numbers) are within the bound."""
+    return F.broadcast(table) if (known_rows(table) or 0) <= BROADCAST_ROWS else table
+
+
 # ---- the operator ------------------------------------------------------------------------
 
 
@@ -367,10 +382,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         classes.select("sig", "n"), "sig")
     units = materialize(_pair_units(materialize(pairs)).union(_block_units(members, percent)))
 
-    wanted = units.select("sig").distinct().join(classes.select("sig", "rep"), "sig")
+    wanted = materialize(units.select("sig").distinct().join(classes.select("sig", "rep"), "sig"))
+    wanted = _small(wanted)
     texts = materialize(src.join(wanted, src.doc_id.eqNullSafe(wanted.rep)).select("sig", "text"))
     links = materialize(
-        units.join(texts, "sig").select("unit", "side", "sig", "text")
+        _small(units).join(texts, "sig").select("unit", "side", "sig", "text")
         .repartition("unit").sortWithinPartitions("unit", "side")
         .mapInArrow(lambda it: _multiply(it, words, percent), "a long, b long").distinct())
     for t in (found, units, texts):

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from cadastra.llm.running import number_rows
 from cadastra.llm.tokens import encoder, slices
+from cadastra.operators.materialize import drop_table, materialize
 
 MAX_LENGTH = 2048
 
@@ -78,7 +79,9 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, max_length: int
         "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary")
     if not with_ids:
         pieces = pieces.drop("ids")
+    pieces = materialize(pieces)  # numbering reads its input twice; texts are encoded once
     order = [F.col("length").desc(), F.col("doc_id").asc(), F.col("start").asc(), F.col("ids_crc32").asc()]
     out = number_rows(pieces, order, "sequence_id").withColumn("offset", F.lit(0).cast("long"))
+    drop_table(pieces)  # the numbered rows are a table of their own
     cols = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     return out.select(*cols, *(["ids"] if with_ids else []))

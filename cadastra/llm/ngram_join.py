@@ -43,7 +43,8 @@ BLOCK_ROWS = 2048  # rows of one block of a cluster, at most
 BLOCK_SHINGLES = 1 << 20  # and shingles of one block, about
 PAIR_UNIT = 512  # partners of a row in one unit
 BROADCAST_ROWS = 500_000  # rows of two or three numbers that are broadcast; beyond, a shuffle join
-DENSE = 256  # cells a column adds to a block product from which it is multiplied as a dense one
+DENSE = 200  # a column that adds to one cell in so many of a block product is multiplied as a dense one
+PRODUCT_CELLS = 1 << 20  # cells added at once, about
 PRODUCT_COLUMNS = 4096  # columns multiplied at once
 
 
@@ -181,9 +182,11 @@ def _candidates(batches, percent: int, pair_rows: int) -> Iterator[pa.RecordBatc
         kind, a, b = (np.concatenate(x) for x in zip(*out))
         if len(kind) == 0:
             return None
-        rows = np.unique(np.rec.fromarrays([kind, a, b], names="kind,a,b"))
+        order = np.lexsort((b, a, kind))
+        kind, a, b = kind[order], a[order], b[order]
+        new = np.r_[True, (kind[1:] != kind[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1])]
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.ascontiguousarray(rows[c])) for c in ("kind", "a", "b")], names=["kind", "a", "b"])
+            [pa.array(c[new]) for c in (kind, a, b)], names=["kind", "a", "b"])
 
     carry = None
     for batch in batches:
@@ -268,19 +271,30 @@ def overlap_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarra
     (lc, lr), (rc, rr) = index(lc, lr), index(rc, rr)
     bounds = np.arange(len(both) + 1)
     l_at, r_at = np.searchsorted(lc, bounds), np.searchsorted(rc, bounds)
-    cells = np.diff(l_at) * np.diff(r_at)
-    # a column of few rows is added cell by cell; a column of one row meets itself only in its own block
-    for c in np.flatnonzero((cells < DENSE) & (cells > 0)):
-        out[np.ix_(lr[l_at[c] : l_at[c + 1]], rr[r_at[c] : r_at[c + 1]])] += 1
-    dense = np.flatnonzero(cells >= DENSE)
-    for lo in range(0, len(dense), PRODUCT_COLUMNS):
-        some = dense[lo : lo + PRODUCT_COLUMNS]
-        x = np.zeros((len(left), len(some)), np.float32)
-        y = np.zeros((len(right), len(some)), np.float32)
-        for k, c in enumerate(some):
-            x[lr[l_at[c] : l_at[c + 1]], k] = 1
-            y[rr[r_at[c] : r_at[c + 1]], k] = 1
-        out += x @ y.T
+    meets = np.diff(r_at)  # right rows of each column
+    dense = np.diff(l_at) * meets * DENSE >= out.size
+
+    # sparse columns: each of their cells on the left is added to the column's rows on the right
+    flat, some = out.ravel(), np.flatnonzero(~dense[lc])
+    upto = np.cumsum(meets[lc[some]])
+    cuts = np.searchsorted(upto, np.arange(PRODUCT_CELLS, upto[-1], PRODUCT_CELLS)) + 1 if len(some) else []
+    for part in np.split(some, np.unique(cuts).astype(np.int64)):
+        k = meets[lc[part]]
+        at = np.repeat(r_at[lc[part]] - (np.cumsum(k) - k), k) + np.arange(k.sum())
+        np.add.at(flat, np.repeat(lr[part], k) * len(right) + rr[at], np.float32(1))
+
+    # dense columns: slices of both matrices are filled and multiplied
+    cols = np.flatnonzero(dense)
+    for lo in range(0, len(cols), PRODUCT_COLUMNS):
+        some = cols[lo : lo + PRODUCT_COLUMNS]
+        sides = []
+        for c, r, rows in ((lc, lr, len(left)), (rc, rr, len(right))):
+            m = np.zeros((rows, len(some)), np.float32)
+            a, b = np.searchsorted(c, some[0]), np.searchsorted(c, some[-1], "right")
+            a, b = c[a:b][dense[c[a:b]]], r[a:b][dense[c[a:b]]]
+            m[b, np.searchsorted(some, a)] = 1
+            sides.append(m)
+        out += sides[0] @ sides[1].T
     return out.astype(np.int64)
 
 

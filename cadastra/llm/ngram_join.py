@@ -36,7 +36,8 @@ from cadastra.llm.components import connected_components
 from cadastra.llm.shingles import set_signature, shingle_set
 from cadastra.operators.materialize import drop_table, known_rows, materialize
 
-COUNT_BITS = 18  # columns are counted in 2**18 hash buckets: a table of fixed size
+COUNT_BITS = 22  # columns are counted in 2**22 hash buckets: a table of fixed size (16 MB)
+PART_BITS = 12  # buckets of one part of that table
 PAIR_ROWS = 16  # columns with at most this many rows yield pairs
 SALT_ROWS = 1024  # rows of one part of a salted column
 BLOCK_ROWS = 2048  # rows of one block of a cluster, at most
@@ -66,19 +67,17 @@ def _scan(batches: Iterator[pa.RecordBatch], words: int, id_type: pa.DataType) -
             sigs.append(set_signature(s) if len(s) else None)
             hashes.append(s >> shift)
         if hashes:
-            counts += np.bincount(np.concatenate(hashes).astype(np.int64), minlength=len(counts))
+            np.add.at(counts, np.concatenate(hashes).astype(np.int64), np.int64(1))
         k = len(sigs)
         yield pa.RecordBatch.from_arrays(
             [batch.column(0).cast(id_type), pa.array(sigs, pa.int64()), pa.array(sizes, pa.int64()),
              pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())],
             names=["doc_id", "sig", "n", "part", "counts"])
     rows = []
-    step = 1 << 12
-    for part, at in enumerate(range(0, len(counts), step)):
-        c = counts[at : at + step]
-        if c.any():
-            i = np.flatnonzero(c)
-            rows.append((part, i.astype("<u2").tobytes() + c[i].astype("<i8").tobytes()))
+    for part, c in enumerate(counts.reshape(-1, 1 << PART_BITS)):
+        if top := int(c.max()):
+            width = next(w for w in (1, 2, 4, 8) if top < 1 << 8 * w)
+            rows.append((part, c.astype(f"<u{width}").tobytes()))
     if rows:
         k = len(rows)
         yield pa.RecordBatch.from_arrays(
@@ -88,10 +87,7 @@ def _scan(batches: Iterator[pa.RecordBatch], words: int, id_type: pa.DataType) -
 
 
 def _unpack(blob: bytes) -> np.ndarray:
-    out = np.zeros(1 << 12, np.int64)
-    k = len(blob) // 10
-    out[np.frombuffer(blob[: 2 * k], "<u2")] = np.frombuffer(blob[2 * k :], "<i8")
-    return out
+    return np.frombuffer(blob, f"<u{len(blob) >> PART_BITS}").astype(np.int64)
 
 
 def _sum_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -106,13 +102,17 @@ def _sum_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def column_counts(scanned: DataFrame) -> np.ndarray:
-    """Documents per column bucket: a table of ``2**COUNT_BITS`` numbers, whatever the input."""
+    """Documents per column bucket: a table of ``2**COUNT_BITS`` numbers, whatever the input.
+
+    It only orders columns: the many rare columns of a bucket add about the same to every bucket, so
+    a column of many rows stands out from its bucket's share as long as it exceeds the spread of that share.
+    """
     parts = scanned.where("part IS NOT NULL").select("part", "counts")
     summed = parts.repartition("part").mapInArrow(_sum_counts, "part int, counts binary")
-    out = np.zeros(1 << COUNT_BITS, np.int64)
-    for part, blob in summed.collect():  # 64 rows of fixed size
-        out[part << 12 : (part + 1) << 12] += np.frombuffer(blob, "<i8")
-    return out
+    out = np.zeros((1 << COUNT_BITS - PART_BITS, 1 << PART_BITS), np.uint32)
+    for part, blob in summed.toLocalIterator():  # 1024 rows of fixed size
+        out[part] = np.minimum(np.frombuffer(blob, "<i8"), 0xFFFFFFFF)
+    return out.ravel()
 
 
 # ---- steps 2 and 3: head columns, candidates ---------------------------------------------
@@ -135,7 +135,7 @@ def _heads(batches, words: int, percent: int, counts: np.ndarray, salt_rows: int
             if len(seen) < 1_000_000:
                 seen.add(sig)
             k = n - _need(n, percent) + 1
-            c = counts[(s >> shift).astype(np.int64)]
+            c = counts[(s >> shift).astype(np.int64)].astype(np.int64)
             if k < n:
                 top = np.lexsort((s, c))[:k]
                 s, c = s[top], c[top]

@@ -207,6 +207,24 @@ def test_top_k_of_few_rows(spark):
     assert vafile.top_k(d, F.lit(False)).count() == 0
 
 
+@pytest.mark.parametrize("block", [8, 64, 2048])
+def test_top_k_of_repeated_ids_matches_sql(spark, block, monkeypatch):
+    monkeypatch.setattr(vafile, "BLOCK_ROWS", block)
+    monkeypatch.setattr(vafile, "QUERY_ROWS", 3)
+    rnd = np.random.default_rng(9)
+    v = [rnd.normal(size=8).tolist() for _ in range(130)]
+    rows = [(i, x) for i, x in enumerate(v)]
+    best = [10 * x for x in v[0]]
+    rows += [(0, best)] * 8 + [(203, best), (204, best)]  # a query's own copies before others of one vector
+    rows += [(7, v[50])] * 4 + [(8, [2 * x for x in v[50]])] * 3  # a neighbour that stands several times
+    rows += [(100, v[3]), (100, v[4]), (100, v[4])]  # a query id with several vectors
+    rows += [(300 + i, best) for i in range(20)]
+    d = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = vafile.top_k(d, F.col("vec_id") % 50 == 0)
+    assert _norm(got, ["query_id", "rank", "vec_id", "score"]) == _same(
+        spark, "op5_vector_approximation", {"embeddings": d})
+
+
 # ---- 9
 
 def test_held_out_quality(spark):

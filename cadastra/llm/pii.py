@@ -9,10 +9,13 @@ Generators propose spans with high recall; they may overlap:
 
 Boosted trees score every loose candidate from its format and the text around
 it. They are fitted on candidates of a bounded sample of documents
-(``SAMPLE_DOCS``), where a candidate is positive if a strict rule confirms it
-(a base rule with its checks, or a secret assigned to a name such as ``token``)
-and negative otherwise. A threshold per generator is calibrated on held-out
-candidates for ``PRECISION``; a generator that never gets there adds nothing.
+(``SAMPLE_DOCS``) and on up to ``RARE`` more feature patterns of each loose
+generator and label from all documents, so that a kind too rare for the sample
+is learnt too. A candidate is positive if a strict rule confirms it (a base
+rule with its checks, or a secret assigned to a name such as ``token``) and
+negative otherwise. A threshold per generator is calibrated for ``PRECISION``
+on the loose candidates of all documents; a generator that never gets there
+adds nothing.
 Added spans that overlap a base span are dropped, and of added spans that
 overlap one another the best score stays. The fitted trees become one SQL
 expression, so scoring needs no shuffle: everything happens in the row.
@@ -30,12 +33,13 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadastra.operators.materialize import materialize
 
 SAMPLE_DOCS = 4000
+RARE = 500  # feature patterns of a generator and label that are fitted beside the sample
 PRECISION = 0.95
 KINDS = ["email", "ip", "card", "phone", "secret", "number", "handle"]  # order within one start
 BASE = KINDS[:4]
@@ -173,27 +177,35 @@ class Scorer:
 
 
 def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, precision: float = PRECISION) -> Scorer:
-    """Fit trees and thresholds on the candidates of at most ``sample_docs`` documents (smallest id hashes)."""
+    """Fit trees on a bounded sample (smallest id hashes, and rare patterns) and thresholds on all documents."""
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.feature import VectorAssembler
 
     src = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("t"))
-    ids = src.where("id IS NOT NULL").select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(sample_docs)
-    ids = materialize(ids)  # at most sample_docs numbers: a proven bound for the broadcast
-    rows = _with_spans(src.join(F.broadcast(ids), "id"))
     strict = ("x.kind < 4 OR (x.kind = 4 AND x.lhs rlike " + _quote(_ASSIGNED) + ")"
               " OR exists(_base, b -> b.start = x.start AND b.stop = x.stop)")
     named = ", ".join(f"'{n}', {sql}" for n, sql in FEATURES.items())
-    cand = rows.select("id", F.explode(F.expr(
+    cand = _with_spans(src).select("id", F.explode(F.expr(
         f"transform(concat(_loose, _base), x -> named_struct('kind', x.kind, 'at', x.start,"
         f" 'label', cast({strict} as double), {named}))")).alias("c")).select("id", "c.*")
+    # numbers only, one row a candidate of all documents; a third of the ids is not fitted
     cand = materialize(cand.withColumn("held", F.pmod(F.xxhash64("id", F.lit(5)), F.lit(3)) == 0))
-    seen = {r[0] for r in cand.where("NOT held").select("label").distinct().collect()}
+    ids = src.where("id IS NOT NULL").select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(sample_docs)
+    ids = materialize(ids)  # at most sample_docs numbers: a proven bound for the broadcast
+    names = list(FEATURES)
+    fitted = cand.where("NOT held").join(F.broadcast(ids), "id", "left_semi")
+    pattern = Window.partitionBy("kind", "label").orderBy(F.xxhash64(*names), *names)
+    rare = cand.where("NOT held AND kind >= 4").select("kind", "label", *names).distinct().withColumn(
+        "_n", F.row_number().over(pattern)).where(F.col("_n") <= RARE).drop("_n")
+    rare = rare.subtract(fitted.select("kind", "label", *names)).withColumns(
+        {"id": F.lit(None).cast("long"), "at": F.lit(None).cast("int")})
+    cols = ["id", "at", "kind", "label", *names]
+    fitted = materialize(fitted.select(cols).unionByName(rare.select(cols)))
+    seen = {r[0] for r in fitted.select("label").distinct().collect()}
     if len(seen) < 2:
         return Scorer()
-    names = list(FEATURES)
     vec = VectorAssembler(inputCols=names, outputCol="features")
-    fitted = cand.where("NOT held").orderBy("id", "at", "kind")
+    fitted = fitted.orderBy("id", "at", "kind", *names)
     model = GBTClassifier(labelCol="label", maxIter=8, maxDepth=3, stepSize=0.4, seed=7, maxBins=16).fit(
         vec.transform(fitted).select("features", "label"))
     trees = []
@@ -201,14 +213,15 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, precision: float = PREC
         lines = [x for x in tree.toDebugString.splitlines()[1:] if x.strip()]
         trees.append(f"{float(weight)!r}D * ({_tree_sql(lines, names)})")
     scorer = Scorer(" + ".join(trees))
-    held = cand.where("held AND kind >= 4").withColumn("f", F.struct(*names)).select(
+    loose = cand.where("kind >= 4").withColumn("f", F.struct(*names)).select(
         "kind", "label", F.expr(f"round(1D / (1D + exp(-2D * ({scorer.margin}))), 6)").alias("p"))
-    table = held.groupBy("kind", "p").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("good"))
+    table = loose.groupBy("kind", "p").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("good"))
     # a tree ensemble has few distinct scores: at most 8 ** trees, in practice some hundred
+    counts = table.collect()
     found: dict[int, float] = {}
     for kind in range(4, len(KINDS)):
         n = good = 0.0
-        for r in sorted((r for r in table.where(F.col("kind") == kind).collect()), key=lambda r: -r["p"]):
+        for r in sorted((r for r in counts if r["kind"] == kind), key=lambda r: -r["p"]):
             n, good = n + r["n"], good + r["good"]
             if good / n >= precision:
                 found[kind] = r["p"] - 1e-6

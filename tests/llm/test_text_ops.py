@@ -90,6 +90,21 @@ def test_pii_model_adds_spans_and_keeps_base_ones(spark):
     assert secrets > 3 and hits / secrets > 0.9
 
 
+def test_pii_rare_kind_is_found_beyond_the_sample(spark):
+    rnd = random.Random(3)
+    texts = [f"part {rnd.getrandbits(80):020x}a1 of build {rnd.randint(10**7, 10**9)}, mail a{i}@b.org" for i in range(600)]
+    keys = {}
+    for i in range(0, 600, 30):
+        keys[i] = f"{rnd.getrandbits(160):040x}"
+        texts[i] = f'set token = "{keys[i]}" here'
+    d = _docs(spark, texts)
+    for sample in (20, 600):  # the same secrets whether the sample holds some of them or all
+        scorer = pii.fit(d, sample_docs=sample)
+        assert pii.KINDS.index("secret") in scorer.thresholds
+        rows = {r["doc_id"]: r["spans"] for r in pii.report(d, scorer).collect()}
+        assert {i for i, x in rows.items() if "secret:" in x} == set(keys), sample
+
+
 def test_redaction_replaces_spans_and_length(spark):
     d = _docs(spark, ["call +1 (555) 010-9999 or a@b.co, é 1.2.3.4.", None, "", "none"])
     rows = {r["doc_id"]: r for r in pii.redact(d, pii.Scorer()).collect()}

@@ -45,6 +45,7 @@ PRIOR = 6.0
 SMOOTHING = 0.5
 CLIP = 6.0
 SEED = 17
+OFFSETS = np.linspace(-2.0, 0.2, 221)
 FALSE_REJECT_COST = 50.0  # a good document lost, against a bad one kept
 
 _TOKEN = re.compile(r"\w+|[^\w\s]+")
@@ -149,22 +150,37 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     plain = Weights(ratio, 0.0, 0.0)
     held = src.join(lab, src["_id"] == lab["_label_id"]).where(~fitted).select(
         "_quality", plain.column(F.col("text")).alias("w")).select("_quality", "w.log_weight", "w.n_grams")
-    found = held.limit(4 * max_labels).collect()  # bounded by the labels; repeated ids may add rows
-    return Weights(ratio, _offset(found))
+    sums = held.mapInArrow(_misjudged, "good boolean, at int, n long, wrong long").groupBy("good", "at").agg(
+        F.sum("n"), F.sum("wrong")).collect()  # at most two rows an offset of the grid, over every held-out row
+    return Weights(ratio, _offset(sums))
 
 
-def _offset(found) -> float:
-    """Offset with the least cost on held-out labels; the middle of the best ones, 0 without both kinds."""
-    good = np.array([(w, n) for q, w, n in found if q > 0], float).reshape(-1, 2)
-    bad = np.array([(w, n) for q, w, n in found if q <= 0], float).reshape(-1, 2)
-    if not len(good) or not len(bad):
+def _misjudged(batches) -> Iterator[pa.RecordBatch]:
+    """(quality, log weight, n-grams) of held-out rows in; per kind and offset the rows and the misjudged ones out."""
+    n, wrong = np.zeros(2, np.int64), np.zeros((2, len(OFFSETS)), np.int64)
+    for batch in batches:
+        good, w, grams = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+        good = good > 0
+        n += np.bincount(good.astype(np.int64), minlength=2)
+        for i, t in enumerate(OFFSETS):
+            rejected = PRIOR + w - t * grams < 0
+            wrong[0, i] += np.count_nonzero(~rejected & ~good)
+            wrong[1, i] += np.count_nonzero(rejected & good)
+    for kind in np.flatnonzero(n):
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([bool(kind)] * len(OFFSETS)), pa.array(range(len(OFFSETS)), pa.int32()),
+             pa.array([int(n[kind])] * len(OFFSETS), pa.int64()), pa.array(wrong[kind])], names=["good", "at", "n", "wrong"])
+
+
+def _offset(sums) -> float:
+    """Offset with the least cost on held-out labels; the middle of the best ones, -0.25 without both kinds."""
+    share = np.full((2, len(OFFSETS)), np.nan)
+    for good, at, n, wrong in sums:
+        share[int(good), at] = wrong / n
+    if np.isnan(share).any():
         return -0.25
-    grid = np.linspace(-2.0, 0.2, 221)
-    lost = [(PRIOR + good[:, 0] - t * good[:, 1] < 0).mean() for t in grid]
-    kept = [(PRIOR + bad[:, 0] - t * bad[:, 1] >= 0).mean() for t in grid]
-    cost = FALSE_REJECT_COST * np.array(lost) + np.array(kept)
-    best = grid[cost <= cost.min() + 1e-12]
-    return float(np.median(best))
+    cost = FALSE_REJECT_COST * share[1] + share[0]
+    return float(np.median(OFFSETS[cost <= cost.min() + 1e-12]))
 
 
 def sample_key(weight: Column, *identity: Column, seed: int = SEED) -> Column:

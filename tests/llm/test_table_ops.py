@@ -241,6 +241,24 @@ def test_held_out_quality(spark):
     assert kept == {r["doc_id"] for r in s.scored.withColumn("selected", s.selected()).where("selected").collect()}
 
 
+def test_offset_counts_every_held_out_row(spark):
+    ids = [r[0] for r in spark.range(40).where(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(2)) != 0).collect()]
+    fitted = [r[0] for r in spark.range(40).where(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(2)) == 0).collect()]
+    good, bad, names = "plain good words in a row", "### BAD !!! $$ 99", "doc_id long, text string"
+    rows = [(i, good) for i in fitted + ids[:1] * 400] + [(i, bad) for i in ids[1:5]]
+    labels = spark.createDataFrame([(i, int(i not in ids[1:5])) for i in fitted + ids[:5]], "doc_id long, quality int")
+    d = spark.createDataFrame(rows, names).coalesce(1)  # one held-out id fills the first 400 rows
+    cap = len(fitted) + 5  # all labels; four times as many rows would hold good ones only
+    once = spark.createDataFrame(sorted(set(rows)), names)
+    w = resampling.fit(d, labels, max_labels=cap)
+    assert w.offset != -0.25
+    plain = resampling.Weights(w.log_ratio, 0.0, 0.0)
+    held = once.where(F.col("doc_id").isin(ids[:5])).select("doc_id", plain.column(F.col("text")).alias("w")).select("doc_id", "w.*").collect()
+    cost = [sum(resampling.FALSE_REJECT_COST * (resampling.PRIOR + r[1] - t * r[2] < 0) if r[0] == ids[0]
+                else (resampling.PRIOR + r[1] - t * r[2] >= 0) / 4 for r in held) for t in resampling.OFFSETS]
+    assert math.isclose(w.offset, np.median(resampling.OFFSETS[np.array(cost) <= min(cost) + 1e-12]))
+
+
 def test_resampling_edges(spark):
     labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (2, 0, 0), (None, 1, 0), (3, None, 0), (77, 1, 1)], "doc_id long, quality int, toxic int")
     d = spark.createDataFrame([(1, "some good words", "en", "s", 1), (2, "!!! ### BAD", "en", "s", 1), (3, None, None, None, None), (4, "", "", "", 0),

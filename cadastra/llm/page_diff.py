@@ -61,6 +61,14 @@ _AWAY_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising",
                "sponsor", "sponsored", "subscribe", "subscription", "toolbar", "widget", "pagination", "pager", "skip", "login",
                "signup", "disqus", "paywall", "toc", "copyright"}
 _CLOSES_P = _BLOCK - {"html", "body", "li", "dd", "dt", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "summary"}
+# elements whose end tag may be omitted: what they close when they start, and inside which element
+_CELL = {"td", "th", "caption"}
+_ROW = _CELL | {"tr"}
+_LIST = _BLOCK - {"address", "div", "p", "li", "dd", "dt"}
+_CLOSES = {"li": ({"li"}, _LIST), "dd": ({"dd", "dt"}, _LIST), "dt": ({"dd", "dt"}, _LIST),
+           "td": (_CELL, {"table"}), "th": (_CELL, {"table"}), "tr": (_ROW, {"table"}),
+           **dict.fromkeys(("tbody", "thead", "tfoot"), (_ROW | {"tbody", "thead", "tfoot"}, {"table"}))}
+_P_WITHIN = {"html", "table", "td", "th", "caption", "button"}
 
 
 def _words(value: str) -> set[str]:
@@ -84,6 +92,19 @@ def lines(page: str | None) -> list[tuple[str, str, float]]:
         text.clear()
         linked = 0
 
+    def end_open(names: set[str], within: set[str]):
+        """Closes the open elements of these names that no element of ``within`` stands above."""
+        nonlocal place
+        low = None
+        for i in range(len(stack) - 1, -1, -1):
+            if stack[i][0] in names:
+                low = i
+            elif stack[i][0] in within:
+                break
+        if low is not None:
+            del stack[low:]
+            place = stack[-1][1] if stack else "body"
+
     def add(raw: str):
         nonlocal linked
         if raw:
@@ -128,6 +149,10 @@ def lines(page: str | None) -> list[tuple[str, str, float]]:
                     place = stack[-1][1] if stack else "body"
                     break
             continue
+        if name in _CLOSES:  # an end tag that was omitted
+            end_open(*_CLOSES[name])
+        if name in _CLOSES_P or name in ("li", "dd", "dt", "summary"):
+            end_open({"p"}, _P_WITHIN)
         if name in _VOID or m.group(3).rstrip().endswith("/"):
             continue
         if name == "body":  # whatever the head left open ends here
@@ -150,8 +175,6 @@ def lines(page: str | None) -> list[tuple[str, str, float]]:
         if inside != place or name in _BLOCK:
             if inside != place and name not in _BLOCK:
                 flush()
-            if name == "p":  # a paragraph ends where the next block starts
-                stack[:] = [x for x in stack if x[0] != "p" or x[1] != place]
             stack.append((name, inside))
             place = inside
     flush()

@@ -253,6 +253,19 @@ def test_main_text_by_markup():
     assert page_diff.main_text("plain", set()) == "plain"
 
 
+@pytest.mark.parametrize("page, want", [
+    ('<article><p class="notice">Ad<p>Real text<p>More</article>', "Real text\nMore"),
+    ('<article><p class="notice">Ad <span class="ad">x<h2>Head</h2>Text<p class="ad">Ad<hr>After</article>', "Head\nText\nAfter"),
+    ('<article><ul><li class="ad">Ad<li>One<ul><li>In<li class="ad">Ad</ul>Out<li>Two</ul>End</article>', "One\nIn\nOut\nTwo\nEnd"),
+    ('<article><dl><dt class="ad">Ad<dd>One<dt>Two<dd class="ad">Ad<p>Ad</dl>End</article>', "One\nTwo\nEnd"),
+    ('<article><table><tr class="ad"><td>Ad<td>Ad<tr><td class="ad">Ad<p>Ad<td>One</table>End</article>', "One\nEnd"),
+    ('<article><div class="ad"><p>Ad<p>Ad<ul><li>Ad</ul></div>Text</article>', "Text"),
+    ('<article><p>One<table><tr><td><p>Two<td><p class="ad">Ad</table>Three<p>Four</article>', "One\nTwo\nThree\nFour"),
+])
+def test_omitted_end_tags(page, want):
+    assert page_diff.main_text(page, set()) == want
+
+
 def test_common_lines_are_a_longest_common_subsequence():
     rnd = random.Random(5)
     for _ in range(200):

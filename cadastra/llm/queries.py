@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadastra.llm import (
-    mixing, ngram_join, packing, page_diff, pii, resampling, sketch, tokens, url_filter, vafile, wavelet,
+    collocations, kronecker, mixing, ngram_join, packing, page_diff, pii, resampling, sketch, suffix_arrays, tokens,
+    url_filter, vafile, wavelet,
 )
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -73,6 +74,20 @@ def op10_url_bloom_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, pages.where(host.rlike(LISTED_HOSTS)).select("url"), URL_RULES)
 
 
+def op11_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_arrays.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op12_count_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
+def op13_kronecker_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vec_id, label = F.col("vec_id"), F.col("label")
+    moved = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
+    return kronecker.mine(_table(spark, sf_dir, "embeddings"), vec_id % 100 == 0, moved)
+
+
 OP2_SQL = r"""
 WITH d AS (
   SELECT doc_id, source,
@@ -171,12 +186,97 @@ SELECT page_id, host, path, hit.r AS rule,
 FROM f
 """
 
+OP11_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM documents),
+b AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM benchmark),
+bw AS (
+  SELECT DISTINCT item_id, k, array_to_string(ws[i:i + k - 1], ' ') AS win
+  FROM (SELECT item_id, ws, least(len(ws), 10) AS k, unnest(range(1, len(ws) - least(len(ws), 10) + 2)) AS i
+        FROM b WHERE len(ws) > 0)),
+ks AS (SELECT DISTINCT k FROM bw),
+dw AS (
+  SELECT row, k, i, array_to_string(ws[i:i + k - 1], ' ') AS win
+  FROM (SELECT row, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM d JOIN ks ON len(ws) >= k)),
+hit AS (SELECT dw.row, dw.i, dw.k, bw.item_id FROM dw JOIN bw USING (k, win)),
+words AS (SELECT row, count(DISTINCT w) AS n_hit FROM (
+            SELECT DISTINCT row, unnest(range(i, i + k)) AS w FROM (SELECT DISTINCT row, i, k FROM hit)) GROUP BY row),
+names AS (SELECT row, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS names
+          FROM (SELECT DISTINCT row, item_id FROM hit) GROUP BY row)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (row) LEFT JOIN names USING (row)
+"""
+
+OP12_SQL = r"""
+WITH p AS (
+  SELECT row_number() OVER () AS piece, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+          '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+n AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM p GROUP BY lang),
+o AS (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM p, (VALUES (1), (2), (3), (4)) s(k) WHERE len(ws) >= k),
+f AS (SELECT lang, ws[i:i + k - 1] AS w, k, count(*) AS f FROM o GROUP BY ALL HAVING count(*) >= 30),
+c AS (
+  SELECT c.lang, c.w, c.k, c.f AS a, x.f AS l, y.f AS r, cut,
+    CAST((2000000 * CAST(c.f AS HUGEINT)) // (CAST(x.f AS HUGEINT) + y.f) AS BIGINT) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM f WHERE k >= 2) c
+  JOIN f x ON x.lang = c.lang AND x.w = c.w[1:cut]
+  JOIN f y ON y.lang = c.lang AND y.w = c.w[cut + 1:]),
+best AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY lang, w ORDER BY score, cut) = 1),
+inner_ AS (
+  SELECT DISTINCT lang, w[i:i + m - 1] AS w, f
+  FROM (SELECT lang, w, f, m, unnest(range(1, k - m + 2)) AS i FROM f, (VALUES (2), (3)) s(m) WHERE k > m)),
+gone AS (SELECT DISTINCT b.lang, b.w FROM best b JOIN inner_ i ON i.lang = b.lang AND i.w = b.w
+         WHERE 100 * CAST(i.f AS HUGEINT) >= 80 * CAST(b.a AS HUGEINT)),
+t AS (SELECT b.*, array_to_string(b.w, ' ') AS phrase FROM best b LEFT JOIN gone g ON g.lang = b.lang AND g.w = b.w
+      WHERE g.w IS NULL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM t)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l,
+  CAST(r AS BIGINT) AS r, n, score
+FROM ranked JOIN n USING (lang) WHERE rank <= 2000
+"""
+
+OP13_SQL = r"""
+WITH v AS (
+  SELECT row_number() OVER () AS row, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.row AS anchor, a.vec_id AS anchor_id, c.row, c.vec_id, a.label = c.label AS same,
+    CAST(list_inner_product(a.v, c.v) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.row <> c.row WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor, anchor_id, row AS positive, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id, row) <= 5),
+g AS (
+  SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor, p.positive ORDER BY s.score DESC, s.vec_id, s.row) AS rank
+  FROM p JOIN s ON s.anchor = p.anchor AND NOT s.same
+  WHERE 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM g WHERE rank <= 10
+"""
+
 QUERIES = {f.__name__: f for f in (
     op1_page_differencing, op2_source_mixing, op3_pii_boosting, op4_wavelet_shards, op5_vector_approximation,
-    op6_bottom_k_sketch, op7_binary_packing, op8_ngram_jaccard_join, op9_importance_resampling, op10_url_bloom_join)}
+    op6_bottom_k_sketch, op7_binary_packing, op8_ngram_jaccard_join, op9_importance_resampling, op10_url_bloom_join,
+    op11_suffix_arrays, op12_count_streams, op13_kronecker_negatives)}
 SQL = {
     "op2_source_mixing": OP2_SQL,
     "op5_vector_approximation": OP5_SQL,
     "op8_ngram_jaccard_join": OP8_SQL,
     "op10_url_bloom_join": OP10_SQL,
+    "op11_suffix_arrays": OP11_SQL,
+    "op12_count_streams": OP12_SQL,
+    "op13_kronecker_negatives": OP13_SQL,
 }

@@ -52,11 +52,11 @@ from pyspark.sql import functions as F
 
 from cadastra.operators.materialize import materialize
 
-CHUNK_WORDS = 1 << 21
+CHUNK_WORDS = 1 << 20
 RANGE_BYTES = 12 << 20  # text whose windows one range holds, about two million words
 MAX_RANGES = 1 << 14
 SAMPLE_STEP = 32  # every such window of a sampled text
-SAMPLES_PER_RANGE = 32
+SAMPLES_PER_RANGE = 64
 _BREAK = b"\xff"  # no byte of UTF-8
 _PIECES = bytes.maketrans(b".,;:!?\x0a\x0b\x0c\x0d\x09", _BREAK * 10 + b" ")
 
@@ -92,7 +92,7 @@ class _Chunk:
             return
         t.append(_BREAK)
         get = self.numbers.__getitem__
-        self.ids.append(np.fromiter(map(get, t), np.int64, len(t)))
+        self.ids.append(np.fromiter(map(get, t), np.int32, len(t)))
         self.lang.append(self.langs[lang.encode("utf-8", "surrogatepass")])
         self.lengths.append(len(t))
         self.held += len(t)
@@ -100,16 +100,17 @@ class _Chunk:
     def run(self):
         """(langs, words, columns, counts): the sorted distinct windows; column 0 is the language."""
         words = sorted(w for w in self.numbers if w != _BREAK)
-        rank = np.zeros(len(self.numbers) + 1, np.int64)
+        rank = np.zeros(len(self.numbers) + 1, np.int32)
         rank[[self.numbers[w] for w in words]] = np.arange(1, len(words) + 1)
         ids = rank[np.concatenate(self.ids)]
         langs = sorted(self.langs)
-        lang_rank = np.empty(len(langs), np.int64)
+        lang_rank = np.empty(len(langs), np.int32)
         lang_rank[[self.langs[x] for x in langs]] = np.arange(len(langs))
         lang = np.repeat(lang_rank[self.lang], self.lengths)
         cols = _windows(ids, self.size)
         real = ids > 0
-        cols, counts = collapse([lang[real]] + [c[real] for c in cols], np.ones(int(real.sum()), np.int64))
+        cols = [lang[real]] + [c[real] for c in cols]
+        cols, counts = collapse(cols, np.ones(len(cols[0]), np.int64))
         return langs, words, cols, counts
 
 
@@ -119,7 +120,8 @@ def _keys(cols: list[np.ndarray]) -> list[np.ndarray]:
     for c in cols:
         bits = max(1, int(c.max(initial=0)).bit_length())
         if keys and room >= bits:
-            keys[-1] = (keys[-1] << bits) | c
+            keys[-1] <<= bits
+            keys[-1] |= c
             room -= bits
         else:
             keys.append(c.astype(np.int64))
@@ -169,7 +171,7 @@ def _encode(langs, words, cols, counts) -> tuple:
 
 def _decode(size: int, n: int, body: bytes):
     raw = zstandard.ZstdDecompressor().decompress(body)
-    cols = [np.frombuffer(raw, "<u4", n, 4 * n * k).astype(np.int64) for k in range(size + 1)]
+    cols = [np.frombuffer(raw, "<i4", n, 4 * n * k) for k in range(size + 1)]
     return cols, np.frombuffer(raw, "<u8", n, 4 * n * (size + 1)).astype(np.int64)
 
 
@@ -207,17 +209,17 @@ def _merged(parts: list[tuple], size: int):
     langs = sorted(set().union(*(p[0] for p in parts)))
     rank = {w: i for i, w in enumerate(words, 1)}
     lang_rank = {w: i for i, w in enumerate(langs)}
-    all_cols, all_counts = [], []
-    for own_langs, own_words, n, body in parts:
-        cols, counts = _decode(size, n, body)
-        to = np.array([0] + [rank[w] for w in own_words.split(b"\n")], np.int64)
-        to_lang = np.array([lang_rank[x] for x in own_langs], np.int64)
-        all_cols.append([to_lang[cols[0]]] + [to[c] for c in cols[1:]])
-        all_counts.append(counts)
-    cols = [np.concatenate(c) for c in zip(*all_cols)]
-    del all_cols
-    cols, counts = collapse(cols, np.concatenate(all_counts))
-    return langs, words, cols, counts
+    total, at = sum(p[2] for p in parts), 0
+    cols, counts = [np.empty(total, np.int32) for _ in range(size + 1)], np.empty(total, np.int64)
+    while parts:  # a piece is dropped once its rows are in place
+        own_langs, own_words, n, body = parts.pop()
+        own, counts[at : at + n] = _decode(size, n, body)
+        to = np.array([0] + [rank[w] for w in own_words.split(b"\n")], np.int32)
+        cols[0][at : at + n] = np.array([lang_rank[x] for x in own_langs], np.int32)[own[0]]
+        for c, x in zip(cols[1:], own[1:]):
+            c[at : at + n] = to[x]
+        at += n
+    return langs, words, *collapse(cols, counts)
 
 
 def stretches(langs, words, cols, counts, size: int, min_count: int):
@@ -303,7 +305,7 @@ def counts(docs: DataFrame, max_words: int = 4, min_count: int = 30, lang_col: s
     shared = spark.sparkContext.broadcast(cuts)
     runs = src.mapInArrow(lambda it: _runs(it, shared, max_words, chunk_words),
                           "range int, langs array<binary>, words binary, n int, body binary")
-    streams = runs.repartition(len(cuts) + 1, "range").sortWithinPartitions("range")
+    streams = runs.repartitionById(len(cuts) + 1, "range").sortWithinPartitions("range")  # a range is a partition
     every = materialize(streams.mapInArrow(lambda it: _count(it, max_words, min_count),
                                            "lang string, n int, words array<string>, f long, open boolean"))
     joined = every.where("open").groupBy("lang", "n", "words").agg(F.sum("f").alias("f")).where(
@@ -383,7 +385,11 @@ def collocations(docs: DataFrame, max_words: int = 4, min_count: int = 30, top:
     longer = F.greatest("sx", "px").cast(wide) * F.lit(100)
     kept = scored.where((F.col("n") == max_words) | (longer < F.col("f").cast(wide) * F.lit(80))).select(
         "lang", F.concat_ws(" ", "words").alias("phrase"), F.col("f").alias("a"), "_c.l", "_c.r", "_c.score")
-    w = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), "phrase")
-    best = kept.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top)
+    # ranked in two steps: no task orders all phrases of a language, only the best ``top`` of each part of it
+    order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase")]
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    some = kept.withColumn("_part", F.pmod(F.xxhash64("phrase"), F.lit(parts)))
+    some = some.withColumn("_r", F.row_number().over(Window.partitionBy("lang", "_part").orderBy(*order))).where(F.col("_r") <= top)
+    best = some.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
     return best.join(totals, "lang").select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", F.col("_n").alias("n"), "score")

@@ -17,6 +17,7 @@ from cadastra.functions.safe import safe_div
 from cadastra.operators.joins import attach_one_row
 from cadastra.operators.materialize import known_rows
 from cadastra.operators.median import interpolated_medians
+from cadastra.operators.ordinal import by_metric, with_ordinal
 
 
 def filter_communes(score: DataFrame, department: str | None = None, property_type: str | None = None,
@@ -32,6 +33,11 @@ def filter_communes(score: DataFrame, department: str | None = None, property_ty
     return score.where(cond)
 
 
+def ranked_communes(score: DataFrame, **filters) -> DataFrame:
+    """D01 as shown: the filtered communes with their place by descending score, missing scores last."""
+    return with_ordinal(filter_communes(score, **filters), by_metric("opportunity_score", "code_commune", "type_local"))
+
+
 def national_medians(score: DataFrame) -> DataFrame:
     """Interpolated medians of income and population, one row per commune."""
     per_commune = score.groupBy("code_commune").agg(
@@ -156,15 +162,20 @@ def alternatives_kpis(summary: DataFrame, instrument: str | None = None) -> Data
     )
 
 
-def commune_kpis(score: DataFrame) -> DataFrame:
-    """Distinct communes, top commune by score, national price median."""
-    return score.agg(
+def commune_kpis(score: DataFrame, mart: DataFrame | None = None) -> DataFrame:
+    """Distinct communes, top commune by score, the three national medians.
+
+    ``score`` may be filtered; the medians of income and population are those of
+    the whole ``mart`` (``score`` itself if none is given).
+    """
+    kpis = score.agg(
         F.countDistinct("code_commune").alias("commune_count"),
         F.min_by(F.col("nom_commune"), F.when(F.col("opportunity_score").isNotNull(), F.struct(
             -F.col("opportunity_score"), F.col("code_commune"), F.col("type_local")))).alias("top_commune"),
         F.max("opportunity_score").alias("top_score"),
         F.max("national_median_price_per_sqm").alias("national_median_price_per_sqm"),
     )
+    return attach_one_row(kpis, national_medians(score if mart is None else mart), "left")
 
 
 def distinct_options(df: DataFrame, col: str) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 
 from cadastra.operators import assumptions, places
 from cadastra.plans.inputs import Inputs
+from cadastra.sources import document
 from cadastra.sources.export import export_json, manifest
 
 MARTS = ("commune_opportunity_score", "department_opportunity_score",
@@ -55,4 +56,7 @@ def export(marts: dict[str, DataFrame], out_root: str, params, exported_at: date
     )
     for name, df in lists.items():
         export_json(df, os.path.join(out_root, "json", "wealth_assumptions", name))
+    document.write(document.lines(
+        marts["equity_performance_summary"], marts["alternatives_performance_summary"],
+        marts["department_opportunity_score"], ts, params), os.path.join(out_root, "json", "wealth_assumptions", "document"))
     return meta

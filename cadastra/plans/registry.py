@@ -11,6 +11,7 @@ from __future__ import annotations
 import dataclasses
 import os
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -262,7 +263,7 @@ def _clamp_sql(x: str, lim: float, fb: float) -> str:
     return f"CASE WHEN {x} IS NULL OR isnan({x}) OR isinf({x}) THEN {fb} ELSE greatest(-{lim}, least({lim}, {x})) END"
 
 
-_BLEND_SQL = with_ctes(f"""
+_BLEND_SELECT = f"""
 SELECT e.*, a.*, n.*,
   {r6(_clamp_sql('e.etf_annualized_return', 0.2, 0.07))} AS pea_growth_rate,
   {r6(_clamp_sql('n.national_median_price_cagr', 0.15, 0.03))} AS real_estate_growth_rate,
@@ -277,7 +278,8 @@ CROSS JOIN (SELECT {r6('coalesce(m, 0.03)')} AS national_median_price_cagr,
                    m IS NULL AS national_median_price_cagr_is_fallback
             FROM (SELECT CAST(quantile_disc(median_price_cagr, 0.5) AS DOUBLE) AS m FROM dept_score
                   WHERE median_price_cagr IS NOT NULL)) n
-""")
+"""
+_BLEND_SQL = with_ctes(_BLEND_SELECT)
 
 
 @query("blended_assumptions", _BLEND_SQL)
@@ -388,7 +390,7 @@ def _best_sql(src: str, metric: str, key: str = "ticker") -> str:
 
 
 @query("group_kpis", with_ctes(f"""
-SELECT e.*, a.*, c.* FROM
+SELECT e.*, a.*, c.*, m.* FROM
  (SELECT count(*) AS ticker_count, count(CASE WHEN asset_type = 'stock' THEN 1 END) AS stock_count,
          count(CASE WHEN asset_type = 'etf' THEN 1 END) AS etf_count,
          {r6('avg(annualized_return)')} AS avg_return,
@@ -410,19 +412,141 @@ CROSS JOIN
          (SELECT nom_commune FROM commune_score WHERE opportunity_score IS NOT NULL
           ORDER BY opportunity_score DESC, code_commune, type_local LIMIT 1) AS top_commune,
          max(opportunity_score) AS top_score, max(national_median_price_per_sqm) AS national_median_price_per_sqm
-  FROM commune_score) c"""))
+  FROM commune_score) c
+CROSS JOIN
+ (SELECT {r6('national_median_income')} AS national_median_income,
+         {r6('national_median_population')} AS national_median_population FROM {_NAT_SQL}) m"""))
 def group_kpis(spark, sf):
     i = Inputs(spark, sf)
     e = serving.equity_kpis(i.equity_summary)
     a = serving.alternatives_kpis(i.alt_summary)
     a = a.select(*[F.col(c).alias(f"alt_{c}") for c in a.columns])
-    c = serving.commune_kpis(i.score)
+    c = serving.commune_kpis(i.score_table)
     j = attach_one_row(attach_one_row(e, a), c)
     rounded = ["avg_return", "avg_return_stock", "avg_return_etf", "avg_volatility", "alt_avg_return",
-               "alt_avg_volatility", "alt_avg_period_return"]
+               "alt_avg_volatility", "alt_avg_period_return", "national_median_income", "national_median_population"]
     return j.select(*[R(c) if c in rounded else c for c in j.columns])
 
 
+@query("ranked_communes", with_ctes("""
+SELECT row_number() OVER (ORDER BY opportunity_score DESC NULLS LAST, code_commune, type_local) AS ordinal,
+       code_commune, type_local, opportunity_score
+FROM commune_score WHERE type_local = 'A'"""))
+def ranked_communes(spark, sf):
+    """D01 with its sort: the place of each commune of one type."""
+    r = serving.ranked_communes(Inputs(spark, sf).score, property_type="A", enabled_types=["A", "R"])
+    return r.select("ordinal", "code_commune", "type_local", "opportunity_score")
+
+
+# 21 bars lie on both sides of the gate; a few weeks blown up to a year give numbers of any size, so logarithms are compared
+UNGATED_DAYS = 21
+
+
+def _ungated(spark, sf) -> Inputs:
+    return Inputs(spark, sf, td.TEST_PARAMS.with_(min_trading_days_for_return=UNGATED_DAYS))
+
+
+def _log_sql(c: str) -> str:
+    return r6(f"CASE WHEN {c} < 0 THEN -ln(1 - {c}) ELSE ln(1 + {c}) END")
+
+
+def _log(c: str):
+    x = F.col(c)
+    return F.round(F.when(x < 0, -F.log(F.lit(1.0) - x)).otherwise(F.log(F.lit(1.0) + x)), 6) + 0.0
+
+
+@query("performance_ungated", with_ctes(
+    "SELECT ticker, trading_days, first_price, last_price, "
+    + ", ".join(f"{_log_sql(c)} AS log_{c}" for c in ("annualized_return", "annualized_volatility", "sharpe_ratio"))
+    + ", max_drawdown_pct FROM alt_summary", min_days=UNGATED_DAYS))
+def performance_ungated(spark, sf):
+    """M18 on both sides of the gate: returns, volatility and ratio of the tickers that pass, nulls for the others."""
+    s = _ungated(spark, sf).alt_summary
+    logs = [_log(c).alias(f"log_{c}") for c in ("annualized_return", "annualized_volatility", "sharpe_ratio")]
+    return s.select("ticker", "trading_days", "first_price", "last_price", *logs, "max_drawdown_pct")
+
+
+_UNGATED_BLENDS = ["alternatives", "liquid"]
+
+
+@query("alternatives_blends", with_ctes(
+    "SELECT " + ", ".join(f"{_log_sql(f'{b}_annualized_{c}')} AS log_{b}_{c}" for b in _UNGATED_BLENDS for c in ("return", "volatility"))
+    + ", alternatives_count, liquid_count, alternatives_method, liquid_method, "
+    + r6(_clamp_sql("liquid_annualized_return", 0.2, 0.06)) + " AS alternatives_growth_rate, "
+    + _log_sql("k.r") + " AS log_avg_return, " + _log_sql("k.v") + " AS log_avg_volatility, best_return_ticker, best_sharpe_ticker FROM (SELECT "
+    + _blend_sql("alternatives", "true", 0.06, 0.35) + ", "
+    + _blend_sql("liquid", "liquidity = 'liquid'", 0.06, 0.35)
+    + " FROM alt_summary) b CROSS JOIN (SELECT avg(annualized_return) AS r, avg(annualized_volatility) AS v,"
+    " (SELECT ticker FROM alt_summary WHERE annualized_return IS NOT NULL ORDER BY annualized_return DESC, ticker LIMIT 1) AS best_return_ticker,"
+    " (SELECT ticker FROM alt_summary WHERE sharpe_ratio IS NOT NULL ORDER BY sharpe_ratio DESC, ticker LIMIT 1) AS best_sharpe_ticker"
+    " FROM alt_summary) k", min_days=UNGATED_DAYS))
+def alternatives_blends(spark, sf):
+    """A18, D13 and D14 of the alternatives with tickers that pass the gate: no fallback constants."""
+    i = _ungated(spark, sf)
+    summary = materialize(i.alt_summary)
+    blends = assumptions.alternatives_blends(summary, i.p)
+    k = serving.alternatives_kpis(summary).select(
+        F.col("avg_return").alias("k_return"), F.col("avg_volatility").alias("k_volatility"),
+        "best_return_ticker", "best_sharpe_ticker")
+    j = attach_one_row(blends, k)
+    rate = assumptions.clamp_or_fallback(F.col("liquid_annualized_return"), i.p.blended_return_limit, i.p.alternatives_fallback_return)
+    return j.select(
+        *[_log(f"{b}_annualized_{c}").alias(f"log_{b}_{c}") for b in _UNGATED_BLENDS for c in ("return", "volatility")],
+        "alternatives_count", "liquid_count", "alternatives_method", "liquid_method",
+        F.round(rate, 6).alias("alternatives_growth_rate"),
+        _log("k_return").alias("log_avg_return"), _log("k_volatility").alias("log_avg_volatility"),
+        "best_return_ticker", "best_sharpe_ticker")
+
+
+_ORDERED = {  # mart: metric, keys
+    "commune_opportunity_score": ("commune_score", "opportunity_score", ("code_commune", "type_local")),
+    "department_opportunity_score": ("dept_score", "median_opportunity_score", ("code_departement",)),
+    "equity_performance_summary": ("equity_summary", "annualized_return", ("ticker",)),
+    "alternatives_performance_summary": ("alt_summary", "annualized_return", ("ticker",)),
+}
+
+
+@query("mart_order", with_ctes(" UNION ALL ".join(
+    f"SELECT '{mart}' AS mart, concat_ws('|', {', '.join(keys)}) AS key, {metric} IS NULL AS missing,"
+    f" row_number() OVER (ORDER BY {metric} DESC NULLS LAST, {', '.join(keys)}) AS ordinal FROM {cte}"
+    for mart, (cte, metric, keys) in _ORDERED.items()), min_days=UNGATED_DAYS))
+def mart_order(spark, sf):
+    """The place of every row in each mart's published order, rows without a metric last."""
+    from cadastra.operators.ordinal import by_metric, with_ordinal
+
+    i = _ungated(spark, sf)
+    marts = dict(zip(_ORDERED, (i.score_table, i.dept_score, i.equity_summary, i.alt_summary)))
+    return landing.union_frames([
+        with_ordinal(marts[mart], by_metric(metric, *keys)).select(
+            F.lit(mart).alias("mart"), F.concat_ws("|", *keys).alias("key"), F.col(metric).isNull().alias("missing"), "ordinal")
+        for mart, (_, metric, keys) in _ORDERED.items()])
+
+
+@query("strict_casts", """
+WITH t AS (
+  SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice, l_shipdate, CASE l_linenumber
+    WHEN 1 THEN CAST(year(l_shipdate) AS VARCHAR) WHEN 2 THEN strftime(l_shipdate, '%Y-%m')
+    WHEN 3 THEN CAST(l_partkey AS VARCHAR) || 'd' WHEN 4 THEN '   ' WHEN 5 THEN '+' || CAST(l_partkey AS VARCHAR)
+    WHEN 6 THEN ' -' || CAST(l_partkey AS VARCHAR) || '.5 ' ELSE strftime(l_shipdate, '%Y-%m-%d') END AS raw
+  FROM lineitem)
+SELECT l_orderkey, l_linenumber, l_partkey, raw,
+  CASE WHEN l_linenumber >= 7 THEN CAST(l_shipdate AS DATE) END AS as_date,
+  CASE l_linenumber WHEN 1 THEN CAST(year(l_shipdate) AS DOUBLE) WHEN 5 THEN CAST(l_partkey AS DOUBLE)
+    WHEN 6 THEN -(l_partkey + CAST(0.5 AS DOUBLE)) END AS as_double,
+  CASE l_linenumber WHEN 1 THEN CAST(year(l_shipdate) AS BIGINT) WHEN 5 THEN CAST(l_partkey AS BIGINT) END AS as_bigint
+FROM t""")
+def strict_casts(spark, sf):
+    """Texts that are no date or number (a year, a month, a suffix, blanks, signs) over the whole table."""
+    from cadastra.operators.staging import strict_cast
+
+    part, n = F.col("l_partkey").cast("string"), F.col("l_linenumber")
+    raw = (F.when(n == 1, F.date_format("l_shipdate", "yyyy")).when(n == 2, F.date_format("l_shipdate", "yyyy-MM"))
+           .when(n == 3, F.concat(part, F.lit("d"))).when(n == 4, F.lit("   ")).when(n == 5, F.concat(F.lit("+"), part))
+           .when(n == 6, F.concat(F.lit(" -"), part, F.lit(".5 "))).otherwise(F.date_format("l_shipdate", "yyyy-MM-dd")))
+    t = td.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", raw.alias("raw"))
+    return t.select("*", *[strict_cast(t, "raw", to).alias(f"as_{to}") for to in ("date", "double", "bigint")])
+
+
 # --- quality and coverage --------------------------------------------------------------------------------
 # fixed values: the columns declared not null, by table
 NOT_NULL = {
@@ -573,7 +697,7 @@ def delimited_reference_income(spark, sf):
         F.col("disp_mediane").alias("Disp. médiane"),
     )
     raw.write.option("header", True).option("sep", ";").option("encoding", "ISO-8859-1").csv(path)
-    got = landing.read_delimited(spark, path)  # utf-8 first: the header decodes to U+FFFD, so latin-1
+    got = landing.read_delimited(spark, path)  # the header line is no utf-8, so its file is latin-1
     staged = stg_income(got.select(
         F.col("codgeo").alias("code_geographique"),
         F.col("libelle_geographique"),
@@ -582,6 +706,94 @@ def delimited_reference_income(spark, sf):
     return staged.select("code_insee", "nom_commune", "median_disposable_income")
 
 
+def _fresh(spark: SparkSession, name: str) -> str:
+    import uuid
+
+    return _scratch(spark, f"{name}-{uuid.uuid4().hex}")
+
+
+_MIXED = """
+SELECT code_insee, nom_commune, median_disposable_income, encoding FROM (
+  SELECT code_insee, nom_commune || CASE encoding WHEN 'ascii' THEN '' ELSE ' été Ã©' END AS nom_commune,
+         median_disposable_income, encoding
+  FROM income, (VALUES ('utf-8'), ('latin-1'), ('ascii')) e(encoding))"""
+
+
+@query("mixed_encodings", with_ctes(_MIXED))
+def mixed_encodings(spark, sf):
+    """Files of two encodings and delimiters in one folder, each told by its own bytes.
+
+    The names hold a pair of letters that is also valid utf-8, so only a file's
+    other values give it away.
+    """
+    from cadastra.operators.staging import stg_income
+
+    root = _fresh(spark, "mixed")
+    raw = td.raw_income(spark, sf)
+    kinds = {"utf-8": ("UTF-8", ";"), "latin-1": ("ISO-8859-1", ","), "ascii": ("UTF-8", ",")}
+    for name, (charset, sep) in kinds.items():
+        label = F.col("libelle_geographique")
+        label = label if name == "ascii" else F.concat(label, F.lit(" été Ã©"))
+        raw.select(F.col("code_geographique").alias("Code Géographique" if name != "ascii" else "code_geographique"),
+                   label.alias("libelle_geographique"), F.lit(name).alias("Encoding"),
+                   F.col("disp_mediane").alias("Disp. médiane" if name != "ascii" else "disp_mediane")).write.options(
+            header=True, sep=sep, encoding=charset).csv(f"{root}/{name}")
+    got = landing.read_delimited(spark, f"{root}/*")
+    staged = [stg_income(got.where(F.col("encoding") == name)).withColumn("encoding", F.lit(name)) for name in kinds]
+    return landing.union_frames(staged).select("code_insee", "nom_commune", "median_disposable_income", "encoding")
+
+
+@query("landed_marts", SQL["opportunity_score"])
+def landed_marts(spark, sf):
+    """The commune mart from delivered files alone.
+
+    The test tables are written as their sources publish them, landed into a
+    store in two loads, and the mart is built from the store and the seeds.
+    """
+    from cadastra.plans import landed
+
+    delivered, root = _fresh(spark, "delivered"), _fresh(spark, "store")
+    landed.deliver(spark, sf, delivered)
+    raw = td.raw_transactions(spark, sf)
+    first, last = raw.agg(F.min("source_year"), F.max("source_year")).first()
+    landed.land(spark, delivered, root, quality.expected_partitions(td.departments(spark, sf), first, last))
+    # the seeds were delivered beside the files
+    inputs = landed.LandedInputs(spark, root, td.TEST_PARAMS)
+    inputs.__dict__["departments"] = landing.read_delimited(spark, f"{delivered}/seeds/departements")
+    return _score_cols(inputs.score)
+
+
+_REPORT_YEAR = 1996  # fixed values of the fixture: one year, a department for each kind of file
+_REPORT = {"damaged": "3", "empty": "4", "missing": "5"}
+
+
+@query("load_report", with_ctes(f"""
+SELECT d.code_departement, CAST(y.year AS INTEGER) AS year,
+  CASE WHEN y.year = {_REPORT_YEAR} AND d.code_departement = '3' THEN 'damaged'
+       WHEN y.year = {_REPORT_YEAR} AND d.code_departement = '4' THEN 'empty'
+       WHEN y.year = {_REPORT_YEAR} AND d.code_departement = '5' OR c.n IS NULL THEN 'missing' ELSE 'landed' END AS status,
+  CAST(CASE WHEN y.year = {_REPORT_YEAR} AND d.code_departement IN ('3', '4', '5') THEN 0 ELSE coalesce(c.n, 0) END AS BIGINT)
+    AS rows_landed
+FROM depts d CROSS JOIN (SELECT unnest(range(min(year(l_shipdate)) - 1, max(year(l_shipdate)) + 1)) AS year FROM raw_tx) y
+LEFT JOIN (SELECT CAST(s_nationkey AS VARCHAR) AS dep, CAST(year(l_shipdate) AS INTEGER) AS yr, count(*) AS n
+           FROM raw_tx GROUP BY 1, 2) c ON c.dep = d.code_departement AND c.yr = y.year"""))
+def load_report(spark, sf):
+    """One damaged, one empty and one missing file beside the others; all others land."""
+    from cadastra.plans import landed
+    from cadastra.sources.store import RawStore, land_sales
+
+    delivered, root = _fresh(spark, "delivered"), _fresh(spark, "store")
+    raw = td.raw_transactions(spark, sf)
+    first, last = raw.agg(F.min("source_year") - 1, F.max("source_year")).first()
+    odd = (F.col("source_year") == _REPORT_YEAR) & F.col("source_departement").isin(*_REPORT.values())
+    landed.deliver_sales(raw.where(~odd), delivered)
+    for kind, data in {"damaged": landed.cut_short(), "empty": b""}.items():
+        landed.put_bytes(spark, f"{delivered}/year={_REPORT_YEAR}/dep={_REPORT[kind]}/part.csv.gz", data)
+    report = land_sales(RawStore(spark, root), delivered, quality.expected_partitions(td.departments(spark, sf), first, last),
+                        *landed.FIRST_LOAD, layout="hive")
+    return report.select("code_departement", "year", "status", "rows_landed")
+
+
 @query("export_manifest", with_ctes(
     "SELECT 'commune_opportunity_score' AS mart, (SELECT count(*) FROM commune_score) AS row_count UNION ALL "
     "SELECT 'department_opportunity_score', (SELECT count(*) FROM dept_score) UNION ALL "
@@ -597,6 +809,51 @@ def export_manifest(spark, sf):
     })
 
 
+_EXPORTED_AT = datetime(2024, 2, 1, tzinfo=timezone.utc)  # fixed value: the clock of the compared export
+
+
+@query("export_document", with_ctes(f"""
+SELECT 'pea_eligible' AS list, row_number() OVER (ORDER BY ticker) - 1 AS place, ticker AS code, name, asset_type AS kind,
+  {r6('annualized_return')} AS first_value, {r6('annualized_volatility')} AS second_value FROM equity_summary WHERE pea_eligible = true
+UNION ALL SELECT 'watchlist', row_number() OVER (ORDER BY ticker) - 1, ticker, name,
+  concat_ws('/', asset_class, instrument_type, liquidity), {r6('annualized_return')}, {r6('annualized_volatility')} FROM alt_summary
+UNION ALL SELECT 'by_department', row_number() OVER (ORDER BY code_departement) - 1, code_departement, nom_departement, NULL,
+  {r6('median_price_cagr')}, NULL FROM dept_score WHERE median_price_cagr IS NOT NULL
+UNION ALL SELECT 'header', 0, '2024-02-01T00:00:00+00:00', equity_method, liquid_method, national_median_price_cagr,
+  pea_growth_rate FROM ({_BLEND_SELECT})"""))
+def export_document(spark, sf):
+    """The written document, read back, parsed, and its lists told apart again."""
+    from cadastra.sources import document
+
+    i = Inputs(spark, sf)
+    path = _fresh(spark, "document")
+    equity, alts = materialize(i.equity_summary), materialize(i.alt_summary)
+    document.write(document.lines(equity, alts, i.dept_score, _EXPORTED_AT, i.p), path)
+    back = spark.read.text(path).select(
+        F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1).cast("int").alias("part"),
+        F.monotonically_increasing_id().alias("at"), F.col("value").alias("line"))
+    doc = document.text(back).select(F.from_json("document", document.SCHEMA).alias("d")).select("d.*")
+
+    def rows(name, lst, kind, first, second):
+        return doc.select(F.posexplode(lst).alias("place", "x")).select(
+            F.lit(name).alias("list"), F.col("place").cast("bigint").alias("place"),
+            F.coalesce(*[F.col(f"x.{c}") for c in (("code_departement",) if name == "by_department" else ("ticker",))]).alias("code"),
+            F.col("x.nom_departement" if name == "by_department" else "x.name").alias("name"), kind.alias("kind"),
+            F.round(first, 6).alias("first_value"), F.round(second, 6).alias("second_value"))
+
+    header = doc.select(
+        F.lit("header").alias("list"), F.lit(0).cast("bigint").alias("place"), F.col("exported_at").alias("code"),
+        F.col("equities.blended_default.method").alias("name"), F.col("alternatives.liquid_blended_default.method").alias("kind"),
+        F.round("real_estate.national_median_price_cagr", 6).alias("first_value"),
+        F.round("growth.pea_growth_rate", 6).alias("second_value"))
+    ret, vol = F.col("x.annualized_return"), F.col("x.annualized_volatility")
+    return landing.union_frames([
+        rows("pea_eligible", "equities.pea_eligible", F.col("x.asset_type"), ret, vol),
+        rows("watchlist", "alternatives.watchlist", F.concat_ws("/", "x.asset_class", "x.instrument_type", "x.liquidity"), ret, vol),
+        rows("by_department", "real_estate.by_department", F.lit(None).cast("string"), F.col("x.median_price_cagr"), F.lit(None).cast("double")),
+        header])
+
+
 # --- streaming -------------------------------------------------------------------------------------------
 @query("incremental_latest_wins", SQL["latest_wins_bars"])
 def incremental_latest_wins(spark, sf):

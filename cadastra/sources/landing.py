@@ -1,30 +1,56 @@
 """Landing: reading delivered files into raw tables, and the raw sinks.
 
 S01-S03 gzip CSV per (department, year) with lineage from the file path,
-S04/S05 delimiter and encoding detection, S07 parquet, S08/S09 wide bars to
+S04/S05 delimiter and encoding detection per file in one scan, S07 parquet, S08/S09 wide bars to
 long rows, S11 header names, S12 load stamp, S13/S14 append / replace
 sinks, S15 rows-written count from an observation (no second scan).
 """
 
 from __future__ import annotations
 
+import csv
+import functools
+import re
 from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.observation import Observation
 
-from cadastra.functions.names import normalize_columns
+from cadastra.functions.names import normalize_column_name, normalize_columns
+from cadastra.operators.materialize import materialize
+from cadastra.sources.files import first_lines, list_files
 
 # Candidate delimiters in the order tried, and encodings.
 DELIMITERS = (";", ",")
 ENCODINGS = ("utf-8", "iso-8859-1")  # iso-8859-1 is latin-1
-REPLACEMENT_CHAR = "�"
 
 
-def read_sales_csv(spark: SparkSession, root: str, layout: str = "files") -> DataFrame:
+_LAYOUTS = {  # path pattern, year and department in it
+    "files": ("/*/*.csv.gz", r"/(\d{4})/[^/]+\.csv\.gz$", r"/([^/]+)\.csv\.gz$"),
+    "hive": ("/*/*/*.csv.gz", r"/year=(\d{4})/", r"/dep=([^/]+)/"),
+}
+
+
+def _layout(layout: str) -> tuple[str, str, str]:
+    if layout not in _LAYOUTS:
+        raise ValueError(f"unknown layout {layout!r}")
+    return _LAYOUTS[layout]
+
+
+def delivered_files(spark: SparkSession, root: str, layout: str = "files") -> dict[str, tuple[str, int] | None]:
+    """Every delivered sales file with its (department, year); None where the path does not name a pair."""
+    glob, year_re, dep_re = _layout(layout)
+    out = {}
+    for f in list_files(spark, root + glob):
+        year, dep = re.search(year_re, f), re.search(dep_re, f)
+        out[f] = (dep.group(1), int(year.group(1))) if year and dep else None
+    return out
+
+
+def read_sales_csv(spark: SparkSession, root: str, layout: str = "files", files: Sequence[str] | None = None) -> DataFrame:
     """Every delivered sales file under ``root`` as all-string rows.
 
     ``layout="files"``: ``<root>/<year>/<department>.csv.gz`` (one file per
@@ -32,69 +58,96 @@ def read_sales_csv(spark: SparkSession, root: str, layout: str = "files") -> Dat
     (as Spark writes them). Lineage comes from each row's own file path, so
     one scan covers every pair. gzip is not splittable (one task per file):
     callers repartition before heavy work. Every file is read by its own
-    header: files are grouped by header line and the groups are united by
-    column name. A missing file is simply not matched, an empty file yields no
-    rows, and with nothing landed there are no rows (lineage columns only).
+    header: only first lines are read for that, files are grouped by them, and
+    the groups are united by column name. A missing file is simply not matched,
+    an empty file yields no rows, and with nothing landed there are no rows
+    (lineage columns only). ``files`` restricts the read to some of them.
     """
-    if layout == "files":
-        glob, year_re, dep_re = f"{root}/*/*.csv.gz", r"/(\d{4})/[^/]+\.csv\.gz$", r"/([^/]+)\.csv\.gz$"
-    elif layout == "hive":
-        glob, year_re, dep_re = f"{root}/*/*/*.csv.gz", r"/year=(\d{4})/", r"/dep=([^/]+)/"
-    else:
-        raise ValueError(f"unknown layout {layout!r}")
+    _, year_re, dep_re = _layout(layout)
     path = F.col("_metadata.file_path")
-    try:
-        lines = spark.read.text(glob).select(path.alias("file"), "value")
-        # gzip is not split, so a file is read by one task from its start: its first line is its header
-        heads = lines.groupBy("file").agg(F.first("value").alias("header"))
-        by_header: dict[str, list[str]] = {}
-        for r in heads.orderBy("file").collect():  # a short row for each file
-            by_header.setdefault(r["header"], []).append(r["file"])
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        by_header = {}
+    by_header: dict[bytes, list[str]] = {}
+    files = delivered_files(spark, root, layout) if files is None else files
+    for f, header in sorted(first_lines(spark, list(files)).items()):
+        by_header.setdefault(header.rstrip(b"\r"), []).append(f)
     if not by_header:
         return spark.createDataFrame([], "source_departement string, source_year int")
     groups = [
-        normalize_columns(spark.read.option("header", True).option("inferSchema", False).csv(files)).select(
+        spark.read.schema(_text_columns(header)).option("header", True).csv(same).select(
             "*",
             F.regexp_extract(path, dep_re, 1).alias("source_departement"),
             F.regexp_extract(path, year_re, 1).cast("int").alias("source_year"),
         )
-        for files in by_header.values()
+        for header, same in by_header.items()
     ]
     return union_frames(groups)
 
 
-def detect_delimiter(spark: SparkSession, path: str, encoding: str = "utf-8") -> str:
-    """The first candidate that splits the header into more than one column."""
+def _text_columns(header: bytes) -> T.StructType:
+    names = next(csv.reader([header.decode(ENCODINGS[0], "replace")]))
+    return T.StructType([T.StructField(normalize_column_name(n), T.StringType()) for n in names])
+
+
+def _decode(line: bytes) -> str:
+    try:
+        return line.decode(ENCODINGS[0])
+    except UnicodeDecodeError:
+        return line.decode(ENCODINGS[1])
+
+
+def header_delimiter(header: str) -> str:
+    """The first candidate that splits a header into more than one column."""
     for sep in DELIMITERS:
-        cols = spark.read.option("header", True).option("sep", sep).option("encoding", encoding).csv(path).columns
-        if len(cols) > 1:
+        if len(next(csv.reader([header], delimiter=sep), [])) > 1:
             return sep
-    raise ValueError(f"no delimiter among {DELIMITERS!r} splits the header of {path}")
+    raise ValueError(f"no delimiter among {DELIMITERS!r} splits the header {header!r}")
 
 
-def _has_replacement(df: DataFrame) -> bool:
-    if any(REPLACEMENT_CHAR in c for c in df.columns):
-        return True
-    joined = F.concat_ws("\u0001", *[F.col(f"`{c}`") for c in df.columns])
-    return df.where(F.instr(joined, REPLACEMENT_CHAR) > 0).limit(1).count() > 0
+def detect_delimiter(spark: SparkSession, path: str) -> str:
+    """S04 for a file: the delimiter of its header."""
+    lines = first_lines(spark, list_files(spark, path))
+    if not lines:
+        raise ValueError(f"no header in {path}")
+    return header_delimiter(_decode(lines[min(lines)]))
 
 
 def read_delimited(spark: SparkSession, path: str) -> DataFrame:
-    """All-string CSV, delimiter detected, utf-8 else latin-1.
+    """All-string CSV files, delimiter detected per file, each file utf-8 or else latin-1.
 
-    Spark does not raise on bad bytes; it decodes them to U+FFFD, so a
-    replacement character in the header or data means "re-read as latin-1".
+    The files are scanned once, as latin-1, which keeps every byte as one
+    character. The rows are written with the bytes as they came; a file is
+    utf-8 if all its values are, which one aggregate over the written flags
+    tells (a row per file), and its values are then decoded on read. Header
+    lines are decoded file by file; files with equal columns are one scan.
     """
-    for enc in ENCODINGS:
-        sep = detect_delimiter(spark, path, enc)
-        df = spark.read.option("header", True).option("sep", sep).option("encoding", enc).csv(path)
-        if enc == ENCODINGS[-1] or not _has_replacement(df):
-            return normalize_columns(df)
-    raise AssertionError("unreachable")
+    groups: dict[tuple[str, tuple[str, ...]], list[str]] = {}
+    latin_header: dict[str, bool] = {}
+    for f, line in sorted(first_lines(spark, list_files(spark, path)).items()):
+        header = _decode(line.rstrip(b"\r"))
+        sep = header_delimiter(header)
+        names = tuple(normalize_column_name(c) for c in next(csv.reader([header], delimiter=sep)))
+        groups.setdefault((sep, names), []).append(f)
+        latin_header[f] = header.encode(ENCODINGS[0]) != line.rstrip(b"\r")
+    if not groups:
+        raise ValueError(f"no header in {path}")
+    frames = []
+    for (sep, names), same in groups.items():
+        slots = [f"c{i}" for i in range(len(names))]  # two headers may fold to one name
+        rows = spark.read.schema(", ".join(f"{c} string" for c in slots)).option("header", True).option(
+            "sep", sep).option("encoding", ENCODINGS[1]).csv(same)
+        frames.append((slots, names, rows.select(F.col("_metadata.file_path").alias("_file"), *slots)))
+    out = []
+    for slots, names, rows in frames:
+        raw = {c: F.encode(F.col(c), ENCODINGS[1]) for c in slots}
+        ok = [F.coalesce(F.is_valid_utf8(raw[c].cast("string")), F.lit(True)) for c in slots]
+        kept = materialize(rows.withColumn("_utf8", functools.reduce(lambda a, b: a & b, ok)))
+        files = kept.groupBy("_file").agg(F.every("_utf8").alias("_all"))
+        latin = [f for f, is_latin in latin_header.items() if is_latin]  # a row per file, as the header lines
+        files = files.select("_file", (F.col("_all") & ~F.col("_file").isin(latin)).alias("_all"))
+        told = kept.join(F.broadcast(files), "_file")  # a row per file
+        out.append(told.select(*[
+            F.when(F.col("_all"), F.decode(raw[c], ENCODINGS[0])).otherwise(F.col(c)).alias(n)
+            for c, n in zip(slots, names)]))
+    return union_frames(out)
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -140,12 +193,12 @@ def stamp(df: DataFrame, batch_ts: datetime) -> DataFrame:
     return df.withColumn("_ingested_at", F.lit(batch_ts).cast("timestamp"))
 
 
-def _write(df: DataFrame, path: str, mode: str, partition_by: Sequence[str] = ()) -> int:
+def _write(df: DataFrame, path: str, mode: str, partition_by: Sequence[str] = (), only_delivered: bool = False) -> int:
     obs = Observation(f"rows_{mode}")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     w = observed.write.mode(mode)
     if partition_by:
-        w = w.partitionBy(*partition_by)
+        w = w.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic" if only_delivered else "static")
     w.parquet(path)
     return int(obs.get["rows"])
 
@@ -155,6 +208,9 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
     return _write(df, path, "append", partition_by)
 
 
-def replace(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
-    """Replace a reference raw table; returns rows written."""
-    return _write(df, path, "overwrite", partition_by)
+def replace(df: DataFrame, path: str, partition_by: Sequence[str] = (), only_delivered: bool = False) -> int:
+    """Replace a reference raw table; returns rows written.
+
+    ``only_delivered``: replace the partitions that ``df`` holds, keep the others.
+    """
+    return _write(df, path, "overwrite", partition_by, only_delivered)

@@ -1,7 +1,7 @@
 """Declarative data-quality checks (Q01-Q05, J12) and the coverage audit.
 
-Each check is one aggregate or anti-join; ``run_checks`` unions one row per
-check (name, failing rows, passed) without collecting data to the driver.
+All checks of all tables are one aggregation over marks that the rows leave;
+``run_checks`` gives one row per check (name, failing rows, passed).
 """
 
 from __future__ import annotations
@@ -27,63 +27,52 @@ class Check:
         return f"{self.kind}:{self.table}.{'+'.join(self.columns)}{tail}"
 
 
-def _failing(tables: dict[str, DataFrame], c: Check) -> DataFrame:
-    df = tables[c.table]
-    if c.kind == "not_null":
-        return df.agg(F.count(F.when(F.col(c.columns[0]).isNull(), True)).alias("failing_rows"))
-    if c.kind in ("unique", "unique_combination"):
-        keyed = df.where(F.col(c.columns[0]).isNotNull()) if c.kind == "unique" else df
-        dup = keyed.groupBy(*c.columns).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
-        return dup.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("failing_rows"))
-    if c.kind == "relationship":
-        ref = tables[c.ref_table].select(F.col(c.ref_column).alias(c.columns[0]))
-        orphans = df.where(F.col(c.columns[0]).isNotNull()).join(ref, c.columns[0], "left_anti")
-        return orphans.agg(F.count(F.lit(1)).alias("failing_rows"))
-    raise ValueError(f"unknown check kind {c.kind}")
+def _marks(table: str, checks: Sequence[Check]) -> list:
+    """What a row of ``table`` adds to each check: (check, key, rows that fail or must be unique, rows referred to)."""
+    def mark(c: Check, key, n, ref=0, when=F.lit(True)):
+        keys = key.cast("array<string>")
+        return F.when(when, F.struct(F.lit(c.name).alias("check"), keys.alias("key"), F.lit(n).alias("n"), F.lit(ref).alias("ref")))
 
-
-def run_checks(tables: dict[str, DataFrame], checks: Sequence[Check], share: bool = True) -> DataFrame:
+    out = []
+    for c in checks:
+        first = F.col(f"`{c.columns[0]}`")
+        key = F.array(*[F.col(f"`{x}`").cast("string") for x in c.columns])
+        if c.table == table:
+            if c.kind == "not_null":
+                out.append(mark(c, F.array(), 1, when=first.isNull()))
+            elif c.kind in ("unique", "unique_combination"):
+                out.append(mark(c, key, 1, when=first.isNotNull() if c.kind == "unique" else F.lit(True)))
+            elif c.kind == "relationship":
+                out.append(mark(c, key, 1, when=first.isNotNull()))
+            else:
+                raise ValueError(f"unknown check kind {c.kind}")
+        if c.ref_table == table:
+            ref = F.col(f"`{c.ref_column}`")
+            out.append(mark(c, F.array(ref.cast("string")), 0, 1, when=ref.isNotNull()))
+    return out
+
+
+def run_checks(tables: dict[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
     """Q05: one row per check: check, failing_rows, passed.
 
-    All not-null checks of one table share a single aggregate pass. With
-    ``share``, a table read by more than one check is written once to the
-    shared checkpoint folder, so checks never recompute its lineage.
+    Every table is read once: a row yields a mark for each check it takes part
+    in, a key for unique and relationship checks, and a mark without key for a
+    null. Marks of all checks are summed by (check, key) in one shuffle, after
+    map-side sums, and nothing of a table is written or kept.
     """
-    uses: dict[str, int] = {}
-    cols: dict[str, set[str]] = {}
-    for c in checks:
-        uses[c.table] = uses.get(c.table, 0) + 1
-        cols.setdefault(c.table, set()).update(c.columns)
-        if c.ref_table:
-            uses[c.ref_table] = uses.get(c.ref_table, 0) + 1
-            cols.setdefault(c.ref_table, set()).add(c.ref_column)
-    if share:
-        from cadastra.operators.materialize import materialize
-
-        # only the columns the checks read are written (a narrow projection of the table)
-        tables = {
-            k: (materialize(v.select(*sorted(cols[k]))) if uses.get(k, 0) > 1 else v)
-            for k, v in tables.items()
-        }
-
-    rows: list[DataFrame] = []
-    by_table: dict[str, list[Check]] = {}
-    for c in checks:
-        if c.kind == "not_null":
-            by_table.setdefault(c.table, []).append(c)
-        else:
-            rows.append(_failing(tables, c).select(
-                F.lit(c.name).alias("check"), F.col("failing_rows").cast("bigint").alias("failing_rows")))
-    for t, cs in by_table.items():
-        counts = tables[t].agg(*[F.count(F.when(F.col(c.columns[0]).isNull(), True)).alias(f"_c{i}")
-                                 for i, c in enumerate(cs)])
-        stacked = F.explode(F.array(*[F.struct(F.lit(c.name).alias("check"),
-                                               F.col(f"_c{i}").cast("bigint").alias("failing_rows"))
-                                      for i, c in enumerate(cs)]))
-        rows.append(counts.select(stacked.alias("_r")).select("_r.check", "_r.failing_rows"))
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
+    marks = None
+    for name, df in tables.items():
+        of_row = _marks(name, checks)
+        if of_row:
+            m = df.select(F.explode(F.array_compact(F.array(*of_row))).alias("_m")).select("_m.*")
+            marks = m if marks is None else marks.unionByName(m)
+    spark = next(iter(tables.values())).sparkSession
+    unique = [c.name for c in checks if c.kind in ("unique", "unique_combination")]
+    per_key = marks.groupBy("check", "key").agg(F.sum("n").alias("n"), F.sum("ref").alias("ref"))
+    fails = F.when(F.col("check").isin(unique), F.col("n") > 1).otherwise(F.col("ref") == 0)
+    failing = per_key.groupBy("check").agg(F.sum(F.when(fails, F.col("n")).otherwise(0)).alias("failing_rows"))
+    names = spark.createDataFrame([(c.name,) for c in checks], "check string")  # a row per declared check
+    out = names.join(failing, "check", "left").select("check", F.coalesce("failing_rows", F.lit(0)).cast("bigint").alias("failing_rows"))
     return out.withColumn("passed", F.col("failing_rows") == 0)
 
 

@@ -16,7 +16,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadastra.operators import assumptions, places, quality, serving, series
+from cadastra.operators import assumptions, histograms, places, quality, serving, series
 from cadastra.operators.joins import attach_one_row
 from cadastra.operators.materialize import known_rows, materialize
 from cadastra.plans.inputs import Inputs
@@ -328,6 +328,32 @@ def filtered_department_medians(spark, sf):
         "median_score", F.round("median_score", 6))
 
 
+_HISTOGRAM_FILTERS = {"A": ("A",), "both": ("A", "R")}
+
+
+@query("histogram_department_medians", with_ctes(" UNION ALL ".join(f"""
+SELECT '{name}' AS filter, code_departement, min(nom_departement) AS nom_departement,
+       {r6('median(opportunity_score)')} AS median_score, count(DISTINCT code_commune) AS commune_count
+FROM commune_score WHERE type_local IN ({', '.join(repr(t) for t in types)}) GROUP BY code_departement"""
+                                                                    for name, types in _HISTOGRAM_FILTERS.items())))
+def histogram_department_medians(spark, sf):
+    """D05 for two filters, merged from histograms; the mart is read once to build them."""
+    h = histograms.build(Inputs(spark, sf).score_table)
+    return landing.union_frames([
+        histograms.department_medians(h, types=types).select(
+            F.lit(name).alias("filter"), "code_departement", "nom_departement", R("median_score"), "commune_count")
+        for name, types in _HISTOGRAM_FILTERS.items()])
+
+
+@query("histogram_national_medians", with_ctes(
+    f"SELECT {r6('national_median_income')} AS national_median_income,"
+    f" {r6('national_median_population')} AS national_median_population FROM {_NAT_SQL}"))
+def histogram_national_medians(spark, sf):
+    """D02 from the same histograms."""
+    m = histograms.national_medians(histograms.build(Inputs(spark, sf).score_table))
+    return m.select(R("national_median_income"), R("national_median_population"))
+
+
 @query("map_scale", with_ctes(f"""
 SELECT code_departement, median_opportunity_score,
   {r6('CASE WHEN median_opportunity_score IS NULL THEN NULL WHEN hi - lo > 0 THEN (median_opportunity_score - lo) / (hi - lo) ELSE 0.5 END')} AS scaled
@@ -875,6 +901,24 @@ def incremental_latest_wins(spark, sf):
     return stg_prices(incremental.read_current(spark, f"{base}/table", schema, keys, order), order).select(*BAR_COLS)
 
 
+@query("merged_latest_wins", SQL["latest_wins_bars"])
+def merged_latest_wins(spark, sf):
+    """R01 as a merge: two deliveries, each merged into the months it touches; reading ranks nothing."""
+    from cadastra.operators.staging import stg_prices
+    from cadastra.streaming import incremental
+
+    base = _fresh(spark, "merge")
+    raw = td.raw_alternative_prices(spark, sf)
+    raw = raw.withColumn("_tb_event", F.col("_tiebreak.event_id")).drop("_tiebreak")
+    order = [F.col("_ingested_at").desc(), F.col("_tb_event").desc()]
+    for k, odd in enumerate((1, 0)):
+        raw.where(F.pmod("_tb_event", F.lit(2)) == odd).write.mode("overwrite").parquet(f"{base}/landing/delivery={k}")
+        incremental.start_merge(spark, f"{base}/landing/*", raw.schema, f"{base}/table", f"{base}/checkpoint", ["ticker", "date"],
+                                order, F.date_format("date", "yyyy-MM")).awaitTermination()
+    # one row per key already: staging's own dedupe finds nothing to drop
+    return stg_prices(incremental.read_merged(spark, f"{base}/table", raw.schema), order).select(*BAR_COLS)
+
+
 # --- null keys -------------------------------------------------------------------------------------------
 def _null_key_sales(spark, sf):
     """Sales per (supplier or null, flag, year or null): every fifth supplier and every year after 1997 is null."""

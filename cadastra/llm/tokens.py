@@ -1,29 +1,35 @@
 """Token ids of whole texts with a ready-made tokenizer file (inside Spark tasks).
 
 ``encode`` gives the ids that ``Tokenizer.encode(text, add_special_tokens=False)``
-gives. A byte-level BPE never merges across its pre-tokens, and a run of
-non-space characters together with the one space before it starts and ends at
-pre-token boundaries whatever stands around it. So a text is cut into such
-chunks and into the white space between them, every distinct chunk is encoded
-once by the library, and a Python worker keeps the ids of the chunks it has
-seen (a bounded table; chunks beyond the bound are encoded again). Texts
-where that argument does not hold go to the library whole: those with a
-special token's string, or with a control character that Python and the
-library do not agree is white space. Other kinds of tokenizer files always go
-whole.
+gives. A byte-level BPE never merges across its pre-tokens, so a text can be
+cut at pre-token boundaries, every distinct piece encoded once by the library,
+and the pieces' ids joined. Where no white space stands beside white space, a
+space begins a pre-token, any other white space is one, and a full stop or
+comma between a letter or digit and a space is one: such texts are cut there
+with plain string functions. A text with runs of white space is cut into runs
+of other characters, each with the one space before it, and the white space
+between them. A Python worker keeps the ids of the pieces it has used lately
+(two generations of a bounded table). Texts where the argument does not hold go
+to the library whole: those with a special token's string, or with a control
+character that Python and the library do not agree is white space. Other kinds
+of tokenizer files always go whole.
 """
 
 from __future__ import annotations
 
+import gc
 import json
 import os
 import re
+from array import array
 
-import numpy as np
-
-CHUNK_CACHE = 400_000  # chunks whose ids a Python worker keeps
+CHUNK_CACHE = 350_000  # pieces of one generation of the table that a Python worker keeps; there are two
 _CHUNK = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 _ODD_SPACE = re.compile("[\x1c-\x1f\x85᠎​﻿]")
+_RUNS = re.compile(r"\s\s")
+_OTHER_SPACE = re.compile(r"[^\S \n]")
+_STOP_IN_RUN = re.compile(r"[\W_][.,] ")  # a stop that may belong to a longer pre-token
+_JOINED = "\x01"  # marks a piece that has no space before it
 _LOADED: dict[str, "ChunkEncoder"] = {}
 
 
@@ -47,36 +53,59 @@ class ChunkEncoder:
             and spec["model"]["type"] == "BPE" and not spec.get("normalizer")
             and not spec["model"].get("dropout"))
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        return [array("I", e.ids).tobytes() for e in found]
+
+    def _pieces(self, text: str) -> list[str]:
+        """Keys of the pieces of a text: a mark in front of a piece that stands there as it is, none for one after a space."""
+        if _RUNS.search(text) or _JOINED in text:
+            return [_JOINED + c for c in _CHUNK.findall(text)]
+        if not _STOP_IN_RUN.search(text) and text[1:2] != " ":
+            text = text.replace(". ", " \x01. ").replace(", ", " \x01, ")
+        text = text.replace("\n", " \x01\n \x01")
+        if _OTHER_SPACE.search(text):
+            text = _OTHER_SPACE.sub(" \x01\\g<0> \x01", text)
+        return (_JOINED + text).split(" ")
 
     def encode_many(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers; null is the empty text."""
-        out: list[bytes | None] = []
+        collecting = gc.isenabled()
+        gc.disable()  # strings and bytes hold no cycles; the collector would walk the table again and again
+        try:
+            return self._encode_many(texts)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def _encode_many(self, texts: list[str | None]) -> list[bytes]:
+        out: list[bytes] = [b""] * len(texts)
         whole: list[int] = []
-        chunked: list[tuple[int, list[str]]] = []
-        misses: dict[str, None] = {}
+        cut: list[tuple[int, list[str]]] = []
+        new: set[str] = set()
         for i, text in enumerate(texts):
-            out.append(b"")
             if not text:
                 continue
             if not self.by_chunk or _ODD_SPACE.search(text) or any(s in text for s in self.special):
                 whole.append(i)
                 continue
-            chunks = _CHUNK.findall(text)
-            chunked.append((i, chunks))
-            for c in chunks:
-                if c not in self.cache:
-                    misses[c] = None
-        fresh = dict(zip(misses, self._ids(list(misses)))) if misses else {}
-        room = CHUNK_CACHE - len(self.cache)
-        if room > 0:
-            self.cache.update(list(fresh.items())[:room])
-        get = self.cache.get
-        for i, chunks in chunked:
-            out[i] = b"".join([get(c) or fresh[c] for c in chunks])
+            pieces = self._pieces(text)
+            cut.append((i, pieces))
+            new.update(pieces)
+        new = new.difference(self.cache)
+        if new:
+            if len(self.cache) + len(new) > CHUNK_CACHE:  # pieces not used for a generation are forgotten
+                self.older, self.cache = self.cache, {}
+                new = set().union(*(p for _, p in cut))
+            older = self.older
+            unseen = [p for p in new if p not in older]
+            self.cache.update((p, older[p]) for p in new if p in older)
+            self.cache.update(zip(unseen, self._ids([p[1:] if p[:1] == _JOINED else " " + p for p in unseen])))
+        get = self.cache.__getitem__
+        for i, pieces in cut:
+            out[i] = b"".join(map(get, pieces))
         if whole:
             for i, ids in zip(whole, self._ids([texts[i] for i in whole])):
                 out[i] = ids
@@ -90,7 +119,7 @@ def encoder(path: str) -> ChunkEncoder:
     return _LOADED[path]
 
 
-def slices(texts: list[str | None], size: int = 64):
+def slices(texts: list[str | None], size: int = 256):
     """Consecutive slices of a batch, so that few texts' ids are in memory at once."""
     for at in range(0, len(texts), size):
         yield at, texts[at : at + size]

@@ -60,10 +60,10 @@ class WaveletMatrix:
         depth = max(1, int(ids.max()).bit_length()) if len(ids) else 1
         zeros, planes = [], []
         for level in range(depth - 1, -1, -1):
-            bit = ((ids >> np.uint32(level)) & np.uint32(1)).astype(bool)
+            bit = ids & np.uint32(1 << level) != 0
             planes.append(np.packbits(bit, bitorder="little"))
-            zeros.append(int(len(ids) - bit.sum()))
-            ids = np.concatenate([ids[~bit], ids[bit]])
+            zeros.append(len(ids) - int(np.count_nonzero(bit)))
+            ids = np.concatenate([np.compress(~bit, ids), np.compress(bit, ids)])
         return cls(len(ids), zeros, planes)
 
     def to_bytes(self) -> bytes:
@@ -148,7 +148,19 @@ class WaveletMatrix:
         return at
 
     def decode(self, lo: int = 0, hi: int | None = None) -> np.ndarray:
-        """Ids at positions ``lo`` to ``hi`` (exclusive), all planes at once."""
+        """Ids at positions ``lo`` to ``hi`` (exclusive), all planes at once.
+
+        For the whole file the stable partitions are undone from the last plane up.
+        """
+        if lo == 0 and hi in (None, self.n):
+            out = np.zeros(self.n, np.uint32)
+            for level, (bits, z) in enumerate(zip(reversed(self.planes), reversed(self.zeros))):
+                one = np.unpackbits(bits, count=self.n, bitorder="little").view(bool)
+                up = np.empty_like(out)
+                up[np.flatnonzero(~one)] = out[:z]
+                up[np.flatnonzero(one)] = out[z:] | np.uint32(1 << level)
+                out = up
+            return out
         i = np.arange(lo, self.n if hi is None else hi)
         out = np.zeros(len(i), np.uint32)
         for bits, z in zip(self.planes, self.zeros):

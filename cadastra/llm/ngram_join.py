@@ -47,6 +47,8 @@ BROADCAST_ROWS = 500_000  # rows of two or three numbers that are broadcast; bey
 DENSE = 200  # a column that adds to one cell in so many of a block product is multiplied as a dense one
 PRODUCT_CELLS = 1 << 20  # cells added at once, about
 PRODUCT_COLUMNS = 4096  # columns multiplied at once
+SLICE_TEXTS = 256  # texts whose shingles are in a task's memory at once
+KNOWN_SETS = 200_000  # signatures a task remembers, to pass over copies early
 
 
 def _need(n, percent: int):
@@ -56,23 +58,28 @@ def _need(n, percent: int):
 # ---- step 1: sizes, signatures, column counts --------------------------------------------
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE_TEXTS):
+            yield batch.slice(at, SLICE_TEXTS)
+
+
 def _scan(batches: Iterator[pa.RecordBatch], words: int, id_type: pa.DataType) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros(1 << COUNT_BITS, np.int64)
+    counts = np.zeros(1 << COUNT_BITS, np.uint32)  # documents of one task
     shift = np.uint64(64 - COUNT_BITS)
-    for batch in batches:
+    for batch in _slices(batches):
         sigs, sizes, hashes = [], [], []
         for text in batch.column(1).to_pylist():
             s = shingle_set(text, words)
             sizes.append(len(s))
             sigs.append(set_signature(s) if len(s) else None)
-            hashes.append(s >> shift)
-        if hashes:
-            np.add.at(counts, np.concatenate(hashes).astype(np.int64), np.int64(1))
+            hashes.append((s >> shift).astype(np.uint32))
+        np.add.at(counts, np.concatenate(hashes), np.uint32(1))
         k = len(sigs)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0).cast(id_type), pa.array(sigs, pa.int64()), pa.array(sizes, pa.int64()),
+            [batch.column(0).cast(id_type), batch.column(2), pa.array(sigs, pa.int64()), pa.array(sizes, pa.int64()),
              pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())],
-            names=["doc_id", "sig", "n", "part", "counts"])
+            names=["doc_id", "text_hash", "sig", "n", "part", "counts"])
     rows = []
     for part, c in enumerate(counts.reshape(-1, 1 << PART_BITS)):
         if top := int(c.max()):
@@ -81,9 +88,9 @@ def _scan(batches: Iterator[pa.RecordBatch], words: int, id_type: pa.DataType) -
     if rows:
         k = len(rows)
         yield pa.RecordBatch.from_arrays(
-            [pa.nulls(k, id_type), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()),
+            [pa.nulls(k, id_type), *[pa.nulls(k, pa.int64())] * 3,
              pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())],
-            names=["doc_id", "sig", "n", "part", "counts"])
+            names=["doc_id", "text_hash", "sig", "n", "part", "counts"])
 
 
 def _unpack(blob: bytes) -> np.ndarray:
@@ -122,7 +129,7 @@ def _heads(batches, words: int, percent: int, counts: np.ndarray, salt_rows: int
     shift = np.uint64(64 - COUNT_BITS)
     usual = 4 * int(counts.mean()) + salt_rows
     seen: set[int] = set()
-    for batch in batches:
+    for batch in _slices(batches):
         cols, sigs, sizes, salts = [], [], [], []
         for text in batch.column(0).to_pylist():
             s = shingle_set(text, words)
@@ -132,7 +139,7 @@ def _heads(batches, words: int, percent: int, counts: np.ndarray, salt_rows: int
             sig = set_signature(s)
             if sig in seen:  # a copy within this task: the same row of the matrix
                 continue
-            if len(seen) < 1_000_000:
+            if len(seen) < KNOWN_SETS:
                 seen.add(sig)
             k = n - _need(n, percent) + 1
             c = counts[(s >> shift).astype(np.int64)].astype(np.int64)
@@ -346,7 +353,24 @@ def _multiply(batches, words: int, percent: int) -> Iterator[pa.RecordBatch]:
 
 def _small(table: DataFrame) -> DataFrame:
     """A written table, marked for broadcast if its counted rows (of a few numbers) are within the bound."""
-    return F.broadcast(table) if (known_rows(table) or 0) <= BROADCAST_ROWS else table
+    n = known_rows(table)
+    return F.broadcast(table) if n is not None and n <= BROADCAST_ROWS else table
+
+
+def _texts(src: DataFrame, wanted: DataFrame) -> DataFrame:
+    """One text of every wanted set, written: sig, text. ``wanted`` (sig, rep, text_hash) is a written table.
+
+    A text is found by its id and its hash, so rows without id, or of one id,
+    do not meet each other's sets; only rows repeated as they are come more
+    than once, and then all but one of them go.
+    """
+    s, w = src.withColumn("text_hash", F.xxhash64("text")), _small(wanted)
+    found = materialize(s.join(w, s.doc_id.eqNullSafe(w.rep) & (s.text_hash == w.text_hash)).select("sig", "text"))
+    if known_rows(found) > known_rows(wanted):
+        once = materialize(found.dropDuplicates(["sig"]))
+        drop_table(found)
+        return once
+    return found
 
 
 # ---- the operator ------------------------------------------------------------------------
@@ -356,7 +380,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                        words: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
     """Near-duplicate components of a table of texts.
 
-    Returns ``rows`` (doc_id, sig, n: one per input row, written) and ``groups``
+    Returns ``rows`` (doc_id, text_hash, sig, n: one per input row, written) and ``groups``
     (sig, root, component_id: one per shingle set that is linked or repeated;
     ``component_id`` is the smallest id of the component). A row whose ``sig``
     is null (no words, null text) or not in ``groups`` is alone.
@@ -368,12 +392,15 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     spark = docs.sparkSession
 
-    scanned = materialize(src.mapInArrow(
-        lambda it: _scan(it, words, pa.int64()), "doc_id long, sig long, n long, part int, counts binary"))
+    scanned = materialize(src.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
+        lambda it: _scan(it, words, pa.int64()),
+        "doc_id long, text_hash long, sig long, n long, part int, counts binary"))
     counts = column_counts(scanned)
-    rows = scanned.where("part IS NULL").select("doc_id", "sig", "n")
+    rows = scanned.where("part IS NULL").select("doc_id", "text_hash", "sig", "n")
+    by_id = F.coalesce(F.col("doc_id").cast("decimal(20,0)"), F.lit(str(1 << 63)).cast("decimal(20,0)"))  # rows without id last
     classes = materialize(rows.where("sig IS NOT NULL").groupBy("sig").agg(
-        F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.count(F.lit(1)).alias("copies")))
+        F.min("doc_id").alias("rep"), F.min_by("text_hash", by_id).alias("text_hash"), F.max("n").alias("n"),
+        F.count(F.lit(1)).alias("copies")))
 
     heads = src.select("text").mapInArrow(
         lambda it: _heads(it, words, percent, counts, SALT_ROWS), "col long, salt int, sig long, n int")
@@ -396,9 +423,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         classes.select("sig", "n"), "sig")
     units = materialize(_pair_units(materialize(pairs)).union(_block_units(members, percent)))
 
-    wanted = materialize(units.select("sig").distinct().join(classes.select("sig", "rep"), "sig"))
-    wanted = _small(wanted)
-    texts = materialize(src.join(wanted, src.doc_id.eqNullSafe(wanted.rep)).select("sig", "text"))
+    texts = _texts(src, materialize(units.select("sig").distinct().join(classes.select("sig", "rep", "text_hash"), "sig")))
     links = materialize(
         _small(units).join(texts, "sig").select("unit", "side", "sig", "text")
         .repartition("unit").sortWithinPartitions("unit", "side")
@@ -440,22 +465,16 @@ def keep_one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> Data
     """
     from pyspark.sql import Window
 
-    _, groups = jaccard_components(docs, words=words, percent=percent)
-
-    @F.pandas_udf("long")
-    def signature(texts):
-        sets = [shingle_set(t, words) for t in texts]
-        import pandas as pd
-        return pd.Series([set_signature(s) if len(s) else None for s in sets], dtype="Int64")
-
+    rows, groups = jaccard_components(docs, words=words, percent=percent)
+    # equal texts have equal sets: a row finds its group by the hash of its text, and no text is shingled again
+    members = materialize(rows.join(groups, "sig").groupBy("text_hash").agg(
+        F.min(F.struct("root", "component_id")).alias("_g")).select("text_hash", "_g.root", "_g.component_id"))
     cols = docs.columns
     d = docs.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("_row"),
-                    signature(F.col("text").cast("string")).alias("_sig"))
-    key = F.coalesce(F.col("_sig"), F.xxhash64("_row.doc_id"))
-    d = d.withColumn("_k", key).join(
-        groups.select(F.col("sig").alias("_k"), F.col("root").alias("_root"), F.col("component_id").alias("_c")),
-        "_k", "left")
-    grouped = F.col("_sig").isNotNull() & F.col("_root").isNotNull()
+                    F.xxhash64(F.col("text").cast("string")).alias("_k"))
+    d = d.join(_small(members.select(
+        F.col("text_hash").alias("_k"), F.col("root").alias("_root"), F.col("component_id").alias("_c"))), "_k", "left")
+    grouped = F.col("_root").isNotNull()
     first = d.where(grouped & F.col("_row.doc_id").cast("long").eqNullSafe(F.col("_c")))
     order = Window.partitionBy("_root").orderBy(F.xxhash64("_row.text"), F.xxhash64("_row"))
     first = first.withColumn("_n", F.row_number().over(order)).where("_n = 1")

@@ -115,9 +115,10 @@ class Weights:
 
         @F.pandas_udf("log_weight double, n_grams long")
         def weigh(texts: pd.Series) -> pd.DataFrame:
-            found = [buckets(t) for t in texts]
-            n = np.array([len(b) for b in found], np.int64)
-            w = np.array([table[b].sum() for b in found], np.float64)
+            n, w = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.float64)
+            for i, t in enumerate(texts):  # text by text: the n-grams of one text are in memory at once
+                found = buckets(t)
+                n[i], w[i] = len(found), table[found].sum()
             return pd.DataFrame({"log_weight": np.round(prior + w - offset * n, 9), "n_grams": n})
 
         return weigh(text)

@@ -335,3 +335,24 @@ def test_pipeline_of_an_empty_table(spark):
     for _, stage in corpus_pipeline.STAGES:
         out = stage(spark, docs, SF)
         assert out.count() == 0
+
+
+def test_one_text_is_fetched_for_each_set_whatever_the_ids(spark, monkeypatch):
+    fetched = []
+    real = ngram_join._texts
+
+    def spy(src, wanted):
+        out = real(src, wanted)
+        fetched.append((out.count(), wanted.count()))
+        return out
+
+    monkeypatch.setattr(ngram_join, "_texts", spy)
+    rnd = random.Random(9)
+    base = [f"w{rnd.randrange(500)}" for _ in range(60)]
+    texts = _family(rnd, 200, base)
+    rows = [(None if i % 2 else 7, t, "en", "s", len(t)) for i, t in enumerate(texts)] + [(None, texts[1], "en", "s", 1)] * 50
+    got = ngram_join.near_duplicates(spark.createDataFrame(rows, DOCS))
+    assert got.count() == 250 and all(a == b for a, b in fetched)
+    kept = ngram_join.keep_one_of_each(spark.createDataFrame(rows, DOCS)).count()
+    roots = len({ngram_join.set_signature(shingles.shingle_set(t)) for t in texts})
+    assert 1 <= kept <= roots

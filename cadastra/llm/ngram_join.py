@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadastra.llm.components import connected_components
+from cadastra.llm.running import small_batches
 from cadastra.llm.shingles import set_signature, shingle_set
 from cadastra.operators.materialize import drop_table, known_rows, materialize
 
@@ -48,7 +49,7 @@ DENSE = 200  # a column that adds to one cell in so many of a block product is m
 PRODUCT_CELLS = 1 << 20  # cells added at once, about
 PRODUCT_COLUMNS = 4096  # columns multiplied at once
 SLICE_TEXTS = 256  # texts whose shingles are in a task's memory at once
-KNOWN_SETS = 200_000  # signatures a task remembers, to pass over copies early
+KNOWN_SETS = 100_000  # signatures a task remembers, to pass over copies early
 
 
 def _need(n, percent: int):
@@ -389,6 +390,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     not null, or null. Repeated rows and ids, extra columns and empty tables
     are fine.
     """
+    with small_batches(docs.sparkSession):  # every step with Python in it is written inside
+        return _components(docs, id_col, text_col, words, percent)
+
+
+def _components(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     spark = docs.sparkSession
 

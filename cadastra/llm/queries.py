@@ -65,7 +65,7 @@ def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = resampling.select(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
-    return s.scored.withColumn("selected", s.selected())
+    return s.scored.withColumn("selected", s.selected()).drop("text_hash")
 
 
 def op10_url_bloom_join(spark: SparkSession, sf_dir: str) -> DataFrame:

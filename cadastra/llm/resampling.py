@@ -36,10 +36,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cadastra.llm.running import small_batches
 from cadastra.llm.shingles import mix64
 from cadastra.operators.materialize import materialize
 
 BUCKET_BITS = 13
+WORD_CACHE = 100_000  # tokens whose hash a Python worker keeps
 MAX_LABELS = 20_000
 PRIOR = 6.0
 SMOOTHING = 0.5
@@ -67,7 +69,7 @@ class _Tokens(dict):
     def __missing__(self, token: str) -> int:
         h = xxhash.xxh3_64_intdigest(token.lower().encode("utf-8", "surrogatepass"))
         v = (h & ~0xFF) | _shape(token)
-        if len(self) < 200_000:
+        if len(self) < WORD_CACHE:
             self[token] = v
         return v
 
@@ -216,7 +218,7 @@ def kth_largest(df: DataFrame, column: str, k: int) -> float | None:
 class Selection:
     weights: Weights
     threshold: float | None
-    scored: DataFrame  # doc_id, n_grams, log_weight, sample_key of every row, written
+    scored: DataFrame  # doc_id, text_hash, n_grams, log_weight, sample_key of every row, written
 
     def selected(self) -> Column:
         return F.lit(True) if self.threshold is None else F.col("sample_key") >= self.threshold
@@ -224,11 +226,16 @@ class Selection:
 
 def select(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Selection:
     """Fit, weigh every row and find the k-th largest key."""
+    with small_batches(docs.sparkSession):
+        return _select(docs, labels, id_col, text_col)
+
+
+def _select(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> Selection:
     weights = fit(docs, labels, id_col, text_col)
     text, doc_id = F.col(text_col).cast("string"), F.col(id_col).cast("long")
     scored = docs.select(doc_id.alias("doc_id"), weights.column(text).alias("w"),
                          F.xxhash64(text).alias("t")).select(
-        "doc_id", "w.n_grams", "w.log_weight", sample_key(F.col("w.log_weight"), F.col("doc_id"), F.col("t")).alias("sample_key"))
+        "doc_id", F.col("t").alias("text_hash"), "w.n_grams", "w.log_weight", sample_key(F.col("w.log_weight"), F.col("doc_id"), F.col("t")).alias("sample_key"))
     scored = materialize(scored)
     k = scored.where("log_weight >= 0").count()
     return Selection(weights, kth_largest(scored, "sample_key", k), scored)
@@ -237,8 +244,8 @@ def select(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 def resample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the sample keeps, all columns as they were."""
     s = select(docs, labels)
-    text = F.col("_row.text").cast("string")
+    # rows of one id and one text have one key, so the written keys decide and no text is weighed again
+    kept = s.scored.where(s.selected()).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_t")).distinct()
     d = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
-    d = d.withColumn("w", s.weights.column(text))
-    key = sample_key(F.col("w.log_weight"), F.col("_row.doc_id").cast("long"), F.xxhash64(text))
-    return d.withColumn("sample_key", key).where(s.selected()).select("_row.*")
+    mine = F.col("_row.doc_id").cast("long").eqNullSafe(F.col("_id"))
+    return d.join(kept, mine & (F.xxhash64(F.col("_row.text").cast("string")) == F.col("_t")), "left_semi").select("_row.*")

@@ -7,10 +7,24 @@ its range's base to its own sum within the range.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1024):
+    """Rows go to Python workers in small batches while this holds: whole texts of many rows are large."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def range_bases(sums: DataFrame, part: str, value: str) -> DataFrame:
     """``(part, base)``: the sum of ``value`` over all smaller parts. One input row per part."""
     before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)

@@ -12,7 +12,7 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-WORD_CACHE = 200_000  # words whose hash a Python worker keeps
+WORD_CACHE = 100_000  # words whose hash a Python worker keeps
 _M = np.uint64(0x9E3779B97F4A7C15)
 
 

@@ -3,42 +3,63 @@
 Pages of a host are put in order of their URL path. A page's partner is the
 neighbour (before or after) that shares the longer start of the path. The
 text lines (blocks) of both are aligned by longest common subsequence, and
-lines they share are deleted: what a site repeats is not the article.
-
-Differencing alone is wrong in two ways, so the markup decides first:
-menus, headers, footers, sidebars, notices, adverts, forms, scripts and
-reader comments are known by their elements, roles and class names and go
-whether a neighbour repeats them or not; and inside ``article`` or ``main``
-a shared line stays (two articles may quote one passage), unless it is mostly
-link text. Where a page marks its main part, only lines inside it stay. A page
-all of whose remaining lines are shared (a copy under a second URL) keeps them.
-
-Only hashes of lines travel: pages are sorted by (host, path), written, and
-given the lines' hashes of their partner; the text itself is read again and
-joined with the numbers of its deleted lines. Equal rows are differenced once.
+lines they share are deleted: what a site repeats is not the article. A
+partner that shares more than ``COPY_SHARE`` of the lines may be a copy; then
+only lines that the other neighbour shares as well are deleted.
+
+Differencing alone is wrong in two ways, which the markup mends. Two articles
+may quote one passage: a line inside ``article`` or ``main`` that is not mostly
+link text is sure text and stays. And a site's menu, advert or footer may differ
+from page to page: menus, headers, footers, sidebars, notices, adverts, forms,
+scripts and reader comments known by their elements, roles and class names go
+even where no neighbour repeats them. Where a page marks its main part, only
+lines inside it stay. Every other line is doubtful, and differencing decides it.
+A page all of whose remaining lines are shared (a copy under a second URL) keeps
+them.
+
+The html is parsed once, where it is read. Pages are counted by (host, path,
+content) first, which cuts that order into at most ``RANGES`` ranges of like
+size; the lines that may stay, and the hashes of all lines, are shuffled by
+range, sorted there and differenced in passing. The first and last page of a
+range also go to the range beside it, as hashes. Equal rows (same url and html)
+are one page; one with more copies than a range has rows is differenced once,
+and its copies are given the text by a salted join.
 
 Null html: empty text. Null url: host and path are empty, such pages are a
 host of their own. Malformed markup is read leniently. Repeated ids and rows,
-extra columns and empty tables are fine.
+very long pages, extra columns with any names and empty tables are fine.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cadastra.llm.running import number_rows
+from cadastra.llm.running import range_bases
 from cadastra.llm.url_filter import split_url
 from cadastra.operators.materialize import materialize
 
+#: ranges of the order of all pages: two pages of each, without their text, are known to every task
+RANGES = 16384
+#: pages of a range, at least
+RANGE_ROWS = 1024
+#: a partner that shares more of a page's lines is asked together with the other neighbour
+COPY_SHARE = 0.8
+#: tasks that give the copies of one page its text
+SALTS = 16
+#: characters of text in one batch out
+OUT_CHARS = 1 << 22
+#: pages parsed at a time
+SLICE = 256
+
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
 _ATTR = re.compile(r"([A-Za-z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 _RAW = {n: re.compile(rf"</{n}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I)
@@ -225,20 +246,38 @@ def _lcs(a: np.ndarray, b: np.ndarray) -> list[int]:
     return _lcs(a[:half], b[:cut]) + [half + i for i in _lcs(a[half:], b[cut:])]
 
 
-# ---- the operator ---------------------------------------------------------------------------
+# ---- what the markup and the partners say ----------------------------------------------------
 
+# kinds of lines: sure text; kept unless shared; link text of a page without main part; gone in any case
+SURE, DOUBTFUL, LINKS, GONE = "sdlx"
 
-def _hashes(text: str) -> int:
-    return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
 
+def kinds(found: list[tuple[str, str, float]]) -> str:
+    """One letter for every line of a page."""
+    marked = any(place == "main" for _, place, _ in found)
+    out = []
+    for _, place, link in found:
+        if place != ("main" if marked else "body"):
+            out.append(GONE)
+        elif marked:
+            out.append(DOUBTFUL if link > 0.5 else SURE)
+        else:
+            out.append(LINKS if link > 0.5 else DOUBTFUL)
+    return "".join(out)
 
-def _scan(batches) -> Iterator[pa.RecordBatch]:
-    """(key, host, path, html) in; the lines' hashes instead of the html out."""
-    for batch in batches:
-        found = [[_hashes(t) for t, _, _ in lines(h)] for h in batch.column(3).to_pylist()]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), batch.column(2), pa.array(found, pa.list_(pa.int64()))],
-            names=["key", "host", "path", "hashes"])
+
+def keep(kind: str, wanted: list[str], shared: set[int]) -> str:
+    """The text: ``wanted`` holds the lines whose kind is not GONE."""
+    places = [(i, k) for i, k in enumerate(kind) if k != GONE]
+    kept = [t for (i, k), t in zip(places, wanted) if k == SURE or (k == DOUBTFUL and i not in shared)]
+    return "\n".join(kept or wanted)
+
+
+def main_text(page: str | None, shared: set[int]) -> str:
+    """Main text of one page, given the numbers of the lines its partner shares."""
+    found = lines(page)
+    kind = kinds(found)
+    return keep(kind, [t for (t, _, _), k in zip(found, kind) if k != GONE], shared)
 
 
 def _shared_start(a: str, b: str) -> int:
@@ -250,68 +289,184 @@ def _shared_start(a: str, b: str) -> int:
     return n
 
 
-def _delete(batches) -> Iterator[pa.RecordBatch]:
-    """A page beside its two neighbours in; numbers of the lines shared with the nearer one out."""
-    for batch in batches:
-        keys, out = [], []
-        for key, path, own, p_path, p_lines, n_path, n_lines in zip(*(batch.column(i).to_pylist() for i in range(7))):
-            before = _shared_start(path, p_path) if p_lines is not None else -1
-            after = _shared_start(path, n_path) if n_lines is not None else -1
-            if max(before, after) < 0 or not own:
-                continue
-            partner = p_lines if before >= after else n_lines
-            drop = common(np.array(own, np.int64), np.array(partner, np.int64))
-            if drop:
-                keys.append(key)
-                out.append(drop)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(keys, pa.string()), pa.array(out, pa.list_(pa.int32()))], names=["key", "shared"])
-
-
-def shared_lines(pages: DataFrame) -> DataFrame:
-    """(key, shared) of distinct pages (key, url, html): line numbers also found in the nearest page of the host."""
-    host, path = split_url(F.col("url"))
-    src = pages.select("key", host.alias("host"), path.alias("path"), "html")
-    narrow = src.mapInArrow(_scan, "key string, host string, path string, hashes array<long>").dropDuplicates(["key"])
-    order = [F.col("host"), F.col("path"), F.col("key")]
-    n = materialize(number_rows(narrow, order, "at"))
-    one = n.select("at", "host", "path", "hashes")
-    before = one.select((F.col("at") + 1).alias("at"), F.col("host").alias("b_host"), F.col("path").alias("b_path"), F.col("hashes").alias("b_hashes"))
-    after = one.select((F.col("at") - 1).alias("at"), F.col("host").alias("a_host"), F.col("path").alias("a_path"), F.col("hashes").alias("a_hashes"))
-    j = n.join(before, "at", "left").join(after, "at", "left")
-    b, a = F.col("b_host") == F.col("host"), F.col("a_host") == F.col("host")
-    j = j.select("key", "path", "hashes", F.when(b, F.col("b_path")), F.when(b, F.col("b_hashes")),
-                 F.when(a, F.col("a_path")), F.when(a, F.col("a_hashes")))
-    return j.mapInArrow(_delete, "key string, shared array<int>")
+def shared_lines(path: str, own: np.ndarray, before: tuple[str, np.ndarray] | None,
+                 after: tuple[str, np.ndarray] | None) -> set[int]:
+    """Numbers of the lines to delete, given the (path, line hashes) of the neighbours on the host."""
+    near = [p for p in (before, after) if p is not None]
+    if not near or not len(own):
+        return set()
+    near.sort(key=lambda p: -_shared_start(path, p[0]))  # of two alike the one before is first
+    drop = set(common(own, near[0][1]))
+    if len(near) == 2 and len(drop) > COPY_SHARE * len(own):
+        drop &= set(common(own, near[1][1]))
+    return drop
 
 
-def main_text(page: str | None, shared: set[int]) -> str:
-    """Main text of one page, given the numbers of the lines its partner shares."""
-    found = lines(page)
-    marked = any(place == "main" for _, place, _ in found)
-    wanted = [(i, t, link) for i, (t, place, link) in enumerate(found) if place == ("main" if marked else "body")]
-    if marked:
-        kept = [t for i, t, link in wanted if not (i in shared and link > 0.5)]
-    else:
-        kept = [t for i, t, link in wanted if i not in shared and link <= 0.5]
-    return "\n".join(kept or [t for _, t, _ in wanted])
+# ---- the operator ---------------------------------------------------------------------------
+
+
+def _hash(text: str) -> int:
+    return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
+
+
+_PARSED = "url string, host string, path string, key binary, whole boolean, range int, hashes array<long>, kinds string, text string"
+_COUNTS = ["n_shared_lines", "n_deleted_lines", "n_decided_lines"]
+
+
+def _parse(ranges: list[tuple[tuple[str, str, bytes], tuple[str, str, bytes]]]):
+    """Parses pages (page_id, url, host, path, key, whole, html) and deals them to their ranges."""
+    lows = [low for low, _ in ranges]
+    guests: dict[bytes, list[int]] = {}  # edge pages that the range beside must know
+    for r in range(1, len(ranges)):
+        last, first = ranges[r - 1][1], ranges[r][0]
+        if last[0] == first[0]:
+            guests.setdefault(last[2], []).append(r)
+            guests.setdefault(first[2], []).append(r - 1)
+
+    def parse(batches) -> Iterator[pa.RecordBatch]:
+        sent: set[bytes] = set()
+        for batch in (b.slice(i, SLICE) for b in batches for i in range(0, b.num_rows, SLICE)):
+            url, host, path, key, whole = (batch.column(i).to_pylist() for i in range(1, 6))
+            at, hashes, kind, text, guest = [], [], [], [], []
+            for i, page in enumerate(batch.column(6)):
+                found = lines(page.as_py())
+                k = kinds(found)
+                at.append(bisect_right(lows, (host[i], path[i], key[i])) - 1)
+                hashes.append([_hash(t) for t, _, _ in found])
+                kind.append(k)
+                text.append("\n".join(t for (t, _, _), x in zip(found, k) if x != GONE))
+                if key[i] in guests and key[i] not in sent:
+                    sent.add(key[i])
+                    guest += [(i, r) for r in guests[key[i]]]
+            extra = [i for i, _ in guest]
+            ids = pa.concat_arrays([batch.column(0), pa.nulls(len(extra), batch.column(0).type)])
+            yield pa.RecordBatch.from_arrays([
+                ids, *(pa.array(v + [v[i] for i in extra], t) for v, t in
+                       ((url, pa.string()), (host, pa.string()), (path, pa.string()), (key, pa.binary()))),
+                pa.array(whole + [None] * len(extra), pa.bool_()),
+                pa.array(at + [r for _, r in guest], pa.int32()),
+                pa.array(hashes + [hashes[i] for i in extra], pa.list_(pa.int64())),
+                pa.array(kind + [None] * len(extra), pa.string()),
+                pa.array(text + [None] * len(extra), pa.string()),
+            ], names=["page_id", "url", "host", "path", "key", "whole", "range", "hashes", "kinds", "text"])
+
+    return parse
+
+
+def _runs(batches) -> Iterator[dict]:
+    """Equal neighbours in the order as one page: its rows' ids, or none for the page of another range."""
+    run = None
+    for batch in batches:
+        ids = batch.column(0)
+        url, host, path, key, whole, at, hashes, kind, text = (batch.column(i) for i in range(1, 10))
+        for i in range(batch.num_rows):
+            k, r = key[i].as_py(), at[i].as_py()
+            if run is None or run["key"] != k or run["range"] != r:
+                if run is not None:
+                    yield run
+                run = {"key": k, "range": r, "url": url[i].as_py(), "host": host[i].as_py(), "path": path[i].as_py(),
+                       "hashes": np.array(hashes[i].values.to_numpy(zero_copy_only=False), np.int64),
+                       "kinds": kind[i].as_py(), "text": text[i].as_py(), "rows": []}
+            if whole[i].as_py() is not None:  # no guest
+                run["rows"].append((ids[i], whole[i].as_py()))
+    if run is not None:
+        yield run
+
+
+def _difference(batches) -> Iterator[pa.RecordBatch]:
+    """Pages in order in; page_id, url, key, whole, text and line counts of the rows out."""
+    names = ["page_id", "url", "key", "whole", "text", *_COUNTS]
+    types = [pa.string(), pa.binary(), pa.bool_(), pa.string(), *[pa.int32()] * len(_COUNTS)]
+    out: list[list] = [[] for _ in names]
+    chars = 0
+
+    def made():
+        ids = pa.array([x.as_py() for x in out[0]], out[0][0].type)
+        return pa.RecordBatch.from_arrays([ids, *(pa.array(v, t) for v, t in zip(out[1:], types))], names=names)
+
+    def beside(page, other):
+        same = other is not None and other["range"] == page["range"] and other["host"] == page["host"]
+        return (other["path"], other["hashes"]) if same else None
+
+    before, page = None, None
+    for after in _with_end(_runs(batches)):
+        if page is not None and page["rows"]:
+            drop = shared_lines(page["path"], page["hashes"], beside(page, before), beside(page, after))
+            k = page["kinds"]
+            text = keep(k, page["text"].split("\n") if page["text"] else [], drop)
+            counts = (len(drop), sum(k[i] != SURE for i in drop), sum(k[i] == DOUBTFUL for i in drop))
+            for row, whole in page["rows"]:
+                for column, v in zip(out, (row, page["url"], page["key"], whole, text, *counts)):
+                    column.append(v)
+                chars += len(text) + 64
+                if chars > OUT_CHARS:
+                    yield made()
+                    out, chars = [[] for _ in names], 0
+        before, page = page, after
+    if out[0]:
+        yield made()
+
+
+def _with_end(runs):
+    yield from runs
+    yield None
+
+
+def _ranges(pages: DataFrame) -> tuple[list, DataFrame | None]:
+    """(first and last (host, path, key) of every range, in order; pages with more copies than a range has rows)."""
+    order = ["host", "path", "key"]
+    sizes = pages.groupBy(*order).agg(F.count(F.lit(1)).alias("n"))
+    sizes = materialize(sizes.repartitionByRange(*order).withColumn("part", F.spark_partition_id()))
+    total = sizes.agg(F.sum("n")).first()[0] or 0
+    width = max(RANGE_ROWS, -(-total // RANGES))
+    weighed = sizes.withColumn("w", F.when(F.col("n") > width, 1).otherwise(F.col("n")))
+    bases = range_bases(weighed.groupBy("part").agg(F.sum("w").alias("w")), "part", "w")
+    upto = F.sum("w").over(Window.partitionBy("part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
+    at = F.floor((F.col("base") + F.coalesce("upto", F.lit(0))) / width)
+    edges = weighed.withColumn("upto", upto).join(bases, "part").groupBy(at.alias("r")).agg(
+        F.min(F.struct(*order)).alias("low"), F.max(F.struct(*order)).alias("high")).collect()  # at most RANGES + 1 rows
+
+    def triple(x):
+        return x["host"], x["path"], bytes(x["key"])
+
+    ranges = [(triple(e["low"]), triple(e["high"])) for e in sorted(edges, key=lambda e: e["r"])]
+    copied = sizes.where(F.col("n") > width).select("key")  # at most total / width <= RANGES rows
+    return ranges, copied if copied.take(1) else None
+
+
+def _content_key() -> Column:
+    """Rows that agree in url and html are one page."""
+    url = F.concat(F.when(F.col("url").isNull(), "0").otherwise("1"), F.coalesce("url", F.lit("")))
+    return F.unhex(F.sha1(F.concat(F.sha1(F.coalesce("html", F.lit(""))), url)))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """page_id, url, text, n_chars and the number of lines shared with the partner, of every row."""
+    """page_id, url, text, n_chars, and the page's shared lines of every row.
+
+    ``n_shared_lines`` counts the lines that the partner shares, ``n_deleted_lines`` those of them that
+    are not sure text, ``n_decided_lines`` those that the markup alone would have kept.
+    """
     src = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"),
                        F.col(html_col).cast("string").alias("html"))
-    # rows that agree in url and html have one result
-    key = F.sha1(F.to_json(F.struct(F.coalesce("url", F.lit("")).alias("u"), F.sha1(F.coalesce("html", F.lit(""))).alias("h"))))
-    src = src.withColumn("key", key)
-    shared = materialize(shared_lines(src.select("key", "url", "html")))
-    j = src.join(shared, "key", "left")
-
-    @F.pandas_udf("string")
-    def text_of(pages_: pd.Series, drop: pd.Series) -> pd.Series:
-        return pd.Series([main_text(p, set() if d is None else set(d)) for p, d in zip(pages_, drop)], dtype=object)
-
-    j = j.select("page_id", "url", text_of("html", "shared").alias("text"),
-                 F.coalesce(F.size("shared"), F.lit(0)).alias("n_shared"))
-    return j.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"),
-                    F.greatest(F.col("n_shared"), F.lit(0)).alias("n_shared_lines"))
+    host, path = split_url(F.col("url"))
+    src = src.select("page_id", "url", host.alias("host"), path.alias("path"), _content_key().alias("key"),
+                     F.lit(True).alias("whole"), "html")
+    ranges, copied = _ranges(src.select("host", "path", "key"))
+    rest = src
+    if copied is not None:
+        one = src.join(F.broadcast(copied), "key", "left_semi").groupBy("key").agg(
+            *[F.first(c).alias(c) for c in ("page_id", "url", "host", "path", "html")])
+        rest = src.join(F.broadcast(copied), "key", "left_anti").select(src.columns).unionByName(
+            one.withColumn("whole", F.lit(False)))
+    page_id = f"page_id {src.schema['page_id'].dataType.simpleString()}"
+    dealt = rest.mapInArrow(_parse(ranges), f"{page_id}, {_PARSED}")
+    done = dealt.repartition("range").sortWithinPartitions("range", "host", "path", "key").mapInArrow(
+        _difference, f"{page_id}, url string, key binary, whole boolean, text string, " + ", ".join(f"{c} int" for c in _COUNTS))
+    out = ["page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), *_COUNTS]
+    if copied is None:
+        return done.select(out)
+    done = materialize(done)
+    salt = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")
+    copies = src.select("page_id", "url", "key").join(F.broadcast(copied), "key", "left_semi").withColumn("salt", salt)
+    texts = done.where("NOT whole").select("key", "text", *_COUNTS, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    return done.where("whole").select(out).unionByName(copies.join(texts, ["key", "salt"]).select(out))

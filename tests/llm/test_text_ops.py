@@ -308,3 +308,83 @@ def test_pages_of_the_table(spark):
         body = re.search(r"<article>(.*?)(?:</article>|\Z)", pages[r["page_id"]], re.S).group(1)
         want = [" ".join(H.unescape(re.sub("<[^>]*>", "", x)).split()) for x in re.split(r"</?(?:p|h1)>|<br>", body)]
         assert r["text"] == "\n".join(x for x in want if x)
+
+
+def _by_brute_force(rows):
+    """Text of every (url, html) with its partners found in one sorted list."""
+    def split(url):
+        rest = url.split("://", 1)[1] if url and "://" in url else ""
+        host = re.match(r"[^/?#]*", rest).group()
+        return host.lower(), re.match(r"[^?#]*", rest[len(host):]).group()
+
+    def content(url, page):
+        inner = hashlib.sha1((page or "").encode()).hexdigest()
+        return hashlib.sha1((inner + ("0" if url is None else "1" + url)).encode()).digest()
+
+    order = sorted({(*split(u), content(u, p)): (u, p) for _, u, p in rows}.items())
+    texts = {}
+    for i, ((host, path, _), (u, p)) in enumerate(order):
+        found = page_diff.lines(p)
+
+        def beside(j):
+            if not 0 <= j < len(order) or order[j][0][0] != host:
+                return None
+            return order[j][0][1], np.array([hash(t) for t, _, _ in page_diff.lines(order[j][1][1])], np.int64)
+
+        own = np.array([hash(t) for t, _, _ in found], np.int64)
+        drop = page_diff.shared_lines(path, own, beside(i - 1), beside(i + 1))
+        decided = sum(k == page_diff.DOUBTFUL for j, k in enumerate(page_diff.kinds(found)) if j in drop)
+        texts[u, p] = page_diff.main_text(p, drop), decided
+    return sorted((i, u or "", *texts[u, p]) for i, u, p in rows)
+
+
+def _plain_pages(n):
+    """Pages without an element, role or class name that tells furniture from text."""
+    rnd = random.Random(11)
+    rows, wanted = [], {}
+    for i in range(n):
+        site = i % 5
+        story = [f"Story {i} line {k} {rnd.random()}." for k in range(rnd.randint(1, 6))]
+        body = [f"Site {site}", "Home News Sport", *story, f"Rights of {site}"]
+        rows.append((i, f"http://s{site}.org/{rnd.choice(['a', 'b', 'c'])}/{i}", "".join(f"<div class='x{k}'>{b}</div>" for k, b in enumerate(body))))
+        wanted[i] = "\n".join(story)
+    return rows, wanted
+
+
+def test_differencing_decides_where_the_markup_says_nothing(spark):
+    rows, wanted = _plain_pages(60)
+    d = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = page_diff.extract(d.repartition(3)).collect()
+    assert {r["page_id"]: r["text"] for r in got} == wanted
+    assert all(r["n_decided_lines"] == 3 and page_diff.main_text(rows[r["page_id"]][2], set()) != r["text"] for r in got)
+
+
+def test_a_near_copy_beside_a_page_keeps_its_text(spark):
+    def page(*body):
+        return "".join(f"<div>{x}</div>" for x in ("Top", *body, "End"))
+
+    story = [f"Line {i}." for i in range(12)]
+    rows = [(1, "http://h.com/n/10", page(*story)), (2, "http://h.com/n/11", page(*story, "Late news.")),
+            (3, "http://h.com/n/2", page("Another."))]
+    d = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in page_diff.extract(d).collect()}
+    assert got[2] == "\n".join([*story, "Late news."]) and got[3] == "Another."
+
+
+@pytest.mark.parametrize("width", [1, 7, 1024])
+def test_ranges_and_many_copies_against_brute_force(spark, monkeypatch, width):
+    """Ranges of one page, copies beyond a range's rows, a very long page, nulls, clashing names."""
+    monkeypatch.setattr(page_diff, "RANGE_ROWS", width)
+    rows, _ = _plain_pages(40)
+    rows += [(100 + i, rows[3][1], rows[3][2]) for i in range(30)] + [(3, None, "<p>x"), (None, "http://s1.org/a/0", None), (7, "", "")]
+    rows += [(500, "http://s2.org/b/1", "".join(f"<p>Line {i}" for i in range(20000)))]
+    d = spark.createDataFrame(rows, "page_id long, url string, html string")
+    d = d.selectExpr("*", "1 AS key", "2 AS host", "3 AS path", "4 AS text", "5 AS range", "6 AS whole").repartition(5)
+    got = page_diff.extract(d).collect()
+    key = lambda r: (r[0] is None, r[0] or 0, *r[1:])
+    assert sorted(((r["page_id"], r["url"] or "", r["text"], r["n_decided_lines"]) for r in got), key=key) == sorted(
+        _by_brute_force_with_null_ids(rows), key=key)
+
+
+def _by_brute_force_with_null_ids(rows):
+    return [(None if i == -1 else i, *rest) for i, *rest in _by_brute_force([(-1 if i is None else i, u, p) for i, u, p in rows])]

@@ -21,8 +21,6 @@ URL_RULES = [
     ("example.com", "/de/", "block"),
     ("org", "/fr/", "allow"),
 ]
-#: stands in for an outside feed of listed URLs: pages on hosts with such a word
-LISTED_HOSTS = r"casino|pills|spam|poker|loans"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,10 +66,23 @@ def op9_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.scored.withColumn("selected", s.selected()).drop("text_hash")
 
 
+def listed_feed(pages: DataFrame) -> DataFrame:
+    """Stands in for an outside feed of listed URLs.
+
+    The list holds the pages whose canonical URL has a digest starting with 0, each written in another
+    spelling (scheme, ``www.``, slash, tracking parameter, fragment), and as many URLs that no page has.
+    """
+    name = url_filter.canonical(F.col("url"))
+    some = pages.select(name.alias("name")).where("name <> ''").withColumn("digit", F.substring(F.md5("name"), 1, 1))
+    tail = F.when(F.contains("name", F.lit("?")), "&ref=feed#top").otherwise("/?utm_source=feed#top")
+    return some.where("digit IN ('0', '1')").select(
+        F.when(F.col("digit") == "0", F.concat(F.lit("HTTPS://WWW."), "name", tail))
+        .otherwise(F.concat(F.lit("http://absent."), "name")).alias("url"))
+
+
 def op10_url_bloom_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages")
-    host, _ = url_filter.split_url(F.col("url"))
-    return url_filter.judge(pages, pages.where(host.rlike(LISTED_HOSTS)).select("url"), URL_RULES)
+    return url_filter.judge(pages, listed_feed(pages), URL_RULES)
 
 
 def op11_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -173,7 +184,7 @@ c AS (
       || regexp_replace(path, '/+$', '')
       || CASE WHEN len(kept) > 0 THEN '?' || array_to_string(kept, '&') ELSE '' END, '') AS name
   FROM k),
-l AS (SELECT DISTINCT name FROM c WHERE regexp_matches(host, 'casino|pills|spam|poker|loans') AND name <> ''),
+l AS (SELECT DISTINCT name FROM c WHERE substr(md5(name), 1, 1) = '0' AND name <> ''),
 rules(rhost, rpath, rverdict) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'),
   ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
 f AS (

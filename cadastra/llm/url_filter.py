@@ -3,9 +3,11 @@
 ``listed`` is any table of URLs. Its canonical forms are hashed into a Bloom
 filter cut into blocks of 512 bits (one row of eight longs each); a URL sets
 ``PROBES`` bits of one block, so a lookup reads one row. The filter is a table
-that Spark joins by block number. Only URLs whose bits are all set go to the
+that Spark joins by block number: broadcast while its counted blocks are within
+``BROADCAST_BLOCKS``, beyond that by a salted join, since a URL that many pages
+repeat makes its block hot. Only URLs whose bits are all set go to the
 exact join with the list, which removes the false positives, so the verdict
-is exact.
+is exact. Pages are passed once; ``possible`` tells what passed the filter.
 
 Canonical form: scheme, user, default port, a leading ``www.``, fragment,
 tracking parameters and trailing slashes dropped; host lower-cased; parameters
@@ -29,6 +31,10 @@ from cadastra.operators.materialize import known_rows, materialize
 BITS_PER_URL = 16
 PROBES = 6
 BLOCK_BITS = 512
+#: blocks (of 72 bytes) in a filter that is broadcast: 19 MB, 8 million URLs
+BROADCAST_BLOCKS = 1 << 18
+#: copies of a larger filter, among which pages are dealt
+SALTS = 8
 # fixed values: query parameters that only track
 TRACKING = r"^(utm_[^=]*|ref|fbclid|gclid|mc_cid|mc_eid)(=|$)"
 
@@ -93,29 +99,47 @@ def bloom_filter(listed: DataFrame, column: str, n_listed: int) -> tuple[DataFra
 
 
 def listed_urls(pages: DataFrame, listed: DataFrame, url_col: str = "url") -> DataFrame:
-    """The rows of ``pages`` (with a column ``canonical``) plus ``listed``: whether their URL is on the list."""
+    """The rows of ``pages`` (with a column ``canonical``) plus ``possible`` (passed the filter) and ``listed``."""
     names = materialize(listed.select(canonical(F.col(url_col)).alias("name")).where("name <> ''").distinct())
-    bloom, blocks = bloom_filter(names, "name", known_rows(names) or 0)
+    bloom, blocks = bloom_filter(names, "name", known_rows(names))
+    bloom = bloom.withColumnRenamed("block", "_block")
     p = pages.withColumn("_block", _block(F.col("canonical"), blocks))
-    p = p.join(bloom.withColumnRenamed("block", "_block"), "_block", "left")
+    small = blocks <= BROADCAST_BLOCKS
+    if small:
+        p = p.join(F.broadcast(bloom), "_block", "left")
+    else:
+        bloom = bloom.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        p = p.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")).join(
+            bloom, ["_block", "_salt"], "left")
     every = F.lit(True)
     for i, w in enumerate(_words(_probe_bits(F.col("canonical")))):
         every = every & (F.coalesce(F.col(f"w{i}"), F.lit(0)).bitwiseAND(w) == w)
-    p = p.withColumn("_possible", every).select(*pages.columns, "_possible")
+    p = materialize(p.select(*pages.columns, every.alias("possible")))
     # a URL that is surely not listed gets no partner and need not meet the others of its name
-    hit = p.where("_possible").join(names.withColumn("_on", F.lit(True)), F.col("canonical") == F.col("name"), "left")
-    hit = hit.select(*pages.columns, F.col("_on").isNotNull().alias("listed"))
-    return hit.unionByName(p.where("NOT _possible").select(*pages.columns, F.lit(False).alias("listed")))
+    hit = p.where("possible").join(names.withColumn("_on", F.lit(True)), F.col("canonical") == F.col("name"), "left")
+    hit = hit.select(*pages.columns, "possible", F.col("_on").isNotNull().alias("listed"))
+    return hit.unionByName(p.where("NOT possible").withColumn("listed", F.lit(False)))
+
+
+def _parts(pages: DataFrame, id_col: str, url_col: str) -> DataFrame:
+    url = F.col(url_col).cast("string")
+    host, path = split_url(url)
+    return pages.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path"),
+                        F.coalesce(canonical(url), F.lit("")).alias("canonical"))
+
+
+def filter_report(pages: DataFrame, listed: DataFrame, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
+    """One row: pages, those that passed the filter, those listed, and false positives that the join removed."""
+    p = listed_urls(_parts(pages, id_col, url_col), listed, url_col)
+    return p.agg(F.count(F.lit(1)).alias("n_pages"), F.count_if("possible").alias("n_possible"),
+                 F.count_if("listed").alias("n_listed"),
+                 F.count_if(F.col("possible") & ~F.col("listed")).alias("n_false_positives"))
 
 
 def judge(pages: DataFrame, listed: DataFrame, rules: list[tuple[str, str, str]],
           id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """page_id, host, path, rule (null where none fits), verdict, listed of every row."""
-    url = F.col(url_col).cast("string")
-    host, path = split_url(url)
-    p = pages.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path"),
-                     F.coalesce(canonical(url), F.lit("")).alias("canonical"))
-    p = listed_urls(p, listed, url_col)
+    p = listed_urls(_parts(pages, id_col, url_col), listed, url_col)
     rule, verdict = rule_for(F.col("host"), F.col("path"), rules)
     return p.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(
         verdict, F.when(F.col("listed"), F.lit("block")).otherwise(F.lit("allow"))).alias("verdict"), "listed")

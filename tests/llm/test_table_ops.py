@@ -309,6 +309,28 @@ def test_bloom_filter_has_no_false_negatives_and_few_positives(spark):
     assert set(range(2000)) <= set(hits) and len(hits) < 2000 + 120
 
 
+def test_the_list_decides_and_the_join_removes_false_positives(spark, monkeypatch):
+    """Brute force: the listed canonical URLs as a set; the broadcast and the salted filter give the same rows."""
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    feed = queries.listed_feed(pages)
+    want = {r[0] for r in feed.select(url_filter.canonical(F.col("url"))).collect()}
+    plain = {r["page_id"]: r["c"] for r in pages.select("page_id", url_filter.canonical(F.col("url")).alias("c")).collect()}
+    got = url_filter.judge(pages, feed, []).collect()
+    assert {r["page_id"]: r["listed"] for r in got} == {i: c in want for i, c in plain.items()}
+    hosts = {}
+    for r in got:
+        hosts.setdefault(r["host"], set()).add(r["verdict"])
+    assert any(v == {"allow", "block"} for v in hosts.values())  # the host does not give the verdict away
+    monkeypatch.setattr(url_filter, "BROADCAST_BLOCKS", 0)
+    assert sorted(url_filter.judge(pages, feed, []).collect()) == sorted(got)
+    monkeypatch.setattr(url_filter, "BITS_PER_URL", 2)  # a crowded filter lets many absent URLs through
+    feed = feed.union(spark.range(3000).select(F.concat(F.lit("http://absent.org/"), F.col("id")))).repartition(3)
+    report = url_filter.filter_report(pages, feed).first()
+    assert report["n_pages"] == len(got) and report["n_listed"] == sum(r["listed"] for r in got)
+    assert report["n_false_positives"] == report["n_possible"] - report["n_listed"] > 0
+    assert {r["page_id"]: r["listed"] for r in url_filter.judge(pages, feed, []).collect()} == {r["page_id"]: r["listed"] for r in got}
+
+
 # ---- the pipeline
 
 def test_pipeline_stage_by_stage(spark):

@@ -105,6 +105,35 @@ def test_pii_rare_kind_is_found_beyond_the_sample(spark):
         assert {i for i, x in rows.items() if "secret:" in x} == set(keys), sample
 
 
+def test_long_candidates_are_found_and_redacted(spark):
+    """Tokens, numbers and handles of any length are candidates; a long token named as one is redacted."""
+    rnd = random.Random(4)
+    # no run of digits long enough to pass as a card, which is a span of its own
+    key = lambda n: "".join("a" if i % 8 == 3 else rnd.choice("0123456789abcdef") for i in range(n - 1)) + "7"
+    sizes = [40, 255, 256, 257, 320, 5000, 100_000]
+    keys = [key(n) for n in sizes]
+    texts = [f'set token = "{k}" here' for k in keys]
+    texts += ["1234 5678 " * 50 + "12", f"{'a' * 70}.{'b' * 70}@{'c' * 70}" + ".d" * 12, f"{key(600)}"]
+    loose = _docs(spark, texts).selectExpr("doc_id", "text AS t").selectExpr(
+        "doc_id", f"transform({pii._loose_spans()}, x -> concat(x.kind, ':', x.start, ':', x.stop)) AS s")
+    spans = {r["doc_id"]: set(r["s"]) for r in loose.collect()}
+    for i, n in enumerate(sizes):
+        assert f"4:13:{13 + n}" in spans[i]
+    assert "5:0:502" in spans[7] and f"6:0:{len(texts[8])}" in spans[8] and "4:0:600" in spans[9]
+    many = [f"part {key(40)} of build {rnd.randint(10**7, 10**9)}" for _ in range(300)]
+    many += [f'set token = "{key(rnd.randint(16, 400))}" here' for _ in range(120)]
+    d = _docs(spark, texts[: len(sizes)] + many)
+    got = {r["doc_id"]: r["text"] for r in pii.redact(d).collect()}
+    assert all(got[i] == 'set token = "[SECRET]" here' for i in range(len(sizes)))
+
+
+def test_long_runs_of_numbers_are_passed_once(spark):
+    """A number run of a whole text that ends in a letter has no match, and is not tried again from each group."""
+    text = "12 34 " * 100_000 + "5x"
+    d = _docs(spark, [text]).selectExpr("doc_id", "text AS t").selectExpr(f"size({pii._loose_spans()}) AS n")
+    assert d.first()["n"] == 0
+
+
 def test_redaction_replaces_spans_and_length(spark):
     d = _docs(spark, ["call +1 (555) 010-9999 or a@b.co, é 1.2.3.4.", None, "", "none"])
     rows = {r["doc_id"]: r for r in pii.redact(d, pii.Scorer()).collect()}

@@ -3,7 +3,8 @@
 ``encode`` gives the ids that ``Tokenizer.encode(text, add_special_tokens=False)``
 gives. A byte-level BPE never merges across its pre-tokens, so a text can be
 cut at pre-token boundaries, every distinct piece encoded once by the library,
-and the pieces' ids joined. Where no white space stands beside white space, a
+and the pieces' ids joined; Arrow finds the distinct pieces of a slice of texts
+and joins their ids. Where no white space stands beside white space, a
 space begins a pre-token, any other white space is one, and a full stop or
 comma between a letter or digit and a space is one: such texts are cut there
 with plain string functions. A text with runs of white space is cut into runs
@@ -22,13 +23,18 @@ import json
 import os
 import re
 from array import array
+from itertools import chain
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 CHUNK_CACHE = 350_000  # pieces of one generation of the table that a Python worker keeps; there are two
 _CHUNK = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 _ODD_SPACE = re.compile("[\x1c-\x1f\x85᠎​﻿]")
 _RUNS = re.compile(r"\s\s")
 _OTHER_SPACE = re.compile(r"[^\S \n]")
-_STOP_IN_RUN = re.compile(r"[\W_][.,] ")  # a stop that may belong to a longer pre-token
+_STOP_IN_RUN = re.compile(r"[.,](?<=[\W_].) ")  # a stop that may belong to a longer pre-token
 _JOINED = "\x01"  # marks a piece that has no space before it
 _LOADED: dict[str, "ChunkEncoder"] = {}
 
@@ -59,16 +65,35 @@ class ChunkEncoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
-    def _pieces(self, text: str) -> list[str]:
-        """Keys of the pieces of a text: a mark in front of a piece that stands there as it is, none for one after a space."""
-        if _RUNS.search(text) or _JOINED in text:
-            return [_JOINED + c for c in _CHUNK.findall(text)]
+    def _marked(self, text: str) -> str | None:
+        """The text with a space before every piece, and a mark in front of one that stands there without it.
+
+        None if white space stands beside white space (or the mark is in the text).
+        """
+        plain = text.isascii() and not ("\t" in text or "\r" in text or "\v" in text or "\f" in text)
+        other = not plain and _OTHER_SPACE.search(text) is not None
+        runs = _RUNS.search(text) if other else "  " in text or "\n\n" in text or " \n" in text or "\n " in text
+        if runs or _JOINED in text:
+            return None
         if not _STOP_IN_RUN.search(text) and text[1:2] != " ":
             text = text.replace(". ", " \x01. ").replace(", ", " \x01, ")
         text = text.replace("\n", " \x01\n \x01")
-        if _OTHER_SPACE.search(text):
+        if other:
             text = _OTHER_SPACE.sub(" \x01\\g<0> \x01", text)
-        return (_JOINED + text).split(" ")
+        return _JOINED + text
+
+    def _piece_ids(self, pieces: list[str]) -> list[bytes]:
+        """Ids of distinct pieces, from the table or the library."""
+        cache, older = self.cache, self.older
+        new = [p for p in pieces if p not in cache]
+        if len(cache) + len(new) > CHUNK_CACHE:  # pieces not used for a generation are forgotten
+            older = self.older = cache
+            cache = self.cache = {}
+            new = pieces
+        unseen = [p for p in new if p not in older]
+        cache.update((p, older[p]) for p in new if p in older)
+        cache.update(zip(unseen, self._ids([p[1:] if p[:1] == _JOINED else " " + p for p in unseen])))
+        return [cache[p] for p in pieces]
 
     def encode_many(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers; null is the empty text."""
@@ -82,33 +107,36 @@ class ChunkEncoder:
 
     def _encode_many(self, texts: list[str | None]) -> list[bytes]:
         out: list[bytes] = [b""] * len(texts)
-        whole: list[int] = []
-        cut: list[tuple[int, list[str]]] = []
-        new: set[str] = set()
+        whole: list[int] = []  # texts that go to the library whole,
+        spaced: list[int] = []  # those whose pieces a space divides,
+        spaced_texts: list[str] = []
+        cut: list[int] = []  # and those with runs of white space
+        cut_pieces: list[list[str]] = []
         for i, text in enumerate(texts):
             if not text:
                 continue
             if not self.by_chunk or _ODD_SPACE.search(text) or any(s in text for s in self.special):
                 whole.append(i)
-                continue
-            pieces = self._pieces(text)
-            cut.append((i, pieces))
-            new.update(pieces)
-        new = new.difference(self.cache)
-        if new:
-            if len(self.cache) + len(new) > CHUNK_CACHE:  # pieces not used for a generation are forgotten
-                self.older, self.cache = self.cache, {}
-                new = set().union(*(p for _, p in cut))
-            older = self.older
-            unseen = [p for p in new if p not in older]
-            self.cache.update((p, older[p]) for p in new if p in older)
-            self.cache.update(zip(unseen, self._ids([p[1:] if p[:1] == _JOINED else " " + p for p in unseen])))
-        get = self.cache.__getitem__
-        for i, pieces in cut:
-            out[i] = b"".join(map(get, pieces))
+            elif (marked := self._marked(text)) is not None:
+                spaced.append(i)
+                spaced_texts.append(marked)
+            else:
+                cut.append(i)
+                cut_pieces.append([_JOINED + c for c in _CHUNK.findall(text)])
+        if spaced or cut:
+            lists = pc.split_pattern(pa.array(spaced_texts, pa.large_string()), " ")
+            pieces = pa.concat_arrays([lists.flatten(), pa.array(chain.from_iterable(cut_pieces), pa.large_string())])
+            ends = np.cumsum([*pc.list_value_length(lists).to_pylist(), *map(len, cut_pieces)])
+            coded = pieces.dictionary_encode()  # every distinct piece is looked up once
+            ids = pa.array(self._piece_ids(coded.dictionary.to_numpy(zero_copy_only=False).tolist()), pa.large_binary()).take(coded.indices)
+            offsets, data = np.frombuffer(ids.buffers()[1], np.int64), memoryview(ids.buffers()[2] or b"")
+            start = 0
+            for i, end in zip(spaced + cut, offsets[ends].tolist()):
+                out[i] = bytes(data[start:end])
+                start = end
         if whole:
-            for i, ids in zip(whole, self._ids([texts[i] for i in whole])):
-                out[i] = ids
+            for i, found in zip(whole, self._ids([texts[i] for i in whole])):
+                out[i] = found
         return out
 
 
@@ -119,7 +147,15 @@ def encoder(path: str) -> ChunkEncoder:
     return _LOADED[path]
 
 
-def slices(texts: list[str | None], size: int = 256):
-    """Consecutive slices of a batch, so that few texts' ids are in memory at once."""
-    for at in range(0, len(texts), size):
-        yield at, texts[at : at + size]
+def slices(texts: list[str | None], size: int = 1024, characters: int = 1 << 22):
+    """Consecutive slices of a batch, so that few texts' ids are in memory at once: at most ``size`` texts,
+    and one text or at most ``characters`` in all."""
+    at, total = 0, 0
+    for i, text in enumerate(texts):
+        n = len(text or "")
+        if i > at and (i - at == size or total + n > characters):
+            yield at, texts[at:i]
+            at, total = i, 0
+        total += n
+    if at < len(texts):
+        yield at, texts[at:]

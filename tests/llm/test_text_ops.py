@@ -417,3 +417,24 @@ def test_ranges_and_many_copies_against_brute_force(spark, monkeypatch, width):
 
 def _by_brute_force_with_null_ids(rows):
     return [(None if i == -1 else i, *rest) for i, *rest in _by_brute_force([(-1 if i is None else i, u, p) for i, u, p in rows])]
+
+
+def test_slices_are_bounded_by_texts_and_characters():
+    texts = ["a" * 10, None, "", "b" * 500, "c" * 10, "d" * 10, "e"]
+    for size, characters in ((2, 100), (3, 20), (100, 10**6), (1, 1)):
+        made = list(tokens.slices(texts, size, characters))
+        assert [t for _, some in made for t in some] == texts
+        assert [at for at, _ in made] == [sum(len(s) for _, s in made[:k]) for k in range(len(made))]
+        assert all(len(s) <= size and (len(s) == 1 or sum(len(t or "") for t in s) <= characters) for _, s in made)
+    assert list(tokens.slices([])) == []
+
+
+def test_encoder_matches_the_library_when_its_table_turns_over(monkeypatch):
+    monkeypatch.setattr(tokens, "CHUNK_CACHE", 50)
+    rng = random.Random(5)
+    parts = ["ab", " ", "\n", "  ", ". ", ", ", "\t", "é", "'s", "\x01", "中", "7", "!", "\x1c", "<|endoftext|>", "Zq"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(40))) for _ in range(3000)]
+    enc = tokens.ChunkEncoder(PATH)
+    got = [ids for _, some in tokens.slices(texts, 100) for ids in enc.encode_many(some)]
+    assert got == enc._ids(texts)
+    assert max(len(enc.cache), len(enc.older)) < 50 + 100 * 40

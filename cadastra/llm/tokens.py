@@ -30,6 +30,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 CHUNK_CACHE = 350_000  # pieces of one generation of the table that a Python worker keeps; there are two
+JOINED_PIECES = 64  # new pieces that go to the library as one text
 _CHUNK = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 _ODD_SPACE = re.compile("[\x1c-\x1f\x85᠎​﻿]")
 _RUNS = re.compile(r"\s\s")
@@ -58,6 +59,8 @@ class ChunkEncoder:
             pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
             and spec["model"]["type"] == "BPE" and not spec.get("normalizer")
             and not spec["model"].get("dropout"))
+        feed = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.line_feed = feed[0] if self.by_chunk and len(feed) == 1 else None
         self.cache: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -65,6 +68,26 @@ class ChunkEncoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
+    def _ids_joined(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces: many in one text, with line feeds between them where each is then a pre-token of its own."""
+        if self.line_feed is None:
+            return self._ids(pieces)
+        apart = [not p or "\n" in p or p[-1].isspace() for p in pieces]
+        plain = [p for p, a in zip(pieces, apart) if not a]
+        texts = ["\n".join(plain[at : at + JOINED_PIECES]) for at in range(0, len(plain), JOINED_PIECES)]
+        found: list[bytes] = []
+        for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
+            ids = np.array(e.ids, "<u4")
+            blob, start = ids.tobytes(), 0
+            for at in (4 * np.flatnonzero(ids == self.line_feed)).tolist():
+                found.append(blob[start:at])
+                start = at + 4
+            found.append(blob[start:])
+        if len(plain) == len(pieces):
+            return found
+        joined, single = iter(found), iter(self._ids([p for p, a in zip(pieces, apart) if a]))
+        return [next(single if a else joined) for a in apart]
+
     def _marked(self, text: str) -> str | None:
         """The text with a space before every piece, and a mark in front of one that stands there without it.
 
@@ -92,7 +115,7 @@ class ChunkEncoder:
             new = pieces
         unseen = [p for p in new if p not in older]
         cache.update((p, older[p]) for p in new if p in older)
-        cache.update(zip(unseen, self._ids([p[1:] if p[:1] == _JOINED else " " + p for p in unseen])))
+        cache.update(zip(unseen, self._ids_joined([p[1:] if p[:1] == _JOINED else " " + p for p in unseen])))
         return [cache[p] for p in pieces]
 
     def encode_many(self, texts: list[str | None]) -> list[bytes]:

@@ -39,6 +39,11 @@ SHARD_TOKENS = 1 << 20  # a shard is closed once it holds this many tokens
 _STEP = 512
 
 
+def _narrow(bits: int) -> type:
+    """The integer type that ids of so many bits are moved about in."""
+    return np.uint16 if bits <= 16 else np.uint32
+
+
 class WaveletMatrix:
     """Rank/select structure over one shard's ids."""
 
@@ -58,9 +63,10 @@ class WaveletMatrix:
     def build(cls, ids: np.ndarray) -> "WaveletMatrix":
         ids = np.asarray(ids, np.uint32)
         depth = max(1, int(ids.max()).bit_length()) if len(ids) else 1
+        ids = ids.astype(_narrow(depth))
         zeros, planes = [], []
         for level in range(depth - 1, -1, -1):
-            bit = ids & np.uint32(1 << level) != 0
+            bit = ids & ids.dtype.type(1 << level) != 0
             planes.append(np.packbits(bit, bitorder="little"))
             zeros.append(len(ids) - int(np.count_nonzero(bit)))
             ids = np.concatenate([np.compress(~bit, ids), np.compress(bit, ids)])
@@ -153,14 +159,14 @@ class WaveletMatrix:
         For the whole file the stable partitions are undone from the last plane up.
         """
         if lo == 0 and hi in (None, self.n):
-            out = np.zeros(self.n, np.uint32)
+            out = np.zeros(self.n, _narrow(len(self.planes)))
             for level, (bits, z) in enumerate(zip(reversed(self.planes), reversed(self.zeros))):
                 one = np.unpackbits(bits, count=self.n, bitorder="little").view(bool)
                 up = np.empty_like(out)
                 up[np.flatnonzero(~one)] = out[:z]
-                up[np.flatnonzero(one)] = out[z:] | np.uint32(1 << level)
+                up[np.flatnonzero(one)] = out[z:] | out.dtype.type(1 << level)
                 out = up
-            return out
+            return out.astype(np.uint32)
         i = np.arange(lo, self.n if hi is None else hi)
         out = np.zeros(len(i), np.uint32)
         for bits, z in zip(self.planes, self.zeros):

@@ -84,8 +84,7 @@ def _scan(batches: Iterator[pa.RecordBatch], words: int, id_type: pa.DataType) -
     rows = []
     for part, c in enumerate(counts.reshape(-1, 1 << PART_BITS)):
         if top := int(c.max()):
-            width = next(w for w in (1, 2, 4, 8) if top < 1 << 8 * w)
-            rows.append((part, c.astype(f"<u{width}").tobytes()))
+            rows.append((part, _pack(c, top)))
     if rows:
         k = len(rows)
         yield pa.RecordBatch.from_arrays(
@@ -94,6 +93,16 @@ def _scan(batches: Iterator[pa.RecordBatch], words: int, id_type: pa.DataType) -
             names=["doc_id", "text_hash", "sig", "n", "part", "counts"])
 
 
+def _width(top: int) -> int:
+    """Bytes of the narrowest unsigned integer that holds ``top``."""
+    return next(w for w in (1, 2, 4, 8) if top < 1 << 8 * w)
+
+
+def _pack(counts: np.ndarray, top: int) -> bytes:
+    """Counts of one part in the narrowest integers that hold the largest, ``top``."""
+    return counts.astype(f"<u{_width(top)}").tobytes()
+
+
 def _unpack(blob: bytes) -> np.ndarray:
     return np.frombuffer(blob, f"<u{len(blob) >> PART_BITS}").astype(np.int64)
 
@@ -105,7 +114,7 @@ def _sum_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total[part] = total.get(part, 0) + _unpack(blob)
     if total:
         yield pa.RecordBatch.from_arrays(
-            [pa.array(list(total), pa.int32()), pa.array([v.astype("<i8").tobytes() for v in total.values()])],
+            [pa.array(list(total), pa.int32()), pa.array([_pack(v, int(v.max())) for v in total.values()], pa.binary())],
             names=["part", "counts"])
 
 
@@ -119,8 +128,9 @@ def column_counts(scanned: DataFrame) -> np.ndarray:
     summed = parts.repartition("part").mapInArrow(_sum_counts, "part int, counts binary")
     out = np.zeros((1 << COUNT_BITS - PART_BITS, 1 << PART_BITS), np.uint32)
     for part, blob in summed.toLocalIterator():  # 1024 rows of fixed size
-        out[part] = np.minimum(np.frombuffer(blob, "<i8"), 0xFFFFFFFF)
-    return out.ravel()
+        out[part] = np.minimum(_unpack(blob), 0xFFFFFFFF)
+    # as narrow as the largest count allows: the table goes to every task that orders columns
+    return out.ravel().astype(f"<u{_width(int(out.max()))}")
 
 
 # ---- steps 2 and 3: head columns, candidates ---------------------------------------------

@@ -64,6 +64,7 @@ def _pieces(batches, path: str, end_id: int, max_length: int, with_ids: bool) ->
                  pa.array(length, pa.int64()), pa.array(crc, pa.int64()), pa.array(tokens, pa.int64()),
                  pa.array(ids, pa.binary())],
                 names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"])
+    enc.end_task()
 
 
 def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, max_length: int = MAX_LENGTH,

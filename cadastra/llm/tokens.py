@@ -118,6 +118,10 @@ class ChunkEncoder:
         cache.update(zip(unseen, self._ids_joined([p[1:] if p[:1] == _JOINED else " " + p for p in unseen])))
         return [cache[p] for p in pieces]
 
+    def end_task(self) -> None:
+        """Forget the older generation, so that an idle worker holds one table."""
+        self.older = {}
+
     def encode_many(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers; null is the empty text."""
         collecting = gc.isenabled()

@@ -214,6 +214,7 @@ def _write(batches, path: str, end_id: int, shard_tokens: int) -> Iterator[pa.Re
                     ids, doc_ids, ends, total, shard = [], [], [], 0, shard + 1
     if doc_ids:
         yield close()
+    enc.end_task()
 
 
 def write_shards(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "doc_id",

@@ -848,35 +848,32 @@ UNION ALL SELECT 'by_department', row_number() OVER (ORDER BY code_departement)
 UNION ALL SELECT 'header', 0, '2024-02-01T00:00:00+00:00', equity_method, liquid_method, national_median_price_cagr,
   pea_growth_rate FROM ({_BLEND_SELECT})"""))
 def export_document(spark, sf):
-    """The written document, read back, parsed, and its lists told apart again."""
+    """The written document, read back, parsed line by line, and its lists told apart again."""
     from cadastra.sources import document
 
     i = Inputs(spark, sf)
     path = _fresh(spark, "document")
     equity, alts = materialize(i.equity_summary), materialize(i.alt_summary)
     document.write(document.lines(equity, alts, i.dept_score, _EXPORTED_AT, i.p), path)
-    back = spark.read.text(path).select(
-        F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1).cast("int").alias("part"),
-        F.monotonically_increasing_id().alias("at"), F.col("value").alias("line"))
-    doc = document.text(back).select(F.from_json("document", document.SCHEMA).alias("d")).select("d.*")
-
-    def rows(name, lst, kind, first, second):
-        return doc.select(F.posexplode(lst).alias("place", "x")).select(
-            F.lit(name).alias("list"), F.col("place").cast("bigint").alias("place"),
+    doc = document.read(spark, path)
+
+    def rows(name, part, kind, first, second):
+        return document.rows(doc, part).select(
+            F.lit(name).alias("list"), "place",
             F.coalesce(*[F.col(f"x.{c}") for c in (("code_departement",) if name == "by_department" else ("ticker",))]).alias("code"),
             F.col("x.nom_departement" if name == "by_department" else "x.name").alias("name"), kind.alias("kind"),
             F.round(first, 6).alias("first_value"), F.round(second, 6).alias("second_value"))
 
-    header = doc.select(
+    header = document.header(doc).select(
         F.lit("header").alias("list"), F.lit(0).cast("bigint").alias("place"), F.col("exported_at").alias("code"),
         F.col("equities.blended_default.method").alias("name"), F.col("alternatives.liquid_blended_default.method").alias("kind"),
         F.round("real_estate.national_median_price_cagr", 6).alias("first_value"),
         F.round("growth.pea_growth_rate", 6).alias("second_value"))
     ret, vol = F.col("x.annualized_return"), F.col("x.annualized_volatility")
     return landing.union_frames([
-        rows("pea_eligible", "equities.pea_eligible", F.col("x.asset_type"), ret, vol),
-        rows("watchlist", "alternatives.watchlist", F.concat_ws("/", "x.asset_class", "x.instrument_type", "x.liquidity"), ret, vol),
-        rows("by_department", "real_estate.by_department", F.lit(None).cast("string"), F.col("x.median_price_cagr"), F.lit(None).cast("double")),
+        rows("pea_eligible", 1, F.col("x.asset_type"), ret, vol),
+        rows("watchlist", 3, F.concat_ws("/", "x.asset_class", "x.instrument_type", "x.liquidity"), ret, vol),
+        rows("by_department", 5, F.lit(None).cast("string"), F.col("x.median_price_cagr"), F.lit(None).cast("double")),
         header])
 
 

@@ -127,3 +127,30 @@ def test_document_parts_join_to_json(spark, tmp_path):
     assert json.loads(document.text(lines).first()[0]) == doc
     with pytest.raises(ValueError):
         document.text(lines, max_lines=10)
+
+
+def test_long_document_is_read_back_line_by_line(spark, tmp_path):
+    n = 100_001  # more lines than the bound of document.text
+    equity = spark.range(n).select(
+        F.format_string("T%06d", "id").alias("ticker"), F.lit('], "x": [{"').alias("name"), F.lit("etf").alias("asset_type"),
+        F.lit(100).cast("long").alias("trading_days"), F.lit(0.1).alias("annualized_return"), F.lit(0.2).alias("annualized_volatility"),
+        F.lit(True).alias("pea_eligible"))
+    alts = spark.createDataFrame([], "ticker string, name string, asset_class string, instrument_type string, liquidity string,"
+                                     " trading_days long, annualized_return double, annualized_volatility double")
+    depts = spark.createDataFrame([("01", "Ain", None), (None, "line\nfeed", 0.03)], "code_departement string, nom_departement string, median_price_cagr double")
+    document.write(document.lines(equity, alts, depts, datetime(2024, 2, 1, tzinfo=timezone.utc)), str(tmp_path / "doc"))
+    doc = document.read(spark, str(tmp_path / "doc"))
+    listed = document.rows(doc, 1)
+    assert listed.count() == n
+    assert listed.where(F.col("x.ticker") != F.format_string("T%06d", "place")).count() == 0
+    assert document.rows(doc, 3).count() == 0
+    assert [(r["place"], r["x"]["nom_departement"]) for r in document.rows(doc, 5).collect()] == [(0, "line\nfeed")]
+    head = document.header(doc).collect()
+    assert len(head) == 1 and head[0]["exported_at"] == "2024-02-01T00:00:00+00:00" and head[0]["equities"]["pea_eligible"] == []
+
+
+def test_export_document_has_no_bound(spark, monkeypatch):
+    from cadastra.plans import registry
+
+    monkeypatch.setattr(document.text, "__defaults__", (10,))  # lines one value may hold
+    assert registry.QUERIES["export_document"](spark, "/root/testdata/sf0.001").count() > 10

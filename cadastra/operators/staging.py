@@ -1,12 +1,13 @@
 """Staging: typed, deduped views of each raw landing table.
 
 Filters follow the reference order exactly: dedupe first, then null checks on
-the *raw* column (an unparseable price survives as null), then casts.
+the *raw* column (an unparseable price survives as null); casts drop no row,
+so those of the sales are done before the dedupe.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,26 +44,44 @@ def _caster(raw: DataFrame):
     return lambda name, to, alias=None: strict_cast(raw, name, to).alias(alias or name)
 
 
-def stg_transactions(raw: DataFrame, order: Sequence[Column] | None = None) -> DataFrame:
-    """Newest version of each disposition line, priced, with a surface > 0."""
-    d = latest_wins(raw, SALE_KEY, order or default_version_order())
-    _cast = _caster(d)
-    d = d.where(F.col("valeur_fonciere").isNotNull() & (strict_cast(d, "surface_reelle_bati", "double") > 0))
-    return d.select(
+_SALE_TYPES = {
+    "date_mutation": "date", "valeur_fonciere": "double", "surface_reelle_bati": "double",
+    "nombre_pieces_principales": "bigint", "surface_terrain": "double", "longitude": "double", "latitude": "double",
+}
+
+
+def _typed_sales(raw: DataFrame) -> DataFrame:
+    typed = {c: strict_cast(raw, c, to) for c, to in _SALE_TYPES.items()}
+    return raw.withColumns({**typed, "_priced": F.col("valeur_fonciere").isNotNull()})
+
+
+def stg_transactions(raw: DataFrame, order: Sequence[Column] | None = None, keys: Sequence[str] = SALE_KEY,
+                     as_raw: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Newest version of each disposition line, priced, with a surface > 0.
+
+    What the dedupe shuffles is kept narrow. Raw text is cast before it; whether
+    a sale has a price is still asked of the raw text of its newest version, and
+    ``order`` sees the typed columns. Rows that are not raw text yet are ranked
+    as they come, by their own ``keys`` and ``order``, and only the newest are
+    turned into raw columns by ``as_raw``.
+    """
+    d = latest_wins(raw if as_raw else _typed_sales(raw), keys, order or default_version_order())
+    d = _typed_sales(as_raw(d)) if as_raw else d
+    return d.where(F.col("_priced") & (F.col("surface_reelle_bati") > 0)).select(
         "id_mutation",
-        _cast("date_mutation", "date"),
+        "date_mutation",
         "nature_mutation",
-        _cast("valeur_fonciere", "double"),
+        "valeur_fonciere",
         "code_commune",
         "nom_commune",
         "code_departement",
         "id_parcelle",
         "type_local",
-        _cast("surface_reelle_bati", "double"),
-        _cast("nombre_pieces_principales", "bigint"),
-        _cast("surface_terrain", "double"),
-        _cast("longitude", "double"),
-        _cast("latitude", "double"),
+        "surface_reelle_bati",
+        "nombre_pieces_principales",
+        "surface_terrain",
+        "longitude",
+        "latitude",
         "source_year",
         "source_departement",
     )

@@ -32,11 +32,12 @@ class Inputs:
     # ---- staging ---------------------------------------------------------
     @cached_property
     def sales(self) -> DataFrame:
-        return stg_transactions(td.raw_transactions(self.spark, self.sf), td.version_order())
+        rows = td.sales_rows(self.spark, self.sf)
+        return stg_transactions(rows, td.row_order(), td.SALES_ROW_KEY, td.as_raw_transactions)
 
     @cached_property
     def equity_prices(self) -> DataFrame:
-        return stg_prices(td.raw_equity_prices(self.spark, self.sf), td.version_order())
+        return stg_prices(td.raw_equity_prices(self.spark, self.sf), td.long_bar_order())
 
     @cached_property
     def alt_prices(self) -> DataFrame:

@@ -42,10 +42,15 @@ TEST_PARAMS = Params(property_types=TEST_PROPERTY_TYPES, benchmark_ticker=BENCHM
 
 
 def version_order() -> tuple:
-    """Version order of every mapped raw table: newest first, full tiebreak last."""
+    """Version order of the mapped sales and short bars: newest first, full tiebreak last."""
     return (F.col("_ingested_at").desc(), F.col("_tiebreak").desc())
 
 
+def long_bar_order() -> tuple:
+    """Version order of the mapped long bars; its columns are flat, as structs double what a row weighs in a shuffle."""
+    return (F.col("_ingested_at").desc(), F.col("_linenumber").desc(), F.col("_partkey").desc())
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Scan one test table."""
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
@@ -55,12 +60,36 @@ def _s(c) -> F.Column:
     return c.cast("string")
 
 
-def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sales landing table: every business column a string, plus lineage."""
-    li = table(spark, sf_dir, "lineitem")
+#: the sale key in the rows of ``sales_rows``
+SALES_ROW_KEY = ("l_orderkey", "l_linenumber")
+
+
+def row_order() -> tuple:
+    """Version order of the rows of :func:`sales_rows`, the same as ``version_order`` of the sales mapped from them."""
+    return tuple(F.col(c).desc() for c in ("l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"))
+
+
+def line_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the sales are mapped from, but for the supplier."""
+    return table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity",
+        "l_discount", "l_returnflag")
+
+
+def with_supplier(spark: SparkSession, sf_dir: str, lines: DataFrame) -> DataFrame:
+    """Lines with the name and the nation of their supplier."""
     sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-    j = li.join(sup, li.l_suppkey == sup.s_suppkey, "left")
-    return j.select(
+    return lines.join(sup, lines.l_suppkey == sup.s_suppkey, "left").drop("s_suppkey")
+
+
+def sales_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the sales are mapped from, as numbers: narrow rows to rank or shuffle before the mapping."""
+    return with_supplier(spark, sf_dir, line_rows(spark, sf_dir))
+
+
+def as_raw_transactions(rows: DataFrame) -> DataFrame:
+    """Sales landing table of ``sales_rows``: every business column a string, plus lineage."""
+    return rows.select(
         _s(F.col("l_orderkey")).alias("id_mutation"),
         F.date_format("l_shipdate", "yyyy-MM-dd").alias("date_mutation"),
         F.when(F.col("l_linenumber") == 7, "Adjudication").otherwise("Vente").alias("nature_mutation"),
@@ -83,6 +112,11 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales landing table: every business column a string, plus lineage."""
+    return as_raw_transactions(sales_rows(spark, sf_dir))
+
+
 def raw_equity_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long daily bars (one ticker per supplier), re-delivered copies included."""
     li = table(spark, sf_dir, "lineitem")
@@ -99,7 +133,8 @@ def raw_equity_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_tax").alias("dividends"),
         F.lit(0.0).alias("stock_splits"),
         F.timestamp_seconds(F.col("l_orderkey")).alias("_ingested_at"),
-        F.struct("l_linenumber", "l_partkey").alias("_tiebreak"),
+        F.col("l_linenumber").alias("_linenumber"),
+        F.col("l_partkey").alias("_partkey"),
     )
 
 

@@ -68,3 +68,19 @@ def test_newest_null_price_removes_the_day(spark):
     out = stg_prices(bars(spark, rows)).collect()
     assert [str(r["date"]) for r in out] == ["2024-01-03"]
     assert out[0]["volume"] == 5 and out[0]["dividends"] == 0.5
+
+
+def test_sales_are_ranked_as_narrow_rows(spark):
+    from cadastra.plans.inputs import Inputs
+
+    plan = Inputs(spark, "/root/testdata/sf0.001").sales._jdf.queryExecution().optimizedPlan().toString()
+    above, ranked = plan.split("WindowGroupLimit", 1)  # what is below is shuffled
+    assert "AS id_parcelle" in above and "id_parcelle" not in ranked and "struct" not in ranked
+
+
+def test_raw_text_is_cast_before_the_dedupe(spark):
+    frame = sales_frame(spark, [sale("1", 1, price="5"), sale("1", 2, price=None), sale("2", 1, price="abc"), sale("2", 0 + 2, price="7")])
+    out = stg_transactions(frame)
+    ranked = out._jdf.queryExecution().optimizedPlan().toString().split("WindowGroupLimit", 1)[1]
+    assert "try_cast" in ranked.lower() or "as double" in ranked.lower()
+    assert [(r["id_mutation"], r["valeur_fonciere"]) for r in out.collect()] == [("2", 7.0)]  # a newest version without a price goes

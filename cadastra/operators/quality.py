@@ -28,27 +28,27 @@ class Check:
 
 
 def _marks(table: str, checks: Sequence[Check]) -> list:
-    """What a row of ``table`` adds to each check: (check, key, rows that fail or must be unique, rows referred to)."""
-    def mark(c: Check, key, n, ref=0, when=F.lit(True)):
+    """What a row of ``table`` adds to each check: (number of the check, key, rows that fail or must be unique, rows referred to)."""
+    def mark(i: int, key, n, ref=0, when=F.lit(True)):
         keys = key.cast("array<string>")
-        return F.when(when, F.struct(F.lit(c.name).alias("check"), keys.alias("key"), F.lit(n).alias("n"), F.lit(ref).alias("ref")))
+        return F.when(when, F.struct(F.lit(i).alias("_i"), keys.alias("key"), F.lit(n).alias("n"), F.lit(ref).alias("ref")))
 
     out = []
-    for c in checks:
+    for i, c in enumerate(checks):
         first = F.col(f"`{c.columns[0]}`")
         key = F.array(*[F.col(f"`{x}`").cast("string") for x in c.columns])
         if c.table == table:
             if c.kind == "not_null":
-                out.append(mark(c, F.array(), 1, when=first.isNull()))
+                out.append(mark(i, F.array(), 1, when=first.isNull()))
             elif c.kind in ("unique", "unique_combination"):
-                out.append(mark(c, key, 1, when=first.isNotNull() if c.kind == "unique" else F.lit(True)))
+                out.append(mark(i, key, 1, when=first.isNotNull() if c.kind == "unique" else F.lit(True)))
             elif c.kind == "relationship":
-                out.append(mark(c, key, 1, when=first.isNotNull()))
+                out.append(mark(i, key, 1, when=first.isNotNull()))
             else:
                 raise ValueError(f"unknown check kind {c.kind}")
         if c.ref_table == table:
             ref = F.col(f"`{c.ref_column}`")
-            out.append(mark(c, F.array(ref.cast("string")), 0, 1, when=ref.isNotNull()))
+            out.append(mark(i, F.array(ref.cast("string")), 0, 1, when=ref.isNotNull()))
     return out
 
 
@@ -67,12 +67,12 @@ def run_checks(tables: dict[str, DataFrame], checks: Sequence[Check]) -> DataFra
             m = df.select(F.explode(F.array_compact(F.array(*of_row))).alias("_m")).select("_m.*")
             marks = m if marks is None else marks.unionByName(m)
     spark = next(iter(tables.values())).sparkSession
-    unique = [c.name for c in checks if c.kind in ("unique", "unique_combination")]
-    per_key = marks.groupBy("check", "key").agg(F.sum("n").alias("n"), F.sum("ref").alias("ref"))
-    fails = F.when(F.col("check").isin(unique), F.col("n") > 1).otherwise(F.col("ref") == 0)
-    failing = per_key.groupBy("check").agg(F.sum(F.when(fails, F.col("n")).otherwise(0)).alias("failing_rows"))
-    names = spark.createDataFrame([(c.name,) for c in checks], "check string")  # a row per declared check
-    out = names.join(failing, "check", "left").select("check", F.coalesce("failing_rows", F.lit(0)).cast("bigint").alias("failing_rows"))
+    unique = [i for i, c in enumerate(checks) if c.kind in ("unique", "unique_combination")]
+    per_key = marks.groupBy("_i", "key").agg(F.sum("n").alias("n"), F.sum("ref").alias("ref"))
+    fails = F.when(F.col("_i").isin(unique), F.col("n") > 1).otherwise(F.col("ref") == 0)
+    failing = per_key.groupBy("_i").agg(F.sum(F.when(fails, F.col("n")).otherwise(0)).alias("failing_rows"))
+    names = spark.createDataFrame([(i, c.name) for i, c in enumerate(checks)], "_i int, check string")  # a row per declared check
+    out = names.join(failing, "_i", "left").select("check", F.coalesce("failing_rows", F.lit(0)).cast("bigint").alias("failing_rows"))
     return out.withColumn("passed", F.col("failing_rows") == 0)
 
 

@@ -638,6 +638,12 @@ def _check_sql() -> str:
 @query("quality_report", _check_sql())
 def quality_report(spark, sf):
     i = Inputs(spark, sf)
+    # the marts read the sales and bars as well: deduped once, and written with the columns that either needs
+    i.sales = materialize(i.sales.select(
+        "id_mutation", "nature_mutation", "valeur_fonciere", "code_commune", "nom_commune", "code_departement", "type_local",
+        "surface_reelle_bati", "source_year"))
+    i.equity_prices = materialize(i.equity_prices.select("ticker", "date", "adj_close", "dividends"))
+    i.alt_prices = materialize(i.alt_prices.select("ticker", "date", "adj_close"))
     orders = td.table(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("order_id"))
     tables = {
         "sales": i.sales, "population": i.population, "income": i.income, "dept_score": i.dept_score,

@@ -27,3 +27,10 @@ def test_coverage_audit_and_all_missing(spark):
     quality.assert_some_landed(quality.coverage_audit(exp, landed))
     with pytest.raises(RuntimeError):
         quality.assert_some_landed(quality.coverage_audit(exp, landed.where("false")))
+
+
+def test_report_reads_deduped_sales_and_bars_once_written(spark):
+    from cadastra.plans import registry
+
+    report = registry.QUERIES["quality_report"](spark, "/root/testdata/sf0.001")
+    assert not [f for f in report.inputFiles() if "lineitem" in f or "events" in f]

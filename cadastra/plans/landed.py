@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cadastra.operators import staging
+from cadastra.operators.materialize import materialize
 from cadastra.params import DEFAULT, Params
 from cadastra.plans.inputs import Inputs
 from cadastra.session import parallelism
@@ -86,29 +87,42 @@ _SALES_HEADERS = {
 }
 
 
-def deliver_sales(raw: DataFrame, root: str, reverse: bool = False) -> None:
-    """Sales as gzip CSV per (year, department); ``reverse`` turns the order of the columns."""
+def deliver_sales(raw: DataFrame, root: str, reverse: bool = False, spread: bool = True) -> None:
+    """Sales as gzip CSV per (year, department); ``reverse`` turns the order of the columns.
+
+    ``spread=False``: the rows of a (year, department) are already together.
+    """
     lineage = ["source_year", "source_departement"]
     cols = [c for c in raw.columns if c not in lineage and not c.startswith("_")]
     cols = cols[::-1] if reverse else cols
     out = raw.select(*[F.col(c).alias(_SALES_HEADERS.get(c, c)) for c in cols],
                      F.col("source_year").alias("year"), F.col("source_departement").alias("dep"))
-    out.hint("rebalance", parallelism(raw.sparkSession), "year", "dep").write.partitionBy("year", "dep").option(
-        "header", True).option("compression", "gzip").csv(root)
+    out = out.hint("rebalance", parallelism(raw.sparkSession), "year", "dep") if spread else out
+    out.write.partitionBy("year", "dep").option("header", True).option("compression", "gzip").csv(root)
 
 
 def _versions(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """The test sales in two deliveries: all versions but the newest of each key, then the newest."""
-    newest = Window.partitionBy(*staging.SALE_KEY).orderBy(*td.version_order())
-    raw = td.raw_transactions(spark, sf).withColumn("_n", F.row_number().over(newest))
-    return raw.where("_n > 1"), raw.where("_n = 1")
+    """The test sales in two deliveries: all versions but the newest of each key, then the newest.
+
+    Versions are ranked once, over the lines that the sales are mapped from
+    (order and line give a sale's key), and written; each delivery brings its
+    narrow rows together by (year, department) before they become text.
+    """
+    newest = Window.partitionBy(*td.SALES_ROW_KEY).orderBy(*td.row_order())
+    ranked = materialize(td.line_rows(spark, sf).withColumn("_n", F.row_number().over(newest)))
+
+    def together(lines: DataFrame) -> DataFrame:
+        rows = td.with_supplier(spark, sf, lines).withColumn("_year", F.year("l_shipdate"))
+        return td.as_raw_transactions(rows.hint("rebalance", parallelism(spark), "_year", "s_nationkey"))
+
+    return together(ranked.where("_n > 1")), together(ranked.where("_n = 1"))
 
 
 def deliver(spark: SparkSession, sf: str, root: str) -> None:
     """Write the test tables as delivered files under ``root``."""
     older, newest = _versions(spark, sf)
-    deliver_sales(older, f"{root}/sales-1")
-    deliver_sales(newest.withColumn("millesime", F.lit("2")), f"{root}/sales-2", reverse=True)  # other columns, other order
+    deliver_sales(older, f"{root}/sales-1", spread=False)
+    deliver_sales(newest.withColumn("millesime", F.lit("2")), f"{root}/sales-2", reverse=True, spread=False)  # other columns, other order
     history = td.raw_population_history(spark, sf)
     history.write.parquet(f"{root}/population_history")
     history = spark.read.parquet(f"{root}/population_history")

@@ -59,3 +59,16 @@ def test_union_stamp_and_counted_writes(spark, tmp_path):
     assert landing.replace(s.where(F.col("ticker") == "X"), path) == 1
     assert spark.read.parquet(path).count() == 1
     assert os.path.isdir(path)
+
+
+def test_deliveries_are_ranked_once_and_whole(spark):
+    from cadastra.plans import landed
+    from cadastra.sources import testdata as td
+
+    sf = "/root/testdata/sf0.001"
+    older, newest = landed._versions(spark, sf)
+    assert not any("lineitem" in f for df in (older, newest) for f in df.inputFiles())  # both read the written ranks
+    raw = td.raw_transactions(spark, sf)
+    assert older.unionByName(newest).exceptAll(raw).count() == 0 and raw.exceptAll(older.unionByName(newest)).count() == 0
+    key = ["id_mutation", "id_parcelle", "numero_disposition"]
+    assert newest.count() == newest.select(*key).distinct().count() == raw.select(*key).distinct().count()

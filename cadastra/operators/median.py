@@ -27,12 +27,17 @@ a hot group. So the work is routed by group size:
    ``percentile_disc`` so the answer is exact whatever happens.
 
 Small per-group tables (hot list, brackets) are broadcast only when their
-counted size is under ``broadcast_max_groups``; beyond that they meet the
-rows in a shuffle join.
+counted size is under ``broadcast_max_groups``. With more hot groups than
+that, no row meets a per-group table: all groups are counted by value bucket,
+the same for every group, and a running count over the buckets of a group
+brackets the rank exactly. Most groups have one value in that bucket; for the
+others the bucket's values are cut into buckets again, until one value or few
+are left (``_counted_median``).
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -43,6 +48,8 @@ from cadastra.operators.materialize import known_rows, materialize
 
 _GROUP = "_group"
 _STEPS = 100  # percentiles a repeated sketch is asked for
+_PER_OCTAVE = 1024  # value buckets between a number and its double
+_CUTS = 256  # parts a bucket is cut into
 
 
 def disc_median(column: str) -> Column:
@@ -128,6 +135,49 @@ def _bracket_median(
     return picked.unionByName(fallback)
 
 
+def _value_bucket(v: Column) -> Column:
+    """A bucket that never falls as the value grows, fine around every size of number; NaN is the greatest."""
+    size = F.abs(v)
+    log = F.floor(F.log(size) * F.lit(_PER_OCTAVE / math.log(2.0))) + F.lit(1 << 21)  # above 0 for every double
+    log = F.when(size == float("inf"), F.lit(1 << 23)).otherwise(log)
+    return F.when(F.isnan(v), F.lit(1 << 24)).when(v == 0, F.lit(0)).when(v > 0, log).otherwise(-log).cast("int")
+
+
+def _reached(rows: DataFrame, keys: list[str], bucket: Column, rank: Column, carry: Sequence[str] = ()) -> DataFrame:
+    """Per group the bucket that the rank falls into: its least and greatest value, its count, the rank within it."""
+    by = [*keys, *carry]
+    counts = rows.groupBy(*by, bucket.alias("_b")).agg(
+        F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    group = Window.partitionBy(*by)
+    run = group.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counts = counts.withColumn("_cum", F.sum("_c").over(run)).withColumn("_all", F.sum("_c").over(group)).withColumn("_k", rank)
+    return counts.where((F.col("_cum") >= F.col("_k")) & (F.col("_cum") - F.col("_c") < F.col("_k"))).select(
+        *keys, "_c", "_lo", "_hi", (F.col("_k") - F.col("_cum") + F.col("_c")).alias("_rank"))
+
+
+def _counted_median(vals: DataFrame, keys: list[str], alias: str, broadcast_max_groups: int, max_inside: int) -> DataFrame:
+    """Exact lower median of ``_v`` per group, for any number of groups of any size (see module doc)."""
+    found = materialize(_reached(vals, keys, _value_bucket(F.col("_v")), F.ceil(F.col("_all") / F.lit(2.0))))
+    done = None
+    rows = vals
+    while True:
+        one = found.where("_lo = _hi").select(*keys, (F.col("_lo") + F.lit(0.0)).alias(alias))  # no negative zero
+        done = one if done is None else done.unionByName(one)
+        left = materialize(found.where("_lo < _hi"))
+        n_left = known_rows(left)
+        if not n_left:
+            return done
+        rows = materialize(rows.select(*keys, "_v").join(_maybe_broadcast(left, n_left, broadcast_max_groups), keys)
+                           .where(F.col("_v").between(F.col("_lo"), F.col("_hi"))))
+        few = rows.where(F.col("_c") <= max_inside).groupBy(*keys, "_rank").agg(F.collect_list("_v").alias("_vs"))
+        done = done.unionByName(few.select(
+            *keys, (F.element_at(F.array_sort("_vs"), F.col("_rank").cast("int")) + F.lit(0.0)).alias(alias)))
+        rows = rows.where(F.col("_c") > max_inside)
+        # the least and the greatest value fall into different parts, so every round cuts a bucket
+        part = F.floor((F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * F.lit(_CUTS)).cast("int")
+        found = materialize(_reached(rows, keys, part, F.col("_rank"), ["_rank"]))
+
+
 def agg_with_lower_medians(
     df: DataFrame,
     keys: Sequence[str],
@@ -192,6 +242,11 @@ def agg_with_lower_medians(
 
     if n_hot == 0:
         medians = exact(vals)
+    elif n_hot > broadcast_max_groups and bracket is None:
+        medians = first.select(*keys)
+        for i, a in enumerate(names):
+            col_rows = vals.select(*keys, F.col(f"_v{i}").alias("_v")).where(F.col("_v").isNotNull())
+            medians = medians.join(_counted_median(col_rows, keys, a, broadcast_max_groups, max_exact_group), keys, "left")
     else:
         hot_b = _maybe_broadcast(hot, n_hot, broadcast_max_groups)
         hot_rows = vals.join(hot_b, keys, "left_semi")

@@ -83,3 +83,19 @@ def test_known_bound_gives_one_aggregate_and_same_answer(spark):
     # the same input with a bound below a group's size must take the routed path and agree
     routed = lower_median(df, ["g"], "v", "m", max_exact_group=10)
     assert {r["g"]: r["m"] for r in routed.collect()} == {g: brute(vs) for g, vs in want.items()}
+
+
+@pytest.mark.parametrize("max_exact_group", [0, 3, 20])
+def test_more_hot_groups_than_a_broadcast_holds_are_counted(spark, monkeypatch, max_exact_group):
+    from cadastra.operators import median
+
+    def sketch(*a, **k):
+        raise AssertionError("no row of many hot groups meets a table of brackets")
+
+    monkeypatch.setattr(median, "_bracket_median", sketch)
+    rnd = random.Random(5)
+    rows = [(f"g{i}", rnd.choice([-1, 1]) * 10 ** rnd.uniform(-300, 300)) for i in range(30) for _ in range(rnd.randint(1, 60))]
+    rows += [("near", 1.0 + i * 2.0 ** -52) for i in range(1001)] + [("ties", 7.0)] * 500 + [("ties", 8.0)] * 499
+    rows += [("cents", round(rnd.uniform(50, 51), 2)) for _ in range(3000)] + [("none", None)] * 40 + [(None, float(i)) for i in range(41)]
+    rows += [("inf", x) for x in (float("inf"), float("-inf"), 0.0, -0.0, 5e-324, -5e-324) for _ in range(9)]
+    check(spark, rows, max_exact_group=max_exact_group, broadcast_max_groups=2)

@@ -7,7 +7,9 @@ and the pieces' ids joined; Arrow finds the distinct pieces of a slice of texts
 and joins their ids. Where no white space stands beside white space, a
 space begins a pre-token, any other white space is one, and a full stop or
 comma between a letter or digit and a space is one: such texts are cut there
-with plain string functions. A text with runs of white space is cut into runs
+with plain string functions. A piece of Latin letters is one pre-token, and so
+are the ASCII marks after it: those go to the library's model as they are,
+without its search for pre-tokens. A text with runs of white space is cut into runs
 of other characters, each with the one space before it, and the white space
 between them. A Python worker keeps the ids of the pieces it has used lately
 (two generations of a bounded table). Texts where the argument does not hold go
@@ -23,7 +25,7 @@ import json
 import os
 import re
 from array import array
-from itertools import chain
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -32,14 +34,28 @@ import pyarrow.compute as pc
 CHUNK_CACHE = 350_000  # pieces of one generation of the table that a Python worker keeps; there are two
 JOINED_PIECES = 64  # new pieces that go to the library as one text
 _CHUNK = re.compile(r" ?\S+|\s+(?!\S)|\s+")
-_ODD_SPACE = re.compile("[\x1c-\x1f\x85᠎​﻿]")
+_ODD_SPACE = "\x1c\x1d\x1e\x1f\x85᠎​﻿"
 _RUNS = re.compile(r"\s\s")
 _OTHER_SPACE = re.compile(r"[^\S \n]")
+_OTHER_SPACES = [c for c in map(chr, range(0x3001)) if _OTHER_SPACE.match(c)]
 _STOP_IN_RUN = re.compile(r"[.,](?<=[\W_].) ")  # a stop that may belong to a longer pre-token
+_WORD = re.compile(r"( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-&(-/:-@\[-^`{-~]*)")  # no apostrophe: it may begin a pre-token
+_TAILS = 10_000  # marks after words whose ids are kept
 _JOINED = "\x01"  # marks a piece that has no space before it
 _LOADED: dict[str, "ChunkEncoder"] = {}
 
 
+def _byte_letters() -> str:
+    """The character that stands for each byte in a byte-level vocabulary."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    other = iter(range(0x100, 0x200))
+    return "".join(chr(b) if b in shown else chr(next(other)) for b in range(256))
+
+
+_BYTE_LETTERS = _byte_letters()
+_LETTERS_OF = {b: c for b, c in enumerate(_BYTE_LETTERS) if b != 10}  # line feeds stay between words
+
+
 def public_path(name: str) -> str:
     import public_tokenizers
 
@@ -61,6 +77,8 @@ class ChunkEncoder:
             and not spec["model"].get("dropout"))
         feed = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.line_feed = feed[0] if self.by_chunk and len(feed) == 1 else None
+        self.model = self.tokenizer.model
+        self.tails: dict[str, bytes] = {"": b""}
         self.cache: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -88,13 +106,31 @@ class ChunkEncoder:
         joined, single = iter(found), iter(self._ids([p for p, a in zip(pieces, apart) if a]))
         return [next(single if a else joined) for a in apart]
 
+    def _tail_ids(self, tail: str) -> bytes:
+        if (found := self.tails.get(tail)) is None:
+            found = self._ids([tail])[0]
+            if len(self.tails) < _TAILS:
+                self.tails[tail] = found
+        return found
+
+    def _new_ids(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces; words of Latin letters are one pre-token each, with the marks after them two."""
+        matches = list(map(_WORD.fullmatch, pieces))
+        words = "\n".join([m[1] for m in matches if m])
+        words = words.replace(" ", _BYTE_LETTERS[32]) if words.isascii() else (
+            words.encode("utf-8").decode("latin-1").translate(_LETTERS_OF))
+        tokenize = self.model.tokenize
+        named = (array("I", [x.id for x in tokenize(w)]).tobytes() for w in words.split("\n"))
+        other = iter(self._ids_joined([p for p, m in zip(pieces, matches) if not m]))
+        return [next(other) if not m else next(named) + self._tail_ids(m[2]) if m[2] else next(named) for m in matches]
+
     def _marked(self, text: str) -> str | None:
         """The text with a space before every piece, and a mark in front of one that stands there without it.
 
         None if white space stands beside white space (or the mark is in the text).
         """
         plain = text.isascii() and not ("\t" in text or "\r" in text or "\v" in text or "\f" in text)
-        other = not plain and _OTHER_SPACE.search(text) is not None
+        other = not plain and any(c in text for c in _OTHER_SPACES)
         runs = _RUNS.search(text) if other else "  " in text or "\n\n" in text or " \n" in text or "\n " in text
         if runs or _JOINED in text:
             return None
@@ -107,16 +143,23 @@ class ChunkEncoder:
 
     def _piece_ids(self, pieces: list[str]) -> list[bytes]:
         """Ids of distinct pieces, from the table or the library."""
-        cache, older = self.cache, self.older
-        new = [p for p in pieces if p not in cache]
-        if len(cache) + len(new) > CHUNK_CACHE:  # pieces not used for a generation are forgotten
-            older = self.older = cache
-            cache = self.cache = {}
-            new = pieces
-        unseen = [p for p in new if p not in older]
-        cache.update((p, older[p]) for p in new if p in older)
-        cache.update(zip(unseen, self._ids_joined([p[1:] if p[:1] == _JOINED else " " + p for p in unseen])))
-        return [cache[p] for p in pieces]
+        found = list(map(self.cache.get, pieces))
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        if len(self.cache) + len(missing) > CHUNK_CACHE:  # pieces not used for a generation are forgotten
+            self.older = self.cache
+            self.cache = dict(zip(compress(pieces, found), filter(None, found)))
+        older = self.older.get
+        unseen = []
+        for i in missing:
+            if (ids := older(pieces[i])) is None:
+                unseen.append(i)
+            else:
+                found[i] = ids
+        new = [pieces[i] for i in unseen]
+        for i, ids in zip(unseen, self._new_ids([p[1:] if p[:1] == _JOINED else " " + p for p in new])):
+            found[i] = ids
+        self.cache.update(zip(map(pieces.__getitem__, missing), map(found.__getitem__, missing)))
+        return found
 
     def end_task(self) -> None:
         """Forget the older generation, so that an idle worker holds one table."""
@@ -142,7 +185,7 @@ class ChunkEncoder:
         for i, text in enumerate(texts):
             if not text:
                 continue
-            if not self.by_chunk or _ODD_SPACE.search(text) or any(s in text for s in self.special):
+            if not self.by_chunk or any(c in text for c in _ODD_SPACE) or any(s in text for s in self.special):
                 whole.append(i)
             elif (marked := self._marked(text)) is not None:
                 spaced.append(i)

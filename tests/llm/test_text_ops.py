@@ -438,3 +438,20 @@ def test_encoder_matches_the_library_when_its_table_turns_over(monkeypatch):
     got = [ids for _, some in tokens.slices(texts, 100) for ids in enc.encode_many(some)]
     assert got == enc._ids(texts)
     assert max(len(enc.cache), len(enc.older)) < 50 + 100 * 40
+
+
+def test_plain_words_go_to_the_model_without_a_search_for_pre_tokens(monkeypatch):
+    rnd = random.Random(21)
+    letters = "abcXYZ\u00c0\u00d6\u00d8\u00df\u00f6\u00f8\u00ff\u0101\u017f\u01bb\u01c5\u024f"
+    words = ["".join(rnd.choices(letters, k=rnd.randint(1, 12))) for _ in range(3000)]
+    plain = [" ".join(w + rnd.choice(["", "", "", ".", "$$$", "!!", ",%%%", "-", "`"]) for w in words[i : i + 60])
+             for i in range(0, 3000, 60)]
+    odd = ["".join(rnd.choices(list("ab\u00d7\u00f7\u0250\u0301\u03b1\u4e00_'`.,19 \n\t\u00a0\u2028\x85\u200b") + ["'s", "'ll ", " \u00e9"], k=40))
+           for _ in range(600)]
+    enc, sent = tokens.ChunkEncoder(PATH), []
+    real = enc._ids
+    monkeypatch.setattr(enc, "_ids", lambda texts: sent.extend(texts) or real(texts))
+    monkeypatch.setattr(enc, "_ids_joined", lambda pieces: sent.extend(pieces) or real(pieces))
+    assert enc.encode_many(plain) == real(plain)
+    assert len(sent) < 20  # only the marks after words
+    assert enc.encode_many(odd) == real(odd)

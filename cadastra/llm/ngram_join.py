@@ -485,14 +485,20 @@ def keep_one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> Data
     # equal texts have equal sets: a row finds its group by the hash of its text, and no text is shingled again
     members = materialize(rows.join(groups, "sig").groupBy("text_hash").agg(
         F.min(F.struct("root", "component_id")).alias("_g")).select("text_hash", "_g.root", "_g.component_id"))
-    cols = docs.columns
-    d = docs.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("_row"),
-                    F.xxhash64(F.col("text").cast("string")).alias("_k"))
-    d = d.join(_small(members.select(
-        F.col("text_hash").alias("_k"), F.col("root").alias("_root"), F.col("component_id").alias("_c"))), "_k", "left")
-    grouped = F.col("_root").isNotNull()
-    first = d.where(grouped & F.col("_row.doc_id").cast("long").eqNullSafe(F.col("_c")))
-    order = Window.partitionBy("_root").orderBy(F.xxhash64("_row.text"), F.xxhash64("_row"))
-    first = first.withColumn("_n", F.row_number().over(order)).where("_n = 1")
-    kept = d.where(~grouped).select("_row").union(first.select("_row"))
-    return kept.select("_row.*")
+    # which rows go is settled on ids and hashes: of a component, all but (its smallest id, that id's smallest hash)
+    grouped = materialize(rows.select("doc_id", "text_hash").join(_small(members), "text_hash")
+                          .groupBy("root", "component_id", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")))
+    first = grouped.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root").agg(
+        F.min("text_hash").alias("_first"))
+    marked = grouped.join(first, "root").withColumn(
+        "_stays", F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("text_hash") == F.col("_first")))
+    names = [F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")]
+    out = materialize(marked.where("NOT _stays OR n > 1").select(*names))
+    repeated = materialize(marked.where("_stays AND n > 1").select(*names))
+    d = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
+                    F.col("doc_id").cast("long").alias("_d"), F.xxhash64(F.col("text").cast("string")).alias("_k"))
+    same = F.col("_d").eqNullSafe(F.col("_id")) & (F.col("_k") == F.col("_hash"))
+    kept = d.join(_small(out), same, "left_anti").select("_row")
+    order = Window.partitionBy("_d", "_k").orderBy(F.xxhash64("_row"))
+    once = d.join(_small(repeated), same, "left_semi").withColumn("_n", F.row_number().over(order)).where("_n = 1")
+    return kept.union(once.select("_row")).select("_row.*")

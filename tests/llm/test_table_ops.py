@@ -378,3 +378,28 @@ def test_one_text_is_fetched_for_each_set_whatever_the_ids(spark, monkeypatch):
     kept = ngram_join.keep_one_of_each(spark.createDataFrame(rows, DOCS)).count()
     roots = len({ngram_join.set_signature(shingles.shingle_set(t)) for t in texts})
     assert 1 <= kept <= roots
+
+
+@pytest.mark.parametrize("bound", [0, 500_000])
+def test_one_of_each_moves_no_texts_but_repeated_ones(spark, bound, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BROADCAST_ROWS", bound)
+    rnd = random.Random(12)
+    base = [f"w{rnd.randrange(500)}" for _ in range(60)]
+    family = _family(rnd, 40, base)
+    rows = [(i, t, "en", "s", i) for i, t in enumerate(family)] + [(4, family[4], "en", "s", 4)] * 2
+    rows += [(None, family[1], "en", "s", 1), (0, family[0], "fr", "s", 0), (None, None, None, None, None)]
+    rows += [(None, "only rows without id hold these words", "en", "s", i) for i in range(3)]
+    d = spark.createDataFrame(rows, DOCS)
+    root = {r["doc_id"]: r["component_id"] for r in ngram_join.near_duplicates(d).where("doc_id IS NOT NULL").collect()}
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = ngram_join.keep_one_of_each(d)
+        plan = kept._jdf.queryExecution().sparkPlan().toString()
+        got = kept.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sorted(r["doc_id"] for r in got if r["doc_id"] is not None) == sorted(set(root.values()))
+    assert sorted(str(r["text"]) for r in got if r["doc_id"] is None) == ["None", "only rows without id hold these words"]
+    if bound:  # the lists are small: no join may shuffle the texts
+        assert plan.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in plan

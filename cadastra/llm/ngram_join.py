@@ -166,6 +166,7 @@ def _heads(batches, words: int, percent: int, counts: np.ndarray, salt_rows: int
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate(x)) for x in (cols, salts, sigs, sizes)],
                 names=["col", "salt", "sig", "n"])
+    pa.default_memory_pool().release_unused()  # an idle worker keeps no more than its tables
 
 
 def _candidates(batches, percent: int, pair_rows: int) -> Iterator[pa.RecordBatch]:
@@ -222,6 +223,7 @@ def _candidates(batches, percent: int, pair_rows: int) -> Iterator[pa.RecordBatc
             yield made
     if carry is not None and len(carry[0]) and (made := runs(*carry)) is not None:
         yield made
+    pa.default_memory_pool().release_unused()  # an idle worker keeps no more than its tables
 
 
 # ---- step 4: units of block pairs ---------------------------------------------------------
@@ -360,6 +362,7 @@ def _multiply(batches, words: int, percent: int) -> Iterator[pa.RecordBatch]:
                 rows.setdefault(side, {})[sig] = s
     if rows and (links := _link_unit(rows, percent)):
         yield made(links)
+    pa.default_memory_pool().release_unused()  # an idle worker keeps no more than its tables
 
 
 def _small(table: DataFrame) -> DataFrame:

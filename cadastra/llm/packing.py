@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadastra.llm.running import number_rows
+from cadastra.llm.running import number_rows, small_batches
 from cadastra.llm.tokens import encoder, slices
 from cadastra.operators.materialize import drop_table, materialize
 
@@ -64,6 +64,7 @@ def _pieces(batches, path: str, end_id: int, max_length: int, with_ids: bool) ->
                  pa.array(length, pa.int64()), pa.array(crc, pa.int64()), pa.array(tokens, pa.int64()),
                  pa.array(ids, pa.binary())],
                 names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"])
+            pa.default_memory_pool().release_unused()  # Arrow keeps a slice's pieces otherwise, as much as the table holds
     enc.end_task()
 
 
@@ -80,7 +81,8 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, max_length: int
         "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary")
     if not with_ids:
         pieces = pieces.drop("ids")
-    pieces = materialize(pieces)  # numbering reads its input twice; texts are encoded once
+    with small_batches(docs.sparkSession):
+        pieces = materialize(pieces)  # numbering reads its input twice; texts are encoded once
     order = [F.col("length").desc(), F.col("doc_id").asc(), F.col("start").asc(), F.col("ids_crc32").asc()]
     out = number_rows(pieces, order, "sequence_id").withColumn("offset", F.lit(0).cast("long"))
     drop_table(pieces)  # the numbered rows are a table of their own

@@ -111,17 +111,22 @@ class Weights:
     offset: float
     prior: float = PRIOR
 
+    def weigh(self, texts) -> tuple[np.ndarray, np.ndarray]:
+        """Log weight and number of n-grams of each text."""
+        n, w = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.float64)
+        for i, t in enumerate(texts):  # text by text: the n-grams of one text are in memory at once
+            found = buckets(t)
+            n[i], w[i] = len(found), self.log_ratio[found].sum()
+        return np.round(self.prior + w - self.offset * n, 9), n
+
     def column(self, text: Column) -> Column:
         """Struct (log_weight, n_grams) of a text column."""
-        table, offset, prior = self.log_ratio, self.offset, self.prior
+        weights = self
 
         @F.pandas_udf("log_weight double, n_grams long")
         def weigh(texts: pd.Series) -> pd.DataFrame:
-            n, w = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.float64)
-            for i, t in enumerate(texts):  # text by text: the n-grams of one text are in memory at once
-                found = buckets(t)
-                n[i], w[i] = len(found), table[found].sum()
-            return pd.DataFrame({"log_weight": np.round(prior + w - offset * n, 9), "n_grams": n})
+            w, n = weights.weigh(texts)
+            return pd.DataFrame({"log_weight": w, "n_grams": n})
 
         return weigh(text)
 
@@ -151,19 +156,19 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     p = (counts + SMOOTHING) / (counts.sum(axis=1, keepdims=True) + SMOOTHING * counts.shape[1])
     ratio = np.clip(np.log(p[1]) - np.log(p[0]), -CLIP, CLIP)
     plain = Weights(ratio, 0.0, 0.0)
-    held = src.join(lab, src["_id"] == lab["_label_id"]).where(~fitted).select(
-        "_quality", plain.column(F.col("text")).alias("w")).select("_quality", "w.log_weight", "w.n_grams")
-    sums = held.mapInArrow(_misjudged, "good boolean, at int, n long, wrong long").groupBy("good", "at").agg(
+    held = src.join(lab, src["_id"] == lab["_label_id"]).where(~fitted).select("_quality", "text")
+    # weighed and counted by one Python worker: two Python steps in a row are two workers a task, and idle ones stay
+    sums = held.mapInArrow(lambda it: _misjudged(it, plain), "good boolean, at int, n long, wrong long").groupBy("good", "at").agg(
         F.sum("n"), F.sum("wrong")).collect()  # at most two rows an offset of the grid, over every held-out row
     return Weights(ratio, _offset(sums))
 
 
-def _misjudged(batches) -> Iterator[pa.RecordBatch]:
-    """(quality, log weight, n-grams) of held-out rows in; per kind and offset the rows and the misjudged ones out."""
+def _misjudged(batches, weights: Weights) -> Iterator[pa.RecordBatch]:
+    """(quality, text) of held-out rows in; per kind and offset the rows and the misjudged ones out."""
     n, wrong = np.zeros(2, np.int64), np.zeros((2, len(OFFSETS)), np.int64)
     for batch in batches:
-        good, w, grams = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
-        good = good > 0
+        good = batch.column(0).to_numpy(zero_copy_only=False) > 0
+        w, grams = weights.weigh(batch.column(1).to_pylist())
         n += np.bincount(good.astype(np.int64), minlength=2)
         for i, t in enumerate(OFFSETS):
             rejected = PRIOR + w - t * grams < 0

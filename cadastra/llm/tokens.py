@@ -162,8 +162,9 @@ class ChunkEncoder:
         return found
 
     def end_task(self) -> None:
-        """Forget the older generation, so that an idle worker holds one table."""
+        """Forget the older generation and hand back what Arrow keeps, so that an idle worker holds one table."""
         self.older = {}
+        pa.default_memory_pool().release_unused()
 
     def encode_many(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers; null is the empty text."""

@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 
 import duckdb
 import numpy as np
@@ -166,6 +167,14 @@ def test_mix_meets_targets_and_handles_odd_rows(spark):
     assert {r["taken"] for r in mixing.mix(blank).collect()} == {0}
 
 
+def test_words_are_counted_without_lists_of_them(spark):
+    texts = [None, "", " ", "a", " a", "a ", "\n\ta\x0b b\r\n", "a  b", "\x1c a\u00a0b", "\U0001f600 \U0001f600\U0001f600", "$1 x", "\x00 \x85 é",
+             "word " * 5000, "x" * 100_000, " " * 100_000]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").select("doc_id", mixing.n_words(F.col("text")).alias("n"))
+    assert [r["n"] for r in d.orderBy("doc_id").collect()] == [len(re.findall(r"[^\x20\x09-\x0D]+", t or "")) for t in texts]
+    assert "extract_all" not in d._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_mix_prefers_good_documents(spark):
     rows = [(i, "good words only", "en", "a", 0) for i in range(300)] + [(i, "### %% 1 $$ !", "en", "a", 0) for i in range(300, 600)]
     rows += [(i, "w w w w w", "en", "b", 0) for i in range(600, 700)]
@@ -259,6 +268,20 @@ def test_offset_counts_every_held_out_row(spark):
     assert math.isclose(w.offset, np.median(resampling.OFFSETS[np.array(cost) <= min(cost) + 1e-12]))
 
 
+def test_fitting_has_one_python_step_a_task(spark, monkeypatch):
+    plans = []
+    frame = type(spark.range(1))
+
+    def seen(self, *a, do=frame.mapInArrow, **k):
+        plans.append(self._jdf.queryExecution().executedPlan().toString())
+        return do(self, *a, **k)
+
+    monkeypatch.setattr(frame, "mapInArrow", seen)
+    docs = spark.createDataFrame([(i, "plain good words" if i % 2 else "## 99 !!") for i in range(20)], "doc_id long, text string")
+    resampling.fit(docs, spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, quality int"))
+    assert len(plans) == 2 and not any("EvalPython" in p for p in plans)
+
+
 def test_resampling_edges(spark):
     labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (2, 0, 0), (None, 1, 0), (3, None, 0), (77, 1, 1)], "doc_id long, quality int, toxic int")
     d = spark.createDataFrame([(1, "some good words", "en", "s", 1), (2, "!!! ### BAD", "en", "s", 1), (3, None, None, None, None), (4, "", "", "", 0),

@@ -199,6 +199,18 @@ def test_wavelet_shards_round_trip(spark, shard):
     assert wavelet.read_shards(wavelet.write_shards(docs.limit(0), PATH, 2)).count() == 0
 
 
+def test_packing_encodes_small_batches_and_hands_memory_back(spark, monkeypatch):
+    name, sizes, released = "spark.sql.execution.arrow.maxRecordsPerBatch", [], []
+    before = spark.conf.get(name)
+    monkeypatch.setattr(packing, "materialize", lambda df, do=packing.materialize: sizes.append(int(spark.conf.get(name))) or do(df))
+    assert packing.pack(_docs(spark, ["a b", None]), PATH).count() > 0
+    assert 0 < sizes[0] <= 1024 and spark.conf.get(name) == before
+    pool = type("Pool", (), {"release_unused": lambda self: released.append(1)})
+    monkeypatch.setattr(tokens.pa, "default_memory_pool", pool)
+    tokens.encoder(PATH).end_task()
+    assert released == [1]
+
+
 def test_packing_covers_every_token_once(spark):
     texts = ODD_TEXTS + [r[0] for r in _read(spark, "documents").select("text").limit(60).collect()]
     docs = _docs(spark, texts)

@@ -8,7 +8,9 @@ a hot group. So the work is routed by group size:
 1. one aggregate gives each group's size (plus the caller's other
    aggregates); it is written once as a small table;
 2. groups with at most ``max_exact_group`` values take ``percentile_disc``
-   (their buffer is bounded by that size);
+   (their buffer is bounded by that size); when all groups are that small and
+   one column is asked for, a plain count finds so first, and one sort by
+   (group, value) gives the median and the other aggregates (``_sorted_median``);
 3. larger (hot) groups take the bracket path, where every step aggregates
    map-side first:
 
@@ -178,6 +180,17 @@ def _counted_median(vals: DataFrame, keys: list[str], alias: str, broadcast_max_
         found = materialize(_reached(rows, keys, part, F.col("_rank"), ["_rank"]))
 
 
+def _sorted_median(df: DataFrame, keys: list[str], value: Column, alias: str, extra_aggs: Sequence[Column]) -> DataFrame:
+    """Exact lower median per group of bounded size: the rows meet their group once and are sorted by value there."""
+    # one window spec for both: the rows are sorted once, and that order serves the aggregate, too
+    w = Window.partitionBy(*keys).orderBy(F.col("_v0").asc_nulls_last())
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ranked = df.withColumn("_v0", value).select(
+        "*", F.row_number().over(w).alias("_rn"), F.count("_v0").over(whole).alias("_nv"))
+    middle = F.max(F.when(F.col("_rn") == F.ceil(F.col("_nv") / F.lit(2.0)), F.col("_v0")))
+    return ranked.groupBy(*keys).agg(*extra_aggs, middle.alias(alias))
+
+
 def agg_with_lower_medians(
     df: DataFrame,
     keys: Sequence[str],
@@ -212,9 +225,14 @@ def agg_with_lower_medians(
                                      broadcast_max_groups, bracket, write_sizes, bound)
         return out.drop("_all")
     if keys != [_GROUP]:
+        bound = max_rows if max_rows is not None else known_rows(df)
+        if len(values) == 1 and bracket is None and not (bound is not None and bound <= max_exact_group):
+            (alias, v), = values.items()
+            v = (F.col(v) if isinstance(v, str) else v).cast("double")
+            if df.groupBy(*keys).agg(F.count(v).alias("_n0")).where(F.col("_n0") > max_exact_group).isEmpty():
+                return _sorted_median(df, keys, v, alias, extra_aggs)
         # one struct key for every route: structs with null fields meet in joins as they do in groupBy
         g = df.withColumn(_GROUP, F.struct(*keys))
-        bound = max_rows if max_rows is not None else known_rows(df)
         out = agg_with_lower_medians(g, [_GROUP], values, extra_aggs, accuracy, max_exact_group,
                                      broadcast_max_groups, bracket, write_sizes, bound)
         return out.select(*[F.col(_GROUP).getField(k).alias(k) for k in keys],

@@ -14,7 +14,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadastra.functions.safe import safe_div, safe_pow
@@ -24,10 +24,31 @@ from cadastra.operators.median import disc_median
 from cadastra.params import DEFAULT, Params
 
 
+_MAX_PLACES = 16  # end prices that are kept in columns of their own
+
+
 def _by_ticker():
     return Window.partitionBy("ticker").orderBy("date")
 
 
+def _end_median(px: str, place: Column, k: int) -> Column:
+    """Lower median of ``px``, null but in the rows at places 1 to ``k`` of a group (one row each), as an aggregate.
+
+    ``percentile_disc`` keeps an object per group and has Spark sort all rows
+    by group once more; the greatest price at each place is a plain number.
+    """
+    if k > _MAX_PLACES:
+        return disc_median(px)
+    v = F.col(px).cast("double")
+    found = F.array_sort(F.array_compact(F.array(*[F.max(F.when(place == i, v)) for i in range(1, k + 1)])))
+    return F.get(found, F.floor((F.size(found) - 1) / F.lit(2)).cast("int"))
+
+
+def _end_prices(k: int) -> tuple[Column, Column]:
+    """First and last price of a group from the flags of ``_with_end_flags``."""
+    return _end_median("_first_px", F.col("_rn"), k), _end_median("_last_px", F.col("_n") - F.col("_rn") + 1, k)
+
+
 
 def _returns(prices: DataFrame, p: Params, carry: Sequence[str] = ()) -> DataFrame:
     prev = F.lag("adj_close").over(_by_ticker())
@@ -52,43 +73,44 @@ def daily_returns(prices: DataFrame, p: Params = DEFAULT) -> DataFrame:
     return _returns(prices, p)
 
 
-def _with_end_flags(df: DataFrame, p: Params, bounds: DataFrame | None = None) -> DataFrame:
+def _mark_inside(df: DataFrame, bounds: DataFrame) -> DataFrame:
+    """``_in``: 1 for the bars inside a one-row benchmark window (broadcast), else 0."""
+    inside = F.coalesce(F.col("date").between(F.col("_b_first"), F.col("_b_last")), F.lit(False))
+    return attach_one_row(df, bounds, "left").withColumn("_in", inside.cast("int")).drop("_b_first", "_b_last")
+
+
+def _with_end_flags(df: DataFrame, p: Params) -> DataFrame:
     """Flags for the first / last ``end_price_rows`` bars of each ticker.
 
     (ticker, date) is unique, so the rank from the end is n - rn + 1: one
-    sort. With ``bounds`` (a one-row benchmark window, broadcast), the same
-    flags are also computed over the bars inside that window, in the same
-    window pass (running count of in-window bars).
+    sort. When ``df`` is marked by ``_mark_inside``, the same flags are also
+    computed over the marked bars (running count of them). All counts name the
+    order of the returns, and the marks are there before them: Spark runs all
+    windows of a ticker in one pass.
     """
     w = _by_ticker()
-    whole = Window.partitionBy("ticker")
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     k = p.end_price_rows
-    rn = F.row_number().over(w)
-    n = F.count(F.lit(1)).over(whole)
-    d = df.withColumn("_rn", rn).withColumn("_n", n)
+    marked = "_in" in df.columns
+    counts = [F.row_number().over(w).alias("_rn"), F.count(F.lit(1)).over(whole).alias("_n")]
+    if marked:
+        counts += [F.sum("_in").over(upto).alias("_rn_in"), F.sum("_in").over(whole).alias("_n_in")]
+    d = df.select("*", *counts)
     d = d.withColumn("_first_px", F.when(F.col("_rn") <= k, F.col("adj_close"))).withColumn(
         "_last_px", F.when(F.col("_n") - F.col("_rn") + 1 <= k, F.col("adj_close"))
     )
-    if bounds is None:
+    if not marked:
         return d
-    d = attach_one_row(d, bounds, "left")
-    inside = F.coalesce(F.col("date").between(F.col("_b_first"), F.col("_b_last")), F.lit(False))
-    one = inside.cast("int")
-    d = d.withColumn("_in", inside).withColumn(
-        "_rn_in", F.sum(one).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ).withColumn("_n_in", F.sum(one).over(whole))
-    return d.withColumn("_first_in", F.when(F.col("_in") & (F.col("_rn_in") <= k), F.col("adj_close"))).withColumn(
-        "_last_in", F.when(F.col("_in") & (F.col("_n_in") - F.col("_rn_in") + 1 <= k), F.col("adj_close"))
+    return d.withColumn("_first_in", F.when((F.col("_in") == 1) & (F.col("_rn_in") <= k), F.col("adj_close"))).withColumn(
+        "_last_in", F.when((F.col("_in") == 1) & (F.col("_n_in") - F.col("_rn_in") + 1 <= k), F.col("adj_close"))
     )
 
 
 def end_prices(returns: DataFrame, p: Params = DEFAULT) -> DataFrame:
     """Lower median of the first and of the last five bars per ticker."""
-    d = _with_end_flags(returns, p)
-    return d.groupBy("ticker").agg(
-        disc_median("_first_px").alias("first_price"),  # <= 5 non-null values per group
-        disc_median("_last_px").alias("last_price"),
-    )
+    first, last = _end_prices(p.end_price_rows)
+    return _with_end_flags(returns, p).groupBy("ticker").agg(first.alias("first_price"), last.alias("last_price"))
 
 
 def benchmark_window(returns: DataFrame, p: Params) -> DataFrame:
@@ -100,18 +122,19 @@ def benchmark_window(returns: DataFrame, p: Params) -> DataFrame:
 
 def _aligned(p: Params) -> F.Column:
     """K11 from the in-window flags: geometric annualisation over the window."""
+    k = p.end_price_rows
+    last = _end_median("_last_in", F.col("_n_in") - F.col("_rn_in") + 1, k)
     return safe_pow(
-        safe_div(disc_median("_last_in"), disc_median("_first_in")),
+        safe_div(last, _end_median("_first_in", F.col("_rn_in"), k)),
         F.lit(p.trading_days_per_year) / F.max("_n_in"),
     ) - F.lit(1.0)
 
 
-def _per_ticker(returns: DataFrame, p: Params, with_dividends: bool, bounds: DataFrame | None = None) -> DataFrame:
-    d = _with_end_flags(returns, p, bounds)
+def _per_ticker(returns: DataFrame, p: Params, with_dividends: bool, aligned: bool = False) -> DataFrame:
+    d = _with_end_flags(returns, p)
     n = F.count(F.lit(1))
     gate = n >= p.min_trading_days_for_return
-    first = disc_median("_first_px")
-    last = disc_median("_last_px")
+    first, last = _end_prices(p.end_price_rows)
     aggs = [
         F.min("date").alias("first_date"),
         F.max("date").alias("last_date"),
@@ -129,7 +152,7 @@ def _per_ticker(returns: DataFrame, p: Params, with_dividends: bool, bounds: Dat
     ]
     if with_dividends:
         aggs.append(F.sum("dividends").alias("total_dividends"))
-    if bounds is not None:
+    if aligned:
         aggs.append(F.when(F.max("_n_in") >= p.min_trading_days_for_return, _aligned(p))
                     .alias("aligned_annualized_return"))
     return d.groupBy("ticker").agg(*aggs)
@@ -141,7 +164,7 @@ def aligned_returns(returns: DataFrame, p: Params = DEFAULT) -> DataFrame:
     Kept only for tickers with at least ``min_trading_days_for_return`` bars
     in the window; empty when the benchmark has no bars.
     """
-    d = _with_end_flags(returns, p, benchmark_window(returns, p))
+    d = _with_end_flags(_mark_inside(returns, benchmark_window(returns, p)), p)
     g = d.groupBy("ticker").agg(_aligned(p).alias("aligned_annualized_return"),
                                 F.max("_n_in").alias("_n_days"))
     return g.where(F.col("_n_days") >= p.min_trading_days_for_return).select("ticker", "aligned_annualized_return")
@@ -174,8 +197,8 @@ def equity_performance_summary(prices: DataFrame, watchlist: DataFrame, p: Param
     written once because the benchmark's own row is read back from it.
     """
     bounds = benchmark_window(prices, p)
-    r = _returns(prices, p, carry=("dividends",))
-    t = materialize(_per_ticker(r, p, with_dividends=True, bounds=bounds))
+    r = _returns(_mark_inside(prices, bounds), p, carry=("dividends", "_in"))
+    t = materialize(_per_ticker(r, p, with_dividends=True, aligned=True))
     bench = t.where(F.col("ticker") == p.benchmark_ticker).select(
         F.col("aligned_annualized_return").alias("benchmark_annualized_return")
     )

@@ -50,9 +50,23 @@ _SALE_TYPES = {
 }
 
 
-def _typed_sales(raw: DataFrame) -> DataFrame:
+_SALE_FILTERED = ("valeur_fonciere", "surface_reelle_bati")  # asked by one filter after the other
+
+
+def _typed_sales(raw: DataFrame, once: bool = False) -> DataFrame:
+    """Sales with typed columns, and whether there is a raw price.
+
+    Filters above are moved below a plain column, and every place that names
+    it then casts the text again. ``once``: what filters ask for is cast in a
+    generator of one row, which they stay above of. Not needed below a window.
+    """
     typed = {c: strict_cast(raw, c, to) for c, to in _SALE_TYPES.items()}
-    return raw.withColumns({**typed, "_priced": F.col("valeur_fonciere").isNotNull()})
+    priced = F.col("valeur_fonciere").isNotNull()
+    if not once:
+        return raw.withColumns({**typed, "_priced": priced})
+    cast = F.struct(*[typed.pop(c).alias(c) for c in _SALE_FILTERED], priced.alias("_priced"))
+    kept = [typed[c].alias(c) if c in typed else c for c in raw.columns if c not in _SALE_FILTERED]
+    return raw.select(*kept, F.inline(F.array(cast)))
 
 
 def stg_transactions(raw: DataFrame, order: Sequence[Column] | None = None, keys: Sequence[str] = SALE_KEY,
@@ -66,7 +80,7 @@ def stg_transactions(raw: DataFrame, order: Sequence[Column] | None = None, keys
     turned into raw columns by ``as_raw``.
     """
     d = latest_wins(raw if as_raw else _typed_sales(raw), keys, order or default_version_order())
-    d = _typed_sales(as_raw(d)) if as_raw else d
+    d = _typed_sales(as_raw(d), once=True) if as_raw else d
     return d.where(F.col("_priced") & (F.col("surface_reelle_bati") > 0)).select(
         "id_mutation",
         "date_mutation",
@@ -87,10 +101,13 @@ def stg_transactions(raw: DataFrame, order: Sequence[Column] | None = None, keys
     )
 
 
-def stg_prices(raw: DataFrame, order: Sequence[Column] | None = None) -> DataFrame:
+def stg_prices(raw: DataFrame, order: Sequence[Column] | None = None, keys: Sequence[str] = BAR_KEY,
+               as_raw: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Newest bar per (ticker, date); a bar whose newest version has
-    no price disappears (dedupe first, null filter second)."""
-    d = latest_wins(raw, BAR_KEY, order or default_version_order())
+    no price disappears (dedupe first, null filter second). Rows that are not
+    raw bars yet are ranked as they come, as in :func:`stg_transactions`."""
+    d = latest_wins(raw, keys, order or default_version_order())
+    d = as_raw(d) if as_raw else d
     _cast = _caster(d)
     is_nan = F.coalesce(F.isnan(strict_cast(d, "adj_close", "double")), F.lit(False))
     d = d.where(F.col("adj_close").isNotNull() & ~is_nan)  # NaN is a missing price

@@ -37,7 +37,8 @@ class Inputs:
 
     @cached_property
     def equity_prices(self) -> DataFrame:
-        return stg_prices(td.raw_equity_prices(self.spark, self.sf), td.long_bar_order())
+        rows = td.bar_rows(self.spark, self.sf)
+        return stg_prices(rows, td.bar_row_order(), td.BAR_ROW_KEY, td.as_raw_equity_prices)
 
     @cached_property
     def alt_prices(self) -> DataFrame:

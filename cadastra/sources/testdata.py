@@ -46,9 +46,13 @@ def version_order() -> tuple:
     return (F.col("_ingested_at").desc(), F.col("_tiebreak").desc())
 
 
-def long_bar_order() -> tuple:
-    """Version order of the mapped long bars; its columns are flat, as structs double what a row weighs in a shuffle."""
-    return (F.col("_ingested_at").desc(), F.col("_linenumber").desc(), F.col("_partkey").desc())
+#: the key of a long bar in the rows of ``bar_rows``
+BAR_ROW_KEY = ("l_suppkey", "date")
+
+
+def bar_row_order() -> tuple:
+    """Version order of the rows of :func:`bar_rows`; the load time of a long bar grows with its order."""
+    return tuple(F.col(c).desc() for c in ("l_orderkey", "l_linenumber", "l_partkey"))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -117,18 +121,23 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_raw_transactions(sales_rows(spark, sf_dir))
 
 
-def raw_equity_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Long daily bars (one ticker per supplier), re-delivered copies included."""
-    li = table(spark, sf_dir, "lineitem")
-    px = F.col("l_extendedprice") / F.col("l_quantity")
-    return li.select(
+def bar_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the long bars are mapped from, as numbers: narrow rows to rank before the mapping."""
+    return table(spark, sf_dir, "lineitem").select(
+        "l_suppkey", F.to_date("l_shipdate").alias("date"), (F.col("l_extendedprice") / F.col("l_quantity")).alias("px"),
+        "l_quantity", "l_tax", "l_orderkey", "l_linenumber", "l_partkey")
+
+
+def as_raw_equity_prices(rows: DataFrame) -> DataFrame:
+    """Long daily bars landing table of ``bar_rows``: one ticker per supplier, re-delivered copies included."""
+    return rows.select(
         _s(F.col("l_suppkey")).alias("ticker"),
-        F.to_date("l_shipdate").alias("date"),
-        px.alias("open"),
-        px.alias("high"),
-        px.alias("low"),
-        px.alias("close"),
-        px.alias("adj_close"),
+        "date",
+        F.col("px").alias("open"),
+        F.col("px").alias("high"),
+        F.col("px").alias("low"),
+        F.col("px").alias("close"),
+        F.col("px").alias("adj_close"),
         F.col("l_quantity").alias("volume"),
         F.col("l_tax").alias("dividends"),
         F.lit(0.0).alias("stock_splits"),

@@ -99,3 +99,22 @@ def test_more_hot_groups_than_a_broadcast_holds_are_counted(spark, monkeypatch,
     rows += [("cents", round(rnd.uniform(50, 51), 2)) for _ in range(3000)] + [("none", None)] * 40 + [(None, float(i)) for i in range(41)]
     rows += [("inf", x) for x in (float("inf"), float("-inf"), 0.0, -0.0, 5e-324, -5e-324) for _ in range(9)]
     check(spark, rows, max_exact_group=max_exact_group, broadcast_max_groups=2)
+
+
+def test_small_groups_meet_once_and_are_sorted(spark):
+    from pyspark.sql import functions as F
+
+    rnd = random.Random(11)
+    rows = [(rnd.choice(["a", "b", None]), rnd.choice([1, None]), rnd.choice([None, float(rnd.randint(0, 9)), math.inf])) for _ in range(400)]
+    rows += [("none", 1, None)] * 3 + [("nan", 1, 1.0), ("nan", 1, math.nan), ("nan", 1, 2.0)]
+    df = spark.createDataFrame(rows, "g string, h int, v double")
+    out = agg_with_lower_median(df, ["g", "h"], "v", "m", [F.min("g").alias("least"), F.count(F.lit(1)).alias("n")])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan and "percentile" not in plan
+    want = {}
+    for g, h, v in rows:
+        want.setdefault((g, h), []).append(v)
+    want.pop(("nan", 1))
+    got = {(r["g"], r["h"]): (r["least"], r["n"], r["m"]) for r in out.collect()}
+    assert got.pop(("nan", 1)) == ("nan", 3, 2.0)  # NaN is the greatest
+    assert got == {k: (k[0], len(vs), brute(vs)) for k, vs in want.items()}

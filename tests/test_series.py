@@ -111,3 +111,23 @@ def test_aligned_returns_use_only_the_benchmark_window(spark):
     first = 50.0 * 1.002 ** 2   # lower median of the first five in-window bars (rows 10..14 of A)
     last = 50.0 * 1.002 ** 67   # lower median of the last five in-window bars (days 75-79)
     assert math.isclose(out["A"], (last / first) ** (252.0 / n_in) - 1, rel_tol=1e-9)
+
+
+def test_end_prices_for_any_number_of_rows(spark):
+    def lower(vs):
+        vs = sorted(v for v in vs if v is not None)
+        return vs[(len(vs) + 1) // 2 - 1] if vs else None
+
+    spec = {"L": [float(i * 7 % 11) for i in range(30)], "S": [3.0, 1.0], "N": [None, 4.0, None, 2.0, None, None, None, 6.0], "Z": [None] * 4}
+    bars = prices(spark, spec).drop("dividends")
+    for k in (1, 2, 5, 20):
+        got = {r["ticker"]: (r["first_price"], r["last_price"]) for r in series.end_prices(bars, Params(end_price_rows=k)).collect()}
+        assert got == {t: (lower(ps[:k]), lower(ps[-k:])) for t, ps in spec.items()}
+
+
+def test_summary_runs_one_window_pass_and_no_object_aggregate(spark):
+    bars = prices(spark, {"BENCH": [100.0] * 3, "A": [1.0, 2.0]})
+    r = series._returns(series._mark_inside(bars, series.benchmark_window(bars, P)), P, carry=("dividends", "_in"))
+    plan = series._per_ticker(r, P, with_dividends=True, aligned=True)._jdf.queryExecution().executedPlan().toString()
+    passes = [line for line in plan.splitlines() if "Window [" in line and "windowspecdefinition(ticker" in line]
+    assert len(passes) == 1 and "ObjectHashAggregate" not in plan

@@ -84,3 +84,27 @@ def test_raw_text_is_cast_before_the_dedupe(spark):
     ranked = out._jdf.queryExecution().optimizedPlan().toString().split("WindowGroupLimit", 1)[1]
     assert "try_cast" in ranked.lower() or "as double" in ranked.lower()
     assert [(r["id_mutation"], r["valeur_fonciere"]) for r in out.collect()] == [("2", 7.0)]  # a newest version without a price goes
+
+
+def test_bars_are_ranked_as_numbers(spark):
+    from cadastra.plans.inputs import Inputs
+
+    plan = Inputs(spark, "/root/testdata/sf0.001").equity_prices._jdf.queryExecution().optimizedPlan().toString()
+    above, ranked = plan.split("WindowGroupLimit", 1)  # what is below is shuffled
+    assert "as string" in above and "as string" not in ranked
+
+
+def test_filtered_sale_columns_are_cast_once(spark):
+    from cadastra.operators.places import qualifying_sales
+
+    cols = "k string, _v int, " + ", ".join(f"{c} string" for c in SALE_COLS) + ", source_year int, _ingested_at timestamp"
+    rows = [("a", 1, *sale("1", 1, price="100000")), ("a", 2, *sale("1", 1, price="200000")),
+            ("b", 1, *sale("2", 1, price="x")), ("c", 1, *sale("3", 1, price=None)), ("d", 1, *sale("4", 1, surface="0")),
+            ("e", 1, *sale("5", 1, surface="1d")), ("f", 1, *sale("6", 1, price="60000", surface=" 2e1 "))]
+    staged = stg_transactions(spark.createDataFrame(rows, cols), (F.col("_v").desc(),), ("k",), lambda d: d.drop("k", "_v"))
+    assert [f.dataType.simpleString() for f in staged.schema.fields if f.name in ("valeur_fonciere", "surface_reelle_bati")] == ["double"] * 2
+    assert sorted((r["id_mutation"], r["valeur_fonciere"], r["surface_reelle_bati"]) for r in staged.collect()) == [
+        ("1", 200000.0, 50.0), ("2", None, 50.0), ("6", 60000.0, 20.0)]
+    out = qualifying_sales(staged)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("RLIKE") == 2  # once for the price, once for the surface
+    assert sorted(r["price_per_sqm"] for r in out.collect()) == [3000.0, 4000.0]

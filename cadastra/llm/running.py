@@ -14,9 +14,7 @@ from pyspark.sql import functions as F
 
 
 @contextmanager
-def small_batches(spark: SparkSession, rows: int = 1024):
-    """Rows go to Python workers in small batches while this holds: whole texts of many rows are large."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+def _at_most(spark: SparkSession, name: str, rows: int):
     before = spark.conf.get(name)
     spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
     try:
@@ -25,6 +23,18 @@ def small_batches(spark: SparkSession, rows: int = 1024):
         spark.conf.set(name, before)
 
 
+def small_batches(spark: SparkSession, rows: int = 1024):
+    """Rows go to Python workers in small batches while this holds: whole texts of many rows are large."""
+    return _at_most(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+
+
+@contextmanager
+def large_rows(spark: SparkSession):
+    """While this holds, rows of several MB are read from parquet, and go to Python workers, one by one."""
+    with small_batches(spark, 1), _at_most(spark, "spark.sql.parquet.columnarReaderBatchSize", 1):
+        yield
+
+
 def range_bases(sums: DataFrame, part: str, value: str) -> DataFrame:
     """``(part, base)``: the sum of ``value`` over all smaller parts. One input row per part."""
     before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)

@@ -35,11 +35,13 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadastra.llm.running import number_rows
+from cadastra.llm.running import large_rows, number_rows, small_batches
 from cadastra.operators.materialize import materialize
 
 SHARD_WORDS = 1 << 19
 PASS_WORDS = 1 << 21  # words of the test items that a task holds at once
+BATCH_TEXTS = 256  # texts that go to a task's Python worker at once
+GROUP_BYTES = 1 << 24  # bytes of a row group of shards, about
 _SEPARATE = bytes(
     b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else b + 0x20 if 0x41 <= b <= 0x5A else 0x20
     for b in range(256))
@@ -136,9 +138,17 @@ def build(docs: DataFrame, shard_words: int = SHARD_WORDS, id_col: str = "doc_id
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = src.schema["id"].dataType
     arrow = to_arrow_type(kind)
-    return materialize(src.mapInArrow(
-        lambda it: _build(it, shard_words, arrow),
-        f"shard long, words binary, tokens binary, suffixes binary, ids array<{kind.simpleString()}>, sizes array<long>"))
+    with small_batches(docs.sparkSession, BATCH_TEXTS):
+        return materialize(src.mapInArrow(
+            lambda it: _build(it, shard_words, arrow),
+            f"shard long, words binary, tokens binary, suffixes binary, ids array<{kind.simpleString()}>, sizes array<long>"),
+            **_shard_files())
+
+
+def _shard_files() -> dict[str, str]:
+    """Parquet's writer looks at sizes after 100 rows only, which here are some 500 MB: it is to look after each."""
+    return {"parquet.block.size": str(GROUP_BYTES), "parquet.page.size.row.check.min": "1",
+            "parquet.page.size.row.check.max": "1"}
 
 
 class Items:
@@ -332,8 +342,9 @@ def search(shards: DataFrame, benchmark: DataFrame, window: int = 10, item_id: s
     schema = "shard long, at int, begins array<long>, ends array<long>, items array<string>"
     out = None
     for items in _passes(benchmark, window, item_id, item_text):
-        got = materialize(shards.select("shard", "words", "tokens", "suffixes", "sizes").mapInArrow(
-            lambda it, items=items: _hits(it, items), schema))
+        with large_rows(shards.sparkSession):
+            got = materialize(shards.select("shard", "words", "tokens", "suffixes", "sizes").mapInArrow(
+                lambda it, items=items: _hits(it, items), schema))
         out = got if out is None else out.unionByName(got)
     return out if out is not None else shards.sparkSession.createDataFrame([], schema)
 
@@ -349,8 +360,9 @@ def matches(shards: DataFrame, benchmark: DataFrame, window: int = 10, item_id:
     schema = f"shard long, item_id string, item_at long, length long, places long, doc_id {kind}, doc_at long"
     out = None
     for items in _passes(benchmark, window, item_id, item_text):
-        got = materialize(shards.select("shard", "words", "tokens", "suffixes", "ids", "sizes").mapInArrow(
-            lambda it, items=items: _longest(it, items), schema))
+        with large_rows(shards.sparkSession):
+            got = materialize(shards.select("shard", "words", "tokens", "suffixes", "ids", "sizes").mapInArrow(
+                lambda it, items=items: _longest(it, items), schema))
         out = got if out is None else out.unionByName(got)
     return out if out is not None else shards.sparkSession.createDataFrame([], schema)
 

@@ -30,11 +30,11 @@ def table_dir(df: DataFrame, name: str | None = None) -> str:
     return os.path.join(root, "cadastra-tables", name or uuid.uuid4().hex)
 
 
-def materialize(df: DataFrame, name: str | None = None) -> DataFrame:
-    """Write ``df`` to a fresh parquet table in the shared folder; return a scan of it."""
+def materialize(df: DataFrame, name: str | None = None, **options) -> DataFrame:
+    """Write ``df`` to a fresh parquet table in the shared folder; return a scan of it. ``options`` are the writer's."""
     path = table_dir(df, name)
     obs = Observation(f"rows_{uuid.uuid4().hex}")
-    df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
+    df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").options(**options).parquet(path)
     out = df.sparkSession.read.parquet(path)
     setattr(out, _ROWS_ATTR, int(obs.get["n"]))  # derived frames do not inherit it
     setattr(out, _PATH_ATTR, path)

@@ -4,6 +4,7 @@ import random
 
 import duckdb
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -108,6 +109,30 @@ def test_decontaminate_removes_rows_and_keeps_columns(spark):
     assert kept.count() == docs.count() - bad and bad > 30
 
 
+def test_shards_are_written_and_read_one_by_one(spark, monkeypatch):
+    names = ["spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.parquet.columnarReaderBatchSize"]
+    before, real, held = [spark.conf.get(n) for n in names], suffix_arrays.materialize, {}
+
+    def spy(df, *args, **kw):
+        held["hits" if "begins" in df.columns else "build" if "suffixes" in df.columns else ""] = [int(spark.conf.get(n)) for n in names]
+        return real(df, *args, **kw)
+
+    monkeypatch.setattr(suffix_arrays, "materialize", spy)
+    monkeypatch.setattr(suffix_arrays, "GROUP_BYTES", 1 << 12, raising=False)
+    rows = [(i, " ".join(f"w{(7 * i + k) % 500}" for k in range(400))) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    bench = spark.createDataFrame([("a", rows[0][1])], "item_id string, text string")
+    shards = suffix_arrays.build(docs, 800)
+    parts = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in shards.inputFiles()]
+    groups = [m.row_group(i).num_rows for m in parts for i in range(m.num_row_groups)]
+    assert sum(groups) == 20 and max(groups) <= 2  # not all shards of a task in one row group
+    suffix_arrays.search(shards, bench)
+    assert held["build"][0] <= 256 and held["hits"] == [1, 1]
+    assert [spark.conf.get(n) for n in names] == before
+    assert suffix_arrays.report(docs, bench, shard_words=800).where("contaminated").count() == suffix_arrays.report(
+        docs, bench, shard_words=1 << 20).where("contaminated").count() > 0
+
+
 def test_decontamination_of_empty_tables(spark):
     docs, bench = _contaminated_tables(spark)
     assert suffix_arrays.report(docs.limit(0), bench).collect() == []

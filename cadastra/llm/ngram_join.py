@@ -3,24 +3,29 @@
 The documents-by-shingles incidence matrix ``A`` is multiplied by its own
 transpose, in blocks, and only where the product can reach the threshold:
 
-1. one pass over the texts gives each document's set size and a signature of
-   its shingle set (equal sets are one row of the matrix from here on), and
-   counts documents per hash bucket of columns;
+1. one pass over the texts gives each document's set size, a signature of
+   its shingle set (equal sets are one row of the matrix from here on) and a
+   sketch of it, and counts documents per hash bucket of columns;
 2. columns are ordered by that count, rare first. Two sets of Jaccard
    similarity ``t`` share a column among the first ``n - ceil(t n) + 1`` of
    each (the head). Only head columns are multiplied out;
 3. a head column with few rows yields its pairs of rows, unless their sizes
-   differ too much to reach ``t``. A column with many rows (a family of near
-   copies, a shared passage) never yields pairs: its rows are tied to one of
-   them, ties make clusters, and a cluster is cut into blocks of rows of like
-   size; blocks whose sizes rule out ``t`` are not multiplied;
+   or sketches rule out ``t``. A column with many rows (a family of near
+   copies, a shared passage) never yields pairs: its rows are tied where their
+   sketches do not rule out ``t``, ties make clusters, and a cluster is cut
+   into blocks of rows of like size; blocks whose sizes rule out ``t`` are not
+   multiplied;
 4. the surviving pairs and block pairs get their full rows, and one task
    accumulates exact overlap counts of one block pair;
 5. links become components.
 
 Every pair of similar texts is in some unit of step 4, so the links are
-exact. Columns holding many rows are salted by row before the shuffle; a
-column's parts are tied together afterwards.
+exact: a sketch bounds the overlap from above, it never decides a link.
+Without sketches the rows that share no more than a passage would be tied, and
+the longer the table, the more of them have a shared passage in their heads
+(buckets fill up) and the more of their clusters grow together. Columns
+holding many rows are salted by row before the shuffle; a column's parts are
+tied together afterwards.
 """
 
 from __future__ import annotations
@@ -50,6 +55,8 @@ PRODUCT_CELLS = 1 << 20  # cells added at once, about
 PRODUCT_COLUMNS = 4096  # columns multiplied at once
 SLICE_TEXTS = 256  # texts whose shingles are in a task's memory at once
 KNOWN_SETS = 100_000  # signatures a task remembers, to pass over copies early
+SKETCH_CELLS = 64  # cells of a sketch, at least
+CELL_SHINGLES = 8  # shingles of a cell on average, at most
 
 
 def _need(n, percent: int):
@@ -65,22 +72,30 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(at, SLICE_TEXTS)
 
 
+def sketch(s: np.ndarray) -> np.ndarray:
+    """How many shingles of a set fall into each of some cells (255: as many or more); larger sets have more cells."""
+    cells = max(SKETCH_CELLS, 1 << (len(s) // CELL_SHINGLES).bit_length())
+    counts = np.bincount((s & np.uint64(cells - 1)).astype(np.int64), minlength=cells)
+    return np.minimum(counts, 255).astype(np.uint8)
+
+
 def _scan(batches: Iterator[pa.RecordBatch], words: int, id_type: pa.DataType) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(1 << COUNT_BITS, np.uint32)  # documents of one task
     shift = np.uint64(64 - COUNT_BITS)
     for batch in _slices(batches):
-        sigs, sizes, hashes = [], [], []
+        sigs, sizes, sketches, hashes = [], [], [], []
         for text in batch.column(1).to_pylist():
             s = shingle_set(text, words)
             sizes.append(len(s))
             sigs.append(set_signature(s) if len(s) else None)
+            sketches.append(sketch(s).tobytes() if len(s) else None)
             hashes.append((s >> shift).astype(np.uint32))
         np.add.at(counts, np.concatenate(hashes), np.uint32(1))
         k = len(sigs)
         yield pa.RecordBatch.from_arrays(
             [batch.column(0).cast(id_type), batch.column(2), pa.array(sigs, pa.int64()), pa.array(sizes, pa.int64()),
-             pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())],
-            names=["doc_id", "text_hash", "sig", "n", "part", "counts"])
+             pa.array(sketches, pa.binary()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())],
+            names=["doc_id", "text_hash", "sig", "n", "sketch", "part", "counts"])
     rows = []
     for part, c in enumerate(counts.reshape(-1, 1 << PART_BITS)):
         if top := int(c.max()):
@@ -88,9 +103,9 @@ def _scan(batches: Iterator[pa.RecordBatch], words: int, id_type: pa.DataType) -
     if rows:
         k = len(rows)
         yield pa.RecordBatch.from_arrays(
-            [pa.nulls(k, id_type), *[pa.nulls(k, pa.int64())] * 3,
+            [pa.nulls(k, id_type), *[pa.nulls(k, pa.int64())] * 3, pa.nulls(k, pa.binary()),
              pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())],
-            names=["doc_id", "text_hash", "sig", "n", "part", "counts"])
+            names=["doc_id", "text_hash", "sig", "n", "sketch", "part", "counts"])
 
 
 def _width(top: int) -> int:
@@ -170,7 +185,10 @@ def _heads(batches, words: int, percent: int, counts: np.ndarray, salt_rows: int
 
 
 def _candidates(batches, percent: int, pair_rows: int) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (col, salt, sig) in; kind 0: a pair, 1: a tie, 2: a salted column's part."""
+    """Rows sorted by (col, salt, sig) in; kind 0: a pair, 1: a tie, 2: a salted column's part, 3: a row of a group.
+
+    A group is the rows of a column with many rows; columns of the same rows are one group.
+    """
 
     def runs(col, salt, sig, n):
         new = np.flatnonzero(np.r_[True, (col[1:] != col[:-1]) | (salt[1:] != salt[:-1])])
@@ -191,7 +209,7 @@ def _candidates(batches, percent: int, pair_rows: int) -> Iterator[pa.RecordBatc
                 pairs((at[:, None] + i).ravel(), (at[:, None] + j).ravel())
         for at, k in zip(new[(size > pair_rows) & plain], size[(size > pair_rows) & plain]):
             members = sig[at : at + k]
-            out.append((np.ones(k - 1, np.int8), np.full(k - 1, members[0]), members[1:]))
+            out.append((np.full(k, 3, np.int8), np.full(k, set_signature(members)), members))
         for at, k in zip(new[~plain], size[~plain]):
             members = sig[at : at + k]
             out.append((np.ones(k - 1, np.int8), np.full(k - 1, members[0]), members[1:]))
@@ -226,6 +244,98 @@ def _candidates(batches, percent: int, pair_rows: int) -> Iterator[pa.RecordBatc
     pa.default_memory_pool().release_unused()  # an idle worker keeps no more than its tables
 
 
+# ---- step 3: what sketches rule out ---------------------------------------------------------
+
+
+def _folded(cells: np.ndarray, width: int) -> np.ndarray:
+    """Sketches (one a row) of fewer cells: exactly what ``sketch`` would count with so many."""
+    if cells.shape[1] == width:
+        return cells
+    return np.minimum(cells.reshape(len(cells), -1, width).sum(axis=1, dtype=np.int64), 255).astype(np.uint8)
+
+
+class Sketches:
+    """Rows by their sketches: which of them may be similar to a given one.
+
+    Where two sets' counts of a cell differ by ``d``, at least ``d`` shingles are in one set only. So the
+    differences of all cells bound the overlap from above, and no similar pair is ruled out.
+    """
+
+    def __init__(self, sizes: list[int], blobs: list[bytes], percent: int):
+        self.n, self.percent = np.array(sizes, np.int64), percent
+        width = np.array([len(b) for b in blobs])
+        self.cells = [np.frombuffer(b, np.uint8) for b in blobs]
+        self.parts = [(at, np.stack([self.cells[i] for i in at])) for at in (np.flatnonzero(width == w) for w in np.unique(width))]
+
+    def near(self, n: int, cells: np.ndarray, among: np.ndarray) -> np.ndarray:
+        """Places, of those marked in ``among``, that a row of ``n`` shingles with these ``cells`` may be similar to."""
+        among = among & (100 * np.minimum(self.n, n) >= self.percent * np.maximum(self.n, n))
+        found = []
+        for at, matrix in self.parts:
+            some = among[at]
+            if not some.any():
+                continue
+            at, width = at[some], min(matrix.shape[1], len(cells))
+            a, b = _folded(matrix[some], width), _folded(cells[None, :], width)
+            apart = (np.maximum(a, b) - np.minimum(a, b)).sum(axis=1, dtype=np.int64)
+            found.append(at[(100 - self.percent) * (self.n[at] + n) >= (100 + self.percent) * apart])
+        return np.concatenate(found) if found else np.zeros(0, np.int64)
+
+
+def _keyed(batches) -> Iterator[tuple[int, list[tuple]]]:
+    """Rows sorted by their first column in; per value of it the rest of its rows out."""
+    key, rows = None, []
+    for batch in batches:
+        for k, *rest in zip(*(c.to_pylist() for c in batch.columns)):
+            if k != key:
+                if rows:
+                    yield key, rows
+                key, rows = k, []
+            rows.append(rest)
+    if rows:
+        yield key, rows
+
+
+def _tied(batches, percent: int) -> Iterator[pa.RecordBatch]:
+    """Rows (group, sig, n, sketch) sorted by group in; ties out that join what may be similar within a group."""
+    for _, rows in _keyed(batches):
+        sig, n, blobs = zip(*rows)
+        held = Sketches(n, blobs, percent)
+        label = np.arange(len(rows))
+        for i in range(len(rows) - 1):
+            other = label != label[i]
+            other[:i] = False  # these have met row i
+            if other.any() and len(hit := held.near(n[i], held.cells[i], other)):
+                label[np.isin(label, label[hit])] = label[i]
+        ids = np.array(sig, np.int64)
+        a, b = ids[label], ids
+        if (a != b).any():
+            yield pa.RecordBatch.from_arrays([pa.array(a[a != b]), pa.array(b[a != b])], names=["a", "b"])
+    pa.default_memory_pool().release_unused()
+
+
+def _likely(batches, percent: int) -> Iterator[pa.RecordBatch]:
+    """Rows (unit, side, sig, n, sketch) of pair units sorted by unit in; those that may have a partner out."""
+    for unit, rows in _keyed(batches):
+        left, right = ([r[1:] for r in rows if r[0] == side] for side in (0, 1))
+        if not left or not right:
+            continue
+        held = Sketches([r[1] for r in right], [r[2] for r in right], percent)
+        kept, met = [], np.zeros(len(right), bool)
+        for sig, n, blob in left:
+            hit = held.near(n, np.frombuffer(blob, np.uint8), np.ones(len(right), bool))
+            met[hit] = True
+            if len(hit):
+                kept.append(sig)
+        if kept:
+            other = [right[i][0] for i in np.flatnonzero(met)]
+            k = len(kept) + len(other)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([unit] * k, pa.int64()), pa.array([0] * len(kept) + [1] * len(other), pa.int32()),
+                 pa.array(kept + other, pa.int64())], names=["unit", "side", "sig"])
+    pa.default_memory_pool().release_unused()
+
+
 # ---- step 4: units of block pairs ---------------------------------------------------------
 
 
@@ -413,7 +523,7 @@ def _components(docs: DataFrame, id_col: str, text_col: str, words: int, percent
 
     scanned = materialize(src.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
         lambda it: _scan(it, words, pa.int64()),
-        "doc_id long, text_hash long, sig long, n long, part int, counts binary"))
+        "doc_id long, text_hash long, sig long, n long, sketch binary, part int, counts binary"))
     counts = column_counts(scanned)
     rows = scanned.where("part IS NULL").select("doc_id", "text_hash", "sig", "n")
     by_id = F.coalesce(F.col("doc_id").cast("decimal(20,0)"), F.lit(str(1 << 63)).cast("decimal(20,0)"))  # rows without id last
@@ -427,9 +537,21 @@ def _components(docs: DataFrame, id_col: str, text_col: str, words: int, percent
         heads.repartition("col", "salt").sortWithinPartitions("col", "salt", "sig")
         .mapInArrow(lambda it: _candidates(it, percent, PAIR_ROWS), "kind byte, a long, b long").distinct())
 
+    # the sketches of all rows in pairs and groups: one of each set
+    met = materialize(found.where("kind = 0").select(F.explode(F.array("a", "b")).alias("sig"))
+                      .union(found.where("kind = 3").select("b")).distinct())
+    sketches = materialize(
+        scanned.where("sig IS NOT NULL").select("sig", "n", "sketch").join(_small(met), "sig").dropDuplicates(["sig"]))
+
+    groups = found.where("kind = 3").select(F.col("a").alias("group"), F.col("b").alias("sig"))
+    near = materialize(
+        groups.join(sketches, "sig").select("group", "sig", "n", "sketch")
+        .repartition("group").sortWithinPartitions("group")
+        .mapInArrow(lambda it: _tied(it, percent), "a long, b long").distinct())
+
     parts = found.where("kind = 2").select(F.col("a").alias("col"), F.col("b").alias("sig"))
     firsts = materialize(parts.groupBy("col").agg(F.min("sig").alias("first")))
-    ties = found.where("kind = 1").select("a", "b").union(
+    ties = near.union(found.where("kind = 1").select("a", "b")).union(
         parts.join(firsts, "col").select(F.col("first").alias("a"), F.col("sig").alias("b")))
     clusters = materialize(connected_components(ties))
 
@@ -440,14 +562,18 @@ def _components(docs: DataFrame, id_col: str, text_col: str, words: int, percent
         "ra IS NULL OR rb IS NULL OR ra <> rb").select("a", "b")
     members = clusters.select(F.col("node").alias("sig"), "root").join(
         classes.select("sig", "n"), "sig")
-    units = materialize(_pair_units(materialize(pairs)).union(_block_units(members, percent)))
+    likely = (
+        _pair_units(materialize(pairs)).join(sketches, "sig").select("unit", "side", "sig", "n", "sketch")
+        .repartition("unit").sortWithinPartitions("unit")
+        .mapInArrow(lambda it: _likely(it, percent), "unit long, side int, sig long"))
+    units = materialize(likely.union(_block_units(members, percent)))
 
     texts = _texts(src, materialize(units.select("sig").distinct().join(classes.select("sig", "rep", "text_hash"), "sig")))
     links = materialize(
         _small(units).join(texts, "sig").select("unit", "side", "sig", "text")
         .repartition("unit").sortWithinPartitions("unit", "side")
         .mapInArrow(lambda it: _multiply(it, words, percent), "a long, b long").distinct())
-    for t in (found, units, texts):
+    for t in (found, met, sketches, near, units, texts):
         drop_table(t)
 
     linked = connected_components(links)

@@ -106,6 +106,59 @@ def test_jaccard_join_against_brute_force(spark, small, monkeypatch):
     assert sorted(got, key=repr) == _brute_components(rows)
 
 
+def test_rows_that_share_a_passage_only_are_not_multiplied(spark, monkeypatch):
+    """In a crowded table of counts a shared passage stands out from nothing and is in the heads of its rows."""
+    fetched = []
+    real = ngram_join._texts
+
+    def spy(src, wanted):
+        out = real(src, wanted)
+        fetched.append(out.count())
+        return out
+
+    monkeypatch.setattr(ngram_join, "_texts", spy)
+    monkeypatch.setattr(ngram_join, "column_counts", lambda scanned: np.ones(1 << ngram_join.COUNT_BITS, np.uint8))
+    rnd = random.Random(21)
+
+    def texts(name, k):
+        passage = " ".join(f"{name}{i}" for i in range(60))
+        return [passage + " " + " ".join(f"w{rnd.randrange(10**6)}" for _ in range(90 + i % 7)) for i in range(k)]
+
+    rows = list(enumerate(texts("p", 50) + texts("q", 10) + texts("r", 3)))  # a group, and columns that yield pairs
+    near = [(1000 + i, t) for i, t in enumerate(_family(rnd, 20, [f"v{rnd.randrange(500)}" for _ in range(100)]))]
+    for some, most in ((rows, 0), (rows + near, len(near))):
+        d = spark.createDataFrame(some, "doc_id long, text string").repartition(3)
+        got = [((r[0] is None, r[0] or 0), r[1], r[2]) for r in ngram_join.near_duplicates(d).collect()]
+        assert sorted(got, key=repr) == _brute_components(some)
+        assert fetched.pop() <= most
+
+
+@pytest.mark.parametrize("percent", [50, 80, 100])
+def test_sketches_rule_out_no_similar_set(percent):
+    rng = np.random.default_rng(percent)
+    pool, sets = rng.integers(0, 2**63, 30_000).astype(np.uint64), []
+    for n in (1, 2, 5, 40, 511, 512, 700, 5000):
+        base = rng.choice(pool, n, replace=False)
+        for gone in (0, 1, n // 20, n // 9, n // 5, n // 2):
+            sets.append(np.unique(np.concatenate([base[gone:], rng.choice(pool, rng.integers(0, gone + 1), replace=False)])))
+    sets = [s for s in sets if len(s)]
+    sets.append(np.arange(1000, dtype=np.uint64) << np.uint64(20))  # all in one cell
+    sets.append(sets[-1][:900])
+    cells = [ngram_join.sketch(s) for s in sets]
+    held = ngram_join.Sketches([len(s) for s in sets], [c.tobytes() for c in cells], percent)
+    far = 0
+    for s, c in zip(sets, cells):
+        near = set(held.near(len(s), c, np.ones(len(sets), bool)).tolist())
+        for j, other in enumerate(sets):
+            both = len(np.intersect1d(s, other))
+            similar = 100 * both >= percent * (len(s) + len(other) - both)
+            assert j in near or not similar
+            far += j not in near
+    assert far > len(sets) ** 2 // 2
+    wide = np.stack([ngram_join.sketch(sets[-3]), ngram_join.sketch(sets[-3][::-1].copy())])
+    assert (ngram_join._folded(wide, 64)[0] == np.minimum(np.bincount((sets[-3] % np.uint64(64)).astype(int), minlength=64), 255)).all()
+
+
 def test_jaccard_join_edges_and_one_of_each(spark):
     empty = spark.createDataFrame([], DOCS)
     assert ngram_join.near_duplicates(empty).count() == 0 and ngram_join.keep_one_of_each(empty).count() == 0

@@ -168,11 +168,11 @@ def _heads(batches, words: int, percent: int, counts: np.ndarray, salt_rows: int
             if len(seen) < KNOWN_SETS:
                 seen.add(sig)
             k = n - _need(n, percent) + 1
-            c = counts[(s >> shift).astype(np.int64)].astype(np.int64)
+            c = counts[(s >> shift).astype(np.int64)]
             if k < n:
-                top = np.lexsort((s, c))[:k]
+                top = np.argsort(c, kind="stable")[:k]  # by count, then by hash: the set is sorted
                 s, c = s[top], c[top]
-            parts = 1 + np.maximum(0, c - usual) // salt_rows
+            parts = 1 + np.maximum(0, c.astype(np.int64) - usual) // salt_rows
             cols.append(s.view(np.int64))
             sigs.append(np.full(len(s), sig, np.int64))
             sizes.append(np.full(len(s), n, np.int32))
